@@ -107,7 +107,7 @@ windowed AS (SELECT * FROM raw WHERE trip_start_timestamp >= {_ts(SCAN_START)}
 
 
 def _ts_text(c: str) -> str:
-    return f"strftime({c}, '%Y-%m-%d %H:%M:%S') || ' UTC'"
+    return f"CAST({c} AS VARCHAR) || ' UTC'"
 
 
 SUMMARY = """SELECT split, count(*) AS rows, round(avg(label), 4) AS label_rate,

@@ -1,12 +1,15 @@
 """Keep one row per key.
 
-``window`` (default): ``row_number() == 1`` over a total order.  Catalyst
-inserts a partial ``WindowGroupLimit`` before the shuffle, so every map
-task forwards at most one row per key: a hot key costs one row per task
-on the wire, never its whole group.
+``min_struct`` (default): ``min(struct(order..., rest...))`` grouped by the
+key.  Struct ordering is field by field, ascending, nulls first, so the
+minimum is the first row of the total order.  The aggregate is partial
+on the map side: every map task forwards at most one row per key, so a
+hot key costs one row per task on the wire, never its whole group; the
+sorts are on the key only.
 
-``min_struct``: ``min(struct(order..., rest...))`` grouped by the key, a
-sort-based aggregate with map-side partial aggregation; same result.
+``window``: ``row_number() == 1`` over the same total order; Catalyst
+adds a partial ``WindowGroupLimit`` before the shuffle (same bound), but
+sorts on the key plus every order column.  Same result.
 
 ``any``: ``dropDuplicates`` (arbitrary survivor, cheapest).
 
@@ -25,7 +28,7 @@ def _order_names(df: DataFrame, keys: list[str], order_by: list[str] | None) ->
 
 
 def keep_first(df: DataFrame, keys: list[str], order_by: list[str | Column] | None = None,
-               method: str = "window") -> DataFrame:
+               method: str = "min_struct") -> DataFrame:
     """One row per distinct ``keys``: the first one in ``order_by`` (ascending, nulls first).
 
     Columns not named in ``order_by`` break remaining ties, so the survivor

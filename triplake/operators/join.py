@@ -21,21 +21,21 @@ def request_order(df: DataFrame, key: str = "unique_key",
     return [ts] + others
 
 
-def first_requests(requests: DataFrame, key: str = "unique_key", method: str = "window") -> DataFrame:
+def first_requests(requests: DataFrame, key: str = "unique_key", method: str = "min_struct") -> DataFrame:
     cols = [c for c in requests.columns if c != "tips"]
     req = requests.select(*cols)
     return keep_first(req, [key], request_order(req, key), method=method)
 
 
 def first_outcomes(outcomes: DataFrame, key: str = "unique_key", take: tuple[str, ...] = ("tips",),
-                   method: str = "window") -> DataFrame:
+                   method: str = "min_struct") -> DataFrame:
     out = outcomes.select(key, *take)
     return keep_first(out, [key], list(take), method=method)
 
 
 def join_outcomes(requests: DataFrame, outcomes: DataFrame, key: str = "unique_key",
                   take: tuple[str, ...] = ("tips",), null_safe: bool = False,
-                  method: str = "window") -> DataFrame:
+                  method: str = "min_struct") -> DataFrame:
     """Inner join of the first request and the first outcome per key.
 
     Only the ``take`` fields come from the outcome; a request without an
@@ -55,7 +55,7 @@ def join_outcomes(requests: DataFrame, outcomes: DataFrame, key: str = "unique_k
 
 
 def pending_requests(requests: DataFrame, outcomes: DataFrame, key: str = "unique_key",
-                     method: str = "window") -> DataFrame:
+                     method: str = "min_struct") -> DataFrame:
     """First request per key for keys with no outcome yet (left anti join)."""
     req = first_requests(requests, key, method)
     keys = outcomes.select(key).where(F.col(key).isNotNull())

@@ -1,10 +1,13 @@
 """Landing zone: daily JSON-lines folders of trip requests and outcomes.
 
-Readers take the landing *root* and filter the ``event_date`` partition
-column, so Spark prunes folders at planning time (``PartitionFilters``)
-instead of being handed one glob per day; days without files are simply
-absent.  Values are read as text with a declared schema (never inferred)
-and typed with the coercion functions; a malformed line fails the job.
+Readers list the landing root's day folders once (one non-recursive
+listing), keep those inside the window and hand only them to Spark with
+``basePath`` set, so ``event_date`` stays a partition column and Spark
+never lists the files of days outside the window (a root read would list
+every file of every day before pruning).  Days without a folder are simply
+absent; no per-day glob can fail.  Values are read as text with a declared
+schema (never inferred) and typed with the coercion functions; a malformed
+line fails the job.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from triplake.functions.scalars import to_double
-from triplake.lake import landing_root, path_exists
+from triplake.lake import _fs, landing_root, path_exists
 from triplake.operators.join import join_outcomes, pending_requests
 from triplake.operators.route import conform_raw
 from triplake.schemas import (
@@ -35,13 +38,33 @@ def read_landing(spark: SparkSession, lake: str, folder: str, start, end,
     """Records of ``landing/<folder>`` whose ``event_date`` is in ``[start, end)``."""
     full = T.StructType(list(schema.fields) + [T.StructField(EVENT_DATE, T.DateType(), True)])
     root = landing_root(lake, folder)
-    if not path_exists(spark, root):
-        return spark.createDataFrame([], full)
-    df = spark.read.schema(full).option("mode", "FAILFAST").json(root)
     s, e = _as_date(start), _as_date(end)
+    days = day_folders(spark, root, s, e)
+    if not days:
+        return spark.createDataFrame([], full)
+    df = spark.read.schema(full).option("mode", "FAILFAST").option("basePath", root).json(days)
     return df.where((F.col(EVENT_DATE) >= F.lit(s)) & (F.col(EVENT_DATE) < F.lit(e)))
 
 
+def day_folders(spark: SparkSession, root: str, start: dt.date, end: dt.date) -> list[str]:
+    """``event_date=YYYY-MM-DD`` folders directly under ``root`` with start <= day < end."""
+    if not path_exists(spark, root):
+        return []
+    p, fs = _fs(spark, root)
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if not (st.isDirectory() and name.startswith(f"{EVENT_DATE}=")):
+            continue
+        try:
+            day = dt.date.fromisoformat(name.split("=", 1)[1])
+        except ValueError:
+            continue
+        if start <= day < end:
+            out.append(f"{root}/{name}")
+    return sorted(out)
+
+
 def read_requests(spark: SparkSession, lake: str, start, end) -> DataFrame:
     """Typed request records (RAW shape, ``tips`` null) for ``[start, end)``."""
     return conform_raw(read_landing(spark, lake, REQUESTS_FOLDER, start, end, REQUEST_SCHEMA))

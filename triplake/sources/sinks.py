@@ -28,11 +28,12 @@ def write_gold(gold: DataFrame, path: str) -> None:
 
 
 def _ts_text(c) -> F.Column:
-    """Warehouse export text for a timestamp: ``YYYY-MM-DD HH:MM:SS[.ffffff] UTC``."""
-    whole = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-    frac = F.date_format(c, "SSSSSS")
-    return F.when(c.isNotNull(), F.concat(
-        whole, F.when(frac != "000000", F.concat(F.lit("."), frac)).otherwise(F.lit("")), F.lit(" UTC")))
+    """Warehouse export text for a zone-less UTC timestamp: ``YYYY-MM-DD HH:MM:SS[.f] UTC``.
+
+    The NTZ -> string cast is zone-free (``date_format`` would go through
+    the session time zone and shift wall times inside DST gaps).
+    """
+    return F.concat(c.cast("string"), F.lit(" UTC"))
 
 
 def request_records(raw: DataFrame, ts: str = "trip_start_timestamp") -> DataFrame:
@@ -61,10 +62,13 @@ def outcome_records(raw: DataFrame, ts: str = "trip_start_timestamp") -> DataFra
         F.to_date(c(ts)).alias(EVENT_DATE))
 
 
-def write_landing(records: DataFrame, root: str, partitions: int | None = None) -> None:
-    """One folder per ``event_date``.  Rows are range-partitioned on (day, key)
-    first, so a busy day is split across tasks and each task writes few files."""
-    n = partitions or int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (records.repartitionByRange(n, F.col(EVENT_DATE), F.col("unique_key"))
+def write_landing(records: DataFrame, root: str) -> None:
+    """One folder per ``event_date``, written as few files per day.
+
+    ``rebalance`` hash-partitions rows by day (one file per day for normal
+    days) and lets AQE split an oversized day across several tasks, so a
+    day holding a large share of the rows never lands on one task.
+    """
+    (records.hint("rebalance", EVENT_DATE)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(EVENT_DATE).json(root))

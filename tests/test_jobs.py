@@ -86,3 +86,24 @@ def test_export_then_live_clean(spark, raw):
     assert silver.count() <= run["counts"]["valid_rows"]
     assert silver.select(F.count_distinct("unique_key")).first()[0] == silver.count()
     assert SILVER_ORDER[0] == "trip_start_ts"
+
+
+def test_command_line_jobs(spark, raw):
+    from triplake.plans import checks as check_job, clean as clean_job, export as export_job, gold as gold_job
+    base = lk.scratch_dir(spark, "test-cli")
+    raw_path = f"{base}/raw"
+    raw.write.parquet(raw_path)
+    out = clean_job.main(["--source", "historical", "--raw", raw_path, "--start_date", "1996-01-01",
+                          "--end_date", "2001-01-01", "--out_lake", base, "--run_ts", "20260101-000000"])
+    assert out["run_id"] == "1996-01-01_2001-01-01_20260101-000000"
+    m = gold_job.main(["--silver_path", out["silver"], "--gold_root", f"{base}/gold/t", "--version", "v1"])
+    assert sum(v["rows"] for v in m["splits"].values()) == read_silver_run(spark, out["silver"]).count()
+    check_job.main(["--dataset_root", f"{base}/silver/trips", "--target_run", out["run_id"]])
+    export_job.main(["--raw", raw_path, "--holdout_start", "1998-01-01", "--holdout_end", "1998-03-01",
+                     "--out_lake", base])
+    live = clean_job.main(["--source", "live", "--start_date", "1998-01-01", "--end_date", "1998-03-01",
+                           "--out_lake", base, "--run_ts", "20260101-000001"])
+    assert live["counts"]["input_rows"] > 0
+    with pytest.raises(SystemExit):
+        clean_job.main(["--raw", raw_path, "--start_date", "2001-01-01", "--end_date", "1996-01-01",
+                        "--out_lake", base])

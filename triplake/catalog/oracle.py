@@ -85,9 +85,11 @@ def clean_ctes(src: str, p: str) -> str:
   PARTITION BY unique_key ORDER BY {SILVER_ORDER}) AS rn FROM {p}clean) WHERE rn = 1),
 {p}cuts AS (SELECT CAST(percentile_disc(0.8) WITHIN GROUP (ORDER BY trip_start_ts) AS DATE) AS val_start,
   CAST(percentile_disc(0.9) WITHIN GROUP (ORDER BY trip_start_ts) AS DATE) AS test_start FROM {p}silver),
-{p}split AS (SELECT s.*, CASE WHEN trip_start_ts < CAST(c.val_start AS TIMESTAMP) THEN 'train'
-  WHEN trip_start_ts < CAST(c.test_start AS TIMESTAMP) THEN 'val' ELSE 'test' END AS split
-  FROM {p}silver s CROSS JOIN {p}cuts c),
+{p}split AS (SELECT s.*,
+  CASE WHEN trip_start_ts < (SELECT CAST(val_start AS TIMESTAMP) FROM {p}cuts) THEN 'train'
+       WHEN trip_start_ts < (SELECT CAST(test_start AS TIMESTAMP) FROM {p}cuts) THEN 'val'
+       ELSE 'test' END AS split
+  FROM {p}silver s),
 {p}gold AS (SELECT unique_key, trip_start_ts, split, {FEATURES}, {LABEL} FROM {p}split)"""
 
 

@@ -175,9 +175,7 @@ def q_list_runs(spark, sf):
     lake = lake_for(spark, sf)
     lake.silver_run(), lake.window_run()
     table = read_silver_table(spark, f"{lake.root}/silver/{HISTORICAL_DATASET}")
-    runs = list_runs(table)
-    counts = table.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    return runs.join(counts, "run_id", "left").select("run_id", "n_rows")
+    return list_runs(table, with_counts=True)
 
 
 def q_clean_job_counts(spark, sf):

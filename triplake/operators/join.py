@@ -58,5 +58,7 @@ def pending_requests(requests: DataFrame, outcomes: DataFrame, key: str = "uniqu
                      method: str = "min_struct") -> DataFrame:
     """First request per key for keys with no outcome yet (left anti join)."""
     req = first_requests(requests, key, method)
-    keys = outcomes.select(key).where(F.col(key).isNotNull())
+    # distinct keys first: partial aggregation map side, so a key repeated in a
+    # large share of the outcomes reaches the join as one row per map task
+    keys = outcomes.select(key).where(F.col(key).isNotNull()).distinct()
     return req.join(keys, on=key, how="left_anti")

@@ -18,8 +18,11 @@ def read_silver_table(spark: SparkSession, dataset_root: str) -> DataFrame:
     return spark.read.schema(schema).option("basePath", dataset_root).parquet(dataset_root)
 
 
-def list_runs(silver_table: DataFrame) -> DataFrame:
-    """Distinct run ids, ordered (partition values only: Spark answers from file metadata)."""
+def list_runs(silver_table: DataFrame, with_counts: bool = False) -> DataFrame:
+    """Distinct run ids, ordered; optionally with the row count of each run."""
+    if with_counts:
+        return (silver_table.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_rows"))
+                .orderBy("run_id"))
     return silver_table.select("run_id").distinct().orderBy("run_id")
 
 

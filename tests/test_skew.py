@@ -3,6 +3,7 @@ and must never multiply rows in a join."""
 
 from pyspark.sql import functions as F
 
+from triplake.functions.scalars import epoch_ntz
 from triplake.operators.dedupe import keep_first
 from triplake.operators.join import join_outcomes, pending_requests
 
@@ -33,7 +34,7 @@ def test_dedupe_pre_aggregates_before_the_shuffle(spark):
 
 def test_join_of_hot_keys_is_one_to_one(spark):
     req = _hot(spark).select(F.col("k").alias("unique_key"),
-                             F.col("y").cast("timestamp").cast("timestamp_ntz").alias("trip_start_timestamp"),
+                             F.timestamp_add("SECOND", F.col("y"), epoch_ntz()).alias("trip_start_timestamp"),
                              F.col("x").cast("double").alias("fare"))
     out = _hot(spark).select(F.col("k").alias("unique_key"), F.col("x").cast("double").alias("tips"))
     joined = join_outcomes(req, out)

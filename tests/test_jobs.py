@@ -107,3 +107,18 @@ def test_command_line_jobs(spark, raw):
     with pytest.raises(SystemExit):
         clean_job.main(["--raw", raw_path, "--start_date", "2001-01-01", "--end_date", "1996-01-01",
                         "--out_lake", base])
+
+
+def test_streaming_dedupe_and_join(spark, raw):
+    from triplake.streaming.dedupe import run_stream_dedupe
+    from triplake.streaming.join import run_stream_join
+    out_lake = lk.scratch_dir(spark, "test-stream")
+    run_export(spark, raw, out_lake, "1998-01-01", "1998-07-01", outcomes_until="1998-06-01")
+    batch = read_live(spark, out_lake, "1998-01-01", "1998-07-01")
+    deduped = run_stream_dedupe(spark, out_lake, lk.scratch_dir(spark, "test-stream-dd"))
+    assert deduped.count() == deduped.select("unique_key").distinct().count()
+    joined = run_stream_join(spark, out_lake, lk.scratch_dir(spark, "test-stream-join"))
+    keys = joined.select("unique_key")
+    assert keys.count() == keys.distinct().count() > 0
+    # every streamed match is a key the batch join also matches (batch may match more)
+    assert keys.exceptAll(batch.select("unique_key")).count() == 0

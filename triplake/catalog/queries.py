@@ -10,7 +10,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from triplake import lake as lk
 from triplake.catalog.oracle import (
@@ -19,23 +19,22 @@ from triplake.catalog.oracle import (
 from triplake.functions.features import build_features, label_column
 from triplake.functions.scalars import default_strip, to_bigint, to_double, to_naive_ts
 from triplake.operators import checks, profiles
-from triplake.operators.dedupe import keep_first
 from triplake.operators.gold import split_summary, to_gold
 from triplake.operators.route import (
     clean_projection, conform_raw, flag, in_scope, problem_counts, reject_records, route_counts, valid_rows,
 )
 from triplake.operators.rules import rule_flags
 from triplake.operators.split import assign_split, cut_dates, cut_days_frame
-from triplake.plans.clean import clean_frames, flag_with_counts, run_clean, silver_from_flagged
+from triplake.plans.clean import clean_frames, run_clean
 from triplake.plans.export import run_export, stage_holdout
 from triplake.plans.gold import MANIFEST_NAME, run_gold
 from triplake.schemas import (
-    DEFAULT_COMPANY, EVENT_DATE, HISTORICAL_DATASET, ID_COLUMNS, LIVE_DATASET, OUTCOMES_FOLDER,
-    OUTCOME_SCHEMA, RAW_COLUMNS, REQUESTS_FOLDER, REQUEST_SCHEMA, SILVER_COLUMNS, SILVER_ORDER,
+    DEFAULT_COMPANY, EVENT_DATE, HISTORICAL_DATASET, ID_COLUMNS, OUTCOMES_FOLDER,
+    OUTCOME_SCHEMA, RAW_COLUMNS, REQUESTS_FOLDER, REQUEST_SCHEMA, SILVER_COLUMNS,
 )
 from triplake.sources.fixture import trips_raw
 from triplake.sources.historical import read_historical
-from triplake.sources.landing import read_landing, read_live, read_outcomes, read_pending, read_requests
+from triplake.sources.landing import read_landing, read_live, read_pending
 from triplake.sources.silver import list_runs, read_gold, read_rejects, read_silver_run, read_silver_table
 from triplake.sources.sinks import request_records
 

@@ -14,7 +14,7 @@ from triplake.functions.scalars import (
 )
 from triplake.operators.rules import Rule, problems_column, trip_rules
 from triplake.schemas import (
-    DEFAULT_COMPANY, DEFAULT_TAXI_ID, RAW_COLUMNS, SCOPE_COLUMN, SCOPE_VALUE, SILVER_COLUMNS,
+    DEFAULT_COMPANY, DEFAULT_TAXI_ID, RAW_SCHEMA, SCOPE_COLUMN, SCOPE_VALUE, SILVER_COLUMNS,
 )
 
 
@@ -111,7 +111,6 @@ def conform_raw(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     Fields missing from the input are null; extra fields are dropped unless
     named in ``keep`` (appended unchanged).
     """
-    from triplake.schemas import RAW_SCHEMA
     s = df.schema
     out = []
     for f in RAW_SCHEMA.fields:
@@ -134,5 +133,4 @@ def conform_raw(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
 __all__ = [
     "scope_condition", "in_scope", "flag", "valid_rows", "rejected_rows", "route_column",
     "route_counts", "problem_counts", "reject_records", "clean_projection", "conform_raw",
-    "RAW_COLUMNS",
 ]

@@ -46,8 +46,10 @@ def main(argv: list[str] | None = None) -> dict:
     p.add_argument("--holdout_end", required=True)
     p.add_argument("--outcomes_until", default=None)
     p.add_argument("--out_lake", required=True)
+    p.add_argument("--shuffle_partitions", type=int, default=None,
+                   help="about shuffled bytes / 128 MB; AQE coalesces from there")
     a = p.parse_args(argv)
-    spark = get_session("triplake-export")
+    spark = get_session("triplake-export", shuffle_partitions=a.shuffle_partitions)
     raw = read_historical(spark, a.raw)
     out = run_export(spark, raw, a.out_lake, a.holdout_start, a.holdout_end, a.outcomes_until)
     print(out)

@@ -1,9 +1,11 @@
 """Session settings the jobs rely on.
 
-Only SQL settings that change plans are set here; cluster sizing
-(executors, memory, shuffle partitions for the data size) belongs to
-``spark-submit``.  Nothing here depends on the session time zone: all
-timestamps are zone-less.
+Only SQL settings that change plans are set here; cluster sizing belongs
+to ``spark-submit``.  Shuffle sizing rule: start from about one partition
+per 128 MB of shuffled data (``--shuffle_partitions`` on the jobs, e.g.
+~800k for 100 TB) and let AQE coalesce small ones and split skewed ones.
+Nothing here depends on the session time zone: all timestamps are
+zone-less.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
@@ -22,8 +26,11 @@ JOB_CONF = {
 
 
 def get_session(app_name: str = "triplake", master: str | None = None,
-                extra: dict[str, str] | None = None) -> SparkSession:
+                extra: dict[str, str] | None = None,
+                shuffle_partitions: int | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app_name)
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master:
         b = b.master(master)
     for k, v in {**JOB_CONF, **(extra or {})}.items():

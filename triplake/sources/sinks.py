@@ -17,8 +17,13 @@ def write_silver(silver: DataFrame, path: str) -> None:
 
 
 def write_rejects(rejects: DataFrame, path: str) -> None:
-    """JSON lines ``{unique_key, problems, raw}``; null raw values are written as null."""
-    (rejects.select("unique_key", "problems", "raw")
+    """JSON lines ``{unique_key, problems, raw}``; null raw values are written as null.
+
+    Rejects are a thin slice of every scan task; ``rebalance`` shuffles just
+    those rows into right-sized partitions (AQE), so a rare-reject run does not
+    leave one tiny file per input split.
+    """
+    (rejects.select("unique_key", "problems", "raw").hint("rebalance")
         .write.mode("errorifexists").option("ignoreNullFields", "false").json(path))
 
 

@@ -24,7 +24,9 @@ def scope_condition(column: str = SCOPE_COLUMN, value: str = SCOPE_VALUE) -> Col
 
 
 def in_scope(df: DataFrame, column: str = SCOPE_COLUMN, value: str = SCOPE_VALUE) -> DataFrame:
-    return df.where(scope_condition(column, value))
+    """Rows with ``column == value``.  As a filter, a null comparison drops the
+    row just like false, and the bare equality reaches the Parquet scan."""
+    return df.where(F.col(column) == F.lit(value))
 
 
 def flag(df: DataFrame, rules: list[Rule] | None = None, scope: bool = True) -> DataFrame:

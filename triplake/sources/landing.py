@@ -47,14 +47,18 @@ def read_landing(spark: SparkSession, lake: str, folder: str, start, end,
 
 
 def day_folders(spark: SparkSession, root: str, start: dt.date, end: dt.date) -> list[str]:
-    """``event_date=YYYY-MM-DD`` folders directly under ``root`` with start <= day < end."""
+    """``event_date=YYYY-MM-DD`` folders directly under ``root`` with start <= day < end.
+
+    One non-recursive listing of the root (names only; the folder files are
+    listed later by Spark, and only for the kept days).
+    """
     if not path_exists(spark, root):
         return []
     p, fs = _fs(spark, root)
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p))
     out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if not (st.isDirectory() and name.startswith(f"{EVENT_DATE}=")):
+    for name in (str(x.getName()) for x in paths):
+        if not name.startswith(f"{EVENT_DATE}="):
             continue
         try:
             day = dt.date.fromisoformat(name.split("=", 1)[1])

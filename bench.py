@@ -96,7 +96,7 @@ def main() -> None:
     timed("gold_features", lambda: noop(to_gold(assign_split(silver, v, t))))
     versions: list[dict] = []
     timed("gold_job", lambda: versions.append(run_gold(
-        spark, silver_dir, f"{lake_root}/gold/taxi_tips", f"v{len(versions)}")), warmup=False)
+        spark, silver_dir, f"{lake_root}/gold/tip_label", f"v{len(versions)}")), warmup=False)
 
     exports: list[str] = []
 

@@ -59,7 +59,7 @@ def test_clean_then_gold_jobs(spark, raw):
     with pytest.raises(Exception):
         run_clean(spark, raw, out_lake, HISTORICAL_DATASET, run_ts="20260101-000000")
 
-    gold_root = f"{out_lake}/gold/taxi_tips"
+    gold_root = f"{out_lake}/gold/tip_label"
     m = run_gold(spark, run["silver"], gold_root, "v1", git_commit="abc")
     assert m["split_rule"]["val_start"] == "2000-05-10" and m["split_rule"]["test_start"] == "2001-02-08"
     assert {k: v["rows"] for k, v in m["splits"].items()} == {"train": 2015, "val": 253, "test": 253}

@@ -75,7 +75,7 @@ class _Lake:
     def gold(self) -> dict:
         def build():
             run = self.silver_run()
-            gold_root = f"{self.root}/gold/taxi_tips"
+            gold_root = f"{self.root}/gold/tip_label"
             m = run_gold(self.spark, run["silver"], gold_root, GOLD_VERSION)
             return {"dir": lk.gold_dir(gold_root, GOLD_VERSION), "manifest": m}
         return self._once("gold", build)

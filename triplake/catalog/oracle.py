@@ -108,7 +108,7 @@ windowed AS (SELECT * FROM raw WHERE trip_start_timestamp >= {_ts(SCAN_START)}
 """
 
 
-def _ts_text(c: str) -> str:
+def warehouse_ts_text(c: str) -> str:
     return f"CAST({c} AS VARCHAR) || ' UTC'"
 
 
@@ -154,7 +154,7 @@ QUERIES_SQL: dict[str, str] = {
     "rejects_roundtrip": f"SELECT unique_key, {PROBLEM_LIST} AS problems, "
                          "13 AS n_raw_fields FROM flagged WHERE p1 OR p2 OR p3 OR p4 OR p5 OR p6",
     "holdout_window": f"SELECT {RAW_COLS} FROM holdout",
-    "holdout_requests": f"""SELECT unique_key, taxi_id, {_ts_text('trip_start_timestamp')} AS trip_start_timestamp,
+    "holdout_requests": f"""SELECT unique_key, taxi_id, {warehouse_ts_text('trip_start_timestamp')} AS trip_start_timestamp,
         CAST(trip_seconds AS VARCHAR) AS trip_seconds, trip_miles,
         CAST(pickup_community_area AS VARCHAR) AS pickup_community_area,
         CAST(dropoff_community_area AS VARCHAR) AS dropoff_community_area, fare, tolls, extras,

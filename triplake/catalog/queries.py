@@ -337,14 +337,14 @@ def q_check_date_range(spark, sf):
 
 def q_coerce_strings(spark, sf):
     """Raw values rendered as text (timestamps in warehouse export form) and parsed back."""
-    from triplake.sources.sinks import _ts_text
+    from triplake.sources.sinks import warehouse_ts_text
     raw = _raw(spark, sf)
     text = raw.select(
         "unique_key",
         F.col("trip_seconds").cast("string").alias("s_seconds"),
         F.col("trip_miles").cast("string").alias("s_miles"),
         F.col("pickup_community_area").cast("string").alias("s_pickup"),
-        _ts_text(F.col("trip_start_timestamp")).alias("s_start"),
+        warehouse_ts_text(F.col("trip_start_timestamp")).alias("s_start"),
         F.col("company"))
     s = T.StringType()
     return text.select(

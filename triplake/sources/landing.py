@@ -17,7 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from triplake.functions.scalars import to_double
-from triplake.lake import _fs, landing_root, path_exists
+from triplake.lake import hadoop_fs, landing_root, path_exists
 from triplake.operators.join import join_outcomes, pending_requests
 from triplake.operators.route import conform_raw
 from triplake.schemas import (
@@ -54,7 +54,7 @@ def day_folders(spark: SparkSession, root: str, start: dt.date, end: dt.date) ->
     """
     if not path_exists(spark, root):
         return []
-    p, fs = _fs(spark, root)
+    p, fs = hadoop_fs(spark, root)
     paths = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p))
     out = []
     for name in (str(x.getName()) for x in paths):

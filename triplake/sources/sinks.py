@@ -32,7 +32,7 @@ def write_gold(gold: DataFrame, path: str) -> None:
     gold.select(*GOLD_COLUMNS).write.mode("errorifexists").partitionBy("split").parquet(path)
 
 
-def _ts_text(c) -> F.Column:
+def warehouse_ts_text(c) -> F.Column:
     """Warehouse export text for a zone-less UTC timestamp: ``YYYY-MM-DD HH:MM:SS[.f] UTC``.
 
     The NTZ -> string cast is zone-free (``date_format`` would go through
@@ -49,7 +49,7 @@ def request_records(raw: DataFrame, ts: str = "trip_start_timestamp") -> DataFra
         if f.name in ("tips", "trip_total"):
             continue
         if isinstance(f.dataType, T.TimestampNTZType):
-            cols.append(_ts_text(F.col(f.name)).alias(f.name))
+            cols.append(warehouse_ts_text(F.col(f.name)).alias(f.name))
         elif isinstance(f.dataType, (T.LongType, T.IntegerType)):
             cols.append(F.col(f.name).cast("string").alias(f.name))
         else:
@@ -63,7 +63,7 @@ def outcome_records(raw: DataFrame, ts: str = "trip_start_timestamp") -> DataFra
     total = c("fare") + c("tips") + F.coalesce(c("tolls"), F.lit(0.0)) + F.coalesce(c("extras"), F.lit(0.0))
     end = F.timestamp_add("SECOND", c("trip_seconds"), c(ts))
     return raw.select(
-        c("unique_key"), c("tips"), total.alias("trip_total"), _ts_text(end).alias("trip_end_timestamp"),
+        c("unique_key"), c("tips"), total.alias("trip_total"), warehouse_ts_text(end).alias("trip_end_timestamp"),
         F.to_date(c(ts)).alias(EVENT_DATE))
 
 

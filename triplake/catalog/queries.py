@@ -361,14 +361,16 @@ def q_stream_dedupe(spark, sf):
     from triplake.streaming.dedupe import run_stream_dedupe
     lake = lake_for(spark, sf)
     lake.landing()
-    return run_stream_dedupe(spark, lake.root, lk.scratch_dir(spark, "stream-dedupe")).select("unique_key")
+    return run_stream_dedupe(spark, lake.root, lk.scratch_dir(spark, "stream-dedupe"),
+                             partitions=spark.sparkContext.defaultParallelism).select("unique_key")
 
 
 def q_stream_live_join(spark, sf):
     from triplake.streaming.join import run_stream_join
     lake = lake_for(spark, sf)
     lake.landing()
-    return run_stream_join(spark, lake.root, lk.scratch_dir(spark, "stream-join"))
+    return run_stream_join(spark, lake.root, lk.scratch_dir(spark, "stream-join"),
+                           partitions=spark.sparkContext.defaultParallelism)
 
 
 QUERIES: dict[str, Query] = {

@@ -8,6 +8,8 @@ further apart in event time than the delay are not merged.
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from triplake.lake import landing_root
@@ -29,11 +31,32 @@ def request_stream(spark: SparkSession, lake: str) -> DataFrame:
         "event_time", F.col(EVENT_DATE).cast(T.TimestampType()))
 
 
-def run_stream_dedupe(spark: SparkSession, lake: str, out_dir: str, delay: str = "1 day") -> DataFrame:
+@contextlib.contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Number of state partitions for a stream started inside the block.
+
+    A streaming query fixes its shuffle (state) partitions when first
+    started; size them to the stream's volume, not the batch default.
+    """
+    if not n:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def run_stream_dedupe(spark: SparkSession, lake: str, out_dir: str, delay: str = "1 day",
+                      partitions: int | None = None) -> DataFrame:
     """Run over everything landed so far (``availableNow``) into Parquet; return it read back."""
     deduped = dedupe_stream(request_stream(spark, lake), delay=delay)
-    q = (deduped.drop("event_time").writeStream.format("parquet")
-         .option("path", f"{out_dir}/data").option("checkpointLocation", f"{out_dir}/_checkpoint")
-         .trigger(availableNow=True).start())
+    with state_partitions(spark, partitions):
+        q = (deduped.drop("event_time").writeStream.format("parquet")
+             .option("path", f"{out_dir}/data").option("checkpointLocation", f"{out_dir}/_checkpoint")
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(f"{out_dir}/data")

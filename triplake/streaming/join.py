@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from triplake.functions.scalars import to_double
 from triplake.lake import landing_root
 from triplake.schemas import EVENT_DATE, OUTCOME_GRACE_DAYS, OUTCOME_SCHEMA, OUTCOMES_FOLDER, RAW_COLUMNS
-from triplake.streaming.dedupe import request_stream
+from triplake.streaming.dedupe import request_stream, state_partitions
 
 
 def outcome_stream(spark: SparkSession, lake: str) -> DataFrame:
@@ -38,10 +38,11 @@ def join_outcome_stream(requests: DataFrame, outcomes: DataFrame,
 
 
 def run_stream_join(spark: SparkSession, lake: str, out_dir: str,
-                    grace_days: int = OUTCOME_GRACE_DAYS) -> DataFrame:
+                    grace_days: int = OUTCOME_GRACE_DAYS, partitions: int | None = None) -> DataFrame:
     joined = join_outcome_stream(request_stream(spark, lake), outcome_stream(spark, lake), grace_days)
-    q = (joined.writeStream.format("parquet").outputMode("append")
-         .option("path", f"{out_dir}/data").option("checkpointLocation", f"{out_dir}/_checkpoint")
-         .trigger(availableNow=True).start())
+    with state_partitions(spark, partitions):
+        q = (joined.writeStream.format("parquet").outputMode("append")
+             .option("path", f"{out_dir}/data").option("checkpointLocation", f"{out_dir}/_checkpoint")
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(f"{out_dir}/data")

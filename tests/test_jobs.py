@@ -104,9 +104,11 @@ def test_command_line_jobs(spark, raw):
     live = clean_job.main(["--source", "live", "--start_date", "1998-01-01", "--end_date", "1998-03-01",
                            "--out_lake", base, "--run_ts", "20260101-000001"])
     assert live["counts"]["input_rows"] > 0
-    with pytest.raises(SystemExit):
-        clean_job.main(["--raw", raw_path, "--start_date", "2001-01-01", "--end_date", "1996-01-01",
-                        "--out_lake", base])
+    for bad in (["--start_date", "2001-01-01", "--end_date", "1996-01-01"],
+                ["--start_date", "19960101", "--end_date", "2001-01-01"],
+                ["--start_date", "1996-01-01", "--end_date", "2001-01-01", "--run_ts", "2026-01-01"]):
+        with pytest.raises(SystemExit):
+            clean_job.main(["--raw", raw_path, "--out_lake", base, *bad])
 
 
 def test_streaming_dedupe_and_join(spark, raw):

@@ -124,3 +124,12 @@ def test_streaming_dedupe_and_join(spark, raw):
     assert keys.count() == keys.distinct().count() > 0
     # every streamed match is a key the batch join also matches (batch may match more)
     assert keys.exceptAll(batch.select("unique_key")).count() == 0
+
+
+def test_reject_lines_keep_null_fields(spark, raw):
+    out_lake = lk.scratch_dir(spark, "test-rejects")
+    run = run_clean(spark, raw, out_lake, HISTORICAL_DATASET, run_ts="20260101-000002")
+    lines = spark.read.text(run["rejected"])
+    sample = [json.loads(r.value) for r in lines.where(F.col("value").contains('"company":null')).limit(3).collect()]
+    assert sample and all(set(s) == {"unique_key", "problems", "raw"} for s in sample)
+    assert all(len(s["raw"]) == 13 and s["raw"]["company"] is None for s in sample)

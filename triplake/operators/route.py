@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from triplake.functions.scalars import (
     default_if_empty, default_strip, to_bigint, to_double, to_naive_ts,
 )
-from triplake.operators.rules import Rule, problems_column, trip_rules
+from triplake.operators.rules import Rule, any_problem, problems_column, trip_rules
 from triplake.schemas import (
     DEFAULT_COMPANY, DEFAULT_TAXI_ID, RAW_SCHEMA, SCOPE_COLUMN, SCOPE_VALUE, SILVER_COLUMNS,
 )
@@ -47,7 +47,7 @@ def rejected_rows(flagged: DataFrame) -> DataFrame:
 def route_column(rules: list[Rule], column: str = SCOPE_COLUMN, value: str = SCOPE_VALUE) -> Column:
     """'filtered' | 'rejected' | 'valid' for every input row."""
     return (F.when(~scope_condition(column, value), F.lit("filtered"))
-            .when(F.size(problems_column(rules)) > 0, F.lit("rejected"))
+            .when(any_problem(rules), F.lit("rejected"))
             .otherwise(F.lit("valid")))
 
 

@@ -57,6 +57,14 @@ def problems_column(rules: list[Rule]) -> Column:
     return F.array_compact(F.array(*[F.when(r.bad, F.lit(r.name)) for r in rules]))
 
 
+def any_problem(rules: list[Rule]) -> Column:
+    """True when at least one rule fails (no array is built)."""
+    out = F.lit(False)
+    for r in rules:
+        out = out | F.coalesce(r.bad, F.lit(False))
+    return out
+
+
 def with_problems(df: DataFrame, rules: list[Rule] | None = None, name: str = "problems") -> DataFrame:
     """Append the ``problems`` column (default rules: ``trip_rules``)."""
     rules = trip_rules(df.schema) if rules is None else rules

@@ -29,19 +29,31 @@ def in_scope(df: DataFrame, column: str = SCOPE_COLUMN, value: str = SCOPE_VALUE
     return df.where(F.col(column) == F.lit(value))
 
 
+OK_COLUMN = "_ok"
+
+
 def flag(df: DataFrame, rules: list[Rule] | None = None, scope: bool = True) -> DataFrame:
-    """In-scope rows with a ``problems`` array appended."""
+    """In-scope rows with a ``problems`` array and an ``_ok`` flag appended.
+
+    Filters use ``_ok`` (an OR of the rules), so a plan that keeps only
+    valid rows never builds the array: Catalyst prunes it.
+    """
     rules = trip_rules(df.schema) if rules is None else rules
     rows = in_scope(df) if scope else df
-    return rows.withColumn("problems", problems_column(rules))
+    return rows.select("*", problems_column(rules).alias("problems"),
+                       (~any_problem(rules)).alias(OK_COLUMN))
+
+
+def _is_ok(flagged: DataFrame) -> Column:
+    return F.col(OK_COLUMN) if OK_COLUMN in flagged.columns else F.size("problems") == 0
 
 
 def valid_rows(flagged: DataFrame) -> DataFrame:
-    return flagged.where(F.size("problems") == 0).drop("problems")
+    return flagged.where(_is_ok(flagged)).drop("problems", OK_COLUMN)
 
 
 def rejected_rows(flagged: DataFrame) -> DataFrame:
-    return flagged.where(F.size("problems") > 0)
+    return flagged.where(~_is_ok(flagged)).drop(OK_COLUMN)
 
 
 def route_column(rules: list[Rule], column: str = SCOPE_COLUMN, value: str = SCOPE_VALUE) -> Column:
@@ -72,7 +84,7 @@ def problem_counts(flagged: DataFrame) -> DataFrame:
 def reject_records(flagged: DataFrame, key: str = "unique_key",
                    raw_columns: list[str] | None = None) -> DataFrame:
     """``{unique_key, problems, raw}``; raw holds every input field as text, nulls kept."""
-    cols = raw_columns or [c for c in flagged.columns if c != "problems"]
+    cols = raw_columns or [c for c in flagged.columns if c not in ("problems", OK_COLUMN)]
     raw = F.create_map(*[x for c in cols for x in (F.lit(c), F.col(c).cast("string"))])
     return rejected_rows(flagged).select(
         F.col(key).cast("string").alias("unique_key"),

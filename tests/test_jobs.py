@@ -133,3 +133,17 @@ def test_reject_lines_keep_null_fields(spark, raw):
     sample = [json.loads(r.value) for r in lines.where(F.col("value").contains('"company":null')).limit(3).collect()]
     assert sample and all(set(s) == {"unique_key", "problems", "raw"} for s in sample)
     assert all(len(s["raw"]) == 13 and s["raw"]["company"] is None for s in sample)
+
+
+def test_streaming_clean_two_sinks(spark, raw):
+    from triplake.streaming.clean import run_stream_clean
+    out_lake = lk.scratch_dir(spark, "test-stream-clean")
+    run_export(spark, raw, out_lake, "1998-01-01", "1998-07-01", outcomes_until="1998-06-01")
+    out = run_stream_clean(spark, out_lake, out_lake, "1998-01-01_1998-07-01_20260101-000000", partitions=4)
+    silver = read_silver_run(spark, out["silver"])
+    rejects = read_rejects(spark, out["rejected"])
+    batch_live = read_live(spark, out_lake, "1998-01-01", "1998-07-01")
+    assert silver.count() > 0 and rejects.count() > 0
+    assert silver.select("unique_key").distinct().count() == silver.count()
+    assert silver.select("unique_key").exceptAll(batch_live.select("unique_key")).count() == 0
+    assert rejects.where(F.size("problems") == 0).count() == 0

@@ -373,6 +373,16 @@ def q_stream_live_join(spark, sf):
                            partitions=spark.sparkContext.defaultParallelism)
 
 
+def q_stream_clean(spark, sf):
+    from triplake.streaming.clean import run_stream_clean
+    lake = lake_for(spark, sf)
+    lake.landing()
+    out = run_stream_clean(spark, lake.root, lk.scratch_dir(spark, "stream-clean"),
+                           f"{HOLDOUT_START}_{HOLDOUT_END}_{RUN_TS}",
+                           partitions=spark.sparkContext.defaultParallelism)
+    return read_silver_run(spark, out["silver"])
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

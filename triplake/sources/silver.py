@@ -8,8 +8,11 @@ from triplake.schemas import GOLD_SCHEMA, REJECT_SCHEMA, SILVER_SCHEMA
 
 
 def read_silver_run(spark: SparkSession, run_dir: str) -> DataFrame:
-    """One run folder with the declared silver schema (timestamps stay zone-less)."""
-    return spark.read.schema(SILVER_SCHEMA).parquet(run_dir)
+    """One run folder with the declared silver schema (timestamps stay zone-less).
+
+    A streamed run holds ``batch=n`` sub-folders; only the silver columns are kept.
+    """
+    return spark.read.schema(SILVER_SCHEMA).parquet(run_dir).select(*SILVER_SCHEMA.fieldNames())
 
 
 def read_silver_table(spark: SparkSession, dataset_root: str) -> DataFrame:
@@ -27,7 +30,8 @@ def list_runs(silver_table: DataFrame, with_counts: bool = False) -> DataFrame:
 
 
 def read_rejects(spark: SparkSession, run_dir: str) -> DataFrame:
-    return spark.read.schema(REJECT_SCHEMA).option("mode", "FAILFAST").json(run_dir)
+    return (spark.read.schema(REJECT_SCHEMA).option("mode", "FAILFAST").json(run_dir)
+            .select(*REJECT_SCHEMA.fieldNames()))
 
 
 def read_gold(spark: SparkSession, version_dir: str) -> DataFrame:

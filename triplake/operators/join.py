@@ -2,7 +2,7 @@
 
 Both sides are reduced to one row per key first (deterministic), then
 inner-joined on the key, so the join is 1:1 and no key can multiply rows.
-With plain key equality the two first-per-key windows and the sort-merge
+With plain key equality the two first-per-key aggregates and the sort-merge
 join share one hash partitioning on the key: one exchange per input.
 """
 

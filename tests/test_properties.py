@@ -19,18 +19,19 @@ number_text = st.one_of(
     st.tuples(st.sampled_from(["", " ", "\t"]), st.integers(-999, 999), st.sampled_from(["", ".", ".5", "e2", "E-1"]),
               st.sampled_from(["", " ", "\n"])).map(lambda t: f"{t[0]}{t[1]}{t[2]}{t[3]}"),
     st.text(alphabet="0123456789.eE+- _xabnif", max_size=8),
+    st.sampled_from(["inf", "-Infinity", " +INF ", "nan", "1e400", "-1e-400", "infinit"]),
 )
 
 
 def python_double(s):
-    """What Python's float() gives, with NaN/inf and underscores treated as invalid."""
+    """What Python's float() gives, with NaN and digit-group underscores treated as invalid."""
     if s is None or "_" in s:
         return None
     try:
         v = float(s)
     except ValueError:
         return None
-    return None if (math.isnan(v) or math.isinf(v)) else v
+    return None if math.isnan(v) else v
 
 
 @settings(max_examples=3, deadline=None)
@@ -40,8 +41,6 @@ def test_to_double_matches_python_float(spark, texts):
     got = [r.d for r in df.select(to_double(F.col("v"), T.StringType()).alias("d")).collect()]
     want = [python_double(t) for t in texts]
     for t, g, w in zip(texts, got, want):
-        if w is not None and abs(w) > 1.7e308:
-            continue
         assert g == w, (t, g, w)
 
 

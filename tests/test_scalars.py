@@ -14,6 +14,7 @@ CASES_NUM = [
     ("12.0", 12.0, 12), ("12.7", 12.7, 12), ("-0.5", -0.5, 0), (" 5 ", 5.0, 5),
     ("1e3", 1000.0, 1000), ("nan", None, None), ("5d", None, None), ("1_000", None, None),
     ("-12.7", -12.7, -12), ("1e30", 1e30, None),
+    ("inf", float("inf"), None), ("-Infinity", float("-inf"), None), ("1e400", float("inf"), None),
 ]
 
 

@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-# A number as Python's float() reads it, minus the spellings Spark reads but
-# Python does not ("5d", "5f") and vice versa ("1_000"), and minus nan/inf.
-NUMBER_PATTERN = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+# A number as Python's float() reads it (including "inf"/"infinity"), minus
+# the spellings Spark reads but Python does not ("5d", "5f"), digit-group
+# underscores ("1_000") and "nan" (NaN is normalised to null anyway).
+NUMBER_PATTERN = r"^\s*[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
 # ISO date or date-time, optionally " UTC", "Z" or a numeric offset.
 TIMESTAMP_PATTERN = (

@@ -89,3 +89,32 @@ def test_cut_days_reject_a_window_that_leaves_train_empty(spark):
     empty = one_day.where("false")
     with pytest.raises(ValueError):
         cut_dates(empty)
+
+
+@st.composite
+def ts_text(draw):
+    value = draw(st.datetimes(min_value=dt.datetime(1900, 1, 1), max_value=dt.datetime(2100, 1, 1)))
+    sep = draw(st.sampled_from([" ", "T"]))
+    frac = draw(st.booleans())
+    text = value.strftime(f"%Y-%m-%d{sep}%H:%M:%S") + (f".{value.microsecond:06d}" if frac else "")
+    if not frac:
+        value = value.replace(microsecond=0)
+    zone = draw(st.sampled_from(["", " UTC", "Z", "offset"]))
+    if zone == "offset":
+        minutes = draw(st.integers(-14 * 60, 14 * 60))
+        sign = "-" if minutes < 0 else "+"
+        text += f"{sign}{abs(minutes) // 60:02d}:{abs(minutes) % 60:02d}"
+        value = value - dt.timedelta(minutes=minutes)
+    else:
+        text += zone
+    return text, value
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(ts_text(), min_size=50, max_size=200))
+def test_timestamp_text_round_trips_to_utc(spark, cases):
+    from triplake.functions.scalars import to_naive_ts
+    df = spark.createDataFrame([(t,) for t, _ in cases], "v string")
+    got = [r.t for r in df.select(to_naive_ts(F.col("v"), T.StringType()).alias("t")).collect()]
+    for (text, want), g in zip(cases, got):
+        assert g == want, (text, g, want)

@@ -10,6 +10,8 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -107,3 +109,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh folder under the shared checkpoint root (never machine-local on a cluster)."""
     return f"{checkpoint_root(spark)}/triplake-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def run_concurrently(*jobs: Callable[[], object]) -> list:
+    """Run independent Spark actions from separate driver threads.
+
+    Each action is its own Spark job; submitted together they share the
+    executors and overlap their driver-side phases (listing, commit).
+    The first failure is raised after all have finished.
+    """
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(j) for j in jobs]
+    return [f.result() for f in futures]

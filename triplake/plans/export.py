@@ -1,7 +1,8 @@
 """Seed job: stage a holdout window once, then export daily landing folders.
 
 Requests (everything but the tip) and outcomes are each one partitioned
-write over the staged copy, not one query per day.  ``outcomes_until``
+write over the staged copy, not one query per day; the two writes run as
+concurrent jobs.  ``outcomes_until``
 lands outcomes only for trips that started before it, which leaves the
 later requests pending (their outcome has "not arrived yet").
 """
@@ -31,8 +32,9 @@ def run_export(spark: SparkSession, raw: DataFrame, out_lake: str, start, end,
     holdout = stage_holdout(spark, raw, start, end, staging)
     req_root = lake.landing_root(out_lake, REQUESTS_FOLDER)
     out_root = lake.landing_root(out_lake, OUTCOMES_FOLDER)
-    write_landing(request_records(holdout), req_root)
-    write_landing(outcome_records(time_window(holdout, None, outcomes_until)), out_root)
+    lake.run_concurrently(
+        lambda: write_landing(request_records(holdout), req_root),
+        lambda: write_landing(outcome_records(time_window(holdout, None, outcomes_until)), out_root))
     return {"requests": req_root, "outcomes": out_root}
 
 

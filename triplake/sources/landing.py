@@ -17,7 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from triplake.functions.scalars import to_double
-from triplake.lake import hadoop_fs, landing_root, path_exists
+from triplake.lake import hadoop_fs, landing_root, path_exists, run_concurrently
 from triplake.operators.join import join_outcomes, pending_requests
 from triplake.operators.route import conform_raw
 from triplake.schemas import (
@@ -85,14 +85,18 @@ def read_outcomes(spark: SparkSession, lake: str, start, end,
 def read_live(spark: SparkSession, lake: str, start, end, grace_days: int = OUTCOME_GRACE_DAYS,
               null_safe: bool = False) -> DataFrame:
     """Requests joined with their outcomes, in the typed RAW shape."""
-    req = read_requests(spark, lake, start, end)
-    out = read_outcomes(spark, lake, start, end, grace_days)
+    req, out = _both(spark, lake, start, end, grace_days)
     return join_outcomes(req, out, null_safe=null_safe)
 
 
+def _both(spark: SparkSession, lake: str, start, end, grace_days: int):
+    """Request and outcome readers, built concurrently (their folder listings overlap)."""
+    return run_concurrently(lambda: read_requests(spark, lake, start, end),
+                            lambda: read_outcomes(spark, lake, start, end, grace_days))
+
+
 def read_pending(spark: SparkSession, lake: str, start, end,
                  grace_days: int = OUTCOME_GRACE_DAYS) -> DataFrame:
     """Requests in ``[start, end)`` whose outcome has not landed within the grace days."""
-    req = read_requests(spark, lake, start, end)
-    out = read_outcomes(spark, lake, start, end, grace_days)
+    req, out = _both(spark, lake, start, end, grace_days)
     return pending_requests(req, out)

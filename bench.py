@@ -125,15 +125,17 @@ def main() -> None:
     table = read_silver_table(spark, f"{lake_root}/silver/{HISTORICAL_DATASET}")
     run_id = runs[0]["run_id"]
 
-    def all_checks():
+    timed("checks", lambda: checks.all_checks(table, run_id, "1995-01-01", "2002-01-01").collect())
+
+    def separate_checks():
         checks.uniqueness(table, run_id).collect()
         checks.nulls(table, run_id).collect()
         checks.date_range(table, "1995-01-01", "2002-01-01", run_id).collect()
-    timed("checks", all_checks)
+    timed("checks_separate", separate_checks)
 
     # alternatives measured for comparison only (not in the headline total)
     alternatives = ("clean_silver_window", "clean_silver_drop_duplicates", "cut_dates_approx",
-                    "live_join_null_safe", "clean_job_stage")
+                    "live_join_null_safe", "clean_job_stage", "checks_separate")
     headline = [k for k in times if k not in alternatives]
     total = round(sum(times[k] for k in headline), 3)
     print(json.dumps({"metric": "headline_total_seconds", "value": total, "unit": "sec",

@@ -207,6 +207,11 @@ QUERIES_SQL: dict[str, str] = {
         count_if(trip_start_ts IS NULL) AS rows_without_start,
         count_if(trip_start_ts < {_ts(SCAN_START)}) + count_if(trip_start_ts >= {_ts(SCAN_END)})
           + count_if(trip_start_ts IS NULL) = 0 AS in_range FROM win_silver""",
+    "check_all": f"""SELECT count(*) AS n_rows, count(DISTINCT unique_key) AS n_keys,
+        count_if(trip_start_ts IS NULL) AS null_start, count_if(fare IS NULL) AS null_fare,
+        count_if(tips IS NULL) AS null_tips, min(trip_start_ts) AS first_trip, max(trip_start_ts) AS last_trip,
+        count_if(trip_start_ts < {_ts(SCAN_START)} OR trip_start_ts >= {_ts(SCAN_END)}) AS rows_outside_window
+        FROM win_silver""",
     "coerce_strings": """SELECT unique_key, CAST(trip_seconds AS DOUBLE) AS seconds_double,
         trip_seconds AS seconds_bigint, trip_miles AS miles_double,
         CAST(pickup_community_area AS BIGINT) AS pickup_bigint,

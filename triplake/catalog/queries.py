@@ -335,6 +335,13 @@ def q_check_date_range(spark, sf):
     return checks.date_range(table, SCAN_START, SCAN_END, run["run_id"])
 
 
+def q_check_all(spark, sf):
+    lake = lake_for(spark, sf)
+    run = lake.window_run()
+    table = read_silver_table(spark, f"{lake.root}/silver/{HISTORICAL_DATASET}")
+    return checks.all_checks(table, run["run_id"], SCAN_START, SCAN_END)
+
+
 def q_coerce_strings(spark, sf):
     """Raw values rendered as text (timestamps in warehouse export form) and parsed back."""
     from triplake.sources.sinks import warehouse_ts_text

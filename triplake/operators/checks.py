@@ -39,3 +39,28 @@ def date_range(silver: DataFrame, start, end, run_id: str | None = None,
     )
     ok = (F.col("rows_before_start") + F.col("rows_after_end") + F.col("rows_without_start")) == 0
     return out.withColumn("in_range", ok)
+
+
+def all_checks(silver: DataFrame, run_id: str | None = None, start=None, end=None,
+               key: str = "unique_key", ts: str = "trip_start_ts") -> DataFrame:
+    """Every check of one run in a single pass (one row).
+
+    One aggregate: the distinct-key count becomes a partial aggregate
+    hashed on the key, the rest are plain partial counts.
+    """
+    rows = for_run(silver, run_id)
+    t = F.col(ts)
+    aggs = [
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct(key).alias("n_keys"),
+        F.count_if(t.isNull()).alias("null_start"),
+        F.count_if(F.col("fare").isNull()).alias("null_fare"),
+        F.count_if(F.col("tips").isNull()).alias("null_tips"),
+        F.min(t).alias("first_trip"),
+        F.max(t).alias("last_trip"),
+    ]
+    if start is not None and end is not None:
+        lo = F.lit(f"{start} 00:00:00").cast(T.TimestampNTZType())
+        hi = F.lit(f"{end} 00:00:00").cast(T.TimestampNTZType())
+        aggs.append(F.count_if((t < lo) | (t >= hi)).alias("rows_outside_window"))
+    return rows.agg(*aggs)

@@ -17,6 +17,7 @@ def parse_run_window(run_id: str) -> tuple[str | None, str | None]:
 
 
 def run_checks(spark: SparkSession, dataset_root: str, run_id: str) -> dict[str, DataFrame]:
+    """The three checks as separate frames (each its own scan)."""
     table = read_silver_table(spark, dataset_root)
     start, end = parse_run_window(run_id)
     out = {"unique": checks.uniqueness(table, run_id), "nulls": checks.nulls(table, run_id)}
@@ -25,6 +26,12 @@ def run_checks(spark: SparkSession, dataset_root: str, run_id: str) -> dict[str,
     return out
 
 
+def run_all_checks(spark: SparkSession, dataset_root: str, run_id: str) -> DataFrame:
+    """All checks of the run in one scan (what the job prints)."""
+    start, end = parse_run_window(run_id)
+    return checks.all_checks(read_silver_table(spark, dataset_root), run_id, start, end)
+
+
 def main(argv: list[str] | None = None) -> None:
     from triplake.session import get_session
 
@@ -33,9 +40,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--target_run", required=True)
     a = p.parse_args(argv)
     spark = get_session("triplake-checks")
-    for name, df in run_checks(spark, a.dataset_root, a.target_run).items():
-        print(f">> {name}")
-        df.show(truncate=False)
+    row = run_all_checks(spark, a.dataset_root, a.target_run).first().asDict()
+    print(f">> checks of {a.target_run}: {row}")
+    ok = row["n_rows"] == row["n_keys"] and row["null_start"] == row["null_fare"] == row["null_tips"] == 0
+    ok = ok and row.get("rows_outside_window", 0) == 0
+    print(">> PASS" if ok else ">> FAIL")
 
 
 if __name__ == "__main__":

@@ -55,6 +55,11 @@ def test_clean_then_gold_jobs(spark, raw):
     assert read_silver_run(spark, run["silver"]).count() == 2521
     rej = read_rejects(spark, run["rejected"])
     assert rej.count() == 1085 and rej.where(F.size("problems") == 0).count() == 0
+    observed = run_clean(spark, raw, out_lake, HISTORICAL_DATASET, run_ts="20260101-000009", counts="observe")
+    assert observed["counts"] == counts
+    staged = run_clean(spark, raw, out_lake, HISTORICAL_DATASET, run_ts="20260101-000010", materialize="stage")
+    assert staged["counts"] == counts
+    assert read_silver_run(spark, staged["silver"]).exceptAll(read_silver_run(spark, run["silver"])).count() == 0
     # a second run with the same id refuses to overwrite
     with pytest.raises(Exception):
         run_clean(spark, raw, out_lake, HISTORICAL_DATASET, run_ts="20260101-000000")

@@ -171,6 +171,10 @@ QUERIES_SQL: dict[str, str] = {
         count(*) AS n_requests FROM holdout WHERE trip_start_timestamp >= {_ts(DAY_SCAN_START)}
         AND trip_start_timestamp < {_ts(DAY_SCAN_END)} GROUP BY 1""",
     "live_join": f"SELECT {RAW_COLS} FROM live",
+    # null-safe pairing: also pairs a null-key request with a null-key outcome
+    "live_raw": f"""SELECT req.unique_key, taxi_id, trip_start_timestamp, trip_seconds, trip_miles,
+        pickup_community_area, dropoff_community_area, fare, outc.tips AS tips, tolls, extras, payment_type, company
+        FROM req JOIN outc ON req.unique_key IS NOT DISTINCT FROM outc.unique_key""",
     "live_silver": f"SELECT {SILVER_COLS} FROM live_silver",
     "pending_requests": f"""SELECT {REQUEST_COLS} FROM req
         WHERE NOT EXISTS (SELECT 1 FROM outc WHERE outc.unique_key = req.unique_key)""",

@@ -234,6 +234,13 @@ def q_live_join(spark, sf):
     return read_live(spark, lake.root, HOLDOUT_START, HOLDOUT_END)
 
 
+def q_live_raw(spark, sf):
+    """The live reader with null-safe key pairing (group-by-key semantics)."""
+    lake = lake_for(spark, sf)
+    lake.landing()
+    return read_live(spark, lake.root, HOLDOUT_START, HOLDOUT_END, null_safe=True)
+
+
 def q_live_silver(spark, sf):
     lake = lake_for(spark, sf)
     lake.landing()

@@ -1,8 +1,9 @@
 """Scope filter, three-way routing, reject records and clean projection.
 
-Routing is expressed as predicates over one ``problems`` column, so the
-valid and rejected frames are two filters over the same logical plan; the
-clean plan decides whether that plan is re-scanned or materialised once.
+Routing is expressed as predicates over the ``_ok`` flag (an OR of the
+rules) next to the ``problems`` array, so the valid and rejected frames
+are two filters over the same logical plan; the clean plan decides whether
+that plan is re-scanned or materialised once.
 """
 
 from __future__ import annotations

@@ -104,6 +104,8 @@ def test_command_line_jobs(spark, raw):
     m = gold_job.main(["--silver_path", out["silver"], "--gold_root", f"{base}/gold/t", "--version", "v1"])
     assert sum(v["rows"] for v in m["splits"].values()) == read_silver_run(spark, out["silver"]).count()
     check_job.main(["--dataset_root", f"{base}/silver/trips", "--target_run", out["run_id"]])
+    from triplake.plans import profiling as profile_job
+    profile_job.main(["--raw", raw_path, "--start_date", "1996-01-01", "--end_date", "2001-01-01"])
     row = check_job.run_all_checks(spark, f"{base}/silver/trips", out["run_id"]).first()
     assert row.n_rows == row.n_keys and row.null_fare == 0 and row.rows_outside_window == 0
     export_job.main(["--raw", raw_path, "--holdout_start", "1998-01-01", "--holdout_end", "1998-03-01",

@@ -25,10 +25,12 @@ def batch_writer(silver_dir: str, rejects_dir: str):
     def write(batch: DataFrame, epoch: int) -> None:
         flagged = flag(batch).persist()
         try:
-            (silver_from_flagged(flagged).write.mode("overwrite")
-                .parquet(f"{silver_dir}/batch={epoch}"))
-            (reject_records(flagged).select("unique_key", "problems", "raw").write.mode("overwrite")
-                .option("ignoreNullFields", "false").json(f"{rejects_dir}/batch={epoch}"))
+            lk.run_concurrently(
+                lambda: (silver_from_flagged(flagged).write.mode("overwrite")
+                         .parquet(f"{silver_dir}/batch={epoch}")),
+                lambda: (reject_records(flagged).select("unique_key", "problems", "raw")
+                         .write.mode("overwrite").option("ignoreNullFields", "false")
+                         .json(f"{rejects_dir}/batch={epoch}")))
         finally:
             flagged.unpersist()
     return write

@@ -156,3 +156,13 @@ def test_streaming_clean_two_sinks(spark, raw):
     assert silver.select("unique_key").distinct().count() == silver.count()
     assert silver.select("unique_key").exceptAll(batch_live.select("unique_key")).count() == 0
     assert rejects.where(F.size("problems") == 0).count() == 0
+
+
+def test_joined_plus_pending_equals_distinct_requests(spark, raw):
+    from triplake.sources.landing import read_pending, read_requests
+    out_lake = lk.scratch_dir(spark, "test-live-split")
+    run_export(spark, raw, out_lake, "1997-01-01", "1999-01-01", outcomes_until="1998-09-01")
+    joined = read_live(spark, out_lake, "1997-01-01", "1999-01-01").count()
+    pending = read_pending(spark, out_lake, "1997-01-01", "1999-01-01").count()
+    keys = read_requests(spark, out_lake, "1997-01-01", "1999-01-01").select("unique_key").distinct().count()
+    assert pending > 0 and joined > 0 and joined + pending == keys

@@ -166,3 +166,14 @@ def test_joined_plus_pending_equals_distinct_requests(spark, raw):
     pending = read_pending(spark, out_lake, "1997-01-01", "1999-01-01").count()
     keys = read_requests(spark, out_lake, "1997-01-01", "1999-01-01").select("unique_key").distinct().count()
     assert pending > 0 and joined > 0 and joined + pending == keys
+
+
+def test_export_without_staging_lands_the_same(spark, raw):
+    from triplake.sources.landing import read_requests
+    a, b = lk.scratch_dir(spark, "test-exp-a"), lk.scratch_dir(spark, "test-exp-b")
+    run_export(spark, raw, a, "1998-01-01", "1998-03-01", outcomes_until="1998-02-15")
+    run_export(spark, raw, b, "1998-01-01", "1998-03-01", outcomes_until="1998-02-15", stage=False)
+    ra, rb = (read_requests(spark, x, "1998-01-01", "1998-03-01") for x in (a, b))
+    assert ra.count() > 0 and ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
+    la, lb = (read_live(spark, x, "1998-01-01", "1998-03-01") for x in (a, b))
+    assert la.exceptAll(lb).count() == 0 and lb.exceptAll(la).count() == 0

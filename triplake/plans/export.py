@@ -28,8 +28,14 @@ def stage_holdout(spark: SparkSession, raw: DataFrame, start, end, path: str | N
 
 
 def run_export(spark: SparkSession, raw: DataFrame, out_lake: str, start, end,
-               outcomes_until=None, staging: str | None = None) -> dict:
-    holdout = stage_holdout(spark, raw, start, end, staging)
+               outcomes_until=None, staging: str | None = None, stage: bool = True) -> dict:
+    """Export daily request and outcome folders for ``[start, end)``.
+
+    ``stage=True`` copies the window once (one scan of an expensive source);
+    ``stage=False`` lets both exports scan a columnar source directly, with
+    the window pushed down to the scan.
+    """
+    holdout = stage_holdout(spark, raw, start, end, staging) if stage else time_window(raw, start, end)
     req_root = lake.landing_root(out_lake, REQUESTS_FOLDER)
     out_root = lake.landing_root(out_lake, OUTCOMES_FOLDER)
     lake.run_concurrently(
@@ -48,12 +54,15 @@ def main(argv: list[str] | None = None) -> dict:
     p.add_argument("--holdout_end", required=True)
     p.add_argument("--outcomes_until", default=None)
     p.add_argument("--out_lake", required=True)
+    p.add_argument("--no_stage", action="store_true",
+                   help="scan a columnar source twice instead of staging a copy of the window")
     p.add_argument("--shuffle_partitions", type=int, default=None,
                    help="about shuffled bytes / 128 MB; AQE coalesces from there")
     a = p.parse_args(argv)
     spark = get_session("triplake-export", shuffle_partitions=a.shuffle_partitions)
     raw = read_historical(spark, a.raw)
-    out = run_export(spark, raw, a.out_lake, a.holdout_start, a.holdout_end, a.outcomes_until)
+    out = run_export(spark, raw, a.out_lake, a.holdout_start, a.holdout_end, a.outcomes_until,
+                     stage=not a.no_stage)
     print(out)
     return out
 

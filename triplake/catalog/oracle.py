@@ -216,11 +216,25 @@ QUERIES_SQL: dict[str, str] = {
         count_if(tips IS NULL) AS null_tips, min(trip_start_ts) AS first_trip, max(trip_start_ts) AS last_trip,
         count_if(trip_start_ts < {_ts(SCAN_START)} OR trip_start_ts >= {_ts(SCAN_END)}) AS rows_outside_window
         FROM win_silver""",
+    # FIXTURES.md section 4 expected values for the dirty strings (fixed values)
     "coerce_strings": """SELECT unique_key, CAST(trip_seconds AS DOUBLE) AS seconds_double,
         trip_seconds AS seconds_bigint, trip_miles AS miles_double,
         CAST(pickup_community_area AS BIGINT) AS pickup_bigint,
         trip_start_timestamp AS start_ts, trim(coalesce(nullif(company, ''), 'Unknown')) AS company
-        FROM raw""",
+        FROM raw
+        UNION ALL SELECT k, CAST(d AS DOUBLE), CAST(i AS BIGINT), CAST(d AS DOUBLE), CAST(i AS BIGINT),
+          CAST(t AS TIMESTAMP), c FROM (VALUES
+          ('dirty-01', NULL, NULL, '2022-04-01 08:30:00', 'Flash Cab'),
+          ('dirty-02', NULL, NULL, '2022-04-01 08:30:00', 'A'),
+          ('dirty-03', NULL, NULL, '2022-04-01 03:30:00', 'Unknown'),
+          ('dirty-04', 12.0, 12, NULL, ''),
+          ('dirty-05', 12.7, 12, NULL, 'Unknown'),
+          ('dirty-06', -0.5, 0, NULL, 'Flash Cab'),
+          ('dirty-07', 5.0, 5, NULL, 'Flash Cab'),
+          ('dirty-08', 1000.0, 1000, NULL, 'Flash Cab'),
+          ('dirty-09', NULL, NULL, '2022-04-01 08:30:00', 'Flash Cab'),
+          ('dirty-10', NULL, NULL, '2022-04-01 08:30:00', 'Flash Cab'),
+          ('dirty-11', NULL, NULL, '2022-04-01 08:30:00', 'Flash Cab')) AS v(k, d, i, t, c)""",
     "stream_dedupe": "SELECT DISTINCT unique_key FROM holdout",
 }
 

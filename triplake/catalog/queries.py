@@ -349,8 +349,26 @@ def q_check_all(spark, sf):
     return checks.all_checks(table, run["run_id"], SCAN_START, SCAN_END)
 
 
+# The dirty strings of FIXTURES.md section 4, as (key, number text,
+# timestamp text, company text); their expected parses live only in the oracle.
+DIRTY_STRINGS = [
+    ("dirty-01", "", "2022-04-01 08:30:00 UTC", " Flash Cab "),
+    ("dirty-02", None, "2022-04-01T08:30:00Z", "\tA\n"),
+    ("dirty-03", "abc", "2022-04-01 08:30:00+05:00", ""),
+    ("dirty-04", "12.0", "2022", "  "),
+    ("dirty-05", "12.7", "2022-1-1", None),
+    ("dirty-06", "-0.5", "2022-13-01", " Flash Cab "),
+    ("dirty-07", " 5 ", "", " Flash Cab "),
+    ("dirty-08", "1e3", None, " Flash Cab "),
+    ("dirty-09", "nan", "2022-04-01 08:30:00 UTC", " Flash Cab "),
+    ("dirty-10", "5d", "2022-04-01 08:30:00 UTC", " Flash Cab "),
+    ("dirty-11", "1_000", "2022-04-01 08:30:00 UTC", " Flash Cab "),
+]
+
+
 def q_coerce_strings(spark, sf):
-    """Raw values rendered as text (timestamps in warehouse export form) and parsed back."""
+    """Raw values rendered as text (timestamps in warehouse export form) and parsed back,
+    plus the dirty strings of FIXTURES.md section 4."""
     from triplake.sources.sinks import warehouse_ts_text
     raw = _raw(spark, sf)
     text = raw.select(
@@ -360,6 +378,10 @@ def q_coerce_strings(spark, sf):
         F.col("pickup_community_area").cast("string").alias("s_pickup"),
         warehouse_ts_text(F.col("trip_start_timestamp")).alias("s_start"),
         F.col("company"))
+    dirty = spark.createDataFrame(
+        [(k, n, n, n, t, c) for k, n, t, c in DIRTY_STRINGS],
+        "unique_key string, s_seconds string, s_miles string, s_pickup string, s_start string, company string")
+    text = text.unionByName(dirty)
     s = T.StringType()
     return text.select(
         "unique_key",

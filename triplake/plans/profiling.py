@@ -7,6 +7,7 @@ import sys
 
 from pyspark.sql import DataFrame
 
+from triplake.lake import run_concurrently
 from triplake.operators import profiles
 
 
@@ -19,6 +20,13 @@ def run_profile(raw: DataFrame, start=None, end=None) -> dict[str, DataFrame]:
     }
 
 
+def collect_profiles(raw: DataFrame, start=None, end=None) -> dict[str, list]:
+    """All profiles, run as concurrent jobs (each returns a handful of rows)."""
+    frames = run_profile(raw, start, end)
+    rows = run_concurrently(*[(lambda df=df: df.collect()) for df in frames.values()])
+    return dict(zip(frames, rows))
+
+
 def main(argv: list[str] | None = None) -> None:
     from triplake.session import get_session
     from triplake.sources.historical import read_historical
@@ -30,9 +38,10 @@ def main(argv: list[str] | None = None) -> None:
     a = p.parse_args(argv)
     spark = get_session("triplake-profile")
     raw = read_historical(spark, a.raw)
-    for name, df in run_profile(raw, a.start_date, a.end_date).items():
+    for name, rows in collect_profiles(raw, a.start_date, a.end_date).items():
         print(f">> {name}")
-        df.show(truncate=False)
+        for r in rows:
+            print("   ", r.asDict())
 
 
 if __name__ == "__main__":

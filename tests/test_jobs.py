@@ -177,3 +177,11 @@ def test_export_without_staging_lands_the_same(spark, raw):
     assert ra.count() > 0 and ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
     la, lb = (read_live(spark, x, "1998-01-01", "1998-03-01") for x in (a, b))
     assert la.exceptAll(lb).count() == 0 and lb.exceptAll(la).count() == 0
+
+
+def test_concurrent_profiles_equal_sequential(spark, raw):
+    from triplake.plans.profiling import collect_profiles, run_profile
+    together = collect_profiles(raw, "1996-01-01", "2001-01-01")
+    one_by_one = {k: df.collect() for k, df in run_profile(raw, "1996-01-01", "2001-01-01").items()}
+    assert together == one_by_one
+    assert together["dirtiness"][0].total > 0

@@ -37,3 +37,14 @@ def test_write_text_refuses_to_overwrite(spark):
     assert lk.read_text(spark, path) == '{"a": 1}'
     with pytest.raises(Exception):
         lk.write_text(spark, path, "again")
+
+
+def test_state_partitions_restores_the_session_setting(spark):
+    from triplake.streaming.dedupe import state_partitions
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with state_partitions(spark, 3):
+        assert spark.conf.get(key) == "3"
+    assert spark.conf.get(key) == before
+    with state_partitions(spark, None):
+        assert spark.conf.get(key) == before

@@ -94,15 +94,16 @@ def read_text(spark: SparkSession, path: str, limit: int = 1 << 20) -> str:
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a private folder
-    created and registered as the checkpoint directory.
+    Where the session names none, a local session gets a private folder; any
+    other session is refused, as its executors would each see their own disk.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="triplake-ckpt-")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="triplake-ckpt-"))
+        d = sc.getCheckpointDir()
     return d.rstrip("/")
 
 

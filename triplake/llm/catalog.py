@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from triplake.llm import bpe, mixing
+from triplake.llm import (bpe, cap_dedupe, dual_tree, langid, mixing, ppm, shingle_join, surrogates, url_filter, warc)
 
 QUERIES = {
+    "op1_cap_dedupe": cap_dedupe.op1_cap_dedupe,
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op3_ppm": ppm.op3_ppm,
+    "op4_dual_tree": dual_tree.op4_dual_tree,
+    "op5_surrogates": surrogates.op5_surrogates,
+    "op6_url_filter": url_filter.op6_url_filter,
+    "op7_warc": warc.op7_warc,
+    "op8_language_id": langid.op8_language_id,
     "op9_bpe": bpe.op9_bpe,
+    "op10_shingle_join": shingle_join.op10_shingle_join,
 }
 
 ORACLE_SQL = {
     "op2_mix_sources": mixing.ORACLE_SQL,
+    "op4_dual_tree": dual_tree.ORACLE_SQL,
+    "op6_url_filter": url_filter.ORACLE_SQL,
+    "op7_warc": warc.ORACLE_SQL,
 }

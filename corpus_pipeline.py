@@ -1,25 +1,50 @@
-"""Corpus pipeline: five stages over ``documents``, each written as Parquet and read by the next."""
+"""Corpus pipeline: five stages over ``documents``, each written as Parquet and read by the next.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all rows its
+predecessor kept; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from triplake.lake import scratch_dir
+from triplake.llm import langid
 from triplake.llm.bpe import encode_digest
 from triplake.llm.mixing import mixed_documents
+from triplake.llm.shingle_join import one_of_each_group
+from triplake.llm.surrogates import replace
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no language (null text, not a letter) go."""
+    model = langid.fit(langid.training_rows(docs))
+    return langid.identify(docs, model).where(f"lang_pred <> '{langid.UNKNOWN}'").select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by 80 % of their 5-word shingles the one of smallest id stays."""
+    return one_of_each_group(docs)
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return replace(docs).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's budget says, 0 to 3 times."""
     return mixed_documents(docs)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests, one row for each document of the mix."""
     return encode_digest(docs)
 
 
-STAGES = [("mix_sources", mix_sources), ("bpe_tokens", bpe_tokens)]
+STAGES = [("identify_language", identify_language), ("drop_near_copies", drop_near_copies),
+          ("replace_personal_data", replace_personal_data), ("mix_sources", mix_sources), ("bpe_tokens", bpe_tokens)]
 
-#: Tokenization is not expressible in SQL.
+#: Language models and tokenization are not expressible in SQL.
 ORACLE_SQL = None
 
 

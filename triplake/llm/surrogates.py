@@ -56,151 +56,181 @@ _SYLLABLES = {"latin": "bal ber dan del dor fal fen gar gel hal hem jor kal kel
 _ENDINGS = {"latin": ("o", "a", "is"), "cyrillic": ("ов", "ова", "ин"), "greek": ("ος", "α", "ις")}
 
 
+def let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once."""
+    return F.transform(F.array(value), then).getItem(0)
+
+
 def _digits(c: Column) -> Column:
     return F.regexp_replace(c, "[^0-9]", "")
 
 
-def _luhn(digits: Column, last_doubled: bool) -> Column:
-    """Luhn sum of a digit text, counting every second digit twice from the right."""
-    n = F.length(digits)
+def _chars(c: Column) -> Column:
+    return F.split(c, "")
 
-    def value(i: Column) -> Column:
-        d = digits.substr(i, F.lit(1)).cast("int")
-        twice = F.when(d > 4, d * 2 - 9).otherwise(d * 2)
-        return F.when((n - i) % 2 == (0 if last_doubled else 1), twice).otherwise(d)
 
-    return F.aggregate(F.transform(F.sequence(F.lit(1), n), value), F.lit(0), lambda a, x: a + x)
+def _rest(c: Column, first: int) -> Column:
+    return c.substr(F.lit(first), F.length(c))
+
+
+def _luhn(digits: Column, last_doubled: bool) -> Column:
+    """Luhn sum of a digit text, counting every second digit twice from the right."""
+    def of(cs: Column) -> Column:
+        def value(c: Column, i: Column) -> Column:
+            twice = (F.size(cs) - 1 - i) % 2 == (0 if last_doubled else 1)
+            return let(c.cast("int"), lambda d: F.when(twice & (d > 4), d * 2 - 9).when(twice, d * 2).otherwise(d))
+        return F.aggregate(F.transform(cs, value), F.lit(0), lambda a, x: a + x)
+    return let(_chars(digits), of)
 
 
 def kind_of(m: Column) -> Column:
     """What a match is; null for look-alikes (bad octets, bad Luhn digit, plain numbers)."""
     octets = F.forall(F.split(m, r"\."), lambda o: o.cast("int") <= 255)
-    d = _digits(m)
+    card = let(_digits(m), lambda d: F.length(d).between(13, 19) & (_luhn(d, False) % 10 == 0))
     return (F.when(m.contains("@"), "email")
             .when(m.rlike("^" + _TITLE + " "), "person")
             .when(m.rlike(r"^\d+(\.\d+){3}$"), F.when(octets, "ip"))
             .when(m.rlike(r"^[+(]") | m.rlike(r"^\d{3}[ .-]\d{3}[ .-]\d{4}$"), "phone")
             .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-            .when(m.rlike(r"^[0-9 -]+$"), F.when(F.length(d).between(13, 19) & (_luhn(d, False) % 10 == 0), "card"))
+            .when(m.rlike(r"^[0-9 -]+$"), F.when(card, "card"))
             .when(m.rlike(r"\p{L}"), "secret"))
 
 
-def _gender(title: Column) -> Column:
-    return F.when(title.isin(*MALE), 0).when(title.isin(*FEMALE), 1).otherwise(2)
-
-
-def _name_words(m: Column) -> tuple[Column, Column]:
-    title = F.regexp_extract(m, "^(" + _TITLE.removesuffix(r"\.?") + ")", 1)
-    return title, F.split(F.regexp_replace(m, "^" + _TITLE + " ", ""), " ")
+def _title(m: Column) -> Column:
+    return F.regexp_extract(m, "^(" + _TITLE.removesuffix(r"\.?") + r")\b", 1)
 
 
-def _unit(kind, norm: Column) -> Column:
-    return F.struct((F.lit(kind) if isinstance(kind, str) else kind).alias("kind"), norm.alias("norm"))
+def _name_words(m: Column) -> Column:
+    return F.split(F.regexp_replace(m, "^" + _TITLE + " ", ""), " ")
 
 
-def _script(word: Column) -> Column:
-    return F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+def _name_kind(title: Column, i: Column, n: Column) -> Column:
+    """Words before the last are given names, of the gender that the title says."""
+    return (F.when(i == n - 1, "family").when(title.isin(*MALE), "given0").when(title.isin(*FEMALE), "given1")
+            .otherwise("given2"))
 
 
-def _name_kind(title: Column, i: Column, n: Column) -> Column:
-    given = F.concat(F.lit("given"), _gender(title).cast("string"))
-    return F.when((n > 1) & (i < n - 1), given).otherwise(F.lit("family"))
+def _unit(kind, norm: Column) -> Column:
+    return F.struct((F.lit(kind) if isinstance(kind, str) else kind).alias("kind"), norm.alias("norm"))
 
 
 def units_of(m: Column) -> Column:
     """The units ``array<struct<kind, norm>>`` of a match; empty for look-alikes."""
-    kind = kind_of(m)
-    title, words = _name_words(m)
-    low = F.lower(m)
     none = F.array().cast("array<struct<kind:string,norm:string>>")
-    return (F.when(kind == "email", F.array(_unit("local", F.substring_index(low, "@", 1)),
-                                            _unit("host", F.substring_index(low, "@", -1))))
-            .when(kind == "person", F.transform(words, lambda w, i: _unit(_name_kind(title, i, F.size(words)), F.lower(w))))
-            .when(kind == "phone", F.array(_unit("phone", F.right(_digits(m), F.lit(10)))))
-            .when(kind.isin("card", "ssn"), F.array(_unit(kind, _digits(m))))
-            .when(kind.isin("ip", "secret"), F.array(_unit(kind, m)))
-            .otherwise(none))
-
-
-def surrogate_of(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
-    """The surrogate of a unit at an attempt, in the unit's normal form."""
-    hexes = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, norm, attempt.cast("string")), 512)
-
-    def value(i) -> Column:  # 0..255, for the i-th character
-        i = F.lit(i) if isinstance(i, int) else i
-        return F.conv(hexes.substr(i * 2 % 126 + 1, F.lit(2)), 16, 10).cast("int")
-
-    def pick(alphabet: str, v: Column) -> Column:
-        return F.lit(alphabet).substr(v % len(alphabet) + 1, F.lit(1))
-
-    def like(text: Column, sets=_ALPHABETS) -> Column:
-        def char(i: Column) -> Column:
-            c, out = text.substr(i, F.lit(1)), None
+    names = let(_name_words(m), lambda ws: F.transform(
+        ws, lambda w, i: _unit(_name_kind(_title(m), i, F.size(ws)), F.lower(w))))
+    return let(kind_of(m), lambda kind: (
+        F.when(kind == "email", F.array(_unit("local", F.lower(F.substring_index(m, "@", 1))),
+                                        _unit("host", F.lower(F.substring_index(m, "@", -1)))))
+        .when(kind == "person", names)
+        .when(kind == "phone", F.array(_unit("phone", F.right(_digits(m), F.lit(10)))))
+        .when(kind.isin("card", "ssn"), F.array(_unit(kind, _digits(m))))
+        .when(kind.isin("ip", "secret"), F.array(_unit(kind, m)))
+        .otherwise(none)))
+
+
+def _value(hexes: Column, i) -> Column:
+    """0..255: the byte for the i-th character."""
+    i = F.lit(i) if isinstance(i, int) else i
+    return F.conv(hexes.substr(i * 2 % 126 + 1, F.lit(2)), 16, 10).cast("int")
+
+
+def _like(text: Column, hexes: Column, sets=_ALPHABETS) -> Column:
+    """Every letter and digit replaced by one of its kind and script."""
+    def char(c: Column, i: Column) -> Column:
+        def of(v: Column) -> Column:
+            out = F
             for pattern, alphabet in sets:
-                out = (F if out is None else out).when(c.rlike(pattern), pick(alphabet, value(i)))
+                out = out.when(c.rlike(pattern), F.lit(alphabet).substr(v % len(alphabet) + 1, F.lit(1)))
             return out.otherwise(c)
-        return F.when(F.length(text) > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), char), "")).otherwise("")
-
-    hexadecimal = like(norm, ((r"[0-9a-f]", "0123456789abcdef"),))
-    secret = F.when(norm.rlike("^[0-9a-f]+$"), hexadecimal).otherwise(like(norm))
-    host = F.concat(like(F.regexp_extract(norm, r"^(.*)\.[^.]+$", 1)), F.lit("."), F.substring_index(norm, ".", -1))
-    octet = F.concat_ws(".", *[(value(i) % 254 + 1).cast("string") for i in range(4)])
-    phone = F.concat((value(0) % 8 + 2).cast("string"), like(norm.substr(F.lit(2), F.length(norm) - 1)))
-    body = F.concat(norm.substr(1, 1), like(norm.substr(F.lit(2), F.length(norm) - 2)))
-    card = F.concat(body, ((10 - _luhn(body, True) % 10) % 10).cast("string"))
-
-    def name(script: str) -> Column:
-        parts = F.array(*map(F.lit, _SYLLABLES[script].split()))
-        stem = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2) + attempt.cast("int")),
-                                        lambda i: F.element_at(parts, value(i) % 32 + 1)), "")
-        ends = _ENDINGS[script]
-        end = (F.when(kind == "given0", ends[0]).when(kind == "given1", ends[1]).when(kind == "given2", ends[2])
-               .otherwise(F.element_at(parts, value(60) % 32 + 1)))
-        return F.concat(stem, end)
-
-    names = F.when(_script(norm) == "cyrillic", name("cyrillic")).when(_script(norm) == "greek", name("greek")).otherwise(name("latin"))
-    return (F.when(kind == "host", host).when(kind == "local", like(norm)).when(kind == "ip", octet)
-            .when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", like(norm))
-            .when(kind == "secret", secret).otherwise(names))
+        return let(_value(hexes, i), of)
+    return F.when(text == "", text).otherwise(F.array_join(F.transform(_chars(text), char), ""))
+
+
+def _name(script: str, ending: Column, hexes: Column, attempt: Column) -> Column:
+    parts = F.array(*map(F.lit, _SYLLABLES[script].split()))
+    stem = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2) + attempt),
+                                    lambda i: F.element_at(parts, _value(hexes, i) % 32 + 1)), "")
+    return F.concat(stem, ending)
+
+
+def _family(norm: Column, hexes: Column, attempt: Column, gender: int | None) -> Column:
+    def of(script: str) -> Column:
+        if gender is None:
+            end = F.element_at(F.array(*map(F.lit, _SYLLABLES[script].split())), _value(hexes, 60) % 32 + 1)
+        else:
+            end = F.lit(_ENDINGS[script][gender])
+        return _name(script, end, hexes, attempt)
+    return (F.when(norm.rlike(r"\p{IsCyrillic}"), of("cyrillic")).when(norm.rlike(r"\p{IsGreek}"), of("greek"))
+            .otherwise(of("latin")))
+
+
+def _card(norm: Column, h: Column) -> Column:
+    body = F.concat(norm.substr(1, 1), _like(norm.substr(F.lit(2), F.length(norm) - 2), h))
+    return let(body, lambda b: F.concat(b, ((10 - _luhn(b, True) % 10) % 10).cast("string")))
+
+
+#: kind -> surrogate from (norm, hash, attempt)
+SURROGATE = {
+    "host": lambda n, h, a: F.concat(_like(F.regexp_extract(n, r"^(.*)\.[^.]+$", 1), h), F.lit("."), F.substring_index(n, ".", -1)),
+    "local": lambda n, h, a: _like(n, h),
+    "ip": lambda n, h, a: F.concat_ws(".", *[(_value(h, i) % 254 + 1).cast("string") for i in range(4)]),
+    "phone": lambda n, h, a: F.concat((_value(h, 0) % 8 + 2).cast("string"), _like(_rest(n, 2), F.reverse(h))),
+    "card": lambda n, h, a: _card(n, h),
+    "ssn": lambda n, h, a: _like(n, h),
+    "secret": lambda n, h, a: F.when(n.rlike("^[0-9a-f]+$"), _like(n, h, ((r"[0-9a-f]", "0123456789abcdef"),))).otherwise(_like(n, h)),
+    "given0": lambda n, h, a: _family(n, h, a, 0),
+    "given1": lambda n, h, a: _family(n, h, a, 1),
+    "given2": lambda n, h, a: _family(n, h, a, 2),
+    "family": lambda n, h, a: _family(n, h, a, None),
+}
+
+
+def surrogate_of(kind: str, norm: Column, attempt: Column, key: str) -> Column:
+    """The surrogate of a unit at an attempt, in the unit's normal form."""
+    return let(norm, lambda n: let(attempt, lambda a: let(
+        F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit(kind), n, a.cast("string")), 512),
+        lambda h: SURROGATE[kind](n, h, a))))
 
 
 def _in_format(m: Column, digits: Column) -> Column:
     """``m`` with its last digits replaced, separators and leading digits as they were."""
-    ahead = F.length(_digits(m)) - F.length(digits)
-
-    def char(i: Column) -> Column:
-        c = m.substr(i, F.lit(1))
-        at = F.length(_digits(m.substr(F.lit(1), i))) - ahead
-        return F.when(c.rlike("[0-9]") & (at > 0), digits.substr(at, F.lit(1))).otherwise(c)
-
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(m)), char), "")
+    def of(d: Column) -> Column:
+        ahead = F.length(_digits(m)) - F.length(d)
+        return F.array_join(F.transform(_chars(m), lambda c, i: let(
+            F.length(_digits(m.substr(F.lit(1), i + 1))) - ahead,
+            lambda at: F.when(c.rlike("[0-9]") & (at > 0), d.substr(at, F.lit(1))).otherwise(c))), "")
+    return let(digits, of)
 
 
-def _as_cased(original: Column, s: Column) -> Column:
-    return (F.when((original == F.upper(original)) & (original != F.lower(original)), F.upper(s))
-            .when(original.rlike(r"^\p{Lu}"), F.concat(F.upper(s.substr(1, 1)), s.substr(F.lit(2), F.length(s)))).otherwise(s))
+def _as_cased(original: Column, surrogate: Column) -> Column:
+    return let(surrogate, lambda s: (
+        F.when((original == F.upper(original)) & (original != F.lower(original)), F.upper(s))
+        .when(original.rlike(r"^\p{Lu}"), F.concat(F.upper(s.substr(1, 1)), _rest(s, 2))).otherwise(s)))
 
 
 def replacement(m: Column, tries: Column, key: str) -> Column:
     """What a match becomes; ``tries``: attempts by ``kind:norm`` of units not at their first (may be null)."""
-    def of(kind, norm: Column) -> Column:
-        kind = F.lit(kind) if isinstance(kind, str) else kind
-        attempt = F.coalesce(F.element_at(tries, F.concat_ws(":", kind, norm)), F.lit(0))
-        return surrogate_of(kind, norm, attempt, key)
-
-    kind = kind_of(m)
-    low = F.lower(m)
-    local, host = F.substring_index(m, "@", 1), F.substring_index(m, "@", -1)
-    email = F.concat(_as_cased(local, of("local", F.substring_index(low, "@", 1))), F.lit("@"),
-                     _as_cased(host, of("host", F.substring_index(low, "@", -1))))
-    title, words = _name_words(m)
-    person = F.concat(F.regexp_extract(m, "^(" + _TITLE + " )", 1), F.array_join(F.transform(
-        words, lambda w, i: _as_cased(w, of(_name_kind(title, i, F.size(words)), F.lower(w)))), " "))
-    return (F.when(kind == "email", email).when(kind == "person", person)
-            .when(kind == "phone", _in_format(m, of("phone", F.right(_digits(m), F.lit(10)))))
-            .when(kind == "card", _in_format(m, of("card", _digits(m))))
-            .when(kind == "ssn", _in_format(m, of("ssn", _digits(m))))
-            .when(kind == "ip", of("ip", m)).when(kind == "secret", of("secret", m)).otherwise(m))
+    def of(kind: str, norm: Column) -> Column:
+        return let(norm, lambda n: surrogate_of(
+            kind, n, F.coalesce(F.element_at(tries, F.concat_ws(":", F.lit(kind), n)), F.lit(0)), key))
+
+    def word(w: Column, kind: Column) -> Column:
+        out = F
+        for k in ("given0", "given1", "given2", "family"):
+            out = out.when(kind == k, of(k, F.lower(w)))
+        return _as_cased(w, out)
+
+    email = let(F.split(m, "@"), lambda p: F.concat(
+        _as_cased(p[0], of("local", F.lower(p[0]))), F.lit("@"), _as_cased(p[1], of("host", F.lower(p[1])))))
+    person = F.concat(F.regexp_extract(m, "^(" + _TITLE + " )", 1), let(_name_words(m), lambda ws: F.array_join(
+        F.transform(ws, lambda w, i: let(_name_kind(_title(m), i, F.size(ws)), lambda k: word(w, k))), " ")))
+    return let(kind_of(m), lambda kind: (
+        F.when(kind == "email", email).when(kind == "person", person)
+        .when(kind == "phone", _in_format(m, of("phone", F.right(_digits(m), F.lit(10)))))
+        .when(kind == "card", _in_format(m, of("card", _digits(m))))
+        .when(kind == "ssn", _in_format(m, of("ssn", _digits(m))))
+        .when(kind == "ip", of("ip", m)).when(kind == "secret", of("secret", m)).otherwise(m)))
 
 
 def matches_of(text: Column) -> Column:
@@ -215,8 +245,10 @@ def attempts(units: DataFrame, key: str = KEY) -> DataFrame:
     """
     now = units.select("kind", "norm", F.lit(0).alias("attempt"))
     while True:
-        now = stored(now.withColumn("surrogate", surrogate_of(F.col("kind"), F.col("norm"), F.col("attempt"), key)),
-                     "surrogates")
+        surrogate = F
+        for kind in SURROGATE:
+            surrogate = surrogate.when(F.col("kind") == kind, surrogate_of(kind, F.col("norm"), F.col("attempt"), key))
+        now = stored(now.withColumn("surrogate", surrogate), "surrogates")
         taken = units.select("kind", F.col("norm").alias("surrogate"), F.lit(True).alias("original"))
         first = now.groupBy("kind", "surrogate").agg(
             F.min(F.struct("attempt", "norm")).alias("w"), F.count(F.lit(1)).alias("n"))

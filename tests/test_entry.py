@@ -9,10 +9,9 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF0001
+from triplake.catalog import QUERIES, oracle_sql
 from triplake.sources.fixture import TABLES
 
-FAST_SKIP = {"stream_live_join"}
-
 
 def _norm(v):
     if isinstance(v, float):
@@ -37,15 +36,12 @@ def test_entry_runs(spark):
     assert sum(r.rows for r in rows) == 2521
 
 
-def test_every_query_has_an_oracle_or_a_reason():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {
-        "split_cut_dates_approx", "stream_live_join", "stream_clean"}
+def test_every_library_query_has_an_oracle():
+    assert set(QUERIES) == set(oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
-    if name in FAST_SKIP:
-        pytest.skip("slow")
     df = entry.queries()[name](spark, SF0001)
     s_cols = df.columns
     s_rows = Counter(tuple(_norm(x) for x in r) for r in df.collect())

@@ -12,8 +12,9 @@ from triplake.operators.route import route_counts
 from triplake.plans.clean import clean_frames, run_clean
 from triplake.plans.export import run_export
 from triplake.plans.gold import MANIFEST_NAME, run_gold
-from triplake.schemas import HISTORICAL_DATASET, LIVE_DATASET, SILVER_ORDER
-from triplake.sources.fixture import trips_raw
+from triplake.schemas import HISTORICAL_DATASET, LIVE_DATASET, OUTCOMES_FOLDER, REQUESTS_FOLDER, SILVER_ORDER
+from triplake.sources.fixture import keyless, trips_raw, trips_stored
+from triplake.sources.historical import time_window
 from triplake.sources.landing import read_live
 from triplake.sources.silver import read_gold, read_rejects, read_silver_run
 
@@ -34,8 +35,8 @@ def test_golden_counts(spark, raw):
 def test_silver_keys_unique_and_methods_agree(spark, raw):
     silver, _ = clean_frames(raw)
     assert silver.groupBy("unique_key").count().where("count > 1").count() == 0
-    valid = clean_frames(raw)[0]
-    alt = clean_frames(raw, dedupe_method="min_struct")[0]
+    valid = clean_frames(raw, dedupe_method="min_struct")[0]
+    alt = clean_frames(raw, dedupe_method="window")[0]
     assert valid.exceptAll(alt).count() == 0 and alt.exceptAll(valid).count() == 0
 
 
@@ -81,10 +82,9 @@ def test_clean_then_gold_jobs(spark, raw):
 
 def test_export_then_live_clean(spark, raw):
     out_lake = lk.scratch_dir(spark, "test-live")
-    run_export(spark, raw, out_lake, "1998-01-01", "1998-02-01", outcomes_until="1998-01-25")
+    run_export(spark, trips_stored(raw), out_lake, "1998-01-01", "1998-02-01")
     live = read_live(spark, out_lake, "1998-01-01", "1998-02-01")
     assert live.count() > 0
-    assert live.where(F.col("trip_start_timestamp") >= F.lit("1998-01-25").cast("timestamp_ntz")).count() == 0
     run = run_clean(spark, live, out_lake, LIVE_DATASET, "1998-01-01", "1998-02-01", materialize="stage")
     assert run["counts"]["input_rows"] == live.count()
     silver = read_silver_run(spark, run["silver"])
@@ -93,11 +93,24 @@ def test_export_then_live_clean(spark, raw):
     assert SILVER_ORDER[0] == "trip_start_ts"
 
 
+def test_staged_copies_go_when_outputs_are_committed(spark, raw):
+    from triplake.lake import checkpoint_root, hadoop_fs
+    def copies():
+        p, fs = hadoop_fs(spark, checkpoint_root(spark))
+        names = [str(x.getPath().getName()) for x in fs.listStatus(p)]
+        return [n for n in names if "clean-stage" in n or "holdout" in n]
+    before = copies()
+    out_lake = lk.scratch_dir(spark, "test-copies")
+    run_export(spark, trips_stored(raw), out_lake, "1998-01-01", "1998-01-05")
+    run_clean(spark, raw, out_lake, HISTORICAL_DATASET, run_ts="20260101-000011", materialize="stage")
+    assert copies() == before
+
+
 def test_command_line_jobs(spark, raw):
     from triplake.plans import checks as check_job, clean as clean_job, export as export_job, gold as gold_job
     base = lk.scratch_dir(spark, "test-cli")
     raw_path = f"{base}/raw"
-    raw.write.parquet(raw_path)
+    trips_stored(raw).write.parquet(raw_path)
     out = clean_job.main(["--source", "historical", "--raw", raw_path, "--start_date", "1996-01-01",
                           "--end_date", "2001-01-01", "--out_lake", base, "--run_ts", "20260101-000000"])
     assert out["run_id"] == "1996-01-01_2001-01-01_20260101-000000"
@@ -120,19 +133,28 @@ def test_command_line_jobs(spark, raw):
             clean_job.main(["--raw", raw_path, "--out_lake", base, *bad])
 
 
-def test_streaming_dedupe_and_join(spark, raw):
-    from triplake.streaming.dedupe import run_stream_dedupe
+@pytest.mark.parametrize("files_per_batch", [None, 20])
+def test_streams_equal_batch(spark, raw, files_per_batch):
+    from triplake.operators.join import first_requests
+    from triplake.sources.landing import read_requests
+    from triplake.streaming.clean import run_stream_clean
+    from triplake.streaming.dedupe import run_stream_firsts
     from triplake.streaming.join import run_stream_join
+    window = ("1998-01-01", "1998-03-01")
     out_lake = lk.scratch_dir(spark, "test-stream")
-    run_export(spark, raw, out_lake, "1998-01-01", "1998-07-01", outcomes_until="1998-06-01")
-    batch = read_live(spark, out_lake, "1998-01-01", "1998-07-01")
-    deduped = run_stream_dedupe(spark, out_lake, lk.scratch_dir(spark, "test-stream-dd"))
-    assert deduped.count() == deduped.select("unique_key").distinct().count()
-    joined = run_stream_join(spark, out_lake, lk.scratch_dir(spark, "test-stream-join"))
-    keys = joined.select("unique_key")
-    assert keys.count() == keys.distinct().count() > 0
-    # every streamed match is a key the batch join also matches (batch may match more)
-    assert keys.exceptAll(batch.select("unique_key")).count() == 0
+    run_export(spark, trips_stored(keyless(raw)), out_lake, "1998-01-01", "1998-03-01")
+    opts = {"partitions": 2, "files_per_batch": files_per_batch}
+    same = lambda a, b: a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
+    batch = read_live(spark, out_lake, *window)
+    firsts = run_stream_firsts(spark, out_lake, lk.scratch_dir(spark, "test-stream-dd"), "requests", *window, **opts)
+    assert same(firsts, first_requests(read_requests(spark, out_lake, *window)))
+    joined = run_stream_join(spark, out_lake, lk.scratch_dir(spark, "test-stream-join"), *window, **opts)
+    assert same(joined, batch)
+    if files_per_batch:
+        out = run_stream_clean(spark, out_lake, out_lake, *window, "20260101-000000", **opts)
+        assert same(read_silver_run(spark, out["silver"]), clean_frames(batch)[0])
+        rejects = read_rejects(spark, out["rejected"])
+        assert rejects.count() > 0 and rejects.where(F.size("problems") == 0).count() == 0
 
 
 def test_reject_lines_keep_null_fields(spark, raw):
@@ -144,39 +166,26 @@ def test_reject_lines_keep_null_fields(spark, raw):
     assert all(len(s["raw"]) == 13 and s["raw"]["company"] is None for s in sample)
 
 
-def test_streaming_clean_two_sinks(spark, raw):
-    from triplake.streaming.clean import run_stream_clean
-    out_lake = lk.scratch_dir(spark, "test-stream-clean")
-    run_export(spark, raw, out_lake, "1998-01-01", "1998-07-01", outcomes_until="1998-06-01")
-    out = run_stream_clean(spark, out_lake, out_lake, "1998-01-01_1998-07-01_20260101-000000", partitions=4)
-    silver = read_silver_run(spark, out["silver"])
-    rejects = read_rejects(spark, out["rejected"])
-    batch_live = read_live(spark, out_lake, "1998-01-01", "1998-07-01")
-    assert silver.count() > 0 and rejects.count() > 0
-    assert silver.select("unique_key").distinct().count() == silver.count()
-    assert silver.select("unique_key").exceptAll(batch_live.select("unique_key")).count() == 0
-    assert rejects.where(F.size("problems") == 0).count() == 0
-
-
 def test_joined_plus_pending_equals_distinct_requests(spark, raw):
     from triplake.sources.landing import read_pending, read_requests
+    from triplake.sources.sinks import outcome_records, request_records, write_landing
     out_lake = lk.scratch_dir(spark, "test-live-split")
-    run_export(spark, raw, out_lake, "1997-01-01", "1999-01-01", outcomes_until="1998-09-01")
-    joined = read_live(spark, out_lake, "1997-01-01", "1999-01-01").count()
-    pending = read_pending(spark, out_lake, "1997-01-01", "1999-01-01").count()
-    keys = read_requests(spark, out_lake, "1997-01-01", "1999-01-01").select("unique_key").distinct().count()
+    trips = time_window(trips_stored(raw), "1997-01-01", "1997-04-01")
+    write_landing(request_records(trips), lk.landing_root(out_lake, REQUESTS_FOLDER))
+    write_landing(outcome_records(trips.where("trip_seconds % 3 = 0")), lk.landing_root(out_lake, OUTCOMES_FOLDER))
+    joined = read_live(spark, out_lake, "1997-01-01", "1997-04-01").count()
+    pending = read_pending(spark, out_lake, "1997-01-01", "1997-04-01").count()
+    keys = read_requests(spark, out_lake, "1997-01-01", "1997-04-01").select("unique_key").distinct().count()
     assert pending > 0 and joined > 0 and joined + pending == keys
 
 
-def test_export_without_staging_lands_the_same(spark, raw):
+def test_a_second_export_replaces_its_days_only(spark, raw):
     from triplake.sources.landing import read_requests
-    a, b = lk.scratch_dir(spark, "test-exp-a"), lk.scratch_dir(spark, "test-exp-b")
-    run_export(spark, raw, a, "1998-01-01", "1998-03-01", outcomes_until="1998-02-15")
-    run_export(spark, raw, b, "1998-01-01", "1998-03-01", outcomes_until="1998-02-15", stage=False)
-    ra, rb = (read_requests(spark, x, "1998-01-01", "1998-03-01") for x in (a, b))
-    assert ra.count() > 0 and ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
-    la, lb = (read_live(spark, x, "1998-01-01", "1998-03-01") for x in (a, b))
-    assert la.exceptAll(lb).count() == 0 and lb.exceptAll(la).count() == 0
+    root = lk.scratch_dir(spark, "test-exp")
+    run_export(spark, trips_stored(raw), root, "1998-01-01", "1998-01-15")
+    whole = read_requests(spark, root, "1998-01-01", "1998-01-15").count()
+    run_export(spark, trips_stored(raw), root, "1998-01-05", "1998-01-08", stage=False)
+    assert read_requests(spark, root, "1998-01-01", "1998-01-15").count() == whole > 0
 
 
 def test_concurrent_profiles_equal_sequential(spark, raw):

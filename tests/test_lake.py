@@ -39,12 +39,30 @@ def test_write_text_refuses_to_overwrite(spark):
         lk.write_text(spark, path, "again")
 
 
-def test_state_partitions_restores_the_session_setting(spark):
-    from triplake.streaming.dedupe import state_partitions
+def test_a_stream_session_leaves_the_caller_as_it_is(spark):
+    from triplake.streaming.dedupe import own_session
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    with state_partitions(spark, 3):
-        assert spark.conf.get(key) == "3"
-    assert spark.conf.get(key) == before
-    with state_partitions(spark, None):
-        assert spark.conf.get(key) == before
+    assert own_session(spark, 3).conf.get(key) == "3" and spark.conf.get(key) == before
+
+
+def test_scratch_is_refused_where_executors_do_not_share_it():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        lk.scratch_dir(Session())
+
+
+def test_local_sessions_get_a_scratch_folder(spark):
+    assert lk.scratch_dir(spark, "x").startswith(lk.checkpoint_root(spark))

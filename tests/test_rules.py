@@ -1,105 +1,70 @@
-"""Validation rules and three-way routing (one fixture row with overrides)."""
+"""Rules and three-way routing, table-driven over text rides."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import text_frame
-from triplake.operators.route import (
-    clean_projection, flag, reject_records, rejected_rows, route_counts, valid_rows,
-)
-from triplake.operators.rules import with_problems
+from conftest import RAW_TEXT_COLUMNS, ride, text_frame
+from triplake.operators.route import clean_projection, flag, reject_records, rejected_rows, route_counts, valid_rows
 from triplake.schemas import SILVER_SCHEMA
 
+CASES = [
+    (ride("ok"), []),
+    (ride("short", seconds="59.9"), ["bad_duration"]),
+    (ride("edge-low", seconds="60", miles="0.1", fare="3.25", tips="0", pick="1"), []),
+    (ride("edge-high", seconds="14400", miles="100", fare="500", pick="77.9"), []),
+    (ride("long", seconds="14401"), ["bad_duration"]),
+    (ride("no-fare", fare=None), ["bad_fare"]),
+    (ride("cheap", fare="3.2"), ["bad_fare"]),
+    (ride("tip-back", tips="-0.01"), ["bad_tips"]),
+    (ride("far", miles="100.5", pick="78"), ["bad_distance", "bad_pickup_area"]),
+    (ride("nowhere", drop="99", pick="77"), []),
+    (ride("offset", start="2019-11-30T23:45:00+02:00"), []),
+    (ride("broken", start="not a time", seconds=None, miles="x", fare="nan", tips="", pick="0"),
+     ["missing_start_ts", "bad_duration", "bad_distance", "bad_fare", "bad_tips", "bad_pickup_area"]),
+]
 
-def problems(spark, row):
-    return with_problems(text_frame(spark, [row])).first()["problems"]
 
+@pytest.fixture(scope="module")
+def flagged(spark):
+    return flag(text_frame(spark, [r for r, _ in CASES]))
 
-def test_valid_trip_has_no_problems(spark, good_trip):
-    assert problems(spark, good_trip) == []
 
+def test_problems_by_case_in_rule_order(flagged):
+    assert {r.unique_key: r.problems for r in flagged.collect()} == {r["unique_key"]: p for r, p in CASES}
 
-def test_zero_second_trip_is_bad_duration(spark, good_trip):
-    assert problems(spark, {**good_trip, "trip_seconds": "0"}) == ["bad_duration"]
 
+def test_valid_and_rejected_split_the_scope(flagged):
+    keys = lambda df: {r.unique_key for r in df.collect()}
+    good = {r["unique_key"] for r, p in CASES if not p}
+    assert keys(valid_rows(flagged)) == good
+    assert keys(rejected_rows(flagged)) == {r["unique_key"] for r, _ in CASES} - good
 
-def test_missing_fare_is_bad_fare(spark, good_trip):
-    assert problems(spark, {**good_trip, "fare": None}) == ["bad_fare"]
 
+def test_other_payments_are_filtered_whatever_their_problems(spark):
+    rows = [ride("a"), ride("b", pay="Cash"), ride("c", pay=None, fare=None), ride("d", pay="credit card"), ride("e", tips="-3")]
+    c = route_counts(text_frame(spark, rows)).first()
+    assert (c.input_rows, c.filtered_rows, c.rejected_rows, c.valid_rows) == (5, 3, 1, 1)
 
-def test_negative_tip_is_bad_tips(spark, good_trip):
-    assert problems(spark, {**good_trip, "tips": "-1"}) == ["bad_tips"]
 
+def test_an_instant_is_a_start(spark):
+    df = text_frame(spark, [ride()]).withColumn("trip_start_timestamp", F.timestamp_seconds(F.lit(1575157500)))
+    assert flag(df).first().problems == []
+    assert clean_projection(valid_rows(flag(df))).first().trip_start_ts == dt.datetime(2019, 11, 30, 23, 45)
 
-def test_zero_tip_is_valid(spark, good_trip):
-    assert problems(spark, {**good_trip, "tips": "0"}) == []
 
+def test_reject_record_holds_every_field_as_text(flagged):
+    r = {x.unique_key: x for x in reject_records(flagged).collect()}["no-fare"]
+    assert list(r.raw) and set(r.raw) == set(RAW_TEXT_COLUMNS)
+    assert r.raw["fare"] is None and r.raw["tolls"] is None and r.raw["trip_miles"] == "7.75"
 
-def test_pickup_area_out_of_range(spark, good_trip):
-    assert problems(spark, {**good_trip, "pickup_community_area": "99"}) == ["bad_pickup_area"]
 
-
-def test_dropoff_area_is_not_checked(spark, good_trip):
-    assert problems(spark, {**good_trip, "dropoff_community_area": "99"}) == []
-
-
-def test_collects_all_problems_in_rule_order(spark, good_trip):
-    bad = {**good_trip, "trip_seconds": "0", "fare": None, "trip_start_timestamp": None}
-    assert problems(spark, bad) == ["missing_start_ts", "bad_duration", "bad_fare"]
-
-
-def test_bounds_are_inclusive_and_float_compared(spark, good_trip):
-    assert problems(spark, {**good_trip, "trip_seconds": "60", "trip_miles": "100", "fare": "3.25"}) == []
-    assert problems(spark, {**good_trip, "trip_seconds": "59.9"}) == ["bad_duration"]
-    # pickup is truncated to an integer before the range check
-    assert problems(spark, {**good_trip, "pickup_community_area": "77.9"}) == []
-
-
-def test_accepts_zone_aware_timestamp(spark, good_trip):
-    assert problems(spark, {**good_trip, "trip_start_timestamp": "2022-01-01 08:00:00 UTC"}) == []
-    assert problems(spark, {**good_trip, "trip_start_timestamp": "2022-01-01T08:00:00+00:00"}) == []
-
-
-def test_typed_zoned_timestamp_is_valid(spark, good_trip):
-    df = text_frame(spark, [good_trip]).withColumn(
-        "trip_start_timestamp", F.lit(dt.datetime(2022, 1, 1, 8, 0)).cast("timestamp"))
-    assert with_problems(df).first()["problems"] == []
-
-
-def test_cash_trip_passes_rules_but_is_filtered(spark, good_trip):
-    cash = {**good_trip, "payment_type": "Cash"}
-    assert problems(spark, cash) == []
-    assert flag(text_frame(spark, [cash])).count() == 0
-
-
-def test_routing_to_outputs(spark, good_trip):
-    rows = [good_trip,
-            {**good_trip, "unique_key": "trip_2", "payment_type": "Cash"},
-            {**good_trip, "unique_key": "trip_3", "trip_seconds": "0"},
-            {**good_trip, "unique_key": "trip_4", "fare": None},
-            {**good_trip, "unique_key": "trip_5", "payment_type": None}]
-    df = text_frame(spark, rows)
-    flagged = flag(df)
-    assert [r.unique_key for r in valid_rows(flagged).collect()] == ["trip_1"]
-    assert sorted(r.unique_key for r in rejected_rows(flagged).collect()) == ["trip_3", "trip_4"]
-    c = route_counts(df).first()
-    assert (c.input_rows, c.filtered_rows, c.rejected_rows, c.valid_rows) == (5, 2, 2, 1)
-
-
-def test_reject_record_keeps_raw_text_and_nulls(spark, good_trip):
-    rec = reject_records(flag(text_frame(spark, [{**good_trip, "fare": None}]))).first()
-    assert rec.unique_key == "trip_1" and rec.problems == ["bad_fare"]
-    assert rec.raw["fare"] is None and rec.raw["trip_seconds"] == "900"
-    assert set(rec.raw.keys()) == set(good_trip.keys())
-
-
-def test_clean_record_types_and_defaults(spark, good_trip):
-    row = {**good_trip, "taxi_id": "", "tolls": None, "extras": "abc", "company": "  Flash Cab\t"}
-    out = clean_projection(valid_rows(flag(text_frame(spark, [row]))))
+def test_silver_types_and_defaults(spark):
+    rows = [ride("x", taxi="", tolls="?", extras=None, company="\tGreen Cabs "), ride("y", taxi=None, company=None, tolls="1.5")]
+    out = clean_projection(valid_rows(flag(text_frame(spark, rows))))
     assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in SILVER_SCHEMA]
-    r = out.first()
-    assert r.trip_start_ts == dt.datetime(2022, 1, 1, 8, 0)
-    assert r.trip_seconds == 900 and r.fare == 14.5 and r.pickup_community_area == 8
-    assert r.taxi_id == "unknown" and r.tolls == 0.0 and r.extras == 0.0 and r.company == "Flash Cab"
-    assert "payment_type" not in out.columns
+    x, y = sorted(out.collect(), key=lambda r: r.unique_key)
+    assert (x.taxi_id, x.tolls, x.extras, x.company) == ("unknown", 0.0, 0.0, "Green Cabs")
+    assert (y.taxi_id, y.tolls, y.company) == ("unknown", 1.5, "Unknown")
+    assert (x.trip_seconds, x.pickup_community_area, x.fare) == (1860, 41, 22.25)

@@ -33,7 +33,9 @@ CASES_TS = [
     ("2022-04-01 08:30:00-0130", dt.datetime(2022, 4, 1, 10, 0)),
     ("2022-04-01 08:30:00.250000", dt.datetime(2022, 4, 1, 8, 30, 0, 250000)),
     ("2022-04-01", dt.datetime(2022, 4, 1)),
-    ("2022", None), ("2022-1-1", None), ("2022-13-01", None), ("20220101", None),
+    ("2022", None), ("2022-1-1", None), ("2022-13-01", None), ("2022-W13-5", None), ("2022-091", None),
+    ("20220101", dt.datetime(2022, 1, 1)), ("2022-04-01T08", dt.datetime(2022, 4, 1, 8)),
+    ("20220401T083000,1234567Z", dt.datetime(2022, 4, 1, 8, 30, 0, 123456)), ("20220431", None),
     ("", None), (None, None), ("garbage", None),
 ]
 

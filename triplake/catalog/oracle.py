@@ -7,12 +7,12 @@ ones cost nothing.
 
 from __future__ import annotations
 
-from triplake.sources.fixture import TRIPS_RAW_SQL
+from triplake.sources.fixture import TRIPS_RAW_SQL, TRIPS_STORED_SQL
 
 # Fixed parameters shared with the Spark side (triplake.catalog.queries).
 SCAN_START, SCAN_END = "1996-01-01", "2001-01-01"
 HOLDOUT_START, HOLDOUT_END = "1995-01-01", "2002-01-01"
-OUTCOMES_UNTIL = "2001-06-01"
+LIVE_END = "2001-01-01"  # of the live readers' window, within the data
 DAY_SCAN_START, DAY_SCAN_END = "1998-01-01", "1999-01-01"
 
 
@@ -94,12 +94,17 @@ def clean_ctes(src: str, p: str) -> str:
 
 
 BASE = f"""WITH raw AS ({TRIPS_RAW_SQL}){clean_ctes('raw', '')},
-holdout AS (SELECT * FROM raw WHERE trip_start_timestamp >= {_ts(HOLDOUT_START)}
+stored AS ({TRIPS_STORED_SQL}),
+holdout AS (SELECT * FROM stored WHERE trip_start_timestamp >= {_ts(HOLDOUT_START)}
   AND trip_start_timestamp < {_ts(HOLDOUT_END)}),
+trips AS (SELECT * REPLACE (CASE WHEN taxi_id IS NOT NULL THEN unique_key END AS unique_key) FROM holdout),
+landed AS (SELECT * FROM trips WHERE trip_start_timestamp < {_ts(LIVE_END)}),
 req AS (SELECT {REQUEST_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY unique_key
-  ORDER BY {REQUEST_ORDER}) AS rn FROM holdout) WHERE rn = 1),
+  ORDER BY {REQUEST_ORDER}) AS rn FROM landed) WHERE rn = 1),
 outc AS (SELECT unique_key, tips FROM (SELECT unique_key, tips, row_number() OVER (PARTITION BY unique_key
-  ORDER BY tips NULLS FIRST) AS rn FROM holdout WHERE trip_start_timestamp < {_ts(OUTCOMES_UNTIL)}) WHERE rn = 1),
+  ORDER BY tips NULLS FIRST) AS rn FROM trips WHERE coalesce(dropoff_community_area % 7 <> 3, true)
+  AND CAST(trip_start_timestamp AS DATE) + CAST(coalesce(pickup_community_area % 2 = 1, false) AS INT)
+    < DATE '{LIVE_END}' + 1) WHERE rn = 1),
 live AS (SELECT req.unique_key, taxi_id, trip_start_timestamp, trip_seconds, trip_miles,
   pickup_community_area, dropoff_community_area, fare, outc.tips AS tips, tolls, extras, payment_type, company
   FROM req JOIN outc ON req.unique_key = outc.unique_key){clean_ctes('live', 'live_')},
@@ -118,6 +123,8 @@ SUMMARY = """SELECT split, count(*) AS rows, round(avg(label), 4) AS label_rate,
 QUERIES_SQL: dict[str, str] = {
     "scan_historical": f"SELECT {RAW_COLS} FROM raw WHERE trip_start_timestamp >= {_ts(SCAN_START)} "
                        f"AND trip_start_timestamp < {_ts(SCAN_END)}",
+    "scan_historical_zoned": f"SELECT {RAW_COLS} FROM raw WHERE trip_start_timestamp >= {_ts(SCAN_START)} "
+                             f"AND trip_start_timestamp < {_ts(SCAN_END)}",
     "scope_filter": f"SELECT {RAW_COLS} FROM card",
     "validate_flags": """SELECT unique_key, p1 AS missing_start_ts, p2 AS bad_duration, p3 AS bad_distance,
         p4 AS bad_fare, p5 AS bad_tips, p6 AS bad_pickup_area FROM flagged""",
@@ -153,20 +160,18 @@ QUERIES_SQL: dict[str, str] = {
         (SELECT count(*) FROM clean) AS valid_rows FROM raw""",
     "rejects_roundtrip": f"SELECT unique_key, {PROBLEM_LIST} AS problems, "
                          "13 AS n_raw_fields FROM flagged WHERE p1 OR p2 OR p3 OR p4 OR p5 OR p6",
-    "holdout_window": f"SELECT {RAW_COLS} FROM holdout",
+    "holdout_window": "SELECT * FROM holdout",
     "holdout_requests": f"""SELECT unique_key, taxi_id, {warehouse_ts_text('trip_start_timestamp')} AS trip_start_timestamp,
         CAST(trip_seconds AS VARCHAR) AS trip_seconds, trip_miles,
         CAST(pickup_community_area AS VARCHAR) AS pickup_community_area,
         CAST(dropoff_community_area AS VARCHAR) AS dropoff_community_area, fare, tolls, extras,
-        payment_type, company, CAST(CAST(trip_start_timestamp AS DATE) AS VARCHAR) AS event_date FROM holdout""",
+        payment_type, company, {warehouse_ts_text('trip_end_timestamp')} AS trip_end_timestamp, pickup_census_tract,
+        CAST(CAST(trip_start_timestamp AS DATE) AS VARCHAR) AS event_date FROM holdout""",
     "export_requests": f"""SELECT unique_key, taxi_id, trip_start_timestamp, trip_seconds, trip_miles,
         pickup_community_area, dropoff_community_area, fare, CAST(NULL AS DOUBLE) AS tips, tolls, extras,
         payment_type, company, CAST(CAST(trip_start_timestamp AS DATE) AS VARCHAR) AS event_date FROM holdout""",
-    "export_outcomes": f"""SELECT unique_key, tips,
-        fare + tips + coalesce(tolls, 0e0) + coalesce(extras, 0e0) AS trip_total,
-        trip_start_timestamp + to_seconds(trip_seconds) AS trip_end_timestamp,
-        CAST(CAST(trip_start_timestamp AS DATE) AS VARCHAR) AS event_date
-        FROM holdout WHERE trip_start_timestamp < {_ts(OUTCOMES_UNTIL)}""",
+    "export_outcomes": """SELECT unique_key, tips, trip_total, trip_end_timestamp,
+        CAST(CAST(trip_start_timestamp AS DATE) AS VARCHAR) AS event_date FROM holdout""",
     "landing_day_scan": f"""SELECT CAST(CAST(trip_start_timestamp AS DATE) AS VARCHAR) AS event_date,
         count(*) AS n_requests FROM holdout WHERE trip_start_timestamp >= {_ts(DAY_SCAN_START)}
         AND trip_start_timestamp < {_ts(DAY_SCAN_END)} GROUP BY 1""",
@@ -176,8 +181,11 @@ QUERIES_SQL: dict[str, str] = {
         pickup_community_area, dropoff_community_area, fare, outc.tips AS tips, tolls, extras, payment_type, company
         FROM req JOIN outc ON req.unique_key IS NOT DISTINCT FROM outc.unique_key""",
     "live_silver": f"SELECT {SILVER_COLS} FROM live_silver",
-    "pending_requests": f"""SELECT {REQUEST_COLS} FROM req
-        WHERE NOT EXISTS (SELECT 1 FROM outc WHERE outc.unique_key = req.unique_key)""",
+    "pending_requests": f"""SELECT {REQUEST_COLS} FROM req WHERE unique_key IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM outc WHERE outc.unique_key = req.unique_key)
+        UNION ALL SELECT {REQUEST_COLS} FROM landed WHERE unique_key IS NULL""",
+    "source_historical": f"SELECT {SILVER_COLS} FROM win_silver",
+    "source_live": f"SELECT {SILVER_COLS} FROM live_silver",
     "split_cut_dates": """SELECT CAST(val_start AS VARCHAR) AS val_start,
         CAST(test_start AS VARCHAR) AS test_start FROM cuts""",
     "split_assign": "SELECT unique_key, trip_start_ts, split FROM split",
@@ -201,7 +209,7 @@ QUERIES_SQL: dict[str, str] = {
         count(*) - count(DISTINCT unique_key) AS duplicates FROM raw""",
     # "+ 0e0" turns DuckDB's -0.0 bucket into 0.0 (equal values, one spelling).
     "profile_tip_hist": """SELECT round(tips / fare, 1) + 0e0 AS tip_pct_bucket, count(*) AS trips FROM raw
-        WHERE payment_type = 'Credit Card' AND fare > 0 GROUP BY 1 ORDER BY 1 NULLS FIRST LIMIT 20""",
+        WHERE payment_type = 'Credit Card' AND fare > 0 GROUP BY 1""",
     "check_unique": "SELECT count(*) AS n_rows, count(DISTINCT unique_key) AS n_keys FROM silver",
     "check_nulls": """SELECT count_if(trip_start_ts IS NULL) AS null_start, count_if(fare IS NULL) AS null_fare,
         count_if(tips IS NULL) AS null_tips FROM silver""",
@@ -234,8 +242,31 @@ QUERIES_SQL: dict[str, str] = {
           ('dirty-08', 1000.0, 1000, NULL, 'Flash Cab'),
           ('dirty-09', NULL, NULL, '2022-04-01 08:30:00', 'Flash Cab'),
           ('dirty-10', NULL, NULL, '2022-04-01 08:30:00', 'Flash Cab'),
-          ('dirty-11', NULL, NULL, '2022-04-01 08:30:00', 'Flash Cab')) AS v(k, d, i, t, c)""",
-    "stream_dedupe": "SELECT DISTINCT unique_key FROM holdout",
+          ('dirty-11', NULL, NULL, '2022-04-01 08:30:00', 'Flash Cab'),
+          ('iso-01', 1.0, 1, '2022-04-01 00:00:00', 'x'), ('iso-02', 1.0, 1, '2022-04-01 08:00:00', 'x'),
+          ('iso-03', 1.0, 1, '2022-04-01 08:30:00', 'x'), ('iso-04', 1.0, 1, '2022-04-01 08:30:00.123456', 'x'),
+          ('iso-05', 1.0, 1, '2022-04-01 08:30:00.5', 'x'), ('iso-06', 1.0, 1, NULL, 'x'),
+          ('iso-07', 1.0, 1, NULL, 'x')) AS v(k, d, i, t, c)""",
+    "stream_dedupe": f"SELECT {REQUEST_COLS} FROM req",
+    "stream_live_join": f"SELECT {RAW_COLS} FROM live",
+    "stream_clean": f"SELECT {SILVER_COLS} FROM live_silver",
+    "split_cut_dates_approx": "SELECT true AS val_within, true AS test_within",
+    "check_job": """SELECT count(*) AS n_rows, count(DISTINCT unique_key) AS n_keys,
+        count_if(trip_start_ts IS NULL) AS null_start, count_if(fare IS NULL) AS null_fare,
+        count_if(tips IS NULL) AS null_tips, min(trip_start_ts) AS first_trip, max(trip_start_ts) AS last_trip
+        FROM silver""",
+    "profile_job": """SELECT 'payment' AS profile, to_json({'payment_type': payment_type, 'trips': CAST(count(*) AS VARCHAR),
+          'avg_tip': CAST(round(avg(tips), 2) AS VARCHAR),
+          'share_with_tip': CAST(round(count_if(tips > 0) / count(*), 3) AS VARCHAR)}) AS row FROM windowed GROUP BY payment_type
+        UNION ALL SELECT 'dirtiness', to_json({'total': CAST(count(*) AS VARCHAR),
+          'bad_duration': CAST(count_if(trip_seconds IS NULL OR trip_seconds < 60) AS VARCHAR),
+          'bad_distance': CAST(count_if(trip_miles IS NULL OR trip_miles < 1e-1) AS VARCHAR),
+          'bad_fare': CAST(count_if(fare IS NULL OR fare <= 0) AS VARCHAR),
+          'no_pickup_area': CAST(count_if(pickup_community_area IS NULL) AS VARCHAR),
+          'no_dropoff_area': CAST(count_if(dropoff_community_area IS NULL) AS VARCHAR),
+          'duplicates': CAST(count(*) - count(DISTINCT unique_key) AS VARCHAR)}) FROM windowed
+        UNION ALL SELECT 'tip_histogram', to_json({'tip_pct_bucket': CAST(b AS VARCHAR), 'trips': CAST(count(*) AS VARCHAR)})
+          FROM (SELECT round(tips / fare, 1) + 0e0 AS b FROM windowed WHERE payment_type = 'Credit Card' AND fare > 0) GROUP BY b""",
 }
 
 

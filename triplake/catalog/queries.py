@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from triplake import lake as lk
 from triplake.catalog.oracle import (
-    DAY_SCAN_END, DAY_SCAN_START, HOLDOUT_END, HOLDOUT_START, OUTCOMES_UNTIL, SCAN_END, SCAN_START,
+    DAY_SCAN_END, DAY_SCAN_START, HOLDOUT_END, HOLDOUT_START, LIVE_END, SCAN_END, SCAN_START,
 )
 from triplake.functions.features import build_features, label_column
 from triplake.functions.scalars import default_strip, to_bigint, to_double, to_naive_ts
@@ -24,19 +24,25 @@ from triplake.operators.route import (
     clean_projection, conform_raw, flag, in_scope, problem_counts, reject_records, route_counts, valid_rows,
 )
 from triplake.operators.rules import rule_flags
-from triplake.operators.split import assign_split, cut_dates, cut_days_frame
+from triplake.operators.split import approx_rank_errors, assign_split, cut_dates, cut_days_frame
+from triplake.plans.checks import run_all_checks
 from triplake.plans.clean import clean_frames, run_clean
 from triplake.plans.export import run_export, stage_holdout
 from triplake.plans.gold import MANIFEST_NAME, run_gold
+from triplake.plans.profiling import run_profile
 from triplake.schemas import (
     DEFAULT_COMPANY, EVENT_DATE, HISTORICAL_DATASET, ID_COLUMNS, OUTCOMES_FOLDER,
     OUTCOME_SCHEMA, RAW_COLUMNS, REQUESTS_FOLDER, REQUEST_SCHEMA, SILVER_COLUMNS,
 )
-from triplake.sources.fixture import trips_raw
-from triplake.sources.historical import read_historical
+from triplake.sources.fixture import arrived_outcomes, keyless, trips_raw, trips_stored
+from triplake.sources.historical import read_historical, time_window
 from triplake.sources.landing import read_landing, read_live, read_pending
 from triplake.sources.silver import list_runs, read_gold, read_rejects, read_silver_run, read_silver_table
-from triplake.sources.sinks import request_records
+from triplake.sources.registry import SOURCES
+from triplake.sources.sinks import request_records, write_landing
+from triplake.streaming.clean import run_stream_clean
+from triplake.streaming.dedupe import run_stream_firsts
+from triplake.streaming.join import run_stream_join
 
 RUN_TS = "20260101-000000"
 GOLD_VERSION = "v1"
@@ -82,7 +88,22 @@ class _Lake:
 
     def landing(self) -> dict:
         return self._once("landing", lambda: run_export(
-            self.spark, self.raw(), self.root, HOLDOUT_START, HOLDOUT_END, OUTCOMES_UNTIL))
+            self.spark, trips_stored(self.raw()), self.root, HOLDOUT_START, HOLDOUT_END))
+
+    def live(self) -> str:
+        """A landing as daily arrivals leave it: some outcomes a day late, some not there, some trips without a key."""
+        root = f"{self.root}/live"
+
+        def build():
+            trips = trips_stored(keyless(time_window(self.raw(), HOLDOUT_START, HOLDOUT_END)))
+            outcomes = arrived_outcomes(trips).select(
+                "unique_key", "tips", "trip_total", F.col("trip_end_timestamp").cast("string").alias("trip_end_timestamp"),
+                F.col("arrival").alias(EVENT_DATE))
+            lk.run_concurrently(
+                lambda: write_landing(request_records(trips), lk.landing_root(root, REQUESTS_FOLDER)),
+                lambda: write_landing(outcomes, lk.landing_root(root, OUTCOMES_FOLDER)))
+            return root
+        return self._once("live", build)
 
 
 _LAKES: dict[tuple[str, str], _Lake] = {}
@@ -106,7 +127,8 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = _silver(spark, sf_dir)
+    """The written silver run, split: its cut days and its rows come from one clean and dedupe."""
+    silver = read_silver_run(spark, lake_for(spark, sf_dir).silver_run()["silver"])
     v, t = cut_dates(silver)
     return assign_split(silver, v, t)
 
@@ -124,6 +146,13 @@ def q_scan_historical(spark, sf):
     return read_historical(spark, _raw(spark, sf), SCAN_START, SCAN_END)
 
 
+def q_scan_historical_zoned(spark, sf):
+    """The same window over a table whose start times are instants."""
+    zoned = _raw(spark, sf).withColumn("trip_start_timestamp", F.concat(
+        F.col("trip_start_timestamp").cast("string"), F.lit("+00:00")).cast("timestamp"))
+    return read_historical(spark, zoned, SCAN_START, SCAN_END)
+
+
 def q_scope_filter(spark, sf):
     return in_scope(_raw(spark, sf))
 
@@ -190,14 +219,12 @@ def q_rejects_roundtrip(spark, sf):
 
 
 def q_holdout_window(spark, sf):
-    staged = stage_holdout(spark, _raw(spark, sf), HOLDOUT_START, HOLDOUT_END,
-                           lk.scratch_dir(spark, "holdout"))
-    return staged.select(*RAW_COLUMNS)
+    return stage_holdout(spark, trips_stored(_raw(spark, sf)), HOLDOUT_START, HOLDOUT_END,
+                         lk.scratch_dir(spark, "holdout"))
 
 
 def q_holdout_requests(spark, sf):
-    raw = read_historical(spark, _raw(spark, sf), HOLDOUT_START, HOLDOUT_END)
-    recs = request_records(raw)
+    recs = request_records(time_window(trips_stored(_raw(spark, sf)), HOLDOUT_START, HOLDOUT_END))
     return recs.select(*[c for c in recs.columns if c != EVENT_DATE], _date_text())
 
 
@@ -229,31 +256,41 @@ def q_landing_day_scan(spark, sf):
 
 
 def q_live_join(spark, sf):
-    lake = lake_for(spark, sf)
-    lake.landing()
-    return read_live(spark, lake.root, HOLDOUT_START, HOLDOUT_END)
+    return read_live(spark, lake_for(spark, sf).live(), HOLDOUT_START, LIVE_END)
 
 
 def q_live_raw(spark, sf):
     """The live reader with null-safe key pairing (group-by-key semantics)."""
-    lake = lake_for(spark, sf)
-    lake.landing()
-    return read_live(spark, lake.root, HOLDOUT_START, HOLDOUT_END, null_safe=True)
+    return read_live(spark, lake_for(spark, sf).live(), HOLDOUT_START, LIVE_END, null_safe=True)
 
 
 def q_live_silver(spark, sf):
-    lake = lake_for(spark, sf)
-    lake.landing()
-    return clean_frames(read_live(spark, lake.root, HOLDOUT_START, HOLDOUT_END))[0]
+    return clean_frames(read_live(spark, lake_for(spark, sf).live(), HOLDOUT_START, LIVE_END))[0]
 
 
 def q_pending_requests(spark, sf):
-    lake = lake_for(spark, sf)
-    lake.landing()
-    pending = read_pending(spark, lake.root, HOLDOUT_START, HOLDOUT_END)
+    pending = read_pending(spark, lake_for(spark, sf).live(), HOLDOUT_START, LIVE_END)
     return pending.select(*[c for c in RAW_COLUMNS if c != "tips"])
 
 
+def _through_source(spark, sf, name: str) -> DataFrame:
+    """The silver run that the clean job writes for a source by name."""
+    lake = lake_for(spark, sf)
+    reader, dataset, mode = SOURCES[name]
+    start, end = (SCAN_START, SCAN_END) if name == "historical" else (HOLDOUT_START, LIVE_END)
+    raw = reader(spark, raw=lake.raw(), out_lake=lake.live() if name == "live" else lake.root, start=start, end=end)
+    run = run_clean(spark, raw, lk.scratch_dir(spark, f"source-{name}"), dataset, start, end, run_ts=RUN_TS, materialize=mode)
+    return read_silver_run(spark, run["silver"])
+
+
+def q_source_historical(spark, sf):
+    return _through_source(spark, sf, "historical")
+
+
+def q_source_live(spark, sf):
+    return _through_source(spark, sf, "live")
+
+
 def q_split_cut_dates(spark, sf):
     cuts = cut_days_frame(_silver(spark, sf))
     return cuts.select(F.col("val_start").cast("string").alias("val_start"),
@@ -261,9 +298,8 @@ def q_split_cut_dates(spark, sf):
 
 
 def q_split_cut_dates_approx(spark, sf):
-    cuts = cut_days_frame(_silver(spark, sf), method="approx")
-    return cuts.select(F.col("val_start").cast("string").alias("val_start"),
-                       F.col("test_start").cast("string").alias("test_start"))
+    """Whether the sketch's cuts lie within 0.001 of the ranks asked for."""
+    return approx_rank_errors(_silver(spark, sf))
 
 
 def q_split_assign(spark, sf):
@@ -363,6 +399,14 @@ DIRTY_STRINGS = [
     ("dirty-09", "nan", "2022-04-01 08:30:00 UTC", " Flash Cab "),
     ("dirty-10", "5d", "2022-04-01 08:30:00 UTC", " Flash Cab "),
     ("dirty-11", "1_000", "2022-04-01 08:30:00 UTC", " Flash Cab "),
+    # further ISO spellings, and two that are not read (week and ordinal dates)
+    ("iso-01", "1", "20220401", "x"),
+    ("iso-02", "1", "2022-04-01T08", "x"),
+    ("iso-03", "1", "20220401T083000", "x"),
+    ("iso-04", "1", "2022-04-01 08:30:00.1234567", "x"),
+    ("iso-05", "1", "2022-04-01 08:30:00,5Z", "x"),
+    ("iso-06", "1", "2022-W13-5", "x"),
+    ("iso-07", "1", "2022-091", "x"),
 ]
 
 
@@ -393,29 +437,43 @@ def q_coerce_strings(spark, sf):
         default_strip(F.col("company"), DEFAULT_COMPANY).alias("company"))
 
 
-def q_stream_dedupe(spark, sf):
-    from triplake.streaming.dedupe import run_stream_dedupe
+def q_check_job(spark, sf):
+    """The check job over a run without a window."""
     lake = lake_for(spark, sf)
-    lake.landing()
-    return run_stream_dedupe(spark, lake.root, lk.scratch_dir(spark, "stream-dedupe"),
-                             partitions=spark.sparkContext.defaultParallelism).select("unique_key")
+    run = lake.silver_run()
+    return run_all_checks(spark, f"{lake.root}/silver/{HISTORICAL_DATASET}", run["run_id"])
+
+
+def q_profile_job(spark, sf):
+    """The profile job's frames over a window, one row each value."""
+    frames = run_profile(_raw(spark, sf), SCAN_START, SCAN_END)
+    out = None
+    for name in ("payment", "dirtiness", "tip_histogram"):
+        df = frames[name].select(F.lit(name).alias("profile"), F.to_json(
+            F.struct(*[F.col(c).cast("string").alias(c) for c in frames[name].columns]),
+            {"ignoreNullFields": "false"}).alias("row"))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def _stream_options(spark) -> dict:
+    # several micro-batches: the landing has a file for each of some 2,500 days
+    return {"partitions": spark.sparkContext.defaultParallelism, "files_per_batch": 900}
+
+
+def q_stream_dedupe(spark, sf):
+    return run_stream_firsts(spark, lake_for(spark, sf).live(), lk.scratch_dir(spark, "stream-dedupe"), "requests",
+                             HOLDOUT_START, LIVE_END, **_stream_options(spark))
 
 
 def q_stream_live_join(spark, sf):
-    from triplake.streaming.join import run_stream_join
-    lake = lake_for(spark, sf)
-    lake.landing()
-    return run_stream_join(spark, lake.root, lk.scratch_dir(spark, "stream-join"),
-                           partitions=spark.sparkContext.defaultParallelism)
+    return run_stream_join(spark, lake_for(spark, sf).live(), lk.scratch_dir(spark, "stream-join"),
+                           HOLDOUT_START, LIVE_END, **_stream_options(spark))
 
 
 def q_stream_clean(spark, sf):
-    from triplake.streaming.clean import run_stream_clean
-    lake = lake_for(spark, sf)
-    lake.landing()
-    out = run_stream_clean(spark, lake.root, lk.scratch_dir(spark, "stream-clean"),
-                           f"{HOLDOUT_START}_{HOLDOUT_END}_{RUN_TS}",
-                           partitions=spark.sparkContext.defaultParallelism)
+    out = run_stream_clean(spark, lake_for(spark, sf).live(), lk.scratch_dir(spark, "stream-clean-out"),
+                           HOLDOUT_START, LIVE_END, RUN_TS, **_stream_options(spark))
     return read_silver_run(spark, out["silver"])
 
 

@@ -16,12 +16,12 @@ from pyspark.sql import Column, functions as F, types as T
 # underscores ("1_000") and "nan" (NaN is normalised to null anyway).
 NUMBER_PATTERN = r"^\s*[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
-# ISO date or date-time, optionally " UTC", "Z" or a numeric offset.
-TIMESTAMP_PATTERN = (
-    r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?"
-    r"( UTC|Z|[+-]\d{2}(:?\d{2})?)?$"
-)
-_SPLIT_PART = r"^(\d{4}-\d{2}-\d{2}(?:[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?)(.*)$"
+# ISO date or date-time, extended (2022-04-01T08:30) or basic (20220401T0830) in
+# either part, hours alone allowed, any number of fraction digits after a point or
+# comma; optionally " UTC", "Z" or a numeric offset.  Week and ordinal dates are null.
+_DATE_PART = r"(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2}))"
+_TIME_PART = r"(?:[ T](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?)?"
+TIMESTAMP_PATTERN = "^" + _DATE_PART + _TIME_PART + r"( UTC|Z|[+-]\d{2}(?::?\d{2})?)?$"
 _OFFSET_PART = r"^([+-])(\d{2}):?(\d{2})?$"
 
 # Characters Python's str.strip() removes (every c with c.isspace()).
@@ -37,6 +37,11 @@ def epoch_ntz() -> Column:
     return F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
 
 
+def ntz_seconds(c: Column) -> Column:
+    """Seconds from the epoch of a zone-less timestamp read as UTC (``timestamp_diff`` would go through the session zone)."""
+    return F.unix_date(F.to_date(c)).cast("bigint") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+
+
 def _null(dtype: str) -> Column:
     return F.lit(None).cast(dtype)
 
@@ -78,8 +83,13 @@ def to_naive_ts(c: Column, dtype: T.DataType) -> Column:
         return c.cast(T.TimestampNTZType())
     if not isinstance(dtype, T.StringType):
         return _null("timestamp_ntz")
-    local = F.regexp_replace(F.regexp_extract(c, _SPLIT_PART, 1), "T", " ")
-    zone = F.regexp_extract(c, _SPLIT_PART, 2)          # "", " UTC", "Z" or an offset
+    part = lambda *groups: F.concat(*[F.regexp_extract(c, TIMESTAMP_PATTERN, g) for g in groups])
+    clock = lambda g: F.coalesce(F.nullif(part(g), F.lit("")), F.lit("00"))
+    # microseconds, as far as a timestamp holds them
+    local = F.concat(F.concat_ws("-", part(1), part(2, 4), part(3, 5)), F.lit(" "),
+                     F.concat_ws(":", clock(6), clock(7), clock(8)), F.lit("."),
+                     F.rpad(F.substring(part(9), 1, 6), 6, "0"))
+    zone = part(10)          # "", " UTC", "Z" or an offset
     local_ts = local.try_cast(T.TimestampNTZType())
     sign = F.when(F.regexp_extract(zone, _OFFSET_PART, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
     hh = F.nullif(F.regexp_extract(zone, _OFFSET_PART, 2), F.lit(""))

@@ -56,9 +56,13 @@ def join_outcomes(requests: DataFrame, outcomes: DataFrame, key: str = "unique_k
 
 def pending_requests(requests: DataFrame, outcomes: DataFrame, key: str = "unique_key",
                      method: str = "min_struct") -> DataFrame:
-    """First request per key for keys with no outcome yet (left anti join)."""
-    req = first_requests(requests, key, method)
+    """First request per key for keys with no outcome yet (left anti join).
+
+    A request without a key can match no outcome and no other request: each is pending.
+    """
+    req = first_requests(requests.where(F.col(key).isNotNull()), key, method)
     # distinct keys first: partial aggregation map side, so a key repeated in a
     # large share of the outcomes reaches the join as one row per map task
     keys = outcomes.select(key).where(F.col(key).isNotNull()).distinct()
-    return req.join(keys, on=key, how="left_anti")
+    keyless = requests.where(F.col(key).isNull()).select(*req.columns)
+    return req.join(keys, on=key, how="left_anti").unionByName(keyless)

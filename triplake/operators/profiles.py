@@ -42,10 +42,11 @@ def dirtiness(raw: DataFrame, start=None, end=None) -> DataFrame:
     )
 
 
-def tip_histogram(raw: DataFrame, start=None, end=None, limit: int = 20) -> DataFrame:
-    """Card trips with fare > 0: tip/fare rounded to 0.1, first ``limit`` buckets."""
+def tip_histogram(raw: DataFrame, start=None, end=None, limit: int | None = None) -> DataFrame:
+    """Card trips with fare > 0: tip/fare rounded to 0.1, every bucket (or the first ``limit``)."""
     rows = time_window(raw, start, end).where(
         (F.col("payment_type") == SCOPE_VALUE) & (F.col("fare") > 0))
     bucket = F.round(F.try_divide(F.col("tips"), F.col("fare")), 1).alias("tip_pct_bucket")
-    return (rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("trips"))
-            .orderBy(F.col("tip_pct_bucket").asc_nulls_first()).limit(limit))
+    out = (rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("trips"))
+           .orderBy(F.col("tip_pct_bucket").asc_nulls_first()))
+    return out if limit is None else out.limit(limit)

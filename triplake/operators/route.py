@@ -86,7 +86,13 @@ def reject_records(flagged: DataFrame, key: str = "unique_key",
                    raw_columns: list[str] | None = None) -> DataFrame:
     """``{unique_key, problems, raw}``; raw holds every input field as text, nulls kept."""
     cols = raw_columns or [c for c in flagged.columns if c not in ("problems", OK_COLUMN)]
-    raw = F.create_map(*[x for c in cols for x in (F.lit(c), F.col(c).cast("string"))])
+    types = {f.name: f.dataType for f in flagged.schema.fields}
+
+    def text(c: str) -> Column:  # instants as UTC wall time, whatever the session's zone
+        value = to_naive_ts(F.col(c), types[c]) if isinstance(types[c], T.TimestampType) else F.col(c)
+        return value.cast("string")
+
+    raw = F.create_map(*[x for c in cols for x in (F.lit(c), text(c))])
     return rejected_rows(flagged).select(
         F.col(key).cast("string").alias("unique_key"),
         F.col("problems"),

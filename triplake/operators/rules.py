@@ -65,12 +65,6 @@ def any_problem(rules: list[Rule]) -> Column:
     return out
 
 
-def with_problems(df: DataFrame, rules: list[Rule] | None = None, name: str = "problems") -> DataFrame:
-    """Append the ``problems`` column (default rules: ``trip_rules``)."""
-    rules = trip_rules(df.schema) if rules is None else rules
-    return df.withColumn(name, problems_column(rules))
-
-
 def rule_flags(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """One boolean column per rule, named after the rule."""
     rules = trip_rules(df.schema) if rules is None else rules

@@ -2,11 +2,10 @@
 
 Cut days are quantiles of the trip start, floored to the UTC day.
 
-* ``exact`` (default): ``percentile_disc`` over the start *day*.  Spark
-  aggregates it as a frequency map of distinct values, so the buffer holds
-  one entry per day (a few thousand), not one per row, and it merges map
-  side.  Flooring is monotone, so the day of the k-th start equals the
-  k-th start day.
+* ``exact`` (default): rows per start day (partial counts, hashed by day),
+  a running sum over those few thousand day counts, and the first day that
+  reaches each share.  Flooring is monotone, so the day of the k-th start
+  equals the k-th start day.
 * ``approx``: ``percentile_approx`` over epoch seconds with relative error
   0.001, as a Greenwald-Khanna sketch per partition.
 
@@ -17,9 +16,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from triplake.functions.scalars import epoch_ntz
+from triplake.functions.scalars import ntz_seconds
 from triplake.schemas import QUANTILE_RELATIVE_ERROR, TEST_FRAC, VAL_FRAC
 
 
@@ -40,19 +39,15 @@ def _cuts(df: DataFrame, val_frac: float, test_frac: float, ts: str, method: str
     q_val, q_test = 1.0 - val_frac - test_frac, 1.0 - test_frac
     t = F.col(ts)
     if method == "exact":
-        day = F.unix_date(F.to_date(t)).alias("_d")
-        out = df.select(day).agg(
-            F.min("_d").alias("_f"),
-            F.expr(f"percentile_disc({q_val!r}) WITHIN GROUP (ORDER BY _d)").alias("_v"),
-            F.expr(f"percentile_disc({q_test!r}) WITHIN GROUP (ORDER BY _d)").alias("_t"),
-        )
-        return out.select(
-            F.date_from_unix_date(F.col("_v").cast("int")).alias("val_start"),
-            F.date_from_unix_date(F.col("_t").cast("int")).alias("test_start"),
-            F.date_from_unix_date(F.col("_f")).alias("first_day"),
-        )
+        days = (df.select(F.to_date(t).alias("_d")).where("_d IS NOT NULL")
+                .groupBy("_d").agg(F.count(F.lit(1)).alias("_n")))
+        so_far = Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        days = days.select("_d", F.sum("_n").over(so_far).alias("_upto"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
+        reached = lambda q: F.min(F.when(F.col("_upto") >= F.ceil(F.lit(q) * F.col("_all")), F.col("_d")))
+        return days.agg(reached(q_val).alias("val_start"), reached(q_test).alias("test_start"),
+                        F.min("_d").alias("first_day"))
     if method == "approx":
-        secs = F.timestamp_diff("SECOND", epoch_ntz(), t).alias("_s")
+        secs = ntz_seconds(t).alias("_s")
         accuracy = int(round(1.0 / QUANTILE_RELATIVE_ERROR))
         q = df.select(secs, F.to_date(t).alias("_day")).agg(
             F.percentile_approx("_s", [q_val, q_test], accuracy).alias("_q"),
@@ -62,6 +57,20 @@ def _cuts(df: DataFrame, val_frac: float, test_frac: float, ts: str, method: str
     raise ValueError(f"unknown method {method!r}")
 
 
+def approx_rank_errors(df: DataFrame, val_frac: float = VAL_FRAC, test_frac: float = TEST_FRAC,
+                       ts: str = "trip_start_ts") -> DataFrame:
+    """One row ``(val_within, test_within)``: whether the sketch's cuts lie within the relative error of their ranks."""
+    q_val, q_test = 1.0 - val_frac - test_frac, 1.0 - test_frac
+    secs = df.select(ntz_seconds(F.col(ts)).alias("_s")).where("_s IS NOT NULL")
+    sketch = F.percentile_approx("_s", [q_val, q_test], int(round(1.0 / QUANTILE_RELATIVE_ERROR)))
+    v, t = secs.agg(sketch.alias("_q")).first()["_q"] or (None, None)
+    n, e = F.count(F.lit(1)), QUANTILE_RELATIVE_ERROR
+    # one row more, as ranks are whole
+    within = lambda cut, share: ((F.count_if(F.col("_s") <= F.lit(cut)) + 1 >= n * (share - e))
+                                 & (F.count_if(F.col("_s") < F.lit(cut)) - 1 <= n * (share + e)))
+    return secs.agg(within(v, q_val).alias("val_within"), within(t, q_test).alias("test_within"))
+
+
 def cut_dates(df: DataFrame, val_frac: float = VAL_FRAC, test_frac: float = TEST_FRAC,
               ts: str = "trip_start_ts", method: str = "exact",
               strict: bool = True) -> tuple[dt.date, dt.date]:

@@ -2,9 +2,7 @@
 
 Requests (everything but the tip) and outcomes are each one partitioned
 write over the staged copy, not one query per day; the two writes run as
-concurrent jobs.  ``outcomes_until``
-lands outcomes only for trips that started before it, which leaves the
-later requests pending (their outcome has "not arrived yet").
+concurrent jobs.
 """
 
 from __future__ import annotations
@@ -16,43 +14,46 @@ from pyspark.sql import DataFrame, SparkSession
 
 from triplake import lake
 from triplake.schemas import OUTCOMES_FOLDER, REQUESTS_FOLDER
-from triplake.sources.historical import time_window
+from triplake.sources.historical import time_window, utc_wall_times
 from triplake.sources.sinks import outcome_records, request_records, write_landing
 
 
 def stage_holdout(spark: SparkSession, raw: DataFrame, start, end, path: str | None = None) -> DataFrame:
     """``SELECT * ... WHERE start <= ts < end`` written once and read back."""
     path = path or lake.scratch_dir(spark, "holdout")
-    time_window(raw, start, end).write.mode("errorifexists").parquet(path)
+    utc_wall_times(time_window(raw, start, end)).write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
 
 def run_export(spark: SparkSession, raw: DataFrame, out_lake: str, start, end,
-               outcomes_until=None, staging: str | None = None, stage: bool = True) -> dict:
+               staging: str | None = None, stage: bool = True) -> dict:
     """Export daily request and outcome folders for ``[start, end)``.
 
-    ``stage=True`` copies the window once (one scan of an expensive source);
+    ``stage=True`` copies the window once (one scan of an expensive source;
+    the copy goes when both exports are committed, unless ``staging`` names it);
     ``stage=False`` lets both exports scan a columnar source directly, with
     the window pushed down to the scan.
     """
-    holdout = stage_holdout(spark, raw, start, end, staging) if stage else time_window(raw, start, end)
+    copy = staging or lake.scratch_dir(spark, "holdout")
+    holdout = stage_holdout(spark, raw, start, end, copy) if stage else utc_wall_times(time_window(raw, start, end))
     req_root = lake.landing_root(out_lake, REQUESTS_FOLDER)
     out_root = lake.landing_root(out_lake, OUTCOMES_FOLDER)
     lake.run_concurrently(
         lambda: write_landing(request_records(holdout), req_root),
-        lambda: write_landing(outcome_records(time_window(holdout, None, outcomes_until)), out_root))
+        lambda: write_landing(outcome_records(holdout), out_root))
+    if stage and not staging:
+        lake.delete_folder(spark, copy)
     return {"requests": req_root, "outcomes": out_root}
 
 
 def main(argv: list[str] | None = None) -> dict:
     from triplake.session import get_session
-    from triplake.sources.historical import read_historical
+    from triplake.sources.historical import open_raw
 
     p = argparse.ArgumentParser(description="Seed daily landing folders from a holdout window.")
     p.add_argument("--raw", required=True, help="table name or Parquet path of raw trips")
     p.add_argument("--holdout_start", required=True)
     p.add_argument("--holdout_end", required=True)
-    p.add_argument("--outcomes_until", default=None)
     p.add_argument("--out_lake", required=True)
     p.add_argument("--no_stage", action="store_true",
                    help="scan a columnar source twice instead of staging a copy of the window")
@@ -60,9 +61,7 @@ def main(argv: list[str] | None = None) -> dict:
                    help="about shuffled bytes / 128 MB; AQE coalesces from there")
     a = p.parse_args(argv)
     spark = get_session("triplake-export", shuffle_partitions=a.shuffle_partitions)
-    raw = read_historical(spark, a.raw)
-    out = run_export(spark, raw, a.out_lake, a.holdout_start, a.holdout_end, a.outcomes_until,
-                     stage=not a.no_stage)
+    out = run_export(spark, open_raw(spark, a.raw), a.out_lake, a.holdout_start, a.holdout_end, stage=not a.no_stage)
     print(out)
     return out
 

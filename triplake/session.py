@@ -4,8 +4,8 @@ Only SQL settings that change plans are set here; cluster sizing belongs
 to ``spark-submit``.  Shuffle sizing rule: start from about one partition
 per 128 MB of shuffled data (``--shuffle_partitions`` on the jobs, e.g.
 ~800k for 100 TB) and let AQE coalesce small ones and split skewed ones.
-Nothing here depends on the session time zone: all timestamps are
-zone-less.
+Windows, days and texts of instants are UTC whatever the session's time
+zone; it is set to UTC here so that ad-hoc queries agree.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ JOB_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.session.timeZone": "UTC",
+    # day folders are many and small: list them with few tasks
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.ui.enabled": "false",
 }
 

@@ -56,6 +56,31 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(*[cols[n].alias(n) for n in RAW_COLUMNS])
 
 
+def trips_stored(raw: DataFrame) -> DataFrame:
+    """Raw trips with the columns a stored table also has; their values follow from no other columns alone."""
+    c = F.col
+    odd = F.coalesce(c("dropoff_community_area") % 5 == 3, F.lit(False))
+    total = c("fare") + c("tips") + F.coalesce(c("tolls"), F.lit(0.0)) + F.coalesce(c("extras"), F.lit(0.0))
+    end = F.timestamp_add("SECOND", c("trip_seconds"), c("trip_start_timestamp"))
+    return raw.select(
+        "*", F.when(odd, total + F.lit(1.25)).otherwise(total).alias("trip_total"),
+        F.when(odd, F.timestamp_add("SECOND", F.lit(7), end)).otherwise(end).alias("trip_end_timestamp"),
+        F.concat(F.lit("tract_"), c("pickup_community_area").cast("string")).alias("pickup_census_tract"))
+
+
+def keyless(raw: DataFrame) -> DataFrame:
+    """The same trips without a key where the taxi is unknown."""
+    return raw.withColumn("unique_key", F.when(F.col("taxi_id").isNotNull(), F.col("unique_key")))
+
+
+def arrived_outcomes(outcomes_by_trip: DataFrame) -> DataFrame:
+    """Trips whose outcome has arrived, with ``event_date`` of its arrival: some trips' comes the next day, some never."""
+    c = F.col
+    late = F.coalesce(c("pickup_community_area") % 2 == 1, F.lit(False)).cast("int")
+    return (outcomes_by_trip.where(F.coalesce(c("dropoff_community_area") % 7 != 3, F.lit(True)))
+            .withColumn("arrival", F.date_add(F.to_date(c("trip_start_timestamp")), late)))
+
+
 # The same mapping as SQL text (runs unchanged in Spark SQL and DuckDB).
 TRIPS_RAW_SQL = """SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS unique_key,
   CASE WHEN l_suppkey % 25 = 0 THEN NULL ELSE 'taxi_' || CAST(l_suppkey AS STRING) END AS taxi_id,
@@ -71,3 +96,9 @@ TRIPS_RAW_SQL = """SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber
   CASE WHEN l_returnflag <> 'N' THEN 'Credit Card' WHEN l_linestatus = 'O' THEN 'Cash' END AS payment_type,
   CASE WHEN l_partkey % 53 = 0 THEN NULL ELSE ' ' || p_brand || ' ' END AS company
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""
+
+TRIPS_STORED_SQL = """SELECT *,
+  fare + tips + coalesce(tolls, 0e0) + coalesce(extras, 0e0)
+    + CASE WHEN dropoff_community_area % 5 = 3 THEN 125e-2 ELSE 0e0 END AS trip_total,
+  trip_start_timestamp + to_seconds(trip_seconds + CASE WHEN dropoff_community_area % 5 = 3 THEN 7 ELSE 0 END) AS trip_end_timestamp,
+  'tract_' || CAST(pickup_community_area AS VARCHAR) AS pickup_census_tract FROM raw"""

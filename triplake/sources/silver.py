@@ -38,6 +38,3 @@ def read_gold(spark: SparkSession, version_dir: str) -> DataFrame:
     """A gold version; ``split`` comes back from the ``split=...`` folders."""
     return spark.read.schema(GOLD_SCHEMA).option("basePath", version_dir).parquet(version_dir)
 
-
-def split_rows(gold: DataFrame, split: str) -> DataFrame:
-    return gold.where(F.col("split") == F.lit(split))

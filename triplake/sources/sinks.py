@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from triplake.lake import path_exists
 from triplake.schemas import EVENT_DATE, GOLD_COLUMNS, SILVER_COLUMNS
+from triplake.sources.historical import utc_wall_times
 
 
 def write_silver(silver: DataFrame, path: str) -> None:
@@ -44,6 +46,7 @@ def warehouse_ts_text(c) -> F.Column:
 def request_records(raw: DataFrame, ts: str = "trip_start_timestamp") -> DataFrame:
     """Everything known at payment time (all but tips), as a warehouse JSON export
     writes it: integers as strings, timestamps as UTC text; plus ``event_date``."""
+    raw = utc_wall_times(raw)
     cols = []
     for f in raw.schema.fields:
         if f.name in ("tips", "trip_total"):
@@ -58,22 +61,25 @@ def request_records(raw: DataFrame, ts: str = "trip_start_timestamp") -> DataFra
 
 
 def outcome_records(raw: DataFrame, ts: str = "trip_start_timestamp") -> DataFrame:
-    """The late outcome of each trip, foldered by the trip's *start* day."""
+    """The late outcome of each trip as stored in the source, foldered by the trip's *start* day."""
+    raw = utc_wall_times(raw)
     c = F.col
-    total = c("fare") + c("tips") + F.coalesce(c("tolls"), F.lit(0.0)) + F.coalesce(c("extras"), F.lit(0.0))
-    end = F.timestamp_add("SECOND", c("trip_seconds"), c(ts))
     return raw.select(
-        c("unique_key"), c("tips"), total.alias("trip_total"), warehouse_ts_text(end).alias("trip_end_timestamp"),
-        F.to_date(c(ts)).alias(EVENT_DATE))
+        c("unique_key"), c("tips"), c("trip_total"),
+        warehouse_ts_text(c("trip_end_timestamp")).alias("trip_end_timestamp"), F.to_date(c(ts)).alias(EVENT_DATE))
 
 
 def write_landing(records: DataFrame, root: str) -> None:
     """One folder per ``event_date``, written as few files per day.
 
+    A first export is a plain write (one commit); only where day folders
+    exist already are those of the export's days replaced, one by one.
+
     ``rebalance`` hash-partitions rows by day (one file per day for normal
     days) and lets AQE split an oversized day across several tasks, so a
     day holding a large share of the rows never lands on one task.
     """
-    (records.hint("rebalance", EVENT_DATE)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(EVENT_DATE).json(root))
+    days = records.hint("rebalance", EVENT_DATE).write.partitionBy(EVENT_DATE)
+    if path_exists(records.sparkSession, root):
+        days = days.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    days.json(root)

@@ -1,52 +1,24 @@
-"""Streaming clean: landing streams -> request/outcome join -> per micro-batch
-routing into a silver run and its rejects (``foreachBatch``, two sinks).
+"""Streaming clean: landing streams -> firsts per key, batch by batch -> join -> silver run and rejects.
 
-Each micro-batch is a static DataFrame, so the batch operators apply
-unchanged.  Batch ``n`` is written to ``batch=n`` folders with overwrite:
-if Spark replays an epoch after a failure, the same folder is rewritten,
-so the output is exactly-once without a transactional table format.
-Keys are already unique within the watermark (the join deduplicates both
-sides), and each batch is deduplicated again with the batch operator.
+The keys of the silver run are unique over the whole run, not only within a
+micro-batch, because routing follows the join of all batches' firsts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from triplake import lake as lk
-from triplake.operators.route import flag, reject_records
-from triplake.plans.clean import silver_from_flagged
+from triplake.plans.clean import run_clean
 from triplake.schemas import LIVE_DATASET, OUTCOME_GRACE_DAYS
-from triplake.streaming.dedupe import request_stream, state_partitions
-from triplake.streaming.join import join_outcome_stream, outcome_stream
+from triplake.streaming.join import run_stream_join
 
 
-def batch_writer(silver_dir: str, rejects_dir: str):
-    def write(batch: DataFrame, epoch: int) -> None:
-        flagged = flag(batch).persist()
-        try:
-            lk.run_concurrently(
-                lambda: (silver_from_flagged(flagged).write.mode("overwrite")
-                         .parquet(f"{silver_dir}/batch={epoch}")),
-                lambda: (reject_records(flagged).select("unique_key", "problems", "raw")
-                         .write.mode("overwrite").option("ignoreNullFields", "false")
-                         .json(f"{rejects_dir}/batch={epoch}")))
-        finally:
-            flagged.unpersist()
-    return write
-
-
-def run_stream_clean(spark: SparkSession, lake: str, out_lake: str, run_id: str,
+def run_stream_clean(spark: SparkSession, lake: str, out_lake: str, start=None, end=None, run_ts: str | None = None,
                      dataset: str = LIVE_DATASET, grace_days: int = OUTCOME_GRACE_DAYS,
-                     partitions: int | None = None, checkpoint: str | None = None) -> dict:
-    """Process everything landed so far (``availableNow``); return the output folders."""
-    silver_dir = lk.silver_dir(out_lake, dataset, run_id)
-    rejects_dir = lk.rejects_dir(out_lake, dataset, run_id)
-    joined = join_outcome_stream(request_stream(spark, lake), outcome_stream(spark, lake), grace_days)
-    ckpt = checkpoint or lk.scratch_dir(spark, "stream-clean-ckpt")
-    with state_partitions(spark, partitions):
-        q = (joined.writeStream.foreachBatch(batch_writer(silver_dir, rejects_dir))
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return {"run_id": run_id, "silver": silver_dir, "rejected": rejects_dir}
-
+                     partitions: int | None = None, files_per_batch: int | None = None,
+                     state: str | None = None) -> dict:
+    """Process what has landed since the last run over ``state`` (default: from the start); one immutable run."""
+    joined = run_stream_join(spark, lake, state or lk.scratch_dir(spark, "stream-clean"), start, end, grace_days,
+                             partitions, files_per_batch)
+    return run_clean(spark, joined, out_lake, dataset, start, end, run_ts, materialize="stage")

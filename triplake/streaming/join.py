@@ -1,48 +1,46 @@
-"""Streaming request/outcome join within the grace window.
-
-Each side is first reduced to one row per key within its watermark, so
-the stream-stream join is 1:1 per key (never all pairs of duplicates).
-Outcomes match when they land between the request day and ``grace_days``
-later; watermarks on both sides let Spark drop join state after that.
+"""Streaming request/outcome join.
+
+``join_outcome_stream``: stream-stream join with bounded state, for
+pipelines that need rows as they match.  Both sides keep one row per (key,
+day); outcomes match when they land between the request day and
+``grace_days`` later, and watermarks of ``grace_days`` let Spark drop older
+state.  Later rows are dropped and counted in the query's progress.  A key
+that recurs on several days yields a row for each.
+
+``run_stream_join``: what the registered query uses.  Each side's firsts per
+key are kept batch by batch (see ``dedupe``) and joined once, so the result
+is that of the batch join, however the files were dealt into micro-batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-
-from triplake.functions.scalars import to_double
-from triplake.lake import landing_root
-from triplake.schemas import EVENT_DATE, OUTCOME_GRACE_DAYS, OUTCOME_SCHEMA, OUTCOMES_FOLDER, RAW_COLUMNS
-from triplake.streaming.dedupe import request_stream, state_partitions
+import datetime as dt
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-def outcome_stream(spark: SparkSession, lake: str) -> DataFrame:
-    schema = T.StructType(list(OUTCOME_SCHEMA.fields) + [T.StructField(EVENT_DATE, T.DateType(), True)])
-    src = (spark.readStream.schema(schema).option("mode", "FAILFAST")
-           .json(landing_root(lake, OUTCOMES_FOLDER)))
-    return src.select(F.col("unique_key").alias("o_key"),
-                      to_double(F.col("tips"), T.StringType()).alias("o_tips"),
-                      F.col(EVENT_DATE).cast(T.TimestampType()).alias("o_time"))
+from triplake.operators.join import join_outcomes
+from triplake.schemas import OUTCOME_GRACE_DAYS, RAW_COLUMNS
+from triplake.streaming.dedupe import dedupe_stream, run_stream_firsts
 
 
 def join_outcome_stream(requests: DataFrame, outcomes: DataFrame,
                         grace_days: int = OUTCOME_GRACE_DAYS) -> DataFrame:
-    delay = f"{grace_days} days" if grace_days != 1 else "1 day"
-    req = requests.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["unique_key"])
-    out = outcomes.withWatermark("o_time", delay).dropDuplicatesWithinWatermark(["o_key"])
-    cond = ((req["unique_key"] == out["o_key"])
-            & (out["o_time"] >= req["event_time"])
+    delay = f"{max(1, int(grace_days))} days"
+    req = dedupe_stream(requests, delay=delay)
+    out = dedupe_stream(outcomes.select(F.col("unique_key").alias("o_key"), F.col("tips").alias("o_tips"),
+                                        F.col("event_time").alias("o_time")), "o_key", "o_time", delay)
+    cond = ((req["unique_key"] == out["o_key"]) & (out["o_time"] >= req["event_time"])
             & (out["o_time"] <= req["event_time"] + F.expr(f"INTERVAL {int(grace_days)} DAYS")))
     joined = req.join(out, cond, "inner")
     return joined.select(*[F.col("o_tips").alias("tips") if c == "tips" else F.col(c) for c in RAW_COLUMNS])
 
 
-def run_stream_join(spark: SparkSession, lake: str, out_dir: str,
-                    grace_days: int = OUTCOME_GRACE_DAYS, partitions: int | None = None) -> DataFrame:
-    joined = join_outcome_stream(request_stream(spark, lake), outcome_stream(spark, lake), grace_days)
-    with state_partitions(spark, partitions):
-        q = (joined.writeStream.format("parquet").outputMode("append")
-             .option("path", f"{out_dir}/data").option("checkpointLocation", f"{out_dir}/_checkpoint")
-             .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(f"{out_dir}/data")
+def run_stream_join(spark: SparkSession, lake: str, out_dir: str, start=None, end=None,
+                    grace_days: int = OUTCOME_GRACE_DAYS, partitions: int | None = None,
+                    files_per_batch: int | None = None) -> DataFrame:
+    """Requests landed in ``[start, end)`` with the outcomes landed by ``grace_days`` after it, in the RAW shape."""
+    last = None if end is None else dt.date.fromisoformat(str(end)) + dt.timedelta(days=grace_days)
+    req = run_stream_firsts(spark, lake, f"{out_dir}/requests", "requests", start, end, partitions, files_per_batch)
+    out = run_stream_firsts(spark, lake, f"{out_dir}/outcomes", "outcomes", start, last, partitions, files_per_batch)
+    req = req.withColumn("tips", F.lit(None).cast("double")).select(*RAW_COLUMNS)
+    return join_outcomes(req, out)

@@ -8,13 +8,14 @@ are extended block by block, keeping only prefixes that can still reach the
 threshold, and yield all filters passed without touching the others.  Vectors
 that share a filter are compared in double precision.
 
-Parameters follow from the number of vectors: the cap holds about
-``BUCKET`` of them, and there are as many filters as make a pair at the
-wanted cosine share ``EXPECTED`` on average (a miss has probability about
-exp(-EXPECTED)).  Equal vectors become one class first.  A filter's vectors
-are dealt over cells of ``BLOCK`` by ``BLOCK``, each a task's matrix product;
-a pair that shares several filters counts at the first only, so nothing is
-emitted per pair: a cell returns link counts and at most one edge a row.
+Parameters follow from the number of vectors: a cap holds about ``BUCKET`` of
+them, by the measure of caps on the sphere, and tables of filters, each with
+a rotation of its own, are added until ``RECALL`` of simulated pairs at just
+the wanted cosine share a filter (nearer pairs are found more often).  Equal
+vectors become one class first.  A filter's vectors are dealt over cells of
+``BLOCK`` by ``BLOCK``, each a task's matrix product; a pair that shares
+several filters counts at the first only, so nothing is emitted per pair: a
+cell returns link counts and at most one edge a row.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +31,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from triplake.llm.common import connected_components, stored, table
 
 COSINE = 0.9
-#: Vectors that a filter holds, about, and filters that a pair at the wanted cosine shares on average.
-BUCKET = 256
-EXPECTED = 10.0
+#: Vectors that a filter holds, about.
+BUCKET = 1024
+#: Simulated pairs at the wanted cosine that share a filter, at least, and how many are tried.
+RECALL, TRIED = 0.995, 2000
+#: Filters of a table that such a pair would share if all directions were independent.
+EXPECTED = 3.0
 #: Rows of a cell's side.
 BLOCK = 1024
 #: Codes of a block, at most (more blocks then).
-CODES = 64
+CODES = 1024
+#: Tables of filters at most; bits of a filter's number within its table.
+TABLES, TABLE_SHIFT = 256, 48
 SEED = 20240229
 
 
@@ -68,39 +73,73 @@ class Filters:
         return row, code
 
 
-def _both(t: float, cosine: float) -> float:
-    """P(Y >= t, X >= t) of standard normals with that correlation."""
-    x = np.linspace(t, t + 9, 4001)
-    normal = NormalDist()
-    tail = np.array([1 - normal.cdf((t - cosine * v) / math.sqrt(1 - cosine * cosine)) for v in x])
-    density = np.exp(-x * x / 2) / math.sqrt(2 * math.pi)
-    return float((tail * density).sum() * (x[1] - x[0]))
+def _marginal(d: int) -> tuple[np.ndarray, np.ndarray]:
+    """One coordinate of a uniform direction in ``d`` dimensions: grid over (-1, 1) and P(coordinate >= grid)."""
+    x = np.linspace(-1, 1, 20001)
+    density = np.maximum(1 - x * x, 1e-300) ** ((max(d, 2) - 3) / 2)
+    tail = np.cumsum(density[::-1])[::-1]
+    return x, tail / tail[0]
 
 
-def make_filters(n: int, d: int, cosine: float = COSINE, bucket: int = BUCKET, expected: float = EXPECTED,
-                 seed: int = SEED) -> Filters:
-    """Filters for ``n`` vectors of ``d`` dimensions; equal arguments give equal filters."""
-    share = min(0.5, bucket / max(1, n))
-    t = NormalDist().inv_cdf(1 - share)
-    number = max(16, math.ceil(expected / _both(t, cosine)))
+def _both(threshold: float, d: int, cosine: float) -> float:
+    """P(two unit vectors at that cosine both pass a random direction's threshold)."""
+    x, tail = _marginal(d)
+    mass = -np.diff(tail, append=0)
+    _, rest = _marginal(d - 1)
+    on = x >= threshold
+    need = (threshold - cosine * x[on]) / np.maximum(1e-9, math.sqrt(1 - cosine * cosine) * np.sqrt(np.maximum(0, 1 - x[on] ** 2)))
+    return float((mass[on] * np.interp(need, x, rest, left=1.0, right=0.0)).sum())
+
+
+def make_table(threshold: float, d: int, number: int, seed: int) -> Filters:
+    """About ``number`` filters with random codes."""
     blocks = 1
-    while blocks < d and number ** (1 / blocks) > CODES:
+    while blocks < d and number ** (1 / blocks) > CODES or blocks < min(2, d):
         blocks += 1
     codes = math.ceil(number ** (1 / blocks))
-    rng = np.random.default_rng(seed)
+    rng = np.random.default_rng([SEED, seed])
     rotation = np.linalg.qr(rng.standard_normal((d, d)))[0]
-    sizes = [len(x) for x in np.array_split(np.arange(d), blocks)]
     made = []
-    for size in sizes:
+    for size in (len(x) for x in np.array_split(np.arange(d), blocks)):
         c = rng.standard_normal((codes, size))
         # a block's codes have the length of its share of the dimensions
         made.append(c / np.linalg.norm(c, axis=1, keepdims=True) * math.sqrt(size / d))
-    return Filters(d, t / math.sqrt(d), rotation, made)
+    return Filters(d, threshold, rotation, made)
+
+
+def make_filters(n: int, d: int, cosine: float = COSINE, bucket: int = BUCKET, recall: float = RECALL) -> list[Filters]:
+    """Tables of filters for ``n`` vectors of ``d`` dimensions; equal arguments give equal tables."""
+    x, tail = _marginal(d)
+    threshold = float(x[np.searchsorted(-tail, -min(0.5, bucket / max(1, n)))])
+    number = math.ceil(EXPECTED / max(1e-12, _both(threshold, d, cosine)))
+    rng = np.random.default_rng(SEED)
+    a, z = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.standard_normal((2, TRIED, d)))
+    z = z - (z * a).sum(1, keepdims=True) * a
+    b = cosine * a + math.sqrt(1 - cosine * cosine) * z / np.maximum(1e-300, np.linalg.norm(z, axis=1, keepdims=True))
+    tables, found = [], np.zeros(TRIED, bool)
+    while not tables or found.mean() < recall and len(tables) < TABLES:
+        t = make_table(threshold, d, max(4, number), len(tables))
+        pairs = [row << TABLE_SHIFT | code for row, code in (t.decode(a), t.decode(b))]
+        found[np.intersect1d(*pairs) >> TABLE_SHIFT] = True
+        tables.append(t)
+    return tables
+
+
+def decode(tables: list[Filters], vectors: np.ndarray, rows: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """(row, filter) over all tables, by row."""
+    found = [[], []]
+    for k in range(0, len(vectors), rows):
+        for i, t in enumerate(tables):
+            row, code = t.decode(vectors[k:k + rows])
+            found[0].append(row + k), found[1].append(code | i << TABLE_SHIFT)
+    row, code = map(np.concatenate, found)
+    by = np.argsort(row, kind="stable")
+    return row[by], code[by]
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    """Equal-length lists of doubles as a matrix."""
-    flat = column.flatten().to_numpy(zero_copy_only=False)
+    """Equal-length lists of numbers as a matrix of doubles."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
@@ -150,7 +189,7 @@ def _cells(t: pa.Table, cosine: float) -> pa.Table:
     return pa.table({"class": ids[keep], "links": links[keep], "low": ids[order[label[keep]]]})
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, bucket: int = BUCKET, expected: float = EXPECTED,
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, bucket: int = BUCKET, recall: float = RECALL,
                     block: int = BLOCK) -> DataFrame:
     """``(vec_id, embedding)`` -> vec_id, n_links, component_id, kept.
 
@@ -159,8 +198,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, bucket: int = BU
     nothing (0 links, their own component, kept); vectors only meet others of
     their length; repeated rows are vectors like others.  No rows give none.
     """
-    e = F.transform("embedding", lambda x: x.cast("double"))
-    rows = stored(vectors.select("vec_id", e.alias("v")), "cap-vectors")
+    kind = vectors.schema["embedding"].dataType.elementType.simpleString()
+    v = F.col("embedding") if kind in ("float", "double") else F.col("embedding").cast("array<double>")
+    rows = stored(vectors.select("vec_id", v.alias("v")), "cap-vectors")
     whole = (F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.exists("v", lambda x: x != 0)
              & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
     usable = F.coalesce(whole, F.lit(False))
@@ -169,7 +209,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, bucket: int = BU
     lengths = [(r["d"], r["n"]) for r in classes.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()]
     found = None
     for d, n in lengths:  # one length, as a rule
-        part = _links(classes.where(F.size("v") == d), n, d, cosine, bucket, expected, block)
+        part = _links(classes.where(F.size("v") == d), n, d, cosine, bucket, recall, block)
         found = part if found is None else found.unionByName(part)
     if found is None:
         own = rows.withColumn("n_links", F.lit(0).cast("long")).withColumn("component_id", F.col("vec_id"))
@@ -186,21 +226,22 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, bucket: int = BU
     return joined.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _links(classes: DataFrame, n: int, d: int, cosine: float, bucket: int, expected: float, block: int) -> DataFrame:
-    filters = make_filters(n, d, cosine, bucket, expected)
+def _links(classes: DataFrame, n: int, d: int, cosine: float, bucket: int, recall: float, block: int) -> DataFrame:
+    filters = make_filters(n, d, cosine, bucket, recall)
+    kind = classes.schema["v"].dataType.simpleString()
 
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             v = _matrix(b.column("v"))
             if not len(v):
                 continue
-            row, code = filters.decode(v / np.linalg.norm(v, axis=1, keepdims=True))
+            row, code = decode(filters, v / np.linalg.norm(v, axis=1, keepdims=True))
             ends = np.cumsum(np.bincount(row, minlength=len(v)))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(code))
             yield pa.RecordBatch.from_arrays([*b.columns, lists], names=[*b.schema.names, "filters"])
 
     decoded = stored(classes.select("class", "copies", "v").mapInArrow(
-        decode, "class long, copies long, v array<double>, filters array<long>"), "cap-filters")
+        run, f"class long, copies long, v {kind}, filters array<long>"), "cap-filters")
     passed = decoded.select(F.explode("filters").alias("filter"))
     blocks = (passed.groupBy("filter").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
               .select("filter", F.ceil(F.col("n") / block).cast("int").alias("blocks")))

@@ -17,6 +17,9 @@ from triplake.llm.common import connected_components, stored, table
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
 
+#: Parts that a host's pages are dealt into where they meet its rules.
+SALTS = 32
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CANONICAL = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
 REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
@@ -60,8 +63,10 @@ def ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:
         (F.col("action") == "allow").alias("allow"), F.col("path").alias("start")).alias("_r"))
     fits = (hosts.select("host", F.explode(suffix).alias("_suffix")).join(r, "_suffix")
             .groupBy("host").agg(F.collect_list("_r").alias("_rules")))
+    fits = fits.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     best = F.array_max(F.filter("_rules", lambda x: F.col("path").startswith(x["start"])))
-    return (urls.join(fits, "host", "left").withColumn("_best", best)
+    salted = urls.withColumn("_salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int"))
+    return (salted.join(fits, ["host", "_salt"], "left").withColumn("_best", best)
             .select(*urls.columns, F.col("_best.rule").alias("rule"),
                     F.when(F.col("_best.allow"), "allow").when(~F.col("_best.allow"), "block").alias("action")))
 

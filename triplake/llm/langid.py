@@ -97,12 +97,11 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     """
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select(
         "lang", "text", F.xxhash64("doc_id", "text").alias("_h"))
-    share = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows"))
-    # a uniform cut of the hash first, so that few texts are ranked
-    spot = (F.col("_h").cast("double") / 2.0 ** 64 + 0.5) * F.col("_rows")
+    # ranks of hashes alone, cut to sample_docs a language in every task before they meet
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h"))
-    sample = (rows.join(share, "lang").where(spot < sample_docs + 6 * sample_docs ** 0.5)
-              .withColumn("_k", rank).where(F.col("_k") <= sample_docs).select("lang", "text"))
+    chosen = (rows.select("lang", "_h").withColumn("_k", rank).where(F.col("_k") <= sample_docs).select("lang", "_h"))
+    # at most sample_docs rows a language
+    sample = rows.join(F.broadcast(chosen), ["lang", "_h"], "left_semi").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
@@ -190,6 +189,9 @@ class Labeller:
             self.row.update(zip(new, range(len(self.row), len(self.row) + len(new))))
             self.scores = np.concatenate([self.scores, self.model.scores(new)])
         lengths = np.array([len(d) for d in docs], np.int64)
+        if not self.model.languages:
+            yield from (np.zeros(n, np.int16) for n in lengths.tolist())
+            return
         rows = np.fromiter((self.row[w] for d in docs for w in d), np.int64, int(lengths.sum()))
         labels = viterbi(self.scores[rows], lengths[lengths > 0], self.switch) if len(rows) else rows
         yield from np.split(labels, np.cumsum(lengths)[:-1])

@@ -29,6 +29,9 @@ FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Го
 NEUTRAL = ("Dr", "Prof")
 SECRET_WORDS = ("token", "secret", "password", "passwd", "api_key", "api-key", "apikey")
 
+# First digits of payment cards.
+ISSUERS = r"^(4|5[1-5]|2[2-7]|3[045678]|6(011|2|4[4-9]|5))"
+
 _B, _E = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _NAME = r"\p{Lu}[\p{L}'’-]+"
 _TITLE = r"(?:" + "|".join(MALE + FEMALE + NEUTRAL) + r")\.?"
@@ -84,9 +87,9 @@ def _luhn(digits: Column, last_doubled: bool) -> Column:
 
 
 def kind_of(m: Column) -> Column:
-    """What a match is; null for look-alikes (bad octets, bad Luhn digit, plain numbers)."""
+    """What a match is; null for look-alikes (bad octets, no issuer's or bad Luhn digit, plain numbers)."""
     octets = F.forall(F.split(m, r"\."), lambda o: o.cast("int") <= 255)
-    card = let(_digits(m), lambda d: F.length(d).between(13, 19) & (_luhn(d, False) % 10 == 0))
+    card = let(_digits(m), lambda d: F.length(d).between(13, 19) & d.rlike(ISSUERS) & (_luhn(d, False) % 10 == 0))
     return (F.when(m.contains("@"), "email")
             .when(m.rlike("^" + _TITLE + " "), "person")
             .when(m.rlike(r"^\d+(\.\d+){3}$"), F.when(octets, "ip"))
@@ -178,7 +181,8 @@ SURROGATE = {
     "phone": lambda n, h, a: F.concat((_value(h, 0) % 8 + 2).cast("string"), _like(_rest(n, 2), F.reverse(h))),
     "card": lambda n, h, a: _card(n, h),
     "ssn": lambda n, h, a: _like(n, h),
-    "secret": lambda n, h, a: F.when(n.rlike("^[0-9a-f]+$"), _like(n, h, ((r"[0-9a-f]", "0123456789abcdef"),))).otherwise(_like(n, h)),
+    "secret": lambda n, h, a: F.when(n.rlike("^[0-9a-f]+$"), _like(n, h, ((r"[0-9a-f]", "0123456789abcdef"),)))
+    .when(n.rlike("^[0-9A-F]+$"), _like(n, h, ((r"[0-9A-F]", "0123456789ABCDEF"),))).otherwise(_like(n, h)),
     "given0": lambda n, h, a: _family(n, h, a, 0),
     "given1": lambda n, h, a: _family(n, h, a, 1),
     "given2": lambda n, h, a: _family(n, h, a, 2),

@@ -11,7 +11,7 @@ TEXTS = [
     "Mr. John Smith met Frau Erika Mustermann and Dr. Smith; Mrs JANE DOE. Господин Иван Петров, ssn 123-45-6789",
     "éré.12@mail3.example.com ann.12@mail3.example.com ann.13@mail3.example.com 4785380592391139",
 ]
-CLEAN = ["plain text, version 1.2.3 of 2020-01-02, 12:30", "not a card 2123465659789240", "300.1.1.1 is no address 1.2.3.4.5",
+CLEAN = ["Luhn alone: 6992706490339255", "plain text, version 1.2.3 of 2020-01-02, 12:30", "not a card 2123465659789240", "300.1.1.1 is no address 1.2.3.4.5",
          "", "The token of love. Apache License, Drum Set", "Mr smith", "a@b", "tel 555-3824"]
 
 

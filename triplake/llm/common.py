@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +13,6 @@ from triplake.lake import scratch_dir
 
 #: A word: a run of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,8 +61,11 @@ def ragged_index(lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - lengths, lengths)
 
 
-def arrow_schema(ddl_fields: dict[str, pa.DataType]) -> pa.Schema:
-    return pa.schema(list(ddl_fields.items()))
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows a bounded number at a time, so that what is made of a batch stays small too."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
 
 
 def fingerprint(df: DataFrame) -> tuple:

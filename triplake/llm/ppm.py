@@ -6,14 +6,16 @@ many as its distinct symbols) and symbol exclusion (after an escape, symbols
 of the longer context are left out below).  A document's score is the log10
 probability of its bytes and an end mark.
 
-On Spark: documents are dealt into chunks by hash.  A chunk sorts its n-grams
-and emits each distinct one once, with its count over training documents;
-counts are summed per n-gram.  The trie is then cut by the last bytes of the
-context: all contexts that end in the same ``CUT`` bytes form a subtree, whose
-n-grams one task turns into log probabilities (contexts shorter than that
-form a fixed table of at most 256**CUT contexts).  Each chunk gets back the
-probabilities of its own n-grams only, so no task or driver ever holds the
-whole trie.  Words take the same way for the unigram base score.
+On Spark: the rows of a stored table fall into chunks by file and position,
+so a chunk is read twice without being shuffled.  First it emits each of its
+distinct n-grams once, with their count over training documents; counts are
+summed per n-gram.  The trie is then cut by the last bytes of the context:
+all contexts that end in the same ``CUT`` bytes form a subtree, whose n-grams
+one task turns into log probabilities (contexts shorter than that form a fixed
+table of at most 258**(CUT - 1) contexts).  Each chunk's own n-grams and their
+probabilities go to a folder of their own in the shared scratch folder, which
+the task that reads the chunk the second time opens; no task or driver ever
+holds the whole trie.  Words take the same way for the unigram base score.
 """
 
 from __future__ import annotations
@@ -22,16 +24,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from triplake.lake import scratch_dir
 from triplake.llm.common import WordIds, ragged_index, stored, table
 
 #: Longest context in bytes; n-grams of ORDER context bytes and a symbol are 9 bits a symbol in a long.
 ORDER = 5
 #: Subtrees of the trie are told apart by this many last context bytes.
 CUT = 2
-#: Characters of text that a chunk holds, about.
-CHUNK_CHARS = 8 << 20
+#: Rows of a file that make a chunk.
+CHUNK_ROWS = 8192
 BITS = 9
 #: Symbols: bytes 0..255, the end of a document, and the mark before its start.
 END, START = 256, 257
@@ -157,48 +163,90 @@ def log_probabilities(keys: np.ndarray, counts: np.ndarray, lower: dict[int, tup
     return logp
 
 
-def _chunk_counts(chunks: DataFrame) -> DataFrame:
-    """(chunk, key, n): the distinct keys of each chunk and their training counts."""
-    def run(t: pa.Table) -> pa.Table:
-        texts = _bytes(t)
-        out = t.column("held_out").combine_chunks().to_numpy(zero_copy_only=False)
-        words = WordIds()
-        keys = []
-        for k, lengths in (grams(texts), _word_keys(texts, words)):
-            train = np.repeat(~out, lengths)
-            found, n = np.unique(k[train], return_counts=True)
-            other = np.setdiff1d(k[~train], found)
-            keys.append((np.concatenate([found, other]), np.concatenate([n, np.zeros(len(other), np.int64)])))
-        k, n = (np.concatenate(x) for x in zip(*keys))
-        return pa.table({"chunk": pa.array(np.full(len(k), t.column("chunk")[0].as_py(), np.int32)), "key": k, "n": n})
+def _bytes(b: pa.RecordBatch) -> list[bytes]:
+    return [(x or "").encode("utf-8", "surrogatepass") for x in b.column("text").to_pylist()]
+
+
+def in_chunks(docs: DataFrame, rows: int = CHUNK_ROWS) -> DataFrame:
+    """``(doc_id, text, held_out)`` of a stored table with ``chunk``: its file and the block of rows in it."""
+    at = F.concat_ws("#", F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / rows))
+    return docs.select("doc_id", "text", "held_out", F.xxhash64(at).alias("chunk"))
 
-    return chunks.groupBy("chunk").applyInArrow(run, "chunk int, key long, n long")
 
+def _runs(batches: Iterator[pa.RecordBatch], size: int = 1 << 21) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """(chunk, rows of it) in the order read, about ``size`` characters at a time."""
+    for b in batches:
+        chunk = b.column("chunk").to_numpy()
+        length = pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(length, dtype=np.int64) // size
+        cuts = np.flatnonzero((chunk[1:] != chunk[:-1]) | (part[1:] != part[:-1])) + 1
+        for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows]):
+            if j > i:
+                yield int(chunk[i]), b.slice(i, j - i)
 
-def _bytes(t: pa.Table) -> list[bytes]:
-    return [(x or "").encode("utf-8", "surrogatepass") for x in t.column("text").to_pylist()]
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    key, n = (np.concatenate(x) for x in zip(*parts))
+    by = np.argsort(key, kind="stable")
+    key, n = key[by], n[by]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[first], np.add.reduceat(n, first)
 
-def score(docs: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """``(doc_id, text, held_out)`` -> doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Learns from the rows that are not held out.  A null text counts as empty
-    (its end is scored); null or repeated ids are rows of their own; without a
-    training document every symbol has probability 1/257 and no word is known.
+def _chunk_counts(chunks: DataFrame) -> DataFrame:
+    """(chunk, key, n): the distinct keys of each chunk and their training counts.
+
+    A chunk that is read in two parts has a row for each; the sums are the same.
     """
-    size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, -(-size // chunk_chars))
-    chunks = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("chunk"), "doc_id",
-                         "text", "held_out")
+    def out(chunk: int, parts: list) -> Iterator[pa.RecordBatch]:
+        key, n = _merged(parts)
+        for i in range(0, len(key), 1 << 16):
+            k = key[i:i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), chunk)), pa.array(k), pa.array(n[i:i + (1 << 16)])],
+                                             names=["chunk", "key", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, now, parts = WordIds(), None, []
+        for chunk, b in _runs(batches):
+            if chunk != now:
+                if parts:
+                    yield from out(now, parts)
+                now, parts = chunk, []
+            train = ~b.column("held_out").to_numpy(zero_copy_only=False)
+            texts = _bytes(b)
+            for k, lengths in (grams(texts), _word_keys(texts, words)):
+                u, inverse = np.unique(k, return_inverse=True)
+                parts.append((u, np.bincount(inverse, np.repeat(train, lengths), len(u)).astype(np.int64)))
+            if len(parts) >= 16:
+                parts = [_merged(parts)]
+        if parts:
+            yield from out(now, parts)
+
+    return chunks.select("chunk", "text", "held_out").mapInArrow(run, "chunk long, key long, n long")
+
+
+def _folder(path: str) -> tuple[pafs.FileSystem, str]:
+    if path.startswith("file:"):
+        path = "/" + path[5:].lstrip("/")
+    return (pafs.LocalFileSystem(), path) if path.startswith("/") else pafs.FileSystem.from_uri(path)
+
+
+def score(chunks: DataFrame) -> DataFrame:
+    """``(doc_id, text, held_out, chunk)`` -> doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    ``chunk`` must be the same whenever a row is read (see ``in_chunks``) and
+    rows of a chunk should be read together.  Learns from the rows that are
+    not held out.  A null text counts as empty (its end is scored); null or
+    repeated ids are rows of their own; without a training document every
+    symbol has probability 1/257 and no word is known.
+    """
+    spark = chunks.sparkSession
     own = stored(_chunk_counts(chunks), "ppm-chunks")
     counts = stored(own.groupBy("key").agg(F.sum("n").alias("n")), "ppm-counts")
-    is_word = F.col("key").bitwiseAND(F.lit(WORD_BIT)) != 0
-
-    words = counts.where(is_word)
+    is_word = F.col("key") >= F.lit(WORD_BIT)
+    words, trie = counts.where(is_word), counts.where(~is_word)
     tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    word_p = words.select("key", F.log10((F.col("n") + 1) / F.lit(tokens + distinct + 1)).alias("p"), (F.col("n") > 0).alias("known"))
 
-    trie = counts.where(~is_word)
     # orders below CUT: at most 257 symbols after each of 258**n contexts
     lower = {}
     for k in range(CUT):
@@ -209,58 +257,44 @@ def score(docs: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
 
     def subtree(t: pa.Table) -> pa.Table:
         k = t.column("key").combine_chunks().to_numpy()
-        p = log_probabilities(k, t.column("n").combine_chunks().to_numpy(), lower)
-        return pa.table({"key": k, "p": p, "known": pa.array(np.zeros(len(k), bool))})
-
-    gram_p = (trie.withColumn("cut", F.shiftright("key", BITS * (ORDER + 1 - CUT)))
-              .groupBy("cut").applyInArrow(subtree, "key long, p double, known boolean"))
-    p = own.join(gram_p.unionByName(word_p), "key").select("chunk", "key", "p", "known")
-
-    def run(docs_: pa.Table, model: pa.Table) -> pa.Table:
-        if not docs_.num_rows:
-            return pa.table({f: pa.array([], t) for f, t in out_fields})
-        column = lambda c: model.column(c).combine_chunks().to_numpy(zero_copy_only=False)
-        key, logp, known = column("key"), column("p"), column("known")
-        by = np.argsort(key)
-        key, logp, known = key[by], logp[by], known[by]
-        texts = _bytes(docs_)
-        ids = WordIds()
-        total, base, number, sure = [], [], [], []
-        for part in _parts(texts):
-            k, lengths = grams(part)
-            first = np.cumsum(lengths) - lengths
+        return pa.table({"key": k, "v": log_probabilities(k, t.column("n").combine_chunks().to_numpy(), lower)})
+
+    # v: log10 probability of an n-gram, training count of a word
+    v = (trie.withColumn("cut", F.shiftright("key", BITS * (ORDER + 1 - CUT)))
+         .groupBy("cut").applyInArrow(subtree, "key long, v double")
+         .unionByName(words.select("key", F.col("n").cast("double").alias("v"))))
+    model = scratch_dir(spark, "ppm-model")
+    (own.select("chunk", "key").join(v, "key").repartition("chunk").sortWithinPartitions("chunk", "key")
+     .write.partitionBy("chunk").parquet(model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, now = WordIds(), None
+        for chunk, b in _runs(batches):
+            if chunk != now:
+                fs, path = _folder(f"{model}/chunk={chunk}")
+                t = pq.read_table(path, filesystem=fs, columns=["key", "v"], partitioning=None)
+                key, value = t.column("key").to_numpy(), t.column("v").to_numpy()
+                if (key[1:] < key[:-1]).any():  # in several files
+                    by = np.argsort(key, kind="stable")
+                    key, value = key[by], value[by]
+                now = chunk
+            texts = _bytes(b)
+            k, lengths = grams(texts)
             u, inverse = np.unique(k, return_inverse=True)
-            total.append(np.add.reduceat(logp[np.searchsorted(key, u)][inverse], first))
-            k, lengths = _word_keys(part, ids)
+            total = np.add.reduceat(value[np.searchsorted(key, u)][inverse], np.cumsum(lengths) - lengths)
+            k, lengths = _word_keys(texts, ids)
             first = np.cumsum(lengths) - lengths
-            at = np.searchsorted(key, k)
-            base.append(np.add.reduceat(logp[at], first))
-            sure.append(np.add.reduceat(known[at].astype(np.int64), first))
-            number.append(lengths)
-        rows = {"doc_id": docs_.column("doc_id"), "held_out": docs_.column("held_out"),
-                "n_tokens": np.concatenate(number), "n_known": np.concatenate(sure),
-                "base_score": np.concatenate(base), "score": np.concatenate(total)}
-        return pa.table(rows)
-
-    out_fields = (("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                  ("base_score", pa.float64()), ("score", pa.float64()))
-    scored = chunks.groupBy("chunk").cogroup(p.groupBy("chunk")).applyInArrow(
-        run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    return scored.withColumn("train_tokens", F.lit(tokens).cast("long"))
-
-
-def _parts(texts: list[bytes], size: int = 1 << 21) -> Iterator[list[bytes]]:
-    part, n = [], 0
-    for t in texts:
-        part.append(t)
-        n += len(t)
-        if n >= size:
-            yield part
-            part, n = [], 0
-    if part:
-        yield part
+            c = value[np.searchsorted(key, k)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("held_out"), pa.array(lengths),
+                 pa.array(np.add.reduceat((c > 0).astype(np.int64), first)), pa.array(np.full(len(texts), tokens)),
+                 pa.array(np.add.reduceat(np.log10((c + 1) / (tokens + distinct + 1)), first)), pa.array(total)],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return chunks.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                                  "base_score double, score double")
 
 
 def op3_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    return score(docs)
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id")))
+    return score(in_chunks(docs))

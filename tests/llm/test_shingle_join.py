@@ -74,6 +74,7 @@ def test_hot_shingles_do_not_change_the_result(spark, rows, monkeypatch):
     monkeypatch.setattr(sj, "HOT_LEAST", 4)
     monkeypatch.setattr(sj, "HOT_LISTS", 1 << 30)
     monkeypatch.setattr(sj, "RANGE_POSTINGS", 2000)
+    monkeypatch.setattr(sj, "BLOCK_SETS", 3)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert collected(sj.jaccard_components(docs)) == brute(rows)
 

@@ -1,6 +1,6 @@
 """Replacing personal data by keyed surrogates, with DataFrame functions only.
 
-One pattern finds entities: secrets after a naming word, e-mail addresses,
+One pattern finds entities: secrets (with a digit) after a naming word, e-mail addresses,
 persons after a title, IP addresses, phone numbers, social security and card
 numbers (Luhn).  An entity consists of units that can recur in others (the
 words of a name, the local part and host of an address, the digits of a
@@ -35,8 +35,10 @@ ISSUERS = r"^(4|5[1-5]|2[2-7]|3[045678]|6(011|2|4[4-9]|5))"
 _B, _E = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _NAME = r"\p{Lu}[\p{L}'’-]+"
 _TITLE = r"(?:" + "|".join(MALE + FEMALE + NEUTRAL) + r")\.?"
-SECRET = r"(?<=(?i:" + "|".join(SECRET_WORDS) + r")\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_+/-]{12,}"
-EMAIL = r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"
+_NAMED = r"(?i:" + "|".join(SECRET_WORDS) + r")\s{0,3}[=:]\s{0,3}[\"']?"
+SECRET = _B + _NAMED + r"[A-Za-z0-9_+/-]{12,}"
+# a word is tried from its first character only and never given back
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"
 PERSON = _B + _TITLE + r" " + _NAME + r"(?: " + _NAME + r"){0,2}"
 IP = r"(?<![\p{L}\p{N}.])\d{1,3}(?:\.\d{1,3}){3}(?!\p{N}|\.\d)"
 PHONE = (_B + r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}" + _E + "|"
@@ -90,13 +92,17 @@ def kind_of(m: Column) -> Column:
     """What a match is; null for look-alikes (bad octets, no issuer's or bad Luhn digit, plain numbers)."""
     octets = F.forall(F.split(m, r"\."), lambda o: o.cast("int") <= 255)
     card = let(_digits(m), lambda d: F.length(d).between(13, 19) & d.rlike(ISSUERS) & (_luhn(d, False) % 10 == 0))
-    return (F.when(m.contains("@"), "email")
+    return (F.when(m.rlike("^" + _NAMED), F.when(_secret(m).rlike("[0-9]"), "secret"))
+            .when(m.contains("@"), "email")
             .when(m.rlike("^" + _TITLE + " "), "person")
             .when(m.rlike(r"^\d+(\.\d+){3}$"), F.when(octets, "ip"))
             .when(m.rlike(r"^[+(]") | m.rlike(r"^\d{3}[ .-]\d{3}[ .-]\d{4}$"), "phone")
             .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-            .when(m.rlike(r"^[0-9 -]+$"), F.when(card, "card"))
-            .when(m.rlike(r"\p{L}"), "secret"))
+            .when(m.rlike(r"^[0-9 -]+$"), F.when(card, "card")))
+
+
+def _secret(m: Column) -> Column:
+    return F.regexp_replace(m, "^" + _NAMED, "")
 
 
 def _title(m: Column) -> Column:
@@ -128,7 +134,8 @@ def units_of(m: Column) -> Column:
         .when(kind == "person", names)
         .when(kind == "phone", F.array(_unit("phone", F.right(_digits(m), F.lit(10)))))
         .when(kind.isin("card", "ssn"), F.array(_unit(kind, _digits(m))))
-        .when(kind.isin("ip", "secret"), F.array(_unit(kind, m)))
+        .when(kind == "ip", F.array(_unit("ip", m)))
+        .when(kind == "secret", F.array(_unit("secret", _secret(m))))
         .otherwise(none)))
 
 
@@ -234,7 +241,8 @@ def replacement(m: Column, tries: Column, key: str) -> Column:
         .when(kind == "phone", _in_format(m, of("phone", F.right(_digits(m), F.lit(10)))))
         .when(kind == "card", _in_format(m, of("card", _digits(m))))
         .when(kind == "ssn", _in_format(m, of("ssn", _digits(m))))
-        .when(kind == "ip", of("ip", m)).when(kind == "secret", of("secret", m)).otherwise(m)))
+        .when(kind == "ip", of("ip", m))
+        .when(kind == "secret", F.concat(F.regexp_extract(m, "^" + _NAMED, 0), of("secret", _secret(m)))).otherwise(m)))
 
 
 def matches_of(text: Column) -> Column:

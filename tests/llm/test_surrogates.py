@@ -12,7 +12,7 @@ TEXTS = [
     "éré.12@mail3.example.com ann.12@mail3.example.com ann.13@mail3.example.com 4785380592391139",
 ]
 CLEAN = ["Luhn alone: 6992706490339255", "plain text, version 1.2.3 of 2020-01-02, 12:30", "not a card 2123465659789240", "300.1.1.1 is no address 1.2.3.4.5",
-         "", "The token of love. Apache License, Drum Set", "Mr smith", "a@b", "tel 555-3824"]
+         "", "The token of love; password: extraordinarily. Apache License, Drum Set", "Mr smith", "a@b", "tel 555-3824"]
 
 
 @pytest.fixture(scope="module")
@@ -52,23 +52,23 @@ def test_formats_types_and_coreference(replaced):
 
 
 def test_surrogates_are_distinct_and_no_unit(spark):
-    # a space of 10 and 100 surrogates, filled to a half: many attempts needed
-    units = spark.range(50).select(F.lit("ssn").alias("kind"), F.format_string("%02d", "id").alias("norm")).unionByName(
-        spark.createDataFrame([("local", c) for c in "abcdefghij"], "kind string, norm string"))
+    # small spaces of surrogates: later attempts needed
+    units = spark.range(20).select(F.lit("ssn").alias("kind"), F.format_string("%02d", "id").alias("norm")).unionByName(
+        spark.createDataFrame([("local", c) for c in "abcdef"], "kind string, norm string"))
     rows = sg.attempts(units).collect()
-    assert len({(r.kind, r.surrogate) for r in rows}) == 60
+    assert len({(r.kind, r.surrogate) for r in rows}) == 26
     assert not {(r.kind, r.surrogate) for r in rows} & {(r.kind, r.norm) for r in rows}
     assert max(r.attempt for r in rows) > 0
 
 
 def test_texts_use_later_attempts(spark):
-    texts = [f"user {c}@{h}.example.com" for c in "abcdefghijklm" for h in ("p", "q")]
+    texts = [f"user {c}@{h}.example.com" for c in "abcdefgh" for h in ("p", "q")]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     out = [r.text for r in sg.replace(docs).orderBy("doc_id").collect()]
     local = {}
     for before, after in zip(texts, out):
         local.setdefault(before[5], set()).add(after[5])
-    assert all(len(v) == 1 for v in local.values()) and len(set.union(*local.values())) == 13
+    assert all(len(v) == 1 for v in local.values()) and len(set.union(*local.values())) == 8
     assert not set.union(*local.values()) & set(local)
 
 

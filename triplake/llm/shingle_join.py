@@ -6,18 +6,19 @@ Sorted by hash, the first ``k = r + l`` shingles of a set (``r = n - T(n)``,
 the search for T occurrences runs on these leading parts.  As in DivideSkip
 a set's lists are divided by length: a partner must occur in at least one of
 its ``k - tau + 1`` shortest lists, so only those are merged; the long rest
-is not merged but probed: candidates are verified by binary search of one
-whole set in the other.
+is not merged but probed by binary search.
 
 On Spark: equal sets become one class first.  Leading parts are shuffled by
 hash range, packed; each range sorts its postings (the merge) and returns the
 lists with two classes or more.  Shingles in over ``1/HOT_LISTS`` of all
 postings (so at most ``HOT_LISTS`` of them, a bounded broadcast) order last
 and are left out by every set with enough other shingles, so no list that
-must be merged grows with the input's most frequent passages.  Candidates are
-first verified against one pivot a set; after that only pairs of different
-components are left to compare, so a large group of near copies costs links
-in proportion to its members.
+must be merged grows with the input's most frequent passages.  Sets that meet
+in a short list, next to each other by size, form clusters (connected
+components), which hold every similar pair.  Clusters are dealt into blocks,
+and each pair of blocks is searched once with whole sets, again by DivideSkip;
+it returns at most one link for each set, so a large group of near copies is
+compared but never written out as pairs.
 """
 
 from __future__ import annotations
@@ -27,9 +28,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from triplake.llm.common import WordIds, connected_components, stored, table, text_words
+from triplake.llm.common import WordIds, connected_components, ragged_index, slices, stored, table, text_words
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -38,6 +39,11 @@ HOT_LISTS = 1 << 17
 HOT_LEAST = 256
 #: Postings of a hash range, about.
 RANGE_POSTINGS = 1 << 20
+#: Sets of a block, and shingles of all its sets, about.
+BLOCK_SETS = 256
+BLOCK_SHINGLES = 1 << 18
+#: Weight of probing against merging when a query's lists are divided.
+DIVIDE = 0.05
 #: Slots of the filter that picks texts to read again.
 SLOTS = 1 << 22
 #: Characters of text held at a time as words.
@@ -97,7 +103,7 @@ def document_sets(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_W
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = WordIds(), set()
-        for b in batches:
+        for b in slices(batches):
             ids = b.column("doc_id").to_pylist()
             n, fp, lead = [], [], []
             for doc_id, s in zip(ids, shingle_sets(b.column("text").to_pylist(), words, size)):
@@ -150,7 +156,7 @@ def shared_lists(sets: DataFrame, hot: np.ndarray, ranges: int, percent: int) ->
     shift = np.uint64(64 - max(1, (ranges - 1).bit_length()))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 4096):
             h, owner, _ = _unpack(b)
             n = np.asarray(b.column("n"))
             cold = ~_is_hot(h, hot)
@@ -229,35 +235,57 @@ def whole_sets(docs: DataFrame, bits: np.ndarray, size: int) -> DataFrame:
     """(fp, set) of the classes of the marked documents, from their texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds()
-        for b in batches:
+        for b in slices(batches):
+            b = b.filter(pa.array(_in_slots(b, bits)))
             raw = [s.tobytes() for s in shingle_sets(b.column("text").to_pylist(), words, size)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([xxhash.xxh3_64_intdigest(s) - (1 << 63) for s in raw], pa.int64()),
                  pa.array(raw, pa.binary())], names=["fp", "set"])
 
-    chosen = by_slot(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), "doc_id", bits, True)
+    chosen = docs.where("doc_id IS NOT NULL").select("text", slot("doc_id").alias("_slot"))
     return chosen.mapInArrow(run, "fp long, set binary").groupBy("fp").agg(F.first("set").alias("set"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of classes whose sets reach the similarity."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = []
-            for x, y in zip(b.column("x"), b.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    near = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    p = (pairs.select(*near).distinct()
-         .join(sets.select(F.col("fp").alias("a"), F.col("set").alias("x")), "a")
-         .join(sets.select(F.col("fp").alias("b"), F.col("set").alias("y")), "b"))
-    return p.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").select(
-        F.col("a").alias("src"), F.col("b").alias("dst"))
+def t_occurrence(queries: list[np.ndarray], rows: list[np.ndarray], percent: int, same: bool) -> Iterator[tuple[int, int]]:
+    """DivideSkip: (query, row) pairs that reach the similarity, one for each local component joined.
+
+    A query's lists over ``rows`` are divided: all but the longest are merged
+    (owners counted), rows with enough occurrences are probed for the longest
+    by binary search.  ``same``: both are the same sets, so pairs count once.
+    """
+    sizes = np.array([len(r) for r in rows])
+    h = np.concatenate(rows)
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    by = np.argsort(h, kind="stable")
+    h, owner = h[by], owner[by]
+    root = list(range(len(queries) + len(rows)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for q, x in enumerate(queries):
+        least = len(x) - slack(len(x), percent)  # T for the smallest partner there can be
+        first, last = np.searchsorted(h, x, "left"), np.searchsorted(h, x, "right")
+        length = last - first
+        most = int(length.max())
+        skip = min(least - 1, int(least / (DIVIDE * np.log2(most + 1) + 1)))
+        order = np.argsort(length, kind="stable")
+        short, long = order[:len(x) - skip], x[order[len(x) - skip:]]
+        at = np.repeat(first[short], length[short]) + ragged_index(length[short])
+        count = np.bincount(owner[at], minlength=len(rows))
+        near = (count >= least - skip) & (100 * np.minimum(sizes, len(x)) >= percent * np.maximum(sizes, len(x)))
+        for r in np.flatnonzero(near).tolist():
+            me, other = (q, r) if same else (q, len(queries) + r)
+            if same and r >= q or find(me) == find(other):
+                continue
+            y = rows[r]
+            both = int(count[r]) + int((y[np.minimum(np.searchsorted(y, long), len(y) - 1)] == long).sum())
+            if 100 * both >= percent * (len(x) + len(y) - both):
+                root[find(me)] = find(other)
+                yield q, r
 
 
 def similar_classes(docs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
@@ -274,38 +302,37 @@ def similar_classes(docs: DataFrame, sets: DataFrame, classes: DataFrame, percen
     short = stored(lists.join(_cold_counts(lead, hot), "fp").withColumn("p", merge.cast("int")).where("p > 0")
                    .select("fp", "n", F.explode(F.slice("l", 1, F.col("p"))).alias("e"))
                    .select("fp", "n", F.col("e.h").alias("h")), "jaccard-lists")
-    involved = short.select("fp").distinct().join(classes.select("fp", "rep"), "fp").select("rep")
-    whole = stored(whole_sets(docs, slot_filter(involved), size), "jaccard-sets")
-    links = None
-    labelled = short.withColumn("c", F.col("fp"))
-    for step in ("pivot", "pivot", "all"):
-        open_ = labelled.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by("fp", "c").alias("v"),
-                                          F.min_by("n", "c").alias("vn")).where("lo < hi")
-        if step == "pivot":
-            # each set against the pivot of another component that it shares most lists with
-            pairs = (labelled.join(open_, "h").where("c <> lo").where(_near_sizes("n", "vn", percent))
-                     .groupBy("fp", "v").agg(F.count(F.lit(1)).alias("k"))
-                     .groupBy("fp").agg(F.max_by("v", F.struct("k", "v")).alias("v"))
-                     .select(F.col("fp").alias("a"), F.col("v").alias("b")))
-        else:
-            # whatever pairs of different components still share a short list
-            rest = labelled.join(open_.select("h"), "h")
-            x, y = rest.alias("x"), rest.alias("y")
-            pairs = (x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.c") < F.col("y.c")))
-                     .where(_near_sizes("x.n", "y.n", percent))
-                     .select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct())
-        found = stored(verified(pairs, whole, percent), "jaccard-links")
-        links = found if links is None else links.unionByName(found)
-        labels = stored(connected_components(links, "jaccard-components"), "jaccard-labels")
-        labelled = (short.join(labels.select(F.col("node").alias("fp"), "component"), "fp", "left")
-                    .select("fp", "n", "h", F.coalesce("component", "fp").alias("c")))
-    return labels
-
-
-def _near_sizes(a: str, b: str, percent: int):
-    """Sizes that two sets of that similarity can have."""
-    a, b = F.col(a), F.col(b)
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b))
+    # neighbours by size in each list: sets that can be partners end up in one cluster
+    by_size = Window.partitionBy("h").orderBy("n", "fp")
+    chain = (short.select("fp", "n", F.lag("fp").over(by_size).alias("v"), F.lag("n").over(by_size).alias("vn"))
+             .where(100 * F.col("vn") >= percent * F.col("n")).select(F.col("fp").alias("src"), F.col("v").alias("dst")))
+    clusters = stored(connected_components(chain, "jaccard-clusters")
+                      .join(short.select(F.col("fp").alias("node"), "n").distinct(), "node")
+                      .select(F.col("node").alias("fp"), F.col("component").alias("cluster"), "n"), "jaccard-members")
+    involved = clusters.select("fp").join(classes.select("fp", "rep"), "fp").select("rep")
+    whole = whole_sets(docs, slot_filter(involved), size)
+    blocks = clusters.groupBy("cluster").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    cells = (clusters.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("fp", "cluster"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("fp", "cluster", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")))
+
+    def search(t: pa.Table) -> pa.Table:
+        fp = t.column("fp").combine_chunks().to_numpy()
+        block = t.column("block").combine_chunks().to_numpy()
+        raw = t.column("set").to_pylist()
+        a, b = np.flatnonzero(block == t.column("lo")[0].as_py()), np.flatnonzero(block == t.column("hi")[0].as_py())
+        found = []
+        if len(a) and len(b):
+            part = lambda at: [np.frombuffer(raw[i], np.uint64) for i in at.tolist()]
+            same = t.column("lo")[0] == t.column("hi")[0]
+            found = list(t_occurrence(part(a), part(b), percent, same))
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"src": fp[a[pairs[:, 0]]], "dst": fp[b[pairs[:, 1]]]})
+
+    links = (cells.join(whole, "fp").select("cluster", "lo", "hi", "block", "fp", "set")
+             .groupBy("cluster", "lo", "hi").applyInArrow(search, "src long, dst long"))
+    return stored(connected_components(links, "jaccard-components"), "jaccard-labels")
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:

@@ -23,13 +23,13 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from triplake.llm.common import table
+from triplake.llm.common import slices, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: Pieces over this many bytes are merged one at a time with a heap instead of in a matrix.
 LONG_PIECE = 512
 #: Encoded pieces that a task remembers.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 #: Cells of a padded matrix (a few such arrays fit a core's cache).
 MATRIX_CELLS = 1 << 15
 #: Characters of text whose pieces are held at a time.
@@ -238,7 +238,7 @@ def encode_digest(docs: DataFrame, path: str | None = None, pattern: str | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _Encoded(path, pattern)
-        for b in batches:
+        for b in slices(batches):
             n, ids, raw = [], [], []
             for ps in enc.each(b.column("text").to_pylist()):
                 n.append(sum([p[0] for p in ps]))
@@ -260,7 +260,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _Encoded(path, pattern)
-        for b in batches:
+        for b in slices(batches):
             ids = [[i for p in ps for i in p[1]] for ps in enc.each(b.column(at).to_pylist())]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))],
                                              names=[*b.schema.names, "token_ids"])

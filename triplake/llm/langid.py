@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from triplake.llm.common import ragged_index, table
+from triplake.llm.common import ragged_index, slices, table
 
 #: Labelled documents of a language that the model is fitted on, at most (those of smallest hash).
 SAMPLE_DOCS = 3000
@@ -31,8 +31,8 @@ SWITCH = 12.0
 #: A language is a candidate for a script that holds at least this share of its letters.
 SCRIPT_SHARE = 0.01
 #: Words remembered by a task, characters of text held at a time.
-REMEMBERED = 1 << 18
-CHUNK_CHARS = 1 << 22
+REMEMBERED = 1 << 17
+CHUNK_CHARS = 1 << 21
 UNKNOWN = "und"
 
 # First code points of the blocks of each script.
@@ -234,7 +234,7 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(model, switch)
         names = model.languages
-        for b in batches:
+        for b in slices(batches):
             pred, score, parts = [], [], []
             for words, labels in labeller.each(b.column(at).to_pylist()):
                 if not words or not names:

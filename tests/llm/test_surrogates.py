@@ -76,3 +76,21 @@ def test_key_changes_surrogates_and_empty(spark):
     docs = spark.createDataFrame([(0, TEXTS[1])], "doc_id long, text string")
     assert sg.replace(docs, "one").first().text != sg.replace(docs, "two").first().text
     assert sg.replace(docs.limit(0)).count() == 0
+
+
+def test_short_units_never_run_out_of_surrogates(spark):
+    # every one-letter and one-digit local part, names without a letter or of another script, short hosts
+    locals_ = [*"abcdefghijklmnopqrstuvwxyz0123456789", "_", "李", "王"]
+    hosts = [c + ".org" for c in "abcdefghijklmnopqrstuvwxyz"] + ["1.org", "例.org"]
+    units = spark.createDataFrame([("local", c) for c in locals_] + [("host", h) for h in hosts], "kind string, norm string")
+    rows = sg.attempts(units).collect()
+    assert len(rows) == len({(r.kind, r.surrogate) for r in rows}) == len(locals_) + len(hosts)
+    assert not {(r.kind, r.surrogate) for r in rows} & {(r.kind, r.norm) for r in rows}
+    assert all(r.surrogate.isdigit() for r in rows if r.norm.isdigit()) and not any("李" in r.surrogate for r in rows)
+
+
+def test_texts_with_all_short_local_parts(spark):
+    chars = "abcdefghijklmnopqrstuvwxyz0123456789"
+    docs = spark.createDataFrame([(i, f"to {c}@mail.example.com") for i, c in enumerate(chars)], "doc_id long, text string")
+    out = [re.fullmatch(r"to (\w+)@\w{4}\.\w{7}\.com", r.text)[1] for r in sg.replace(docs).collect()]
+    assert len(set(out)) == 36 and not set(out) & set(chars)

@@ -9,7 +9,8 @@ type-consistent (valid octets, Luhn digit), of the same script and, for given
 names, the gender of the title.  Units that share a surrogate, or whose
 surrogate is some other unit of the corpus, are tried again with the next
 attempt until all are distinct, so replacements stay one to one and every
-mention of a unit gets the same one.
+mention of a unit gets the same one.  Later attempts lengthen what has no
+fixed length, so short units run out of room at no size of corpus.
 
 Texts are rewritten in place where every unit is at its first attempt; only
 texts that hold one of the few others are joined with their attempts.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from triplake.lake import scratch_dir
 from triplake.llm.common import stored, table
 
 KEY = "corpus"
@@ -29,6 +31,11 @@ FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Го
 NEUTRAL = ("Dr", "Prof")
 SECRET_WORDS = ("token", "secret", "password", "passwd", "api_key", "api-key", "apikey")
 
+#: Attempts at a unit's own length; each later one is a character longer.
+SAME_LENGTH = 8
+#: Attempts after which numbers of a fixed format are taken to have no room left.
+ROUNDS = 1000
+
 # First digits of payment cards.
 ISSUERS = r"^(4|5[1-5]|2[2-7]|3[045678]|6(011|2|4[4-9]|5))"
 
@@ -51,7 +58,7 @@ ENTITY = "|".join((SECRET, EMAIL, PERSON, IP, PHONE, SSN, CARD))
 _LOWER, _UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _ALPHABETS = ((r"[0-9]", "0123456789"), (r"[a-z]", _LOWER), (r"[A-Z]", _UPPER),
               (r"\p{IsCyrillic}", "абвгдежзиклмнопрстуфхцчшэюя"), (r"\p{IsGreek}", "αβγδεζηθικλμνξοπρστυφχψω"),
-              (r"\p{IsLatin}", _LOWER))
+              (r"\p{IsLatin}", _LOWER), (r"\p{L}", _LOWER), (r"\p{N}", "0123456789"))
 _SYLLABLES = {"latin": "bal ber dan del dor fal fen gar gel hal hem jor kal kel lan lor mar mel mor nal nor pal per "
                        "ral ren sal sel tal ter val ver wil",
               "cyrillic": "бал бер дан дел дор фал фен гар гел лан лор мар мел мор нал нор пал пер рал рен сал сел "
@@ -157,6 +164,12 @@ def _like(text: Column, hexes: Column, sets=_ALPHABETS) -> Column:
     return F.when(text == "", text).otherwise(F.array_join(F.transform(_chars(text), char), ""))
 
 
+def _longer(text: Column, attempt: Column) -> Column:
+    """``text`` with its last letter or digit (or an x) repeated at its end, once for each attempt past SAME_LENGTH."""
+    last = F.regexp_extract(text, r"([\p{L}\p{N}])[^\p{L}\p{N}]*$", 1)
+    return F.concat(text, F.repeat(F.when(last == "", "x").otherwise(last), F.greatest(attempt - (SAME_LENGTH - 1), F.lit(0))))
+
+
 def _name(script: str, ending: Column, hexes: Column, attempt: Column) -> Column:
     parts = F.array(*map(F.lit, _SYLLABLES[script].split()))
     stem = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2) + attempt),
@@ -182,8 +195,9 @@ def _card(norm: Column, h: Column) -> Column:
 
 #: kind -> surrogate from (norm, hash, attempt)
 SURROGATE = {
-    "host": lambda n, h, a: F.concat(_like(F.regexp_extract(n, r"^(.*)\.[^.]+$", 1), h), F.lit("."), F.substring_index(n, ".", -1)),
-    "local": lambda n, h, a: _like(n, h),
+    "host": lambda n, h, a: F.concat(
+        _like(_longer(F.regexp_extract(n, r"^(.*)\.[^.]+$", 1), a), h), F.lit("."), F.substring_index(n, ".", -1)),
+    "local": lambda n, h, a: _like(_longer(n, a), h),
     "ip": lambda n, h, a: F.concat_ws(".", *[(_value(h, i) % 254 + 1).cast("string") for i in range(4)]),
     "phone": lambda n, h, a: F.concat((_value(h, 0) % 8 + 2).cast("string"), _like(_rest(n, 2), F.reverse(h))),
     "card": lambda n, h, a: _card(n, h),
@@ -254,26 +268,33 @@ def attempts(units: DataFrame, key: str = KEY) -> DataFrame:
 
     A unit gives way (next attempt) if its surrogate is a unit of the corpus,
     or that of a unit settled before it or, in the same round, of smaller text.
+    A round writes the units still unsettled only.
     """
-    now = units.select("kind", "norm", F.lit(0).alias("attempt"))
-    while True:
+    spark, paths = units.sparkSession, []
+    settled = None
+    taken = units.select("kind", F.col("norm").alias("surrogate"))
+    now = units.select("kind", "norm")
+    for attempt in range(ROUNDS):
         surrogate = F
         for kind in SURROGATE:
-            surrogate = surrogate.when(F.col("kind") == kind, surrogate_of(kind, F.col("norm"), F.col("attempt"), key))
-        now = stored(now.withColumn("surrogate", surrogate), "surrogates")
-        taken = units.select("kind", F.col("norm").alias("surrogate"), F.lit(True).alias("original"))
-        first = now.groupBy("kind", "surrogate").agg(
-            F.min(F.struct("attempt", "norm")).alias("w"), F.count(F.lit(1)).alias("n"))
-        bad = (first.join(taken, ["kind", "surrogate"], "left").where("n > 1 OR original")
-               .select("kind", "surrogate", F.when(F.col("original"), None).otherwise(F.col("w.norm")).alias("winner"),
+            surrogate = surrogate.when(F.col("kind") == kind, surrogate_of(kind, F.col("norm"), F.lit(attempt), key))
+        now = stored(now.select("kind", "norm", F.lit(attempt).alias("attempt"), surrogate.alias("surrogate")), "surrogates")
+        first = now.groupBy("kind", "surrogate").agg(F.min("norm").alias("w"), F.count(F.lit(1)).alias("n"))
+        if settled is not None:
+            taken = units.select("kind", F.col("norm").alias("surrogate")).unionByName(settled.select("kind", "surrogate"))
+        hit = first.select("kind", "surrogate").join(taken, ["kind", "surrogate"]).distinct().withColumn("hit", F.lit(True))
+        bad = (first.join(hit, ["kind", "surrogate"], "left").where("n > 1 OR hit")
+               .select("kind", "surrogate", F.when(F.col("hit"), None).otherwise(F.col("w")).alias("winner"),
                        F.lit(True).alias("clash")))
-        moved = now.join(bad, ["kind", "surrogate"], "left").withColumn(
-            "move", F.col("clash").isNotNull() & ~F.col("winner").eqNullSafe(F.col("norm")))
-        moved = stored(moved.select("kind", "norm", (F.col("attempt") + F.col("move").cast("int")).alias("attempt"),
-                                    "move"), "surrogate-moves")
-        if not moved.where("move").limit(1).count():
-            return now
-        now = moved.drop("move")
+        judged = now.join(bad, ["kind", "surrogate"], "left").select("kind", "norm", "attempt", "surrogate", (
+            F.col("clash").isNotNull() & ~F.col("winner").eqNullSafe(F.col("norm"))).alias("move"))
+        paths.append(scratch_dir(spark, "surrogates-judged"))
+        judged.write.parquet(paths[-1])
+        settled = spark.read.schema(judged.schema).parquet(*paths).where("NOT move").drop("move")
+        now = spark.read.schema(judged.schema).parquet(paths[-1]).where("move").select("kind", "norm")
+        if not now.limit(1).count():
+            return settled
+    raise ValueError(f"no distinct surrogates after {ROUNDS} attempts: {now.first()}")
 
 
 def replace(docs: DataFrame, key: str = KEY) -> DataFrame:

@@ -94,3 +94,21 @@ def test_texts_with_all_short_local_parts(spark):
     docs = spark.createDataFrame([(i, f"to {c}@mail.example.com") for i, c in enumerate(chars)], "doc_id long, text string")
     out = [re.fullmatch(r"to (\w+)@\w{4}\.\w{7}\.com", r.text)[1] for r in sg.replace(docs).collect()]
     assert len(set(out)) == 36 and not set(out) & set(chars)
+
+
+def test_cards_next_to_other_numbers(spark):
+    card = "4111 1111 1111 1111"
+    texts = [f"{card} 12/27", f"{card} 123", f"2 {card}", f"4000 {card} {card}", f"7 {card.replace(' ', '')} 123",
+             f"1 2 3 4 5 6 {card.replace(' ', '-')} 12th", "no 2 3782 822463 10005 1234", "2024 743-555-3824 100", "99 88 123-45-6789 123456"]
+    clean = ["1990 1991 1992 1993 1994 1995 1996", "4111 1111 1111 1112 123", "1 " * 30000 + "1"]
+    docs = spark.createDataFrame(list(enumerate(texts + clean)), "doc_id long, text string")
+    rows = sg.replace(docs).orderBy("doc_id").collect()
+    new = re.match(r"4\d{3} \d{4} \d{4} \d{4}", rows[0].text)[0]
+    want = [t.replace(card, new).replace(card.replace(" ", ""), new.replace(" ", "")).replace(card.replace(" ", "-"), new.replace(" ", "-"))
+            for t in texts]
+    assert new != card and [r.text for r in rows[:6]] == want[:6]
+    assert re.fullmatch(r"no 2 3\d{3} \d{6} \d{5} 1234", rows[6].text) and "822463" not in rows[6].text
+    assert re.fullmatch(r"2024 \d{3}-\d{3}-\d{4} 100", rows[7].text) and "555-3824" not in rows[7].text
+    assert re.fullmatch(r"99 88 \d{3}-\d\d-\d{4} 123456", rows[8].text) and "6789" not in rows[8].text
+    assert [r.n_entities for r in rows] == [1, 1, 1, 2, 1, 1, 1, 1, 1, 0, 0, 0]
+    assert [r.text for r in rows[9:]] == clean

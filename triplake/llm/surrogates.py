@@ -2,7 +2,7 @@
 
 One pattern finds entities: secrets (with a digit) after a naming word, e-mail addresses,
 persons after a title, IP addresses, phone numbers, social security and card
-numbers (Luhn).  An entity consists of units that can recur in others (the
+numbers (Luhn, also next to other numbers).  An entity consists of units that can recur in others (the
 words of a name, the local part and host of an address, the digits of a
 number).  A unit's surrogate is a function of key, kind, unit and attempt:
 type-consistent (valid octets, Luhn digit), of the same script and, for given
@@ -52,7 +52,15 @@ PHONE = (_B + r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}" + _E + "|"
          + _B + r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}" + _E + "|"
          + r"(?<![\p{L}\p{N}.-])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}" + _E)
 SSN = r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])"
-CARD = _B + r"\d(?:[ -]?\d){12,18}" + _E
+# a run of groups of digits: cards, and phone and social security numbers next to other numbers, are sought in it
+_GROUP = r"\d++(?![\p{L}\p{N}])"
+CARD = _B + r"(?=(?:[ -]?\d){13})" + _GROUP + r"(?:[ -]" + _GROUP + r")*+"
+# in a run, from the border of a group to another's
+_CARDS = (r"\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}", r"\d{4}[ -]?\d{6}[ -]?\d{4,5}", r"\d{13,19}",
+          r"\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,3}")
+_FIRST = r"\d(?:[ -]?\d){12,18}"
+_OTHERS = (r"\d{3}[ -]\d{3}[ -]\d{4}", r"\d{3}-\d{2}-\d{4}(?!-)")
+_WINDOW = 40
 ENTITY = "|".join((SECRET, EMAIL, PERSON, IP, PHONE, SSN, CARD))
 
 _LOWER, _UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -98,14 +106,50 @@ def _luhn(digits: Column, last_doubled: bool) -> Column:
 def kind_of(m: Column) -> Column:
     """What a match is; null for look-alikes (bad octets, no issuer's or bad Luhn digit, plain numbers)."""
     octets = F.forall(F.split(m, r"\."), lambda o: o.cast("int") <= 255)
-    card = let(_digits(m), lambda d: F.length(d).between(13, 19) & d.rlike(ISSUERS) & (_luhn(d, False) % 10 == 0))
     return (F.when(m.rlike("^" + _NAMED), F.when(_secret(m).rlike("[0-9]"), "secret"))
             .when(m.contains("@"), "email")
             .when(m.rlike("^" + _TITLE + " "), "person")
             .when(m.rlike(r"^\d+(\.\d+){3}$"), F.when(octets, "ip"))
             .when(m.rlike(r"^[+(]") | m.rlike(r"^\d{3}[ .-]\d{3}[ .-]\d{4}$"), "phone")
             .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-            .when(m.rlike(r"^[0-9 -]+$"), F.when(card, "card")))
+            .when(m.rlike(r"^\d(?:[ -]?\d){12,18}$"), F.when(_is_card(m), "card")))
+
+
+def _is_card(m: Column) -> Column:
+    return let(_digits(m), lambda d: F.length(d).between(13, 19) & d.rlike(ISSUERS) & (_luhn(d, False) % 10 == 0))
+
+
+def _is_run(m: Column) -> Column:
+    return m.rlike(r"^\d[0-9 -]{12,}$")
+
+
+def parts_of(m: Column) -> Column:
+    """The entities ``array<struct<at, text>>`` of a match: itself, or those within a run of numbers; look-alikes have none."""
+    none = F.array().cast("array<struct<at:int,text:string>>")
+
+    def part(at: Column, text: Column) -> Column:
+        return F.array(F.struct(at.cast("int").alias("at"), text.alias("text")))
+
+    def first(w: Column, p: Column, ahead: Column) -> Column:
+        """The first entity that begins where the window does, or null."""
+        found = lambda shape: F.regexp_extract(w, "^" + shape + r"(?!\d)", 0)
+        cards = F.array(*map(found, _CARDS), F.when(p == 1, found(_FIRST)).otherwise(""))
+        others = F.when(ahead == "-", F.array().cast("array<string>")).otherwise(F.array(*map(found, _OTHERS)))
+        return F.get(F.concat(F.filter(cards, _is_card), F.filter(others, lambda c: c != "")), F.lit(0))
+
+    def scan(cs: Column) -> Column:
+        ahead = lambda p: F.coalesce(F.get(cs, p - 2), F.lit(""))
+        starts = F.filter(F.sequence(F.lit(1), F.size(cs)),
+                          lambda p: F.get(cs, p - 1).rlike("[0-9]") & ~ahead(p).rlike("[0-9]"))
+
+        def step(acc: Column, p: Column) -> Column:
+            text = let(F.array_join(F.slice(cs, p, F.lit(_WINDOW)), ""), lambda w: first(w, p, ahead(p)))
+            return F.when(p <= acc["end"], acc).otherwise(let(text, lambda c: F.when(c.isNull(), acc).otherwise(
+                F.struct((p + F.length(c) - 1).alias("end"), F.concat(acc["got"], part(p, c)).alias("got")))))
+
+        return F.aggregate(starts, F.struct(F.lit(0).alias("end"), none.alias("got")), step, lambda acc: acc["got"])
+
+    return (F.when(kind_of(m).isNotNull(), part(F.lit(1), m)).when(_is_run(m), let(_chars(m), scan)).otherwise(none))
 
 
 def _secret(m: Column) -> Column:
@@ -132,6 +176,10 @@ def _unit(kind, norm: Column) -> Column:
 
 def units_of(m: Column) -> Column:
     """The units ``array<struct<kind, norm>>`` of a match; empty for look-alikes."""
+    return F.flatten(F.transform(parts_of(m), lambda part: _units(part["text"])))
+
+
+def _units(m: Column) -> Column:
     none = F.array().cast("array<struct<kind:string,norm:string>>")
     names = let(_name_words(m), lambda ws: F.transform(
         ws, lambda w, i: _unit(_name_kind(_title(m), i, F.size(ws)), F.lower(w))))
@@ -250,11 +298,16 @@ def replacement(m: Column, tries: Column, key: str) -> Column:
         _as_cased(p[0], of("local", F.lower(p[0]))), F.lit("@"), _as_cased(p[1], of("host", F.lower(p[1])))))
     person = F.concat(F.regexp_extract(m, "^(" + _TITLE + " )", 1), let(_name_words(m), lambda ws: F.array_join(
         F.transform(ws, lambda w, i: let(_name_kind(_title(m), i, F.size(ws)), lambda k: word(w, k))), " ")))
+    def number(x: Column) -> Column:
+        return let(kind_of(x), lambda kind: _in_format(x, (
+            F.when(kind == "phone", of("phone", F.right(_digits(x), F.lit(10))))
+            .when(kind == "card", of("card", _digits(x))).otherwise(of("ssn", _digits(x))))))
+
+    # phones and numbers keep their length, so those of a run stay where they are
+    numbers = F.aggregate(parts_of(m), m, lambda text, part: F.overlay(text, number(part["text"]), part["at"]))
     return let(kind_of(m), lambda kind: (
         F.when(kind == "email", email).when(kind == "person", person)
-        .when(kind == "phone", _in_format(m, of("phone", F.right(_digits(m), F.lit(10)))))
-        .when(kind == "card", _in_format(m, of("card", _digits(m))))
-        .when(kind == "ssn", _in_format(m, of("ssn", _digits(m))))
+        .when(kind.isin("phone", "card", "ssn") | _is_run(m), numbers)
         .when(kind == "ip", of("ip", m))
         .when(kind == "secret", F.concat(F.regexp_extract(m, "^" + _NAMED, 0), of("secret", _secret(m)))).otherwise(m)))
 
@@ -323,7 +376,7 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     text = F.when(F.size("_m") > 0, F.array_join(F.zip_with(
         F.split("_text", ENTITY, -1), F.concat(new, F.array(F.lit(""))), lambda gap, s: F.concat(gap, s)), "")
         ).otherwise(F.col("_text"))
-    count = F.coalesce(F.size(F.filter("_m", lambda m: kind_of(m).isNotNull())), F.lit(0)).cast("long")
+    count = F.coalesce(F.aggregate("_m", F.lit(0), lambda n, m: n + F.size(parts_of(m))), F.lit(0)).cast("long")
     out = wide.select("_doc", text.alias("_new"), F.when(F.col("_text").isNull(), 0).otherwise(count).alias("n_entities"))
     return out.select(*[F.col("_new").alias(c) if c == "text" else F.col(f"_doc.`{c}`") for c in kept.columns], "n_entities")
 

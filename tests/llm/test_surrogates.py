@@ -112,3 +112,22 @@ def test_cards_next_to_other_numbers(spark):
     assert re.fullmatch(r"99 88 \d{3}-\d\d-\d{4} 123456", rows[8].text) and "6789" not in rows[8].text
     assert [r.n_entities for r in rows] == [1, 1, 1, 2, 1, 1, 1, 1, 1, 0, 0, 0]
     assert [r.text for r in rows[9:]] == clean
+
+
+def test_names_and_secrets_in_plain_forms(spark):
+    texts = ["Mr J. Smith met Dr.\nAda Lovelace and Mr J.R.R. Tolkien", "Mr. John Smith left. Later John Smith, JOHN, Smith and Smithson spoke",
+             "Dr. John Smith", "password: hunter2. password=S3cret!pass99, secret='ab,1' token: yes", "Mrs Ada Lovelace"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sg.replace(docs).orderBy("doc_id").collect()
+    out = [r.text for r in rows]
+    a = re.fullmatch(r"Mr ([A-Z])\. (\w+) met Dr\.\n(\w+) (\w+) and Mr ([A-Z])\.([A-Z])\.([A-Z])\. (\w+)", out[0])
+    b = re.fullmatch(r"Mr\. (\w+) (\w+) left\. Later (\w+) (\w+), ([A-Z]+), (\w+) and Smithson spoke", out[1])
+    c = re.fullmatch(r"Dr\. (\w+) (\w+)", out[2])
+    d = re.fullmatch(r"password: ([a-z]{6}\d)\. password=([A-Z]\d[a-z]{4}![a-z]{4}\d\d), secret='ab,1' token: yes", out[3])
+    e = re.fullmatch(r"Mrs (\w+) (\w+)", out[4])
+    assert a and b and c and d and e
+    assert a[1] != "J" and a[2] == b[2] == b[4] == b[6] == c[2] and b[5] == b[1].upper() and b[1] == b[3] == c[1] and b[1].endswith("o")
+    assert (a[3], a[4]) == (e[1], e[2]) and e[1].endswith("a") and a[5] not in "JR" + a[6] and a[6] == a[7]
+    assert not {"Smith", "John", "Ada", "Lovelace", "Tolkien"} & set(a.groups() + b.groups() + c.groups())
+    assert d[1] != "hunter2" and "S3cret" not in d[2]
+    assert [r.n_entities for r in rows] == [3, 5, 1, 2, 1]

@@ -1,12 +1,13 @@
 """Replacing personal data by keyed surrogates, with DataFrame functions only.
 
 One pattern finds entities: secrets (with a digit) after a naming word, e-mail addresses,
-persons after a title, IP addresses, phone numbers, social security and card
+persons after a title and their names elsewhere in the text, IP addresses, phone numbers, social security and card
 numbers (Luhn, also next to other numbers).  An entity consists of units that can recur in others (the
 words of a name, the local part and host of an address, the digits of a
 number).  A unit's surrogate is a function of key, kind, unit and attempt:
 type-consistent (valid octets, Luhn digit), of the same script and, for given
-names, the gender of the title.  Units that share a surrogate, or whose
+names, the gender of the title (of any of the corpus where a title says none).
+Initials are moved on in the alphabet by family name.  Units that share a surrogate, or whose
 surrogate is some other unit of the corpus, are tried again with the next
 attempt until all are distinct, so replacements stay one to one and every
 mention of a unit gets the same one.  Later attempts lengthen what has no
@@ -41,12 +42,17 @@ ISSUERS = r"^(4|5[1-5]|2[2-7]|3[045678]|6(011|2|4[4-9]|5))"
 
 _B, _E = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _NAME = r"\p{Lu}[\p{L}'’-]+"
+_SPACE = r"[ \t\u00A0]"
+_AFTER = r"(?:" + _SPACE + r"{1,3}|" + _SPACE + r"{0,3}\r?\n" + _SPACE + r"{0,3})"
+_INITIAL = r"\p{Lu}\.(?:" + _AFTER + r")?"
 _TITLE = r"(?:" + "|".join(MALE + FEMALE + NEUTRAL) + r")\.?"
 _NAMED = r"(?i:" + "|".join(SECRET_WORDS) + r")\s{0,3}[=:]\s{0,3}[\"']?"
-SECRET = _B + _NAMED + r"[A-Za-z0-9_+/-]{12,}"
+SECRET = _B + _NAMED + r"[^\s\"'`<>,;]{3,}[^\s\"'`<>,;.:!?]"
 # a word is tried from its first character only and never given back
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"
-PERSON = _B + _TITLE + r" " + _NAME + r"(?: " + _NAME + r"){0,2}"
+PERSON = (_B + _TITLE + _AFTER + r"(?:" + _INITIAL + r"|\p{Lu}" + _AFTER + r"){0,3}" + _NAME
+          + r"(?:" + _SPACE + r"{1,3}(?:" + _INITIAL + r"){0,3}" + _NAME + r"){0,2}")
+_WORD = r"\p{Lu}[\p{L}'’-]*"
 IP = r"(?<![\p{L}\p{N}.])\d{1,3}(?:\.\d{1,3}){3}(?!\p{N}|\.\d)"
 PHONE = (_B + r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}" + _E + "|"
          + _B + r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}" + _E + "|"
@@ -108,7 +114,7 @@ def kind_of(m: Column) -> Column:
     octets = F.forall(F.split(m, r"\."), lambda o: o.cast("int") <= 255)
     return (F.when(m.rlike("^" + _NAMED), F.when(_secret(m).rlike("[0-9]"), "secret"))
             .when(m.contains("@"), "email")
-            .when(m.rlike("^" + _TITLE + " "), "person")
+            .when(_is_person(m), "person")
             .when(m.rlike(r"^\d+(\.\d+){3}$"), F.when(octets, "ip"))
             .when(m.rlike(r"^[+(]") | m.rlike(r"^\d{3}[ .-]\d{3}[ .-]\d{4}$"), "phone")
             .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
@@ -152,6 +158,10 @@ def parts_of(m: Column) -> Column:
     return (F.when(kind_of(m).isNotNull(), part(F.lit(1), m)).when(_is_run(m), let(_chars(m), scan)).otherwise(none))
 
 
+def _is_person(m: Column) -> Column:
+    return m.rlike("^" + _TITLE + _AFTER)
+
+
 def _secret(m: Column) -> Column:
     return F.regexp_replace(m, "^" + _NAMED, "")
 
@@ -160,8 +170,13 @@ def _title(m: Column) -> Column:
     return F.regexp_extract(m, "^(" + _TITLE.removesuffix(r"\.?") + r")\b", 1)
 
 
+def _name_part(m: Column) -> Column:
+    return F.regexp_replace(m, "^" + _TITLE + _AFTER, "")
+
+
 def _name_words(m: Column) -> Column:
-    return F.split(F.regexp_replace(m, "^" + _TITLE + " ", ""), " ")
+    """The words of a person's name, initials without their dots."""
+    return F.regexp_extract_all(_name_part(m), F.lit(_WORD), F.lit(0))
 
 
 def _name_kind(title: Column, i: Column, n: Column) -> Column:
@@ -170,6 +185,28 @@ def _name_kind(title: Column, i: Column, n: Column) -> Column:
             .otherwise("given2"))
 
 
+def _named(m: Column) -> Column:
+    """``array<struct<kind, word>>`` of a person's name without initials, which are no units."""
+    return let(_name_words(m), lambda ws: F.filter(F.transform(ws, lambda w, i: F.struct(
+        _name_kind(_title(m), i, F.size(ws)).alias("kind"), w.alias("word"))), lambda x: F.length(x["word"]) > 1))
+
+
+def names_in(ms: Column) -> Column:
+    """The distinct words, family names first, of the persons among a text's matches."""
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(F.filter(ms, _is_person), _named))))
+
+
+def with_names(names: Column) -> Column:
+    """ENTITY and, where none begins, any of the names as a word, also in capitals."""
+    return F.concat(F.lit(ENTITY + "|" + _B + r"(?=\p{Lu})(?iu:"), F.array_join(F.transform(names, lambda x: x["word"]), "|"),
+                    F.lit(")" + _E))
+
+
+def _mentioned(m: Column, names: Column) -> Column:
+    """The names that a match is, of which it means the first; none for a match of another kind."""
+    return F.filter(names, lambda x: m.rlike("^" + _NAME + "$") & (F.lower(x["word"]) == F.lower(m)))
+
+
 def _unit(kind, norm: Column) -> Column:
     return F.struct((F.lit(kind) if isinstance(kind, str) else kind).alias("kind"), norm.alias("norm"))
 
@@ -181,8 +218,7 @@ def units_of(m: Column) -> Column:
 
 def _units(m: Column) -> Column:
     none = F.array().cast("array<struct<kind:string,norm:string>>")
-    names = let(_name_words(m), lambda ws: F.transform(
-        ws, lambda w, i: _unit(_name_kind(_title(m), i, F.size(ws)), F.lower(w))))
+    names = F.transform(_named(m), lambda x: _unit(x["kind"], F.lower(x["word"])))
     return let(kind_of(m), lambda kind: (
         F.when(kind == "email", F.array(_unit("local", F.lower(F.substring_index(m, "@", 1))),
                                         _unit("host", F.lower(F.substring_index(m, "@", -1)))))
@@ -225,12 +261,11 @@ def _name(script: str, ending: Column, hexes: Column, attempt: Column) -> Column
     return F.concat(stem, ending)
 
 
-def _family(norm: Column, hexes: Column, attempt: Column, gender: int | None) -> Column:
+def _person_name(kind: Column, norm: Column, hexes: Column, attempt: Column) -> Column:
     def of(script: str) -> Column:
-        if gender is None:
-            end = F.element_at(F.array(*map(F.lit, _SYLLABLES[script].split())), _value(hexes, 60) % 32 + 1)
-        else:
-            end = F.lit(_ENDINGS[script][gender])
+        end = F.element_at(F.array(*map(F.lit, _SYLLABLES[script].split())), _value(hexes, 60) % 32 + 1)
+        for gender, ending in enumerate(_ENDINGS[script]):
+            end = F.when(kind == f"given{gender}", F.lit(ending)).otherwise(end)
         return _name(script, end, hexes, attempt)
     return (F.when(norm.rlike(r"\p{IsCyrillic}"), of("cyrillic")).when(norm.rlike(r"\p{IsGreek}"), of("greek"))
             .otherwise(of("latin")))
@@ -250,13 +285,28 @@ SURROGATE = {
     "phone": lambda n, h, a: F.concat((_value(h, 0) % 8 + 2).cast("string"), _like(_rest(n, 2), F.reverse(h))),
     "card": lambda n, h, a: _card(n, h),
     "ssn": lambda n, h, a: _like(n, h),
-    "secret": lambda n, h, a: F.when(n.rlike("^[0-9a-f]+$"), _like(n, h, ((r"[0-9a-f]", "0123456789abcdef"),)))
-    .when(n.rlike("^[0-9A-F]+$"), _like(n, h, ((r"[0-9A-F]", "0123456789ABCDEF"),))).otherwise(_like(n, h)),
-    "given0": lambda n, h, a: _family(n, h, a, 0),
-    "given1": lambda n, h, a: _family(n, h, a, 1),
-    "given2": lambda n, h, a: _family(n, h, a, 2),
-    "family": lambda n, h, a: _family(n, h, a, None),
+    "secret": lambda n, h, a: F.when(n.rlike("^[0-9a-f]+$"), _like(_longer(n, a), h, ((r"[0-9a-f]", "0123456789abcdef"),)))
+    .when(n.rlike("^[0-9A-F]+$"), _like(_longer(n, a), h, ((r"[0-9A-F]", "0123456789ABCDEF"),))).otherwise(_like(_longer(n, a), h)),
 }
+NAMES = ("family", "given0", "given1", "given2")
+
+
+def name_surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
+    """The surrogate of a word of a name, as surrogate_of."""
+    return let(F.sha2(F.concat_ws("\x1f", F.lit(key), kind, norm, attempt.cast("string")), 512),
+               lambda h: _person_name(kind, norm, h, attempt))
+
+
+def _initial(c: Column, family: Column, key: str) -> Column:
+    """Another letter, one to one for a family name."""
+    def of(h: Column) -> Column:
+        out, low = F, F.lower(c)
+        for pattern, alphabet in _ALPHABETS[1:2] + _ALPHABETS[3:5]:
+            at = F.instr(F.lit(alphabet), low)  # 0: not in the alphabet
+            moved = F.lit(alphabet).substr((at + _value(h, 0) % (len(alphabet) - 1)) % len(alphabet) + 1, F.lit(1))
+            out = out.when(low.rlike(pattern) & (at > 0), moved)
+        return F.upper(out.otherwise(_like(low, h)))
+    return let(F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("initial"), F.lower(family)), 512), of)
 
 
 def surrogate_of(kind: str, norm: Column, attempt: Column, key: str) -> Column:
@@ -282,22 +332,36 @@ def _as_cased(original: Column, surrogate: Column) -> Column:
         .when(original.rlike(r"^\p{Lu}"), F.concat(F.upper(s.substr(1, 1)), _rest(s, 2))).otherwise(s)))
 
 
-def replacement(m: Column, tries: Column, key: str) -> Column:
-    """What a match becomes; ``tries``: attempts by ``kind:norm`` of units not at their first (may be null)."""
+def replacement(m: Column, tries: Column, key: str, names: Column) -> Column:
+    """What a match becomes.
+
+    ``tries``: by ``kind:norm`` of units not at their first attempt, 4 * attempt,
+    and 1 or 2 more for given2 words that are given0 or given1 (may be null);
+    ``names``: the names_in of the text.
+    """
+    def tried(kind: Column, norm: Column) -> Column:
+        return F.coalesce(F.element_at(tries, F.concat_ws(":", kind, norm)), F.lit(0))
+
     def of(kind: str, norm: Column) -> Column:
-        return let(norm, lambda n: surrogate_of(
-            kind, n, F.coalesce(F.element_at(tries, F.concat_ws(":", F.lit(kind), n)), F.lit(0)), key))
+        return let(norm, lambda n: surrogate_of(kind, n, F.floor(tried(F.lit(kind), n) / 4).cast("int"), key))
 
-    def word(w: Column, kind: Column) -> Column:
-        out = F
-        for k in ("given0", "given1", "given2", "family"):
-            out = out.when(kind == k, of(k, F.lower(w)))
-        return _as_cased(w, out)
+    def word(x: Column) -> Column:
+        """The surrogate of a struct of kind and word."""
+        return _as_cased(x["word"], let(F.lower(x["word"]), lambda n: let(tried(x["kind"], n), lambda t: name_surrogate(
+            F.when(t % 4 == 1, "given0").when(t % 4 == 2, "given1").otherwise(x["kind"]), n, F.floor(t / 4).cast("int"), key))))
 
     email = let(F.split(m, "@"), lambda p: F.concat(
         _as_cased(p[0], of("local", F.lower(p[0]))), F.lit("@"), _as_cased(p[1], of("host", F.lower(p[1])))))
-    person = F.concat(F.regexp_extract(m, "^(" + _TITLE + " )", 1), let(_name_words(m), lambda ws: F.array_join(
-        F.transform(ws, lambda w, i: let(_name_kind(_title(m), i, F.size(ws)), lambda k: word(w, k))), " ")))
+    mention = F.transform(F.slice(_mentioned(m, names), 1, 1), lambda x: F.struct(x["kind"], m.alias("word")))
+    # a person's words, or the one of a mention
+    words = F.when(_is_person(m), let(_name_words(m), lambda ws: F.transform(ws, lambda w, i: F.struct(
+        _name_kind(_title(m), i, F.size(ws)).alias("kind"), w.alias("word"))))).otherwise(mention)
+    new = let(words, lambda xs: F.transform(xs, lambda x: F.when(
+        F.length(x["word"]) == 1, _initial(x["word"], F.element_at(xs, -1)["word"], key)).otherwise(word(x))))
+    name = F.when(_is_person(m), _name_part(m)).otherwise(m)
+    person = F.concat(F.regexp_extract(m, "^(" + _TITLE + _AFTER + ")", 1), F.array_join(F.zip_with(
+        F.split(name, _WORD, -1), F.concat(new, F.array(F.lit(""))), lambda gap, w: F.concat(gap, w)), ""))
+
     def number(x: Column) -> Column:
         return let(kind_of(x), lambda kind: _in_format(x, (
             F.when(kind == "phone", of("phone", F.right(_digits(x), F.lit(10))))
@@ -306,7 +370,7 @@ def replacement(m: Column, tries: Column, key: str) -> Column:
     # phones and numbers keep their length, so those of a run stay where they are
     numbers = F.aggregate(parts_of(m), m, lambda text, part: F.overlay(text, number(part["text"]), part["at"]))
     return let(kind_of(m), lambda kind: (
-        F.when(kind == "email", email).when(kind == "person", person)
+        F.when(kind == "email", email).when((kind == "person") | (kind.isNull() & (F.size(_mentioned(m, names)) > 0)), person)
         .when(kind.isin("phone", "card", "ssn") | _is_run(m), numbers)
         .when(kind == "ip", of("ip", m))
         .when(kind == "secret", F.concat(F.regexp_extract(m, "^" + _NAMED, 0), of("secret", _secret(m)))).otherwise(m)))
@@ -331,6 +395,7 @@ def attempts(units: DataFrame, key: str = KEY) -> DataFrame:
         surrogate = F
         for kind in SURROGATE:
             surrogate = surrogate.when(F.col("kind") == kind, surrogate_of(kind, F.col("norm"), F.lit(attempt), key))
+        surrogate = surrogate.when(F.col("kind").isin(*NAMES), name_surrogate(F.col("kind"), F.col("norm"), F.lit(attempt), key))
         now = stored(now.select("kind", "norm", F.lit(attempt).alias("attempt"), surrogate.alias("surrogate")), "surrogates")
         first = now.groupBy("kind", "surrogate").agg(F.min("norm").alias("w"), F.count(F.lit(1)).alias("n"))
         if settled is not None:
@@ -362,8 +427,15 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     found = kept.select(F.xxhash64("text").alias("t"), F.explode(matches_of(F.col("text"))).alias("m"))
     found = stored(found.select("t", F.explode(units_of(F.col("m"))).alias("u")).select("t", "u.kind", "u.norm").distinct(),
                    "entities")
-    settled = attempts(found.select("kind", "norm").distinct(), key)
-    again = stored(settled.where("attempt > 0").select("kind", "norm", "attempt"), "surrogates-again")
+    # given names whose title says no gender have that of another title of the corpus
+    said = found.where("kind IN ('given0', 'given1')").groupBy("norm").agg(F.min("kind").alias("said"))
+    units = stored(found.select("kind", "norm").distinct().join(said, "norm", "left").select(
+        "kind", "norm", F.when(F.col("kind") == "given2", F.col("said")).alias("said")), "units")
+    settled = attempts(units.where("said IS NULL").select("kind", "norm"), key)
+    theirs = units.where("said IS NOT NULL").join(settled.withColumnRenamed("kind", "said"), ["said", "norm"]).select(
+        "kind", "norm", (4 * F.col("attempt") + F.when(F.col("said") == "given0", 1).otherwise(2)).alias("attempt"))
+    again = stored(settled.where("attempt > 0").select("kind", "norm", (4 * F.col("attempt")).alias("attempt"))
+                   .unionByName(theirs), "surrogates-again")
     tries = found.join(again, ["kind", "norm"]).groupBy("t").agg(F.map_from_entries(F.collect_list(
         F.struct(F.concat_ws(":", "kind", "norm"), "attempt"))).alias("_tries"))
     wide = kept.select(F.struct(*kept.columns).alias("_doc"), F.col("text").alias("_text"))
@@ -371,12 +443,16 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
         wide = wide.join(tries, F.xxhash64("_text") == F.col("t"), "left").drop("t")
     else:
         wide = wide.withColumn("_tries", F.lit(None).cast("map<string,int>"))
-    wide = wide.withColumn("_m", matches_of(F.col("_text")))
-    new = F.transform("_m", lambda m: replacement(m, F.col("_tries"), key))
+    wide = wide.withColumn("_m", matches_of(F.col("_text"))).withColumn("_names", names_in(F.col("_m")))
+    named = F.size("_names") > 0
+    wide = wide.withColumn("_m", F.when(named, F.regexp_extract_all("_text", with_names(F.col("_names")), F.lit(0)))
+                           .otherwise(F.col("_m")))
+    gaps = F.when(named, F.split("_text", with_names(F.col("_names")), -1)).otherwise(F.split("_text", ENTITY, -1))
+    new = F.transform("_m", lambda m: replacement(m, F.col("_tries"), key, F.col("_names")))
     text = F.when(F.size("_m") > 0, F.array_join(F.zip_with(
-        F.split("_text", ENTITY, -1), F.concat(new, F.array(F.lit(""))), lambda gap, s: F.concat(gap, s)), "")
-        ).otherwise(F.col("_text"))
-    count = F.coalesce(F.aggregate("_m", F.lit(0), lambda n, m: n + F.size(parts_of(m))), F.lit(0)).cast("long")
+        gaps, F.concat(new, F.array(F.lit(""))), lambda gap, s: F.concat(gap, s)), "")).otherwise(F.col("_text"))
+    count = F.coalesce(F.aggregate("_m", F.lit(0), lambda n, m: n + F.size(parts_of(m)) + F.least(
+        F.size(_mentioned(m, F.col("_names"))), F.lit(1))), F.lit(0)).cast("long")
     out = wide.select("_doc", text.alias("_new"), F.when(F.col("_text").isNull(), 0).otherwise(count).alias("n_entities"))
     return out.select(*[F.col("_new").alias(c) if c == "text" else F.col(f"_doc.`{c}`") for c in kept.columns], "n_entities")
 

@@ -92,3 +92,13 @@ def test_one_of_each_group_stays(spark, rows):
 
 def test_empty_table(spark):
     assert sj.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_every_link_is_counted(spark, rows, monkeypatch):
+    monkeypatch.setattr(sj, "BLOCK_SETS", 3)
+    sets = [sets_of(t) if d is not None else set() for d, t in rows]
+    want = sorted((str(d), len(sets_of(t)), sum(1 for j, b in enumerate(sets) if i != j and sets[i] and b
+                                                and 100 * len(sets[i] & b) >= 80 * len(sets[i] | b)))
+                  for i, (d, t) in enumerate(rows))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.n_shingles, r.n_links) for r in sj.jaccard_components(docs).collect()) == want

@@ -17,8 +17,9 @@ must be merged grows with the input's most frequent passages.  Sets that meet
 in a short list, next to each other by size, form clusters (connected
 components), which hold every similar pair.  Clusters are dealt into blocks,
 and each pair of blocks is searched once with whole sets, again by DivideSkip;
-it returns at most one link for each set, so a large group of near copies is
-compared but never written out as pairs.
+it verifies every candidate and returns, for each set, the number of documents
+linked and at most one link, so a large group of near copies is counted but
+never written out as pairs.
 """
 
 from __future__ import annotations
@@ -246,8 +247,8 @@ def whole_sets(docs: DataFrame, bits: np.ndarray, size: int) -> DataFrame:
     return chosen.mapInArrow(run, "fp long, set binary").groupBy("fp").agg(F.first("set").alias("set"))
 
 
-def t_occurrence(queries: list[np.ndarray], rows: list[np.ndarray], percent: int, same: bool) -> Iterator[tuple[int, int]]:
-    """DivideSkip: (query, row) pairs that reach the similarity, one for each local component joined.
+def t_occurrence(queries: list[np.ndarray], rows: list[np.ndarray], percent: int, same: bool) -> Iterator[tuple[int, int, bool]]:
+    """DivideSkip: (query, row) pairs that reach the similarity, and whether the pair joins two local components.
 
     A query's lists over ``rows`` are divided: all but the longest are merged
     (owners counted), rows with enough occurrences are probed for the longest
@@ -279,17 +280,18 @@ def t_occurrence(queries: list[np.ndarray], rows: list[np.ndarray], percent: int
         near = (count >= least - skip) & (100 * np.minimum(sizes, len(x)) >= percent * np.maximum(sizes, len(x)))
         for r in np.flatnonzero(near).tolist():
             me, other = (q, r) if same else (q, len(queries) + r)
-            if same and r >= q or find(me) == find(other):
+            if same and r >= q:
                 continue
             y = rows[r]
             both = int(count[r]) + int((y[np.minimum(np.searchsorted(y, long), len(y) - 1)] == long).sum())
             if 100 * both >= percent * (len(x) + len(y) - both):
+                joins = find(me) != find(other)
                 root[find(me)] = find(other)
-                yield q, r
+                yield q, r, joins
 
 
 def similar_classes(docs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
-    """(node, component) of the classes with a link to another class."""
+    """(node, component, links) of the classes with a link to another class; links: documents in all those classes."""
     lead = sets.where("lead IS NOT NULL")
     postings = lead.agg(F.sum(F.expr("length(lead) div 8"))).first()[0] or 0
     hot = hot_shingles(lead, postings)
@@ -313,13 +315,14 @@ def similar_classes(docs: DataFrame, sets: DataFrame, classes: DataFrame, percen
     whole = whole_sets(docs, slot_filter(involved), size)
     blocks = clusters.groupBy("cluster").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    cells = (clusters.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("fp", "cluster"), F.col("blocks")).cast("int"))
+    cells = (clusters.join(blocks, "cluster").join(classes.select("fp", "copies"), "fp").withColumn("block", F.pmod(F.xxhash64("fp", "cluster"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("fp", "cluster", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")))
+             .select("fp", "cluster", "copies", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")))
 
     def search(t: pa.Table) -> pa.Table:
         fp = t.column("fp").combine_chunks().to_numpy()
         block = t.column("block").combine_chunks().to_numpy()
+        copies = t.column("copies").combine_chunks().to_numpy()
         raw = t.column("set").to_pylist()
         a, b = np.flatnonzero(block == t.column("lo")[0].as_py()), np.flatnonzero(block == t.column("hi")[0].as_py())
         found = []
@@ -327,16 +330,22 @@ def similar_classes(docs: DataFrame, sets: DataFrame, classes: DataFrame, percen
             part = lambda at: [np.frombuffer(raw[i], np.uint64) for i in at.tolist()]
             same = t.column("lo")[0] == t.column("hi")[0]
             found = list(t_occurrence(part(a), part(b), percent, same))
-        pairs = np.array(found, np.int64).reshape(-1, 2)
-        return pa.table({"src": fp[a[pairs[:, 0]]], "dst": fp[b[pairs[:, 1]]]})
+        q, r, joins = np.array(found, np.int64).reshape(-1, 3).T
+        n = (np.bincount(a[q], copies[b[r]], len(fp)) + np.bincount(b[r], copies[a[q]], len(fp))).astype(np.int64)
+        linked, q, r = np.flatnonzero(n), q[joins == 1], r[joins == 1]
+        return pa.table({
+            "src": np.concatenate([fp[a[q]], fp[linked]]),
+            "dst": pa.array(np.concatenate([fp[b[r]], fp[linked]])),  # a loop carries the number
+            "links": np.concatenate([np.zeros(len(q), np.int64), n[linked]])})
 
-    links = (cells.join(whole, "fp").select("cluster", "lo", "hi", "block", "fp", "set")
-             .groupBy("cluster", "lo", "hi").applyInArrow(search, "src long, dst long"))
-    return stored(connected_components(links, "jaccard-components"), "jaccard-labels")
+    links = stored(cells.join(whole, "fp").select("cluster", "lo", "hi", "block", "fp", "copies", "set")
+                   .groupBy("cluster", "lo", "hi").applyInArrow(search, "src long, dst long, links long"), "jaccard-links")
+    counts = links.where("links > 0").groupBy(F.col("src").alias("node")).agg(F.sum("links").alias("links"))
+    return stored(connected_components(links.select("src", "dst"), "jaccard-components").join(counts, "node"), "jaccard-labels")
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:
-    """One row a document: doc_id, text_hash, n_shingles, component_id.
+    """One row a document: doc_id, text_hash, n_shingles, component_id, n_links (other documents that it links with).
 
     Documents link when the Jaccard similarity of their shingle sets is at
     least ``percent`` / 100; component_id is the smallest doc_id reachable.
@@ -345,17 +354,19 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     sets, so linked.  No documents give no rows.
     """
     sets = stored(document_sets(docs, percent, size), "jaccard-documents")
-    classes = sets.where("fp IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    classes = sets.where("fp IS NOT NULL").groupBy("fp").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     labels = similar_classes(docs, sets, classes, percent, size)
     labelled = classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp"))
     # classes linked to others: their component's smallest representative
     low = (labelled.join(labels.select(F.col("node").alias("fp")), "fp", "left_semi")
            .groupBy("component").agg(F.min("rep").alias("low")))
-    reps = labelled.join(low, "component", "left").select("fp", F.coalesce("low", "rep").alias("component_id"))
+    reps = labelled.join(low, "component", "left").select(
+        "fp", F.coalesce("low", "rep").alias("component_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     return (sets.drop("lead").join(reps, "fp", "left")
             .select("doc_id", "text_hash", F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "doc_id").alias("component_id")))
+                    F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
 
 
 def one_of_each_group(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:

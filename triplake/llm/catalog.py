@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from triplake.llm import (bpe, cap_dedupe, dual_tree, langid, mixing, ppm, shingle_join, surrogates, url_filter, warc)
+from triplake.llm import (
+    bpe, cap_dedupe, dual_tree, langid, mixing, pieces, ppm, shingle_join, surrogates, url_filter, warc)
 
 QUERIES = {
     "op1_cap_dedupe": cap_dedupe.op1_cap_dedupe,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_language_id": langid.op8_language_id,
     "op9_bpe": bpe.op9_bpe,
     "op10_shingle_join": shingle_join.op10_shingle_join,
+    "op13_pieces": pieces.op13_pieces,
 }
 
 ORACLE_SQL = {

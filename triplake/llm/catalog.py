@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from triplake.llm import (
-    bpe, cap_dedupe, dual_tree, langid, mixing, pieces, ppm, shingle_join, surrogates, url_filter, warc)
+    bpe, cap_dedupe, dual_tree, importance, langid, mixing, pieces, ppm, shingle_join, surrogates, url_filter, warc)
 
 QUERIES = {
     "op1_cap_dedupe": cap_dedupe.op1_cap_dedupe,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_language_id": langid.op8_language_id,
     "op9_bpe": bpe.op9_bpe,
     "op10_shingle_join": shingle_join.op10_shingle_join,
+    "op11_resample": importance.op11_resample,
     "op13_pieces": pieces.op13_pieces,
 }
 
@@ -24,4 +25,5 @@ ORACLE_SQL = {
     "op4_dual_tree": dual_tree.ORACLE_SQL,
     "op6_url_filter": url_filter.ORACLE_SQL,
     "op7_warc": warc.ORACLE_SQL,
+    "op11_resample": importance.ORACLE_SQL,
 }

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from triplake.llm import (
-    bpe, cap_dedupe, dual_tree, importance, langid, mixing, pieces, ppm, shingle_join, surrogates, url_filter, warc)
+    bpe, cap_dedupe, dual_tree, importance, langid, mixing, pieces, ppm, shingle_join, spelling, surrogates, url_filter,
+    warc)
 
 QUERIES = {
     "op1_cap_dedupe": cap_dedupe.op1_cap_dedupe,
@@ -17,6 +18,7 @@ QUERIES = {
     "op9_bpe": bpe.op9_bpe,
     "op10_shingle_join": shingle_join.op10_shingle_join,
     "op11_resample": importance.op11_resample,
+    "op12_spelling": spelling.op12_spelling,
     "op13_pieces": pieces.op13_pieces,
 }
 
@@ -26,4 +28,5 @@ ORACLE_SQL = {
     "op6_url_filter": url_filter.ORACLE_SQL,
     "op7_warc": warc.ORACLE_SQL,
     "op11_resample": importance.ORACLE_SQL,
+    "op12_spelling": spelling.ORACLE_SQL,
 }

@@ -35,3 +35,13 @@ def joined(head: np.ndarray, tail: np.ndarray, tail_length: np.ndarray) -> np.nd
         t, h = _shift(size), head[rows].astype(np.uint32)
         out[rows] = t[0][h & 255] ^ t[1][h >> 8 & 255] ^ t[2][h >> 16 & 255] ^ t[3][h >> 24] ^ tail[rows].astype(np.uint32)
     return out
+
+
+#: DuckDB SQL: CRC-32 of ``w`` by its table, which a rule makes: 3988292384 is the polynomial of the checksum.
+CRC_TABLE_SQL = """crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, CAST(3988292384 AS BIGINT)) ELSE c // 2 END)) AS t
+)"""
+CRC_SQL = """xor(CAST(4294967295 AS BIGINT), list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    list_transform(range(octet_length(encode({w}))), lambda i: CAST('0x' || substr(hex(encode({w})), 2 * i + 1, 2) AS BIGINT))),
+    lambda c, b: xor(c // 256, t[1 + (xor(c, b) & 255)])))"""

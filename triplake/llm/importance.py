@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from triplake.llm.common import stored, table
-from triplake.llm.crc import joined
+from triplake.llm.crc import CRC_SQL, CRC_TABLE_SQL, joined
 
 BUCKETS = 10000
 GRAMS = 1
@@ -210,15 +210,6 @@ def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _FOUND = rf"unnest(regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))"
-#: CRC-32 of ``w`` by its table, which a rule makes: 3988292384 is the polynomial of the checksum.
-CRC_TABLE_SQL = """crc_table AS (
-  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
-    lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, CAST(3988292384 AS BIGINT)) ELSE c // 2 END)) AS t
-)"""
-CRC_SQL = """xor(CAST(4294967295 AS BIGINT), list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
-    list_transform(range(octet_length(encode({w}))), lambda i: CAST('0x' || substr(hex(encode({w})), 2 * i + 1, 2) AS BIGINT))),
-    lambda c, b: xor(c // 256, t[1 + (xor(c, b) & 255)])))"""
-
 ORACLE_SQL = rf"""
 WITH {CRC_TABLE_SQL}, d AS (
   SELECT row_number() OVER () AS row, doc_id, text FROM documents

@@ -18,8 +18,8 @@ def library():
     return sentencepiece.SentencePieceProcessor(model_file=P.path(pieces.MODEL_FILE))
 
 
-def ids_of(enc, text):
-    return [i for p in next(enc.each([text])) for i in p[1]]
+def ids_of(parts, text):
+    return [i for p in parts.of(text) for i in p]
 
 
 def test_ids_and_text_equal_the_library(library):
@@ -30,11 +30,20 @@ def test_ids_and_text_equal_the_library(library):
     # pieces strung together meet at every kind of border
     words = [p.replace("▁", " ") for p, kind in pieces.piece_model(P.path(pieces.MODEL_FILE)).piece if kind == pieces.NORMAL]
     texts += ["".join(rng.choice(words) for _ in range(rng.randint(1, 60))) for _ in range(1500)]
-    enc = pieces._Encoded(P.path(pieces.MODEL_FILE))
+    m = pieces.piece_model(P.path(pieces.MODEL_FILE))
+    parts = pieces.Parts(m, list)
     for text in texts:
         ids = library.encode(text)
-        assert ids_of(enc, text) == ids
-        assert enc.model.decode(ids) == library.decode(ids)
+        assert ids_of(parts, text) == ids
+        assert m.decode(ids) == library.decode(ids)
+
+
+def test_parts_forgotten_are_encoded_anew(library, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 5)
+    parts = pieces.Parts(pieces.piece_model(P.path(pieces.MODEL_FILE)), list)
+    for text in ["a b c d e f g h", "a b c d e f g h", "h g f e x y z", "a x b y"] * 2:
+        assert ids_of(parts, text) == library.encode(text)
+        assert len(parts) <= 5 and len(parts.older) <= 5
 
 
 def test_without_cuts_the_ids_are_the_same(library):
@@ -58,7 +67,7 @@ def test_backtracking_equals_merging_on_every_short_text():
         m.shorter = {t: next((t[:k] for k in range(len(t) - 1, 1, -1) if t[:k] in made), t[0]) for t in made}
         m.matches = pieces.ahocorasick.Automaton()
         for t in m.shorter:
-            m.matches.add_word(t, t)
+            m.matches.add_word(t, (len(t) - 1, t))
         m.matches.make_automaton()
         m.together = {}
         if not made:

@@ -24,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -35,11 +35,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from triplake.llm.common import slices, table
 
 MODEL_FILE = "piece_bpe_32k.model"
-#: Encoded parts and compatible pairs that a task remembers; longer parts are not remembered.
+#: Encoded parts and compatible pairs that a worker remembers (of parts, as many again); longer parts are not remembered.
 REMEMBERED = 1 << 18
 REMEMBERED_CHARS = 64
-#: Characters of text whose parts are held at a time.
-CHUNK_CHARS = 1 << 20
 
 # The mark that stands for a space, what an unknown piece decodes to, kinds of pieces.
 SPACE = "▁"
@@ -108,6 +106,8 @@ class PieceModel:
             raise ValueError("not a merge-type model with byte fallback")
         if (normalizer[2], normalizer[3], normalizer[4], normalizer[5]) != (b"", 1, 0, 1) or SPACE not in score:
             raise ValueError("a model that rewrites texts is not read")
+        self.plain = [t.replace(SPACE, " ") if kind == NORMAL else None for t, kind in self.piece]
+        self.decimal = [str(i).encode() for i in range(len(self.piece))]
         self.id = {t: i for i, (t, kind) in reversed(list(enumerate(self.piece))) if kind == NORMAL}
         self.rank = {t: -s for t, s in score.items()}
         #: two characters next to each other in a piece; across any other border nothing merges
@@ -119,7 +119,7 @@ class PieceModel:
                         for t in made if len(t) > 1}
         self.matches = ahocorasick.Automaton()
         for t in self.shorter:
-            self.matches.add_word(t, t)
+            self.matches.add_word(t, (len(t) - 1, t))
         self.matches.make_automaton()
         self.together: dict[tuple[str, str], bool] = {}
 
@@ -139,50 +139,49 @@ class PieceModel:
 
     def compatible(self, a: str, b: str) -> bool:
         """Whether two pieces stay apart when their joined text is merged anew."""
-        if a[-1] + b[0] not in self.inside:
-            return True
         known = self.together.get((a, b))
         if known is None:
             if len(self.together) >= REMEMBERED:
                 self.together.clear()
-            known = self.together[a, b] = self.merge(a + b) == [a, b]
+            known = self.together[a, b] = a[-1] + b[0] not in self.inside or self.merge(a + b) == [a, b]
         return known
 
     def split(self, text: str) -> list[str]:
         """The pieces of a text with marked spaces; characters outside the vocabulary are pieces of their own."""
         longest = list(text)
-        for end, t in self.matches.iter(text):
-            at = end + 1 - len(t)
-            if len(t) > len(longest[at]):
-                longest[at] = t
-        failed = bytearray((len(text) >> 3) + 1)
+        for end, (k, t) in self.matches.iter(text):  # of matches with one start the longest ends last
+            longest[end - k] = t
+        size, known = len(text), self.together
+        failed, any_failed = bytearray((size >> 3) + 1), False
         out: list[str] = []
-        at = 0
-        while at < len(text):
+        at, before = 0, None
+        while at < size:
             t = longest[at]
             while True:
                 end = at + len(t)
-                if not failed[end >> 3] >> (end & 7) & 1 and (not out or self.compatible(out[-1], t)):
+                if (not any_failed or not failed[end >> 3] >> (end & 7) & 1) and (
+                        before is None or known.get((before, t)) or self.compatible(before, t)):
                     out.append(t)
-                    at = end
+                    at, before = end, t
                     break
                 if len(t) > 1:
                     t = self.shorter[t]
                 else:  # no piece fits here: the one before must be a shorter one
                     failed[at >> 3] |= 1 << (at & 7)
+                    any_failed = True
                     t = out.pop()
                     at -= len(t)
+                    before = out[-1] if out else None
         return out
 
     def ids(self, pieces: list[str]) -> list[int]:
-        out: list[int] = []
-        for t in pieces:
-            i = self.id.get(t)
-            if i is None:
-                out += [self.byte_id[b] for b in t.encode()]
-            else:
-                out.append(i)
-        return out
+        out = list(map(self.id.get, pieces))
+        if None not in out:
+            return out
+        known = []
+        for t, i in zip(pieces, out):
+            known += [self.byte_id[b] for b in t.encode()] if i is None else [i]
+        return known
 
     def parts(self, text: str) -> list[str]:
         """A text with a dummy prefix and marked spaces, cut where no piece can reach across."""
@@ -191,9 +190,15 @@ class PieceModel:
         marked = SPACE + text.replace(" ", SPACE)
         return _PARTS.findall(marked) if self.cuts else [marked]
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids: spaces for their marks, runs of byte pieces as UTF-8 (U+FFFD for each byte that is not)."""
-        text, raw, started = [], bytearray(), False
+    def decode(self, ids: list[int], inside: bool = False) -> str:
+        """The text of ids: spaces for their marks, runs of byte pieces as UTF-8 (U+FFFD for each byte that is not).
+
+        ``inside``: the ids follow others, so that no dummy prefix goes.
+        """
+        plain = list(map(self.plain.__getitem__, ids))
+        if inside and None not in plain:
+            return "".join(plain)
+        text, raw, started = [], bytearray(), inside
         for i in [*ids, None]:
             t, kind = self.piece[i] if i is not None else ("", CONTROL)
             if kind == BYTE:
@@ -228,26 +233,34 @@ def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-class _Encoded:
-    """Encodes texts part by part, remembering parts; each is (tokens, ids, decimal ids, decoded bytes)."""
+class Parts(dict):
+    """part of a text -> what ``make`` makes of its ids, remembered while in use: two generations of REMEMBERED parts."""
 
-    def __init__(self, path: str):
-        self.model, self.seen = piece_model(path), {}
+    def __init__(self, model: PieceModel, make: Callable[[list[int]], object]):
+        super().__init__()
+        self.model, self.make, self.older = model, make, {}
 
-    def part(self, text: str) -> tuple[int, list[int], bytes, bytes]:
-        known = self.seen.get(text)
+    def __missing__(self, text: str):
+        known = self.older.get(text)
         if known is None:
-            ids = self.model.ids(self.model.split(text))
-            known = len(ids), ids, ",".join(map(str, ids)).encode(), text.replace(SPACE, " ").encode()
-            if len(text) <= REMEMBERED_CHARS:
-                if len(self.seen) >= REMEMBERED:
-                    self.seen.clear()
-                self.seen[text] = known
+            known = self.make(self.model.ids(self.model.split(text)))
+        if len(text) <= REMEMBERED_CHARS:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[text] = known
         return known
 
-    def each(self, texts: list[str | None]) -> Iterator[list[tuple]]:
-        for t in texts:
-            yield list(map(self.part, self.model.parts(t or "")))
+    def of(self, text: str | None) -> Iterator:
+        """What was made of each part of a text, in order."""
+        return map(self.__getitem__, self.model.parts(text or ""))
+
+
+@lru_cache(maxsize=1)
+def digested_parts(path: str) -> Parts:
+    """Parts as (decimal ids, decoded bytes), remembered by a worker from one task to the next."""
+    m = piece_model(path)
+    return Parts(m, lambda ids: (b",".join(map(m.decimal.__getitem__, ids)), m.decode(ids, inside=True).encode()))
 
 
 def encode_digest(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -260,14 +273,16 @@ def encode_digest(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or public_tokenizers.path(MODEL_FILE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _Encoded(path)
+        parts = digested_parts(path)
         for b in slices(batches):
             n, ids, raw = [], [], []
-            for ps in enc.each(b.column("text").to_pylist()):
-                n.append(sum([p[0] for p in ps]))
-                ids.append(hashlib.sha256(b",".join([p[2] for p in ps])).hexdigest())
+            for text in b.column("text").to_pylist():
+                made, decoded = zip(*parts.of(text)) if text else ((), ())
+                joined = b",".join(made)
+                n.append(joined.count(b",") + 1 if made else 0)
+                ids.append(hashlib.sha256(joined).hexdigest())
                 # what the parts decode to, less the dummy prefix
-                raw.append(hashlib.sha256(b"".join([p[3] for p in ps])[1:]).hexdigest())
+                raw.append(hashlib.sha256(b"".join(decoded)[1:]).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(raw, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
@@ -286,9 +301,9 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     at = kept.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _Encoded(path)
+        parts = Parts(piece_model(path), list)
         for b in slices(batches):
-            ids = [[i for p in ps for i in p[1]] for ps in enc.each(b.column(at).to_pylist())]
+            ids = [[i for p in parts.of(t) for i in p] for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))],
                                              names=[*b.schema.names, "piece_ids"])
 

@@ -30,14 +30,16 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from triplake.lake import scratch_dir
-from triplake.llm.common import WordIds, ragged_index, stored, table
+from triplake.llm.common import WordIds, ragged_index, slices, stored, table
 
 #: Longest context in bytes; n-grams of ORDER context bytes and a symbol are 9 bits a symbol in a long.
 ORDER = 5
 #: Subtrees of the trie are told apart by this many last context bytes.
 CUT = 2
-#: Rows of a file that make a chunk.
+#: Rows of a file that make a chunk, and rows of a chunk taken at a time: a key and a row's number share a word.
 CHUNK_ROWS = 8192
+RUN_BITS = 10
+RUN_ROWS = 1 << RUN_BITS
 BITS = 9
 #: Symbols: bytes 0..255, the end of a document, and the mark before its start.
 END, START = 256, 257
@@ -65,11 +67,12 @@ def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarra
     for i in range(1, order + 1):
         raw[starts - i] = START
     raw[starts + lengths - 1] = END
-    at = np.repeat(starts, lengths) + ragged_index(lengths)
-    key = np.zeros(len(at), np.int64)
-    for i in range(1, order + 1):
-        key = key << BITS | raw[at - i]
-    return key << BITS | raw[at], lengths
+    # the keys of all places of the padded bytes, then those of symbols
+    key = raw[order - 1:-1].copy()
+    for i in range(2, order + 2):
+        np.left_shift(key, BITS, out=key)
+        np.bitwise_or(key, raw[order - i:-i] if i <= order else raw[order:], out=key)
+    return key[np.repeat(starts - order, lengths) + ragged_index(lengths)], lengths
 
 
 def context(key, length: int, order: int = ORDER):
@@ -174,8 +177,8 @@ def in_chunks(docs: DataFrame, rows: int = CHUNK_ROWS) -> DataFrame:
 
 
 def _runs(batches: Iterator[pa.RecordBatch], size: int = 1 << 21) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """(chunk, rows of it) in the order read, about ``size`` characters at a time."""
-    for b in batches:
+    """(chunk, rows of it) in the order read, about ``size`` characters and at most ``RUN_ROWS`` rows at a time."""
+    for b in slices(batches, RUN_ROWS):
         chunk = b.column("chunk").to_numpy()
         length = pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False)
         part = np.cumsum(length, dtype=np.int64) // size
@@ -193,6 +196,18 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return key[first], np.add.reduceat(n, first)
 
 
+def _sums(k: np.ndarray, lengths: np.ndarray, key: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Sum of the values of each text's keys: keys are sorted with their text's number and looked up once each."""
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    both = np.sort(k.astype(np.uint64) << np.uint64(RUN_BITS) | row.astype(np.uint64))
+    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+    times, both = np.diff(np.append(first, len(both))), both[first]
+    k = (both >> np.uint64(RUN_BITS)).astype(np.int64)
+    new = np.concatenate([[True], k[1:] != k[:-1]])
+    v = value[np.searchsorted(key, k[new])][np.cumsum(new) - 1]
+    return np.bincount((both & np.uint64(RUN_ROWS - 1)).astype(np.int64), v * times, len(lengths))
+
+
 def _chunk_counts(chunks: DataFrame) -> DataFrame:
     """(chunk, key, n): the distinct keys of each chunk and their training counts.
 
@@ -215,8 +230,10 @@ def _chunk_counts(chunks: DataFrame) -> DataFrame:
             train = ~b.column("held_out").to_numpy(zero_copy_only=False)
             texts = _bytes(b)
             for k, lengths in (grams(texts), _word_keys(texts, words)):
-                u, inverse = np.unique(k, return_inverse=True)
-                parts.append((u, np.bincount(inverse, np.repeat(train, lengths), len(u)).astype(np.int64)))
+                learned = np.repeat(train, lengths)
+                parts.append(np.unique(k[learned], return_counts=True))
+                unseen = np.unique(k[~learned])
+                parts.append((unseen, np.zeros(len(unseen), np.int64)))
             if len(parts) >= 16:
                 parts = [_merged(parts)]
         if parts:
@@ -279,9 +296,7 @@ def score(chunks: DataFrame) -> DataFrame:
                     key, value = key[by], value[by]
                 now = chunk
             texts = _bytes(b)
-            k, lengths = grams(texts)
-            u, inverse = np.unique(k, return_inverse=True)
-            total = np.add.reduceat(value[np.searchsorted(key, u)][inverse], np.cumsum(lengths) - lengths)
+            total = _sums(*grams(texts), key, value)
             k, lengths = _word_keys(texts, ids)
             first = np.cumsum(lengths) - lengths
             c = value[np.searchsorted(key, k)]

@@ -131,3 +131,34 @@ def test_names_and_secrets_in_plain_forms(spark):
     assert not {"Smith", "John", "Ada", "Lovelace", "Tolkien"} & set(a.groups() + b.groups() + c.groups())
     assert d[1] != "hunter2" and "S3cret" not in d[2]
     assert [r.n_entities for r in rows] == [3, 5, 1, 2, 1]
+
+
+def test_titles_in_a_row_particles_and_country_codes(spark):
+    texts = ["Herr Dr. Hans Meier kam", "Mr Prof. Ada Byron left", "Mr Ludwig van Beethoven and Frau von der Leyen; Prof. Dr. Frau Eva de la Cruz",
+             "call +41 44 123 45 now, +41 44 123 45 67, +1 (743) 555-3824 or 743-555-3824, +14155552671", "Herr Hans Meier"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = [r.text for r in sg.replace(docs).orderBy("doc_id").collect()]
+    a = re.fullmatch(r"Herr Dr\. (\w+) (\w+) kam", out[0])
+    b = re.fullmatch(r"Mr Prof\. (\w+) (\w+) left", out[1])
+    c = re.fullmatch(r"Mr (\w+) van (\w+) and Frau von der (\w+); Prof\. Dr\. Frau (\w+) de la (\w+)", out[2])
+    d = re.fullmatch(r"call \+41 (\d\d \d{3} \d\d) now, \+41 (\d\d \d{3} \d\d \d\d), \+1 \((\d{3})\) (\d{3}-\d{4}) or (\d{3})-(\d{3}-\d{4}), \+1(\d{10})", out[3])
+    assert a and b and c and d
+    assert out[4] == f"Herr {a[1]} {a[2]}" and a[1].endswith("o") and b[1].endswith("o") and c[4].endswith("a")
+    assert d[1] != "44 123 45" and d[2] != "44 123 45 67" and d.group(3, 4) == d.group(5, 6) and d[7] != "4155552671"
+    names = {w for t in texts[:3] for w in re.findall(r"[A-Z]\w{2,}", t)} - {"Herr", "Prof", "Frau"}
+    assert not names & {w for m in (a, b, c) for w in m.groups()}
+
+
+# what each part of ENTITY could be made to repeat
+HOSTILE = ["x@" + "b." * 100000 + "com", "x@" + "b" * 100000, "x." * 100000 + "@b.com", "a@b." * 50000, "@" * 100000, "Mr " * 100000,
+           "Mr A. " * 50000, "Mr " + "A." * 100000, "Mr " + "van " * 100000 + "B", "Herr\n" * 50000, "1." * 100000, "1.1.1.1." * 50000,
+           "1 " * 100000, "4111 " * 50000, "+1 " * 100000, "+" * 100000, "(123) " * 50000, "123-" * 100000, "123-45-" * 50000,
+           "token=" * 50000, "token = " + "x" * 100000, "password:" + " " * 100000, "'" * 100000, "É" * 100000, "\u00a0" * 100000]
+
+
+def test_hostile_texts_of_many_repeats(spark):
+    docs = spark.createDataFrame(list(enumerate(HOSTILE)), "doc_id long, text string").repartition(4)
+    rows = {r.doc_id: r for r in sg.replace(docs).collect()}
+    assert len(rows) == len(HOSTILE)
+    for i in (0, 1, 4, 10, 12, 15, 22, 23, 24):
+        assert rows[i].text == HOSTILE[i]

@@ -26,10 +26,12 @@ from triplake.llm.common import stored, table
 
 KEY = "corpus"
 
-# Titles and the gender they say, naming words of secrets.
+# Titles and the gender they say, words that stand before family names, naming words of secrets.
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа")
 NEUTRAL = ("Dr", "Prof")
+PARTICLES = ("von", "van", "vom", "zu", "zum", "zur", "der", "den", "dem", "de", "del", "della", "di", "da", "dos", "das", "do",
+             "du", "la", "le", "los", "ter", "ten", "op", "bin", "ibn", "al", "el", "y")
 SECRET_WORDS = ("token", "secret", "password", "passwd", "api_key", "api-key", "apikey")
 
 #: Attempts at a unit's own length; each later one is a character longer.
@@ -48,10 +50,15 @@ _INITIAL = r"\p{Lu}\.(?:" + _AFTER + r")?"
 _TITLE = r"(?:" + "|".join(MALE + FEMALE + NEUTRAL) + r")\.?"
 _NAMED = r"(?i:" + "|".join(SECRET_WORDS) + r")\s{0,3}[=:]\s{0,3}[\"']?"
 SECRET = _B + _NAMED + r"[^\s\"'`<>,;]{3,}[^\s\"'`<>,;.:!?]"
-# a word is tried from its first character only and never given back
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"
-PERSON = (_B + _TITLE + _AFTER + r"(?:" + _INITIAL + r"|\p{Lu}" + _AFTER + r"){0,3}" + _NAME
-          + r"(?:" + _SPACE + r"{1,3}(?:" + _INITIAL + r"){0,3}" + _NAME + r"){0,2}")
+# a word is tried from its first character only and never given back; a host's labels are as many and as long as names
+# of hosts may have: a repeat without a bound is a call a label deep
+EMAIL = (r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){0,125}"
+         r"\.\p{L}{2,63}(?![\p{L}\p{N}])")
+# titles in a row, and small words that stand before a name
+_TITLES = _TITLE + r"(?:" + _AFTER + _TITLE + r"){0,3}"
+_BEFORE = r"(?:(?:" + "|".join(PARTICLES) + r")" + _SPACE + r"{1,3}){0,3}"
+PERSON = (_B + _TITLES + _AFTER + r"(?:" + _INITIAL + r"|\p{Lu}" + _AFTER + r"){0,3}" + _BEFORE + _NAME
+          + r"(?:" + _SPACE + r"{1,3}(?:" + _INITIAL + r"){0,3}" + _BEFORE + _NAME + r"){0,2}")
 _WORD = r"\p{Lu}[\p{L}'’-]*"
 IP = r"(?<![\p{L}\p{N}.])\d{1,3}(?:\.\d{1,3}){3}(?!\p{N}|\.\d)"
 PHONE = (_B + r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}" + _E + "|"
@@ -99,6 +106,16 @@ def _rest(c: Column, first: int) -> Column:
     return c.substr(F.lit(first), F.length(c))
 
 
+def _national(m: Column) -> Column:
+    """A phone number's digits, ten at most from the end, without the country code that a + says."""
+    code = F.regexp_extract(m, r"^\+(1(?!\d)|1(?=\d{10}$)|\d{1,3}(?!\d)|\d{2})", 1)
+    return F.right(_rest_after(_digits(m), F.length(code)), F.lit(10))
+
+
+def _rest_after(c: Column, n: Column) -> Column:
+    return c.substr(n + 1, F.length(c))
+
+
 def _luhn(digits: Column, last_doubled: bool) -> Column:
     """Luhn sum of a digit text, counting every second digit twice from the right."""
     def of(cs: Column) -> Column:
@@ -167,11 +184,14 @@ def _secret(m: Column) -> Column:
 
 
 def _title(m: Column) -> Column:
-    return F.regexp_extract(m, "^(" + _TITLE.removesuffix(r"\.?") + r")\b", 1)
+    """The first title that says a gender, else the first."""
+    titles = F.regexp_extract_all(F.regexp_extract(m, "^" + _TITLES + "(?=" + _AFTER + ")", 0),
+                                  F.lit(_B + "(" + _TITLE.removesuffix(r"\.?") + ")" + _E), F.lit(1))
+    return let(titles, lambda ts: F.coalesce(F.get(F.filter(ts, lambda t: t.isin(*MALE, *FEMALE)), F.lit(0)), F.get(ts, F.lit(0))))
 
 
 def _name_part(m: Column) -> Column:
-    return F.regexp_replace(m, "^" + _TITLE + _AFTER, "")
+    return F.regexp_replace(m, "^" + _TITLES + _AFTER, "")
 
 
 def _name_words(m: Column) -> Column:
@@ -223,7 +243,7 @@ def _units(m: Column) -> Column:
         F.when(kind == "email", F.array(_unit("local", F.lower(F.substring_index(m, "@", 1))),
                                         _unit("host", F.lower(F.substring_index(m, "@", -1)))))
         .when(kind == "person", names)
-        .when(kind == "phone", F.array(_unit("phone", F.right(_digits(m), F.lit(10)))))
+        .when(kind == "phone", F.array(_unit("phone", _national(m))))
         .when(kind.isin("card", "ssn"), F.array(_unit(kind, _digits(m))))
         .when(kind == "ip", F.array(_unit("ip", m)))
         .when(kind == "secret", F.array(_unit("secret", _secret(m))))
@@ -359,12 +379,12 @@ def replacement(m: Column, tries: Column, key: str, names: Column) -> Column:
     new = let(words, lambda xs: F.transform(xs, lambda x: F.when(
         F.length(x["word"]) == 1, _initial(x["word"], F.element_at(xs, -1)["word"], key)).otherwise(word(x))))
     name = F.when(_is_person(m), _name_part(m)).otherwise(m)
-    person = F.concat(F.regexp_extract(m, "^(" + _TITLE + _AFTER + ")", 1), F.array_join(F.zip_with(
+    person = F.concat(F.regexp_extract(m, "^(" + _TITLES + _AFTER + ")", 1), F.array_join(F.zip_with(
         F.split(name, _WORD, -1), F.concat(new, F.array(F.lit(""))), lambda gap, w: F.concat(gap, w)), ""))
 
     def number(x: Column) -> Column:
         return let(kind_of(x), lambda kind: _in_format(x, (
-            F.when(kind == "phone", of("phone", F.right(_digits(x), F.lit(10))))
+            F.when(kind == "phone", of("phone", _national(x)))
             .when(kind == "card", of("card", _digits(x))).otherwise(of("ssn", _digits(x))))))
 
     # phones and numbers keep their length, so those of a run stay where they are

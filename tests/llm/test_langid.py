@@ -74,3 +74,8 @@ def test_held_out_accuracy(spark):
     got = langid.op8_language_id(spark, SF0001.replace("0.001", "0.01")).where("held_out").join(docs, "doc_id")
     n, right = got.selectExpr("count(*)", "count_if(lang = lang_pred)").first()
     assert n > 200 and right / n >= 0.97
+
+
+def test_words_are_letters_and_their_marks():
+    assert langid.words_of("½ ² ① Ⅷ 12_3 ́") == []
+    assert langid.words_of("Über-x² नमस्ते, हिन्दी ét") == ["über", "x", "नमस्ते", "हिन्दी", "ét"]

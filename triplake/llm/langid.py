@@ -12,8 +12,11 @@ its size, ``SAMPLE_DOCS`` the labelled documents it is fitted on.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import sys
+import unicodedata
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,12 +50,34 @@ RANGES = ((0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "
 _STARTS = np.array([r[0] for r in RANGES])
 _SCRIPT = np.array([SCRIPTS.index(r[1]) for r in RANGES])
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+
+def _class(belongs: Callable[[str], bool], last: int) -> str:
+    """The code points up to ``last`` that belong, as the inside of a character class."""
+    inside = [belongs(chr(c)) for c in range(last + 1)]
+    edges = [c for c in range(len(inside)) if inside[c] != (c > 0 and inside[c - 1])] + [len(inside)]
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2]))
+
+
+_ASCII = re.compile(r"[A-Za-z]+")
+
+
+@lru_cache(maxsize=2)
+def _words(last: int) -> re.Pattern:
+    """A letter and the letters and marks behind it, in texts up to that code point; number signs are no letters."""
+    numbers = _class(lambda c: c.isalnum() and not c.isdecimal() and unicodedata.category(c)[0] != "L", last)
+    marks = _class(lambda c: unicodedata.category(c)[0] == "M", last)
+    return re.compile(rf"[^\W\d_{numbers}]+(?:[{marks}]+[^\W\d_{numbers}]*)*")
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, lower-cased."""
-    return _LETTERS.findall(text.lower()) if text else []
+    """Words of letters and their marks, lower-cased."""
+    if not text:
+        return []
+    if text.isascii():
+        return _ASCII.findall(text.lower())
+    # classes within the first plane are looked up in a table
+    first_plane = len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text)
+    return _words(0xFFFF if first_plane else sys.maxunicode).findall(text.lower())
 
 
 def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -122,6 +122,9 @@ def make_filters(n: int, d: int, cosine: float = COSINE, bucket: int = BUCKET, r
         pairs = [row << TABLE_SHIFT | code for row, code in (t.decode(a), t.decode(b))]
         found[np.intersect1d(*pairs) >> TABLE_SHIFT] = True
         tables.append(t)
+    if found.mean() < recall:
+        raise ValueError(f"{TABLES} tables of filters find {found.mean():.4f} of simulated pairs at cosine {cosine}, not {recall}: "
+                         "allow larger caps (bucket), or a lower recall")
     return tables
 
 

@@ -71,57 +71,87 @@ def _fields(raw: bytes) -> Iterator[tuple[int, object]]:
         at += size
 
 
-class PieceModel:
-    """Encoder and decoder of one model file.
+class _Singles(dict):
+    """character -> number of the piece it is; characters that are none get numbers behind those of pieces."""
 
-    Only models whose texts need no rewriting are read: merge type, byte
-    fallback, a dummy prefix, spaces kept and escaped, no character map,
-    none but normal, byte, control and unknown pieces; others raise ValueError.
-    """
+    def __init__(self, model: "PieceModel"):
+        super().__init__()
+        self.model = model
 
-    def __init__(self, path: str):
+    def __missing__(self, c: str) -> int:
+        self[c] = n = self.model.add(c)
+        return n
+
+
+class PieceModel:
+    """Encoder and decoder: pieces ``(text, kind)`` by id, and the scores of the normal ones."""
+
+    def __init__(self, pieces: list[tuple[str, int]], score: dict[str, float]):
+        self.piece, self.rank = pieces, {t: -s for t, s in score.items()}
+        self.byte_id = [-1] * 256
+        for i, (t, kind) in enumerate(pieces):
+            if kind == BYTE:
+                self.byte_id[int(t[3:5], 16)] = i
+        #: two characters next to each other in a piece; across any other border nothing merges
+        self.inside = {a + b for t in self.rank for a, b in zip(t, t[1:])}
+        self.cuts = not any(x[0] != SPACE == x[1] for x in self.inside)
+        self.plain = [t.replace(SPACE, " ") if kind == NORMAL else None for t, kind in pieces]
+        self.decimal = [str(i).encode() for i in range(len(pieces))]
+        # by number (ids, then characters that are no pieces): text, length, the next shorter piece that is a prefix
+        self.text, self.size, self.shorter = [], [], []
+        for t, _ in pieces:
+            self.add(t)
+        number = {t: i for i, (t, kind) in reversed(list(enumerate(pieces))) if kind == NORMAL}
+        self.single = _Singles(self)
+        self.single.update((t, i) for t, i in number.items() if len(t) == 1)
+        #: pieces that merging their own characters gives
+        made = {t for t in number if len(t) > 1 and self.merge(t) == [t]}
+        self.matches = ahocorasick.Automaton()
+        for t in made:
+            prefix = next((t[:k] for k in range(len(t) - 1, 1, -1) if t[:k] in made), t[0])
+            self.shorter[number[t]] = number[prefix] if len(prefix) > 1 else self.single[prefix]
+            self.matches.add_word(t, (len(t) - 1, number[t]))
+        if made:
+            self.matches.make_automaton()
+        self.together: dict[int, bool] = {}
+
+    @classmethod
+    def load(cls, path: str) -> "PieceModel":
+        """The model of a file.
+
+        Only models whose texts need no rewriting are read: merge type, byte
+        fallback, a dummy prefix, spaces kept and escaped, no character map,
+        none but normal, byte, control and unknown pieces; others raise ValueError.
+        """
         with open(path, "rb") as f:
             fields = list(_fields(f.read()))
-        self.piece: list[tuple[str, int]] = []
+        pieces: list[tuple[str, int]] = []
         score: dict[str, float] = {}
-        self.byte_id: list[int] = [-1] * 256
         # fixed values: field numbers of the format, and what a field left out means
         trainer, normalizer = {3: 1, 24: 0, 35: 0}, {2: b"", 3: 1, 4: 1, 5: 1}
         for number, value in fields:
             if number == 1:
                 p = dict(_fields(value))
                 text, kind = p[1].decode(), p.get(3, NORMAL)
+                if kind not in (NORMAL, UNKNOWN, CONTROL, BYTE):
+                    raise ValueError(f"pieces of kind {kind} are not read")
                 if kind == NORMAL:
                     score.setdefault(text, struct.unpack("<f", p[2])[0] if 2 in p else 0.0)
-                elif kind == BYTE:
-                    self.byte_id[int(text[3:5], 16)] = len(self.piece)
-                elif kind not in (UNKNOWN, CONTROL):
-                    raise ValueError(f"pieces of kind {kind} are not read")
-                self.piece.append((text, kind))
+                pieces.append((text, kind))
             elif number == 2:
                 trainer.update(_fields(value))
             elif number == 3:
                 normalizer.update(_fields(value))
-        if (trainer[3], trainer[24], trainer[35]) != (2, 0, 1) or min(self.byte_id) < 0:
+        model = cls(pieces, score)
+        if (trainer[3], trainer[24], trainer[35]) != (2, 0, 1) or min(model.byte_id) < 0:
             raise ValueError("not a merge-type model with byte fallback")
         if (normalizer[2], normalizer[3], normalizer[4], normalizer[5]) != (b"", 1, 0, 1) or SPACE not in score:
             raise ValueError("a model that rewrites texts is not read")
-        self.plain = [t.replace(SPACE, " ") if kind == NORMAL else None for t, kind in self.piece]
-        self.decimal = [str(i).encode() for i in range(len(self.piece))]
-        self.id = {t: i for i, (t, kind) in reversed(list(enumerate(self.piece))) if kind == NORMAL}
-        self.rank = {t: -s for t, s in score.items()}
-        #: two characters next to each other in a piece; across any other border nothing merges
-        self.inside = {a + b for t in self.rank for a, b in zip(t, t[1:])}
-        self.cuts = not any(x[0] != SPACE == x[1] for x in self.inside)
-        #: pieces that merging their own characters gives, each with its next shorter prefix
-        made = {t for t in self.rank if self.merge(t) == [t]}
-        self.shorter = {t: next((t[:k] for k in range(len(t) - 1, 1, -1) if t[:k] in made), t[0])
-                        for t in made if len(t) > 1}
-        self.matches = ahocorasick.Automaton()
-        for t in self.shorter:
-            self.matches.add_word(t, (len(t) - 1, t))
-        self.matches.make_automaton()
-        self.together: dict[tuple[str, str], bool] = {}
+        return model
+
+    def add(self, text: str) -> int:
+        self.text.append(text), self.size.append(len(text)), self.shorter.append(-1)
+        return len(self.text) - 1
 
     def merge(self, text: str) -> list[str]:
         """The pieces of a short text by the merges themselves: best pair first, leftmost of equals."""
@@ -137,51 +167,50 @@ class PieceModel:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def compatible(self, a: str, b: str) -> bool:
+    def compatible(self, before: int, after: int) -> bool:
         """Whether two pieces stay apart when their joined text is merged anew."""
-        known = self.together.get((a, b))
+        known = self.together.get(before << 32 | after)
         if known is None:
             if len(self.together) >= REMEMBERED:
                 self.together.clear()
-            known = self.together[a, b] = a[-1] + b[0] not in self.inside or self.merge(a + b) == [a, b]
+            a, b = self.text[before], self.text[after]
+            known = self.together[before << 32 | after] = a[-1] + b[0] not in self.inside or self.merge(a + b) == [a, b]
         return known
 
-    def split(self, text: str) -> list[str]:
-        """The pieces of a text with marked spaces; characters outside the vocabulary are pieces of their own."""
-        longest = list(text)
-        for end, (k, t) in self.matches.iter(text):  # of matches with one start the longest ends last
+    def split(self, text: str) -> list[int]:
+        """The numbers of the pieces of a text with marked spaces."""
+        longest = list(map(self.single.__getitem__, text))
+        for end, (k, t) in self.matches.iter(text) if len(self.matches) else ():  # of matches with one start the longest ends last
             longest[end - k] = t
-        size, known = len(text), self.together
-        failed, any_failed = bytearray((size >> 3) + 1), False
-        out: list[str] = []
-        at, before = 0, None
-        while at < size:
+        length, known, sizes = len(text), self.together, self.size
+        failed, any_failed = bytearray((length >> 3) + 1), False
+        out: list[int] = []
+        at, before = 0, -1
+        while at < length:
             t = longest[at]
             while True:
-                end = at + len(t)
+                end = at + sizes[t]
                 if (not any_failed or not failed[end >> 3] >> (end & 7) & 1) and (
-                        before is None or known.get((before, t)) or self.compatible(before, t)):
+                        before < 0 or known.get(before << 32 | t) or self.compatible(before, t)):
                     out.append(t)
                     at, before = end, t
                     break
-                if len(t) > 1:
+                if sizes[t] > 1:
                     t = self.shorter[t]
                 else:  # no piece fits here: the one before must be a shorter one
                     failed[at >> 3] |= 1 << (at & 7)
                     any_failed = True
                     t = out.pop()
-                    at -= len(t)
-                    before = out[-1] if out else None
+                    at -= sizes[t]
+                    before = out[-1] if out else -1
         return out
 
-    def ids(self, pieces: list[str]) -> list[int]:
-        out = list(map(self.id.get, pieces))
-        if None not in out:
-            return out
-        known = []
-        for t, i in zip(pieces, out):
-            known += [self.byte_id[b] for b in t.encode()] if i is None else [i]
-        return known
+    def ids(self, numbers: list[int]) -> list[int]:
+        """Ids: a character that is no piece is the pieces of its bytes."""
+        pieces = len(self.piece)
+        if not numbers or max(numbers) < pieces:
+            return numbers
+        return [i for n in numbers for i in ([n] if n < pieces else [self.byte_id[b] for b in self.text[n].encode()])]
 
     def parts(self, text: str) -> list[str]:
         """A text with a dummy prefix and marked spaces, cut where no piece can reach across."""
@@ -230,7 +259,7 @@ def utf8(raw: bytes) -> str:
 
 @lru_cache(maxsize=2)
 def piece_model(path: str) -> PieceModel:
-    return PieceModel(path)
+    return PieceModel.load(path)
 
 
 class Parts(dict):

@@ -117,6 +117,9 @@ def warehouse_ts_text(c: str) -> str:
     return f"CAST({c} AS VARCHAR) || ' UTC'"
 
 
+RUNS = """SELECT 'open_open_20260101-000000' AS run_id, count(*) AS n_rows FROM silver
+    UNION ALL SELECT '1996-01-01_2001-01-01_20260101-000000', count(*) FROM win_silver"""
+
 SUMMARY = """SELECT split, count(*) AS rows, round(avg(label), 4) AS label_rate,
   min(trip_start_ts) AS first_trip, max(trip_start_ts) AS last_trip FROM gold GROUP BY split"""
 
@@ -152,8 +155,10 @@ QUERIES_SQL: dict[str, str] = {
     "dedupe": f"SELECT {SILVER_COLS} FROM silver",
     "silver_roundtrip": f"SELECT {SILVER_COLS} FROM silver",
     "silver_scan": f"SELECT {SILVER_COLS} FROM win_silver",
-    "list_runs": """SELECT 'open_open_20260101-000000' AS run_id, count(*) AS n_rows FROM silver
-        UNION ALL SELECT '1996-01-01_2001-01-01_20260101-000000', count(*) FROM win_silver""",
+    "list_runs": RUNS,
+    "committed_runs": RUNS,
+    "catalog_runs": RUNS,
+    "catalog_silver": f"SELECT {SILVER_COLS} FROM win_silver",
     "clean_job_counts": """SELECT count(*) AS input_rows,
         count_if(NOT coalesce(payment_type = 'Credit Card', false)) AS filtered_rows,
         (SELECT count(*) FROM flagged WHERE p1 OR p2 OR p3 OR p4 OR p5 OR p6) AS rejected_rows,

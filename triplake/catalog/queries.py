@@ -8,11 +8,12 @@ folder (built once per session and scale) and return what is read back.
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from triplake import lake as lk
+from triplake import lake as lk, runs
 from triplake.catalog.oracle import (
     DAY_SCAN_END, DAY_SCAN_START, HOLDOUT_END, HOLDOUT_START, LIVE_END, SCAN_END, SCAN_START,
 )
@@ -34,18 +35,20 @@ from triplake.schemas import (
     DEFAULT_COMPANY, EVENT_DATE, HISTORICAL_DATASET, ID_COLUMNS, OUTCOMES_FOLDER,
     OUTCOME_SCHEMA, RAW_COLUMNS, REQUESTS_FOLDER, REQUEST_SCHEMA, SILVER_COLUMNS,
 )
+from triplake.sources.catalog_table import catalog_runs, create_runs_table, silver_of_runs
 from triplake.sources.fixture import arrived_outcomes, keyless, trips_raw, trips_stored
 from triplake.sources.historical import read_historical, time_window
 from triplake.sources.landing import read_landing, read_live, read_pending
 from triplake.sources.silver import list_runs, read_gold, read_rejects, read_silver_run, read_silver_table
 from triplake.sources.registry import SOURCES
-from triplake.sources.sinks import request_records, write_landing
+from triplake.sources.sinks import request_records, write_landing, write_silver
 from triplake.streaming.clean import run_stream_clean
 from triplake.streaming.dedupe import run_stream_firsts
 from triplake.streaming.join import run_stream_join
 
 RUN_TS = "20260101-000000"
 GOLD_VERSION = "v1"
+HALF_WRITTEN = "1996-01-01_2001-01-01_20260101-000001"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +81,25 @@ class _Lake:
             self.spark, read_historical(self.spark, self.raw(), SCAN_START, SCAN_END), self.root,
             HISTORICAL_DATASET, SCAN_START, SCAN_END, run_ts=RUN_TS))
 
+    def half_written_run(self) -> None:
+        """What a writer leaves that is killed between its two outputs: a claim and the silver folder."""
+        def build():
+            folder = lk.silver_dir(self.root, HISTORICAL_DATASET, HALF_WRITTEN)
+            left = runs.writing(self.spark, lk.silver_root(self.root, HISTORICAL_DATASET), HALF_WRITTEN, {"silver": folder})
+            left.__enter__()
+            write_silver(read_silver_run(self.spark, self.window_run()["silver"]), folder)
+            return left  # never left: no manifest is written, nothing is removed
+        self._once("half_written", build)
+
+    def runs_table(self) -> str:
+        """A catalog table over the silver runs."""
+        def build():
+            self.silver_run(), self.window_run(), self.half_written_run()
+            table = f"silver_{uuid.uuid4().hex[:12]}"
+            create_runs_table(self.spark, table, lk.silver_root(self.root, HISTORICAL_DATASET))
+            return table
+        return self._once("runs_table", build)
+
     def gold(self) -> dict:
         def build():
             run = self.silver_run()
@@ -202,8 +224,28 @@ def q_silver_scan(spark, sf):
 def q_list_runs(spark, sf):
     lake = lake_for(spark, sf)
     lake.silver_run(), lake.window_run()
-    table = read_silver_table(spark, f"{lake.root}/silver/{HISTORICAL_DATASET}")
-    return list_runs(table, with_counts=True)
+    return list_runs(spark, lk.silver_root(lake.root, HISTORICAL_DATASET), with_counts=True)
+
+
+def q_committed_runs(spark, sf):
+    """Rows of the silver table by run, while another run of the dataset is half written."""
+    lake = lake_for(spark, sf)
+    lake.silver_run(), lake.window_run(), lake.half_written_run()
+    table = read_silver_table(spark, lk.silver_root(lake.root, HISTORICAL_DATASET))
+    return table.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_catalog_runs(spark, sf):
+    """The runs that the session catalog lists, each with its rows by way of the table."""
+    table = lake_for(spark, sf).runs_table()
+    n = spark.table(table).groupBy("run_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return catalog_runs(spark, table).join(n, "run_id")
+
+
+def q_catalog_silver(spark, sf):
+    """One run's rows by way of the catalog table."""
+    lake = lake_for(spark, sf)
+    return silver_of_runs(spark, lake.runs_table(), lake.window_run()["run_id"]).select(*SILVER_COLUMNS)
 
 
 def q_clean_job_counts(spark, sf):

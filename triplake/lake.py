@@ -8,11 +8,13 @@ Zones: ``landing/<folder>/event_date=YYYY-MM-DD``,
 from __future__ import annotations
 
 import datetime as dt
+import os
 import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 RUN_TS_FORMAT = "%Y%m%d-%H%M%S"
@@ -27,6 +29,10 @@ def make_run_id(start, end, run_ts: str | None = None) -> str:
     return f"{start or 'open'}_{end or 'open'}_{run_ts or run_timestamp()}"
 
 
+def silver_root(lake: str, dataset: str) -> str:
+    return f"{lake}/silver/{dataset}"
+
+
 def silver_dir(lake: str, dataset: str, run_id: str) -> str:
     return f"{lake}/silver/{dataset}/run_id={run_id}"
 
@@ -54,21 +60,59 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Commit one small text file: written under a temporary name, then renamed.
+def create_once(spark: SparkSession, path: str, text: str) -> None:
+    """Create one small text file whole, or raise FileExistsError: of several writers exactly one succeeds.
 
-    Readers see all of it or nothing, and an existing file is never replaced.
+    Local disks: a hard link to a finished draft.  HDFS: a rename, which never
+    replaces a file there.  Object stores: a create without overwrite, where
+    the object appears at close and stores with conditional writes refuse a
+    second one (others only if it is there when the write begins).
     """
     target, fs = hadoop_fs(spark, path)
-    draft, _ = hadoop_fs(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}.draft")
-    out = fs.create(draft, False)
-    out.write(bytearray(text, "utf-8"))
-    out.close()
-    if fs.exists(target) or not fs.rename(draft, target):
-        fs.delete(draft, False)
+    scheme = fs.getUri().getScheme()
+    folder, name = path.rsplit("/", 1)
+    draft_name = f".{uuid.uuid4().hex}.draft"
+    if scheme == "file":
+        local = str(target.toUri().getPath()).rsplit("/", 1)[0]
+        os.makedirs(local, exist_ok=True)
+        with open(f"{local}/{draft_name}", "w", encoding="utf-8") as f:
+            f.write(text)
+        try:
+            os.link(f"{local}/{draft_name}", f"{local}/{name}")
+        finally:
+            os.unlink(f"{local}/{draft_name}")
+        return
+    renames = scheme in ("hdfs", "viewfs")
+    written = hadoop_fs(spark, f"{folder}/{draft_name}")[0] if renames else target
+    if fs.exists(target):
+        raise FileExistsError(path)
+    try:
+        out = fs.create(written, False)
+        out.write(bytearray(text, "utf-8"))
+        out.close()
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception):
+            raise FileExistsError(path) from e
+        raise
+    if renames and not fs.rename(written, target):
+        fs.delete(written, False)
         raise FileExistsError(path)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Commit one small text file: readers see all of it or nothing, and an existing file is never replaced."""
+    create_once(spark, path, text)
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names directly under a folder; none if it is not there."""
+    if not path_exists(spark, folder):
+        return []
+    p, fs = hadoop_fs(spark, folder)
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p))
+    return [str(x.getName()) for x in paths]
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """The text of one file written whole by ``write_text`` (names starting with ``_`` are hidden from Spark's readers)."""
     p, fs = hadoop_fs(spark, path)

@@ -18,7 +18,7 @@ def parse_run_window(run_id: str) -> tuple[str | None, str | None]:
 
 def run_checks(spark: SparkSession, dataset_root: str, run_id: str) -> dict[str, DataFrame]:
     """The three checks as separate frames (each its own scan)."""
-    table = read_silver_table(spark, dataset_root)
+    table = read_silver_table(spark, dataset_root, run_id)
     start, end = parse_run_window(run_id)
     out = {"unique": checks.uniqueness(table, run_id), "nulls": checks.nulls(table, run_id)}
     if start and end:
@@ -29,7 +29,7 @@ def run_checks(spark: SparkSession, dataset_root: str, run_id: str) -> dict[str,
 def run_all_checks(spark: SparkSession, dataset_root: str, run_id: str) -> DataFrame:
     """All checks of the run in one scan (what the job prints)."""
     start, end = parse_run_window(run_id)
-    return checks.all_checks(read_silver_table(spark, dataset_root), run_id, start, end)
+    return checks.all_checks(read_silver_table(spark, dataset_root, run_id), run_id, start, end)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -108,6 +108,11 @@ outc AS (SELECT unique_key, tips FROM (SELECT unique_key, tips, row_number() OVE
 live AS (SELECT req.unique_key, taxi_id, trip_start_timestamp, trip_seconds, trip_miles,
   pickup_community_area, dropoff_community_area, fare, outc.tips AS tips, tolls, extras, payment_type, company
   FROM req JOIN outc ON req.unique_key = outc.unique_key){clean_ctes('live', 'live_')},
+day_req AS (SELECT *, CAST(trip_start_timestamp AS DATE) AS day, row_number() OVER () AS row,
+  row_number() OVER (PARTITION BY unique_key, CAST(trip_start_timestamp AS DATE) ORDER BY {REQUEST_ORDER}) AS rn FROM landed),
+arrivals AS (SELECT unique_key, tips, CAST(trip_start_timestamp AS DATE)
+    + CAST(coalesce(pickup_community_area % 2 = 1, false) AS INT) AS arrived
+  FROM trips WHERE coalesce(dropoff_community_area % 7 <> 3, true)),
 windowed AS (SELECT * FROM raw WHERE trip_start_timestamp >= {_ts(SCAN_START)}
   AND trip_start_timestamp < {_ts(SCAN_END)}){clean_ctes('windowed', 'win_')}
 """
@@ -254,6 +259,13 @@ QUERIES_SQL: dict[str, str] = {
           ('iso-07', 1.0, 1, NULL, 'x')) AS v(k, d, i, t, c)""",
     "stream_dedupe": f"SELECT {REQUEST_COLS} FROM req",
     "stream_live_join": f"SELECT {RAW_COLS} FROM live",
+    "stream_keep_first": f"SELECT {REQUEST_COLS}, CAST(day AS VARCHAR) AS event_date FROM day_req WHERE rn = 1",
+    "stream_outer_join": f"""SELECT {', '.join('r.' + c.strip() for c in REQUEST_COLS.split(','))},
+        CAST(r.day AS VARCHAR) AS event_date, o.tips, CAST(o.arrived AS VARCHAR) AS outcome_date,
+        CASE WHEN o.arrived IS NULL THEN 'pending' ELSE 'matched' END AS status
+        FROM (SELECT * FROM day_req WHERE rn = 1 OR unique_key IS NULL) r LEFT JOIN arrivals o
+          ON r.unique_key = o.unique_key AND o.arrived BETWEEN r.day AND r.day + 1
+        QUALIFY row_number() OVER (PARTITION BY r.row ORDER BY o.arrived, o.tips NULLS FIRST) = 1""",
     "stream_clean": f"SELECT {SILVER_COLS} FROM live_silver",
     "split_cut_dates_approx": "SELECT true AS val_within, true AS test_within",
     "check_job": """SELECT count(*) AS n_rows, count(DISTINCT unique_key) AS n_keys,

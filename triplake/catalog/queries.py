@@ -33,18 +33,19 @@ from triplake.plans.gold import MANIFEST_NAME, run_gold
 from triplake.plans.profiling import run_profile
 from triplake.schemas import (
     DEFAULT_COMPANY, EVENT_DATE, HISTORICAL_DATASET, ID_COLUMNS, OUTCOMES_FOLDER,
-    OUTCOME_SCHEMA, RAW_COLUMNS, REQUESTS_FOLDER, REQUEST_SCHEMA, SILVER_COLUMNS,
+    OUTCOME_SCHEMA, RAW_COLUMNS, REQUESTS_FOLDER, REQUEST_COLUMNS, REQUEST_SCHEMA, SILVER_COLUMNS,
 )
 from triplake.sources.catalog_table import catalog_runs, create_runs_table, silver_of_runs
-from triplake.sources.fixture import arrived_outcomes, keyless, trips_raw, trips_stored
+from triplake.sources.fixture import arrived_outcomes, keyless, stamp_arrival, trips_raw, trips_stored
 from triplake.sources.historical import read_historical, time_window
 from triplake.sources.landing import read_landing, read_live, read_pending
 from triplake.sources.silver import list_runs, read_gold, read_rejects, read_silver_run, read_silver_table
 from triplake.sources.registry import SOURCES
 from triplake.sources.sinks import request_records, write_landing, write_silver
 from triplake.streaming.clean import run_stream_clean
-from triplake.streaming.dedupe import run_stream_firsts
+from triplake.streaming.dedupe import in_window, run_stream_firsts
 from triplake.streaming.join import run_stream_join
+from triplake.streaming.state import read_settled, run_keep_first, run_outer_join, settled
 
 RUN_TS = "20260101-000000"
 GOLD_VERSION = "v1"
@@ -124,6 +125,8 @@ class _Lake:
             lk.run_concurrently(
                 lambda: write_landing(request_records(trips), lk.landing_root(root, REQUESTS_FOLDER)),
                 lambda: write_landing(outcomes, lk.landing_root(root, OUTCOMES_FOLDER)))
+            for folder in (REQUESTS_FOLDER, OUTCOMES_FOLDER):
+                stamp_arrival(self.spark, lk.landing_root(root, folder))
             return root
         return self._once("live", build)
 
@@ -513,6 +516,22 @@ def q_stream_live_join(spark, sf):
                            HOLDOUT_START, LIVE_END, **_stream_options(spark))
 
 
+def q_stream_keep_first(spark, sf):
+    """First request per key and day out of Spark's state store, as days settle."""
+    out = lk.scratch_dir(spark, "stream-keep-first")
+    run_keep_first(spark, lake_for(spark, sf).live(), out, HOLDOUT_START, **_stream_options(spark))
+    # days before the last ones, which settle with the next that land
+    return in_window(read_settled(spark, out), None, LIVE_END).select(*REQUEST_COLUMNS, _date_text())
+
+
+def q_stream_outer_join(spark, sf):
+    """Requests with their outcomes, or as pending once their grace ran out, out of Spark's state store."""
+    out = lk.scratch_dir(spark, "stream-outer-join")
+    run_outer_join(spark, lake_for(spark, sf).live(), out, HOLDOUT_START, **_stream_options(spark))
+    rows = settled(in_window(read_settled(spark, out), None, LIVE_END))
+    return rows.select(*REQUEST_COLUMNS, _date_text(), "tips", _date_text("outcome_date"), "status")
+
+
 def q_stream_clean(spark, sf):
     out = run_stream_clean(spark, lake_for(spark, sf).live(), lk.scratch_dir(spark, "stream-clean-out"),
                            HOLDOUT_START, LIVE_END, RUN_TS, **_stream_options(spark))

@@ -9,9 +9,13 @@ dimension sides grow with the data, so nothing is forced to broadcast).
 
 from __future__ import annotations
 
+import datetime as dt
+import os
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from triplake.schemas import RAW_COLUMNS
+from triplake.lake import hadoop_fs
+from triplake.schemas import EVENT_DATE, RAW_COLUMNS
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -81,6 +85,19 @@ def arrived_outcomes(outcomes_by_trip: DataFrame) -> DataFrame:
             .withColumn("arrival", F.date_add(F.to_date(c("trip_start_timestamp")), late)))
 
 
+def stamp_arrival(spark: SparkSession, root: str) -> None:
+    """Sets the time of every landed file to that of its day, as daily arrivals leave it (streams take files in this order)."""
+    jvm, (p, fs) = spark.sparkContext._jvm, hadoop_fs(spark, f"{root}/{EVENT_DATE}=*/part-*")
+    for f in jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.globStatus(p)):
+        day = dt.date.fromisoformat(str(f.getParent().getName()).split("=", 1)[1])
+        # days a second apart: within the age up to which a file source looks at files
+        seconds = 1_700_000_000 + day.toordinal() - dt.date(1990, 1, 1).toordinal()
+        if fs.getUri().getScheme() == "file":
+            os.utime(f.toUri().getPath(), (seconds, seconds))
+        else:
+            fs.setTimes(f, seconds * 1000, -1)
+
+
 # The same mapping as SQL text (runs unchanged in Spark SQL and DuckDB).
 TRIPS_RAW_SQL = """SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS unique_key,
   CASE WHEN l_suppkey % 25 = 0 THEN NULL ELSE 'taxi_' || CAST(l_suppkey AS STRING) END AS taxi_id,

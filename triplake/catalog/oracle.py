@@ -13,6 +13,7 @@ from triplake.sources.fixture import TRIPS_RAW_SQL, TRIPS_STORED_SQL
 SCAN_START, SCAN_END = "1996-01-01", "2001-01-01"
 HOLDOUT_START, HOLDOUT_END = "1995-01-01", "2002-01-01"
 LIVE_END = "2001-01-01"  # of the live readers' window, within the data
+LIVE_CUTS = ("1997-03-01", "1999-01-01", LIVE_END)  # ends of the incremental live runs
 DAY_SCAN_START, DAY_SCAN_END = "1998-01-01", "1999-01-01"
 
 
@@ -71,6 +72,12 @@ LABEL = """CAST(CASE WHEN fare = 0 THEN (CASE WHEN tips > 0 THEN 1 ELSE 0 END)
             WHEN tips / fare > 2e-1 THEN 1 ELSE 0 END AS BIGINT) AS label"""
 
 
+def _run_end(day: str, days_more: int = 0) -> str:
+    """The end of the incremental run that reads a day (outcomes: up to days more)."""
+    cuts = " ".join(f"WHEN {day} < DATE '{d}' + {days_more} THEN '{d}'" for d in LIVE_CUTS)
+    return f"CASE {cuts} END"
+
+
 def clean_ctes(src: str, p: str) -> str:
     """card / flagged / clean / silver / cuts / split / gold CTEs over ``src``, prefixed ``p``."""
     return f""",
@@ -113,6 +120,10 @@ day_req AS (SELECT *, CAST(trip_start_timestamp AS DATE) AS day, row_number() OV
 arrivals AS (SELECT unique_key, tips, CAST(trip_start_timestamp AS DATE)
     + CAST(coalesce(pickup_community_area % 2 = 1, false) AS INT) AS arrived
   FROM trips WHERE coalesce(dropoff_community_area % 7 <> 3, true)),
+inc_out AS (SELECT *, row_number() OVER (PARTITION BY unique_key ORDER BY run_end, tips NULLS FIRST) AS rn FROM (
+  SELECT unique_key, tips, {_run_end('arrived', 1)} AS run_end FROM arrivals) WHERE run_end IS NOT NULL AND unique_key IS NOT NULL),
+inc AS (SELECT req.*, o.tips, greatest(o.run_end, {_run_end('CAST(trip_start_timestamp AS DATE)')}) AS run_end
+  FROM req JOIN inc_out o ON req.unique_key = o.unique_key AND o.rn = 1){clean_ctes('inc', 'inc_')},
 windowed AS (SELECT * FROM raw WHERE trip_start_timestamp >= {_ts(SCAN_START)}
   AND trip_start_timestamp < {_ts(SCAN_END)}){clean_ctes('windowed', 'win_')}
 """
@@ -128,6 +139,10 @@ RUNS = """SELECT 'open_open_20260101-000000' AS run_id, count(*) AS n_rows FROM
 SUMMARY = """SELECT split, count(*) AS rows, round(avg(label), 4) AS label_rate,
   min(trip_start_ts) AS first_trip, max(trip_start_ts) AS last_trip FROM gold GROUP BY split"""
 
+PENDING = f"""SELECT {REQUEST_COLS} FROM req WHERE unique_key IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM outc WHERE outc.unique_key = req.unique_key)
+        UNION ALL SELECT {REQUEST_COLS} FROM landed WHERE unique_key IS NULL"""
+
 QUERIES_SQL: dict[str, str] = {
     "scan_historical": f"SELECT {RAW_COLS} FROM raw WHERE trip_start_timestamp >= {_ts(SCAN_START)} "
                        f"AND trip_start_timestamp < {_ts(SCAN_END)}",
@@ -191,9 +206,10 @@ QUERIES_SQL: dict[str, str] = {
         pickup_community_area, dropoff_community_area, fare, outc.tips AS tips, tolls, extras, payment_type, company
         FROM req JOIN outc ON req.unique_key IS NOT DISTINCT FROM outc.unique_key""",
     "live_silver": f"SELECT {SILVER_COLS} FROM live_silver",
-    "pending_requests": f"""SELECT {REQUEST_COLS} FROM req WHERE unique_key IS NOT NULL
-        AND NOT EXISTS (SELECT 1 FROM outc WHERE outc.unique_key = req.unique_key)
-        UNION ALL SELECT {REQUEST_COLS} FROM landed WHERE unique_key IS NULL""",
+    "pending_requests": PENDING,
+    "live_increments": f"""SELECT {SILVER_COLS}, run_end FROM inc_silver JOIN (SELECT unique_key, run_end FROM inc)
+        USING (unique_key)""",
+    "live_increments_pending": PENDING,
     "source_historical": f"SELECT {SILVER_COLS} FROM win_silver",
     "source_live": f"SELECT {SILVER_COLS} FROM live_silver",
     "split_cut_dates": """SELECT CAST(val_start AS VARCHAR) AS val_start,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from triplake import lake as lk, runs
 from triplake.catalog.oracle import (
-    DAY_SCAN_END, DAY_SCAN_START, HOLDOUT_END, HOLDOUT_START, LIVE_END, SCAN_END, SCAN_START,
+    DAY_SCAN_END, DAY_SCAN_START, HOLDOUT_END, HOLDOUT_START, LIVE_CUTS, LIVE_END, SCAN_END, SCAN_START,
 )
 from triplake.functions.features import build_features, label_column
 from triplake.functions.scalars import default_strip, to_bigint, to_double, to_naive_ts
@@ -30,9 +30,10 @@ from triplake.plans.checks import run_all_checks
 from triplake.plans.clean import clean_frames, run_clean
 from triplake.plans.export import run_export, stage_holdout
 from triplake.plans.gold import MANIFEST_NAME, run_gold
+from triplake.plans.live import read_open_requests, run_live
 from triplake.plans.profiling import run_profile
 from triplake.schemas import (
-    DEFAULT_COMPANY, EVENT_DATE, HISTORICAL_DATASET, ID_COLUMNS, OUTCOMES_FOLDER,
+    DEFAULT_COMPANY, EVENT_DATE, HISTORICAL_DATASET, ID_COLUMNS, LIVE_DATASET, OUTCOMES_FOLDER,
     OUTCOME_SCHEMA, RAW_COLUMNS, REQUESTS_FOLDER, REQUEST_COLUMNS, REQUEST_SCHEMA, SILVER_COLUMNS,
 )
 from triplake.sources.catalog_table import catalog_runs, create_runs_table, silver_of_runs
@@ -82,6 +83,16 @@ class _Lake:
             self.spark, read_historical(self.spark, self.raw(), SCAN_START, SCAN_END), self.root,
             HISTORICAL_DATASET, SCAN_START, SCAN_END, run_ts=RUN_TS))
 
+    def increments(self) -> str:
+        """The live landing taken in by incremental runs up to each of LIVE_CUTS."""
+        root = f"{self.root}/increments"
+
+        def build():
+            for end in LIVE_CUTS:
+                run_live(self.spark, self.live(), root, end, HOLDOUT_START)
+            return root
+        return self._once("increments", build)
+
     def half_written_run(self) -> None:
         """What a writer leaves that is killed between its two outputs: a claim and the silver folder."""
         def build():
@@ -318,6 +329,17 @@ def q_pending_requests(spark, sf):
     return pending.select(*[c for c in RAW_COLUMNS if c != "tips"])
 
 
+def q_live_increments(spark, sf):
+    """Silver rows of all incremental live runs, with the end of the window of the run that added each."""
+    root = lk.silver_root(lake_for(spark, sf).increments(), LIVE_DATASET)
+    return read_silver_table(spark, root).select(*SILVER_COLUMNS, F.split("run_id", "_")[1].alias("run_end"))
+
+
+def q_live_increments_pending(spark, sf):
+    """Requests that the last incremental run leaves open."""
+    return read_open_requests(spark, lake_for(spark, sf).increments())
+
+
 def _through_source(spark, sf, name: str) -> DataFrame:
     """The silver run that the clean job writes for a source by name."""
     lake = lake_for(spark, sf)

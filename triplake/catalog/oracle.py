@@ -283,6 +283,11 @@ QUERIES_SQL: dict[str, str] = {
           ON r.unique_key = o.unique_key AND o.arrived BETWEEN r.day AND r.day + 1
         QUALIFY row_number() OVER (PARTITION BY r.row ORDER BY o.arrived, o.tips NULLS FIRST) = 1""",
     "stream_clean": f"SELECT {SILVER_COLS} FROM live_silver",
+    "split_cut_dates_sketch": "SELECT true AS val_within, true AS test_within",
+    "duplicates_across_runs": """SELECT unique_key, 2 AS n_runs, '1996-01-01_2001-01-01_20260101-000000' AS first_run,
+        'open_open_20260101-000000' AS last_run FROM silver JOIN win_silver USING (unique_key)""",
+    "bucketed_join": f"SELECT {RAW_COLS} FROM live",
+    "bucketed_pending": PENDING,
     "split_cut_dates_approx": "SELECT true AS val_within, true AS test_within",
     "check_job": """SELECT count(*) AS n_rows, count(DISTINCT unique_key) AS n_keys,
         count_if(trip_start_ts IS NULL) AS null_start, count_if(fare IS NULL) AS null_fare,

@@ -21,13 +21,15 @@ from triplake.functions.features import build_features, label_column
 from triplake.functions.scalars import default_strip, to_bigint, to_double, to_naive_ts
 from triplake.operators import checks, profiles
 from triplake.operators.gold import split_summary, to_gold
+from triplake.operators.join import join_outcomes, pending_requests
 from triplake.operators.route import (
     clean_projection, conform_raw, flag, in_scope, problem_counts, reject_records, route_counts, valid_rows,
 )
 from triplake.operators.rules import rule_flags
+from triplake.operators.sketch import sketch_rank_errors, within_error
 from triplake.operators.split import approx_rank_errors, assign_split, cut_dates, cut_days_frame
 from triplake.plans.checks import run_all_checks
-from triplake.plans.clean import clean_frames, run_clean
+from triplake.plans.clean import clean_frames, run_clean, start_sketches
 from triplake.plans.export import run_export, stage_holdout
 from triplake.plans.gold import MANIFEST_NAME, run_gold
 from triplake.plans.live import read_open_requests, run_live
@@ -36,10 +38,11 @@ from triplake.schemas import (
     DEFAULT_COMPANY, EVENT_DATE, HISTORICAL_DATASET, ID_COLUMNS, LIVE_DATASET, OUTCOMES_FOLDER,
     OUTCOME_SCHEMA, RAW_COLUMNS, REQUESTS_FOLDER, REQUEST_COLUMNS, REQUEST_SCHEMA, SILVER_COLUMNS,
 )
+from triplake.sources.bucketed import add_run_keys, keys_in_several_runs, write_bucketed
 from triplake.sources.catalog_table import catalog_runs, create_runs_table, silver_of_runs
 from triplake.sources.fixture import arrived_outcomes, keyless, stamp_arrival, trips_raw, trips_stored
 from triplake.sources.historical import read_historical, time_window
-from triplake.sources.landing import read_landing, read_live, read_pending
+from triplake.sources.landing import read_landing, read_live, read_outcomes, read_pending, read_requests
 from triplake.sources.silver import list_runs, read_gold, read_rejects, read_silver_run, read_silver_table
 from triplake.sources.registry import SOURCES
 from triplake.sources.sinks import request_records, write_landing, write_silver
@@ -50,6 +53,7 @@ from triplake.streaming.state import read_settled, run_keep_first, run_outer_joi
 
 RUN_TS = "20260101-000000"
 GOLD_VERSION = "v1"
+BUCKETS = 8
 HALF_WRITTEN = "1996-01-01_2001-01-01_20260101-000001"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +97,15 @@ class _Lake:
             return root
         return self._once("increments", build)
 
+    def bucketed(self) -> tuple[DataFrame, DataFrame]:
+        """Requests and outcomes of the live landing as tables bucketed by key."""
+        def build():
+            name, live = uuid.uuid4().hex[:12], self.live()
+            return tuple(write_bucketed(df, f"{side}_{name}", lk.scratch_dir(self.spark, f"bucketed-{side}"), BUCKETS) for side, df in (
+                ("requests", read_requests(self.spark, live, HOLDOUT_START, LIVE_END)),
+                ("outcomes", read_outcomes(self.spark, live, HOLDOUT_START, LIVE_END))))
+        return self._once("bucketed", build)
+
     def half_written_run(self) -> None:
         """What a writer leaves that is killed between its two outputs: a claim and the silver folder."""
         def build():
@@ -369,6 +382,32 @@ def q_split_cut_dates_approx(spark, sf):
     return approx_rank_errors(_silver(spark, sf))
 
 
+def q_split_cut_dates_sketch(spark, sf):
+    """Whether cuts from the merged sketches of two runs lie within 0.001 of the ranks in both runs' rows."""
+    lake = lake_for(spark, sf)
+    ids = lake.silver_run()["run_id"], lake.window_run()["run_id"]
+    root = lk.silver_root(lake.root, HISTORICAL_DATASET)
+    return within_error(sketch_rank_errors(read_silver_table(spark, root, *ids), start_sketches(spark, root, *ids)))
+
+
+def q_duplicates_across_runs(spark, sf):
+    """Keys that occur in more than one run, from the runs' bucketed keys."""
+    lake = lake_for(spark, sf)
+    lake.silver_run(), lake.window_run()
+    table = f"run_keys_{uuid.uuid4().hex[:12]}"
+    add_run_keys(spark, table, lk.scratch_dir(spark, "run-keys"), lk.silver_root(lake.root, HISTORICAL_DATASET), BUCKETS)
+    return keys_in_several_runs(spark.table(table))
+
+
+def q_bucketed_join(spark, sf):
+    """Requests with their outcomes, both laid out in buckets of the key."""
+    return join_outcomes(*lake_for(spark, sf).bucketed())
+
+
+def q_bucketed_pending(spark, sf):
+    return pending_requests(*lake_for(spark, sf).bucketed()).select(*[c for c in RAW_COLUMNS if c != "tips"])
+
+
 def q_split_assign(spark, sf):
     return _split(spark, sf).select("unique_key", "trip_start_ts", "split")
 

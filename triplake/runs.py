@@ -19,7 +19,7 @@ import json
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from triplake.lake import create_once, delete_folder, hadoop_fs, list_names, path_exists, read_text
 
@@ -45,6 +45,10 @@ class Run:
     folders: dict[str, str]
     token: str
 
+    def attach(self, name: str, text: str) -> None:
+        """A small text kept beside the manifest, there for readers with the commit."""
+        create_once(self.spark, f"{self.dataset_root}/{RUNS_FOLDER}/{self.run_id}.{name}", text)
+
     def commit(self, start=None, end=None, counts: dict[str, int] | None = None, extra: dict[str, str] | None = None) -> dict:
         """Makes the run visible; all its folders must be written."""
         if _owner(self.spark, _claim_path(self.dataset_root, self.run_id)) != self.token:
@@ -88,10 +92,18 @@ def writing(spark: SparkSession, dataset_root: str, run_id: str, folders: dict[s
         if not path_exists(spark, _manifest_path(dataset_root, run_id)):
             for folder in run.folders.values():
                 delete_folder(spark, folder)
+            _delete_attached(spark, dataset_root, run_id)
             delete_folder(spark, claim)
         raise
 
 
+def _delete_attached(spark: SparkSession, dataset_root: str, run_id: str) -> None:
+    folder = f"{dataset_root}/{RUNS_FOLDER}"
+    for name in list_names(spark, folder):
+        if name.startswith(f"{run_id}.") and name.rsplit(".", 1)[1] not in ("claim", "json"):
+            delete_folder(spark, f"{folder}/{name}")
+
+
 def committed_ids(spark: SparkSession, dataset_root: str) -> list[str]:
     """Committed runs, oldest window first: one listing of names, no file is opened."""
     return sorted(n.removesuffix(".json") for n in list_names(spark, f"{dataset_root}/{RUNS_FOLDER}") if n.endswith(".json"))
@@ -112,6 +124,17 @@ def manifests(spark: SparkSession, dataset_root: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).option("mode", "FAILFAST").json(paths)
 
 
+def attached(spark: SparkSession, dataset_root: str, name: str, *run_ids: str) -> DataFrame:
+    """``(run_id, value)`` of the texts of that name beside the manifests of committed runs (all, or those named)."""
+    there = set(list_names(spark, f"{dataset_root}/{RUNS_FOLDER}"))
+    ids = [r for r in run_ids or committed_ids(spark, dataset_root) if f"{r}.{name}" in there and f"{r}.json" in there]
+    if not ids:
+        return spark.createDataFrame([], "run_id string, value string")
+    texts = spark.read.option("wholetext", True).text([f"{dataset_root}/{RUNS_FOLDER}/{r}.{name}" for r in ids])
+    file_name = F.regexp_extract("_metadata.file_name", rf"^(.*)\.{name}$", 1)
+    return texts.select(file_name.alias("run_id"), "value")
+
+
 def check_committed(spark: SparkSession, run_dir: str) -> None:
     """Raises for a ``.../run_id=<id>`` folder that is not a committed run; other folders are the caller's own."""
     root, _, name = run_dir.rstrip("/").rpartition("/")
@@ -139,6 +162,7 @@ def clean_abandoned(spark: SparkSession, dataset_root: str, older_than: dt.timed
             continue
         claim = json.loads(read_text(spark, f"{folder}/{name}"))
         delete_folder(spark, f"{folder}/{name}")  # first: from here on its writer cannot commit
+        _delete_attached(spark, dataset_root, name.removesuffix(".claim"))
         for f in claim["folders"].values():
             delete_folder(spark, f)
         gone.append(name.removesuffix(".claim"))

@@ -124,6 +124,12 @@ inc_out AS (SELECT *, row_number() OVER (PARTITION BY unique_key ORDER BY run_en
   SELECT unique_key, tips, {_run_end('arrived', 1)} AS run_end FROM arrivals) WHERE run_end IS NOT NULL AND unique_key IS NOT NULL),
 inc AS (SELECT req.*, o.tips, greatest(o.run_end, {_run_end('CAST(trip_start_timestamp AS DATE)')}) AS run_end
   FROM req JOIN inc_out o ON req.unique_key = o.unique_key AND o.rn = 1){clean_ctes('inc', 'inc_')},
+broken AS (SELECT *, coalesce(trip_miles % 21e0 < 1e-1, false) AS cut FROM trips),
+b_req AS (SELECT {REQUEST_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY unique_key ORDER BY {REQUEST_ORDER}) AS rn
+  FROM broken WHERE NOT cut AND trip_start_timestamp < {_ts(LIVE_END)}) WHERE rn = 1),
+b_out AS (SELECT unique_key, min(tips) AS tips FROM broken WHERE NOT cut
+  AND date_trunc('month', trip_start_timestamp) < DATE '{LIVE_END}' + 1 GROUP BY unique_key),
+b_live AS (SELECT r.* EXCLUDE (taxi_id), taxi_id, o.tips FROM b_req r JOIN b_out o ON r.unique_key = o.unique_key){clean_ctes('b_live', 'b_')},
 windowed AS (SELECT * FROM raw WHERE trip_start_timestamp >= {_ts(SCAN_START)}
   AND trip_start_timestamp < {_ts(SCAN_END)}){clean_ctes('windowed', 'win_')}
 """
@@ -207,6 +213,12 @@ QUERIES_SQL: dict[str, str] = {
         FROM req JOIN outc ON req.unique_key IS NOT DISTINCT FROM outc.unique_key""",
     "live_silver": f"SELECT {SILVER_COLS} FROM live_silver",
     "pending_requests": PENDING,
+    "live_bad_lines": f"""SELECT 'silver' AS kind, unique_key, '' AS problems, CAST(NULL AS VARCHAR) AS line FROM b_silver
+        UNION ALL SELECT 'rejected', unique_key, {PROBLEM_LIST}, NULL FROM b_flagged WHERE p1 OR p2 OR p3 OR p4 OR p5 OR p6
+        UNION ALL SELECT 'rejected', NULL, 'bad_line', '{{"cut":"' || coalesce(unique_key, '') FROM broken
+          WHERE cut AND trip_start_timestamp < {_ts(LIVE_END)}
+        UNION ALL SELECT 'rejected', NULL, 'bad_line', '{{"cut":"' || coalesce(unique_key, '') FROM broken
+          WHERE cut AND date_trunc('month', trip_start_timestamp) < DATE '{LIVE_END}' + 1""",
     "live_increments": f"""SELECT {SILVER_COLS}, run_end FROM inc_silver JOIN (SELECT unique_key, run_end FROM inc)
         USING (unique_key)""",
     "live_increments_pending": PENDING,

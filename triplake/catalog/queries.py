@@ -42,10 +42,10 @@ from triplake.sources.bucketed import add_run_keys, keys_in_several_runs, write_
 from triplake.sources.catalog_table import catalog_runs, create_runs_table, silver_of_runs
 from triplake.sources.fixture import arrived_outcomes, keyless, stamp_arrival, trips_raw, trips_stored
 from triplake.sources.historical import read_historical, time_window
-from triplake.sources.landing import read_landing, read_live, read_outcomes, read_pending, read_requests
+from triplake.sources.landing import read_landing, read_live, read_live_and_bad_lines, read_outcomes, read_pending, read_requests
 from triplake.sources.silver import list_runs, read_gold, read_rejects, read_silver_run, read_silver_table
 from triplake.sources.registry import SOURCES
-from triplake.sources.sinks import request_records, write_landing, write_silver
+from triplake.sources.sinks import request_records, write_landing, write_lines, write_silver
 from triplake.streaming.clean import run_stream_clean
 from triplake.streaming.dedupe import in_window, run_stream_firsts
 from triplake.streaming.join import run_stream_join
@@ -97,6 +97,25 @@ class _Lake:
             return root
         return self._once("increments", build)
 
+    def broken_live(self) -> str:
+        """A landing by months where some lines broke off: of trips whose miles are a multiple of 21 (10 steps of 2.1)."""
+        root = f"{self.root}/broken"
+
+        def build():
+            trips = keyless(time_window(self.raw(), HOLDOUT_START, HOLDOUT_END))
+            broken = F.coalesce(F.col("trip_miles") % F.lit(21.0) < F.lit(0.1), F.lit(False))
+            month = F.trunc("trip_start_timestamp", "month").alias(EVENT_DATE)
+            whole = {REQUESTS_FOLDER: [c for c in RAW_COLUMNS if c != "tips"], OUTCOMES_FOLDER: ["unique_key", "tips"]}
+
+            def land(folder: str) -> None:
+                text = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in whole[folder]]))
+                cut = F.concat(F.lit('{"cut":"'), F.coalesce("unique_key", F.lit("")))
+                write_lines(trips.select(F.when(broken, cut).otherwise(text).alias("value"), month), lk.landing_root(root, folder))
+
+            lk.run_concurrently(lambda: land(REQUESTS_FOLDER), lambda: land(OUTCOMES_FOLDER))
+            return root
+        return self._once("broken", build)
+
     def bucketed(self) -> tuple[DataFrame, DataFrame]:
         """Requests and outcomes of the live landing as tables bucketed by key."""
         def build():
@@ -342,6 +361,19 @@ def q_pending_requests(spark, sf):
     return pending.select(*[c for c in RAW_COLUMNS if c != "tips"])
 
 
+def q_live_bad_lines(spark, sf):
+    """Silver keys and all rejects of a live run over a landing with broken lines; every line of it is in one of them or joined."""
+    lake = lake_for(spark, sf)
+    joined, bad = read_live_and_bad_lines(spark, lake.broken_live(), HOLDOUT_START, LIVE_END)
+    run = run_clean(spark, joined, lk.scratch_dir(spark, "bad-lines"), LIVE_DATASET, HOLDOUT_START, LIVE_END, RUN_TS,
+                    materialize="stage", more_rejects=bad)
+    silver = read_silver_run(spark, run["silver"]).select(
+        F.lit("silver").alias("kind"), "unique_key", F.lit("").alias("problems"), F.lit(None).cast("string").alias("line"))
+    rejects = read_rejects(spark, run["rejected"]).select(
+        F.lit("rejected").alias("kind"), "unique_key", _problems_text(), F.col("raw")["line"].alias("line"))
+    return silver.unionByName(rejects)
+
+
 def q_live_increments(spark, sf):
     """Silver rows of all incremental live runs, with the end of the window of the run that added each."""
     root = lk.silver_root(lake_for(spark, sf).increments(), LIVE_DATASET)

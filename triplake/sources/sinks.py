@@ -83,3 +83,8 @@ def write_landing(records: DataFrame, root: str) -> None:
     if path_exists(records.sparkSession, root):
         days = days.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     days.json(root)
+
+
+def write_lines(lines: DataFrame, root: str) -> None:
+    """``(value, event_date)`` lines of text as they are, one folder per ``event_date``."""
+    lines.hint("rebalance", EVENT_DATE).write.partitionBy(EVENT_DATE).text(root)

@@ -70,3 +70,22 @@ def test_documents_repeat_whole(spark):
     rows = out.collect()
     assert {r.text for r in rows} <= {"one two three", "x " * 50, "solo words here"}
     assert sum(r.doc_id == 1 for r in rows) == 3  # a small source of weight 5 stops at 3 times its size
+
+
+def test_columns_of_any_name(spark):
+    names = ["target", "source_size", "taken", "_key", "_cell", "_source", "_upto", "_id", "_of", "_size", "_doc", "rows", "w", "a.b"]
+    rows = [(i, "ab"[i % 2], i % 7, "x") for i in range(50)]
+    wide = frame(spark, rows).select("*", *[F.lit(n).alias(n) for n in names])
+    out = mixing.mix(wide, cell_rows=5)
+    assert out.columns == ["doc_id", "source", "size", "extra", *names[3:], "source_size", "target", "taken"]
+    plain = {r.doc_id: (r.target, r.taken) for r in mixing.mix(frame(spark, rows)).collect()}
+    got = out.collect()
+    assert {r.doc_id: (r.target, r.taken) for r in got} == plain and all(r["a.b"] == "a.b" and r["_key"] == "_key" for r in got)
+
+
+def test_rows_without_an_id_do_not_share_a_cell(spark):
+    rows = spark.range(4000).selectExpr("cast(null as long) AS doc_id", "'a' AS source", "id % 5 AS size", "md5(cast(id as string)) AS digest")
+    keys = rows.select(mixing._key(F.col("doc_id"), F.col("digest")).alias("k"))
+    assert keys.distinct().count() == 4000
+    out = mixing.mix(rows, cell_rows=100, salt="digest")
+    assert out.agg(F.sum("taken")).first()[0] == 8000 and out.count() == 4000

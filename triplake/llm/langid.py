@@ -118,10 +118,17 @@ class Model:
 def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     """``(doc_id, text, lang)`` rows -> model; rows without a language are not used.
 
-    Fitted on ``sample_docs`` documents of each language, those of smallest hash.
+    Fitted on ``sample_docs`` documents of each language, those of smallest
+    hash (where the hashes of a language's rows crowd, as those of equal rows,
+    fewer may lie in the share of the range that holds twice as many).
     """
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select(
         "lang", "text", F.xxhash64("doc_id", "text").alias("_h"))
+    # a row a language: hashes that can be among the smallest lie in a share of their range, so few meet to be ranked
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 4 * sample_docs).collect()
+    for r in sizes:
+        bound = int((2 * sample_docs / r["n"] - 0.5) * float(1 << 64))
+        rows = rows.where((F.col("lang") != r["lang"]) | (F.col("_h") <= bound))
     # ranks of hashes alone, cut to sample_docs a language in every task before they meet
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h"))
     chosen = (rows.select("lang", "_h").withColumn("_k", rank).where(F.col("_k") <= sample_docs).select("lang", "_h"))

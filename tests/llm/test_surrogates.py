@@ -162,3 +162,12 @@ def test_hostile_texts_of_many_repeats(spark):
     assert len(rows) == len(HOSTILE)
     for i in (0, 1, 4, 10, 12, 15, 22, 23, 24):
         assert rows[i].text == HOSTILE[i]
+
+
+def test_marked_texts(spark):
+    hashes = spark.range(3000).select(F.xxhash64("id").alias("t"))
+    for n in (0, 1, 700, 3000):
+        test = sg.marked_texts(hashes.limit(n))
+        others = spark.range(5000, 25000).select(F.xxhash64("id").alias("t"))
+        assert hashes.limit(n).where(test("t")).count() == n
+        assert others.where(test("t")).count() <= 20000 / 8

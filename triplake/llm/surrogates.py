@@ -19,6 +19,8 @@ texts that hold one of the few others are joined with their attempts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from triplake.lake import scratch_dir
@@ -38,6 +40,8 @@ SECRET_WORDS = ("token", "secret", "password", "passwd", "api_key", "api-key", "
 SAME_LENGTH = 8
 #: Attempts after which numbers of a fixed format are taken to have no room left.
 ROUNDS = 1000
+#: Bits of the filter of texts that are joined with later attempts, as a power of two, at most.
+MOST_SLOTS = 25
 
 # First digits of payment cards.
 ISSUERS = r"^(4|5[1-5]|2[2-7]|3[045678]|6(011|2|4[4-9]|5))"
@@ -456,13 +460,41 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
         "kind", "norm", (4 * F.col("attempt") + F.when(F.col("said") == "given0", 1).otherwise(2)).alias("attempt"))
     again = stored(settled.where("attempt > 0").select("kind", "norm", (4 * F.col("attempt")).alias("attempt"))
                    .unionByName(theirs), "surrogates-again")
-    tries = found.join(again, ["kind", "norm"]).groupBy("t").agg(F.map_from_entries(F.collect_list(
-        F.struct(F.concat_ws(":", "kind", "norm"), "attempt"))).alias("_tries"))
-    wide = kept.select(F.struct(*kept.columns).alias("_doc"), F.col("text").alias("_text"))
-    if again.limit(1).count():
-        wide = wide.join(tries, F.xxhash64("_text") == F.col("t"), "left").drop("t")
-    else:
-        wide = wide.withColumn("_tries", F.lit(None).cast("map<string,int>"))
+    tries = stored(found.join(again, ["kind", "norm"]).groupBy("t").agg(F.map_from_entries(F.collect_list(
+        F.struct(F.concat_ws(":", "kind", "norm"), "attempt"))).alias("_tries")), "surrogates-tries")
+    marked = marked_texts(tries)
+    hashed = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("_doc"), F.col("text").alias("_text"), F.xxhash64("text").alias("_t"))
+    none = F.lit(None).cast("map<string,int>")
+    clear = hashed.where(~marked("_t")).select("_doc", "_text", none.alias("_tries"))
+    unsure = hashed.where(marked("_t")).join(tries, F.col("_t") == F.col("t"), "left").select("_doc", "_text", "_tries")
+    return _rewritten(clear.unionByName(unsure), kept.columns, key)
+
+
+def marked_texts(tries: DataFrame) -> Callable[[str], Column]:
+    """A test of text hashes: true for every ``t`` of ``tries``, and for few others while its bits suffice.
+
+    The bits are sized by the number of texts, MOST_SLOTS at most (4 MB);
+    beyond that more of the other texts pass, and are joined in vain.
+    """
+    slots = 1 << max(15, min(MOST_SLOTS, (16 * tries.count()).bit_length()))
+    slot = F.pmod(F.col("t"), F.lit(slots))
+    rows = (tries.groupBy(F.floor(slot / 32768).cast("int").alias("part"))
+            .agg(F.bitmap_construct_agg(slot % 32768).alias("bits")).collect())  # slots / 32768 rows of 4 KB
+    bits = bytearray(slots // 8)
+    for r in rows:
+        bits[4096 * r.part:4096 * (r.part + 1)] = r.bits
+    table_ = F.lit(bits)
+
+    def test(c: str) -> Column:
+        at = F.pmod(F.col(c), F.lit(slots))
+        byte = F.conv(F.hex(F.substring(table_, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        return F.getbit(byte, (at % 8).cast("int")) == 1
+
+    return test
+
+
+def _rewritten(wide: DataFrame, columns: list[str], key: str) -> DataFrame:
+    """``(_doc, _text, _tries)`` -> the documents' columns with the new text, and n_entities."""
     wide = wide.withColumn("_m", matches_of(F.col("_text"))).withColumn("_names", names_in(F.col("_m")))
     named = F.size("_names") > 0
     wide = wide.withColumn("_m", F.when(named, F.regexp_extract_all("_text", with_names(F.col("_names")), F.lit(0)))
@@ -474,7 +506,7 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     count = F.coalesce(F.aggregate("_m", F.lit(0), lambda n, m: n + F.size(parts_of(m)) + F.least(
         F.size(_mentioned(m, F.col("_names"))), F.lit(1))), F.lit(0)).cast("long")
     out = wide.select("_doc", text.alias("_new"), F.when(F.col("_text").isNull(), 0).otherwise(count).alias("n_entities"))
-    return out.select(*[F.col("_new").alias(c) if c == "text" else F.col(f"_doc.`{c}`") for c in kept.columns], "n_entities")
+    return out.select(*[F.col("_new").alias(c) if c == "text" else F.col(f"_doc.`{c}`") for c in columns], "n_entities")
 
 
 def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

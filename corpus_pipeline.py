@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from triplake.lake import scratch_dir
+from triplake.lake import delete_folder, scratch_dir
 from triplake.llm import langid
 from triplake.llm.bpe import encode_digest
 from triplake.llm.mixing import mixed_documents
@@ -49,10 +49,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; what a stage returns is written to the shared scratch folder first."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Apply the stages to ``documents``; what a stage returns is written to the shared scratch folder first.
+
+    A stage's table goes once its successor's is written; the last one stays.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_dir(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            delete_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

@@ -9,8 +9,8 @@ sorts are on the key only.
 
 ``window``: ``row_number() == 1`` over the same total order; Catalyst
 adds a partial ``WindowGroupLimit`` before the shuffle (same bound), but
-sorts on the key plus every order column.  Same result; the clean job's
-default, as it was faster in every bench so far.
+sorts on the key plus every order column.  Same result, and within a few
+percent of the other in the benches so far; the clean job's default.
 
 ``any``: ``dropDuplicates`` (arbitrary survivor, cheapest).
 

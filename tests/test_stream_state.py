@@ -113,3 +113,24 @@ def test_keep_first_per_day_and_late_rows(spark):
     run = run_keep_first(spark, root, out, **OPTIONS)
     assert run.late_rows == 2 and run.batches == 1  # rows of one key are reduced before they are found late
     assert rows() == want
+
+
+def test_observed_counts_agree_with_what_is_written(spark, month):
+    from triplake.operators.route import route_counts
+    from triplake.streaming.route import routed, run_stream_route
+    joined, out = lk.scratch_dir(spark, "route-joined"), lk.scratch_dir(spark, "route")
+    run_outer_join(spark, month, joined, **OPTIONS)
+    batches = run_stream_route(spark, joined, out, partitions=2, files_per_batch=3)
+    first = {r.batch: r for r in batches.collect()}
+    assert len(first) >= 3 and all(r.agrees for r in first.values())
+    matched = read_settled(spark, joined).where(f"status = '{MATCHED}'")
+    want = route_counts(matched).first().asDict()
+    assert {c: sum(r[c] for r in first.values()) for c in want} == want and want["valid_rows"] > 0
+    # the last micro-batch is replayed, as after a crash before its commit
+    last = max(first)
+    local = out.removeprefix("file:")
+    for name in (f"{local}/_checkpoint/commits/{last}", f"{local}/_checkpoint/commits/.{last}.crc"):
+        if os.path.exists(name):
+            os.unlink(name)
+    again = {r.batch: r for r in run_stream_route(spark, joined, out, partitions=2, files_per_batch=3).collect()}
+    assert again == first and routed(spark, out).count() == want["input_rows"]

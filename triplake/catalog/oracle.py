@@ -130,6 +130,9 @@ b_req AS (SELECT {REQUEST_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY
 b_out AS (SELECT unique_key, min(tips) AS tips FROM broken WHERE NOT cut
   AND date_trunc('month', trip_start_timestamp) < DATE '{LIVE_END}' + 1 GROUP BY unique_key),
 b_live AS (SELECT r.* EXCLUDE (taxi_id), taxi_id, o.tips FROM b_req r JOIN b_out o ON r.unique_key = o.unique_key){clean_ctes('b_live', 'b_')},
+sm AS (SELECT {', '.join('r.' + c.strip() for c in REQUEST_COLS.split(','))}, o.tips FROM day_req r JOIN (
+    SELECT unique_key, arrived, min(tips) AS tips FROM arrivals GROUP BY unique_key, arrived) o
+  ON r.rn = 1 AND r.unique_key = o.unique_key AND o.arrived BETWEEN r.day AND r.day + 1){clean_ctes('sm', 'sm_')},
 windowed AS (SELECT * FROM raw WHERE trip_start_timestamp >= {_ts(SCAN_START)}
   AND trip_start_timestamp < {_ts(SCAN_END)}){clean_ctes('windowed', 'win_')}
 """
@@ -294,6 +297,10 @@ QUERIES_SQL: dict[str, str] = {
         FROM (SELECT * FROM day_req WHERE rn = 1 OR unique_key IS NULL) r LEFT JOIN arrivals o
           ON r.unique_key = o.unique_key AND o.arrived BETWEEN r.day AND r.day + 1
         QUALIFY row_number() OVER (PARTITION BY r.row ORDER BY o.arrived, o.tips NULLS FIRST) = 1""",
+    "stream_route_counts": """SELECT count(*) AS input_rows,
+        count_if(NOT coalesce(payment_type = 'Credit Card', false)) AS filtered_rows,
+        (SELECT count(*) FROM sm_flagged WHERE p1 OR p2 OR p3 OR p4 OR p5 OR p6) AS rejected_rows,
+        (SELECT count(*) FROM sm_clean) AS valid_rows, true AS agrees FROM sm""",
     "stream_clean": f"SELECT {SILVER_COLS} FROM live_silver",
     "split_cut_dates_sketch": "SELECT true AS val_within, true AS test_within",
     "duplicates_across_runs": """SELECT unique_key, 2 AS n_runs, '1996-01-01_2001-01-01_20260101-000000' AS first_run,

@@ -49,6 +49,7 @@ from triplake.sources.sinks import request_records, write_landing, write_lines,
 from triplake.streaming.clean import run_stream_clean
 from triplake.streaming.dedupe import in_window, run_stream_firsts
 from triplake.streaming.join import run_stream_join
+from triplake.streaming.route import run_stream_route
 from triplake.streaming.state import read_settled, run_keep_first, run_outer_join, settled
 
 RUN_TS = "20260101-000000"
@@ -116,6 +117,14 @@ class _Lake:
             return root
         return self._once("broken", build)
 
+    def outer_join(self) -> str:
+        """Where the stream of requests with their outcomes, or as pending, put out what settled."""
+        def build():
+            out = lk.scratch_dir(self.spark, "stream-outer-join")
+            run_outer_join(self.spark, self.live(), out, HOLDOUT_START, **_stream_options(self.spark))
+            return out
+        return self._once("outer_join", build)
+
     def bucketed(self) -> tuple[DataFrame, DataFrame]:
         """Requests and outcomes of the live landing as tables bucketed by key."""
         def build():
@@ -619,12 +628,18 @@ def q_stream_keep_first(spark, sf):
 
 def q_stream_outer_join(spark, sf):
     """Requests with their outcomes, or as pending once their grace ran out, out of Spark's state store."""
-    out = lk.scratch_dir(spark, "stream-outer-join")
-    run_outer_join(spark, lake_for(spark, sf).live(), out, HOLDOUT_START, **_stream_options(spark))
-    rows = settled(in_window(read_settled(spark, out), None, LIVE_END))
+    rows = settled(in_window(read_settled(spark, lake_for(spark, sf).outer_join()), None, LIVE_END))
     return rows.select(*REQUEST_COLUMNS, _date_text(), "tips", _date_text("outcome_date"), "status")
 
 
+def q_stream_route_counts(spark, sf):
+    """Route counts observed on the stream of matched trips, summed over its micro-batches, and whether the rows written agree."""
+    batches = run_stream_route(spark, lake_for(spark, sf).outer_join(), lk.scratch_dir(spark, "stream-route"), LIVE_END,
+                               partitions=spark.sparkContext.defaultParallelism, files_per_batch=8)
+    return batches.agg(*[F.sum(c).alias(c) for c in ("input_rows", "filtered_rows", "rejected_rows", "valid_rows")],
+                       F.every("agrees").alias("agrees"))
+
+
 def q_stream_clean(spark, sf):
     out = run_stream_clean(spark, lake_for(spark, sf).live(), lk.scratch_dir(spark, "stream-clean-out"),
                            HOLDOUT_START, LIVE_END, RUN_TS, **_stream_options(spark))

@@ -76,6 +76,16 @@ def route_counts(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     )
 
 
+def route_aggregates(in_scope: Column, ok: Column) -> list[Column]:
+    """The same counts as aggregate columns, for an aggregation or an observation of rows with these flags."""
+    return [
+        F.count(F.lit(1)).alias("input_rows"),
+        F.count_if(~in_scope).alias("filtered_rows"),
+        F.count_if(in_scope & ~ok).alias("rejected_rows"),
+        F.count_if(in_scope & ok).alias("valid_rows"),
+    ]
+
+
 def problem_counts(flagged: DataFrame) -> DataFrame:
     """Rows per problem name (a row with several problems counts in each)."""
     return (flagged.select(F.explode("problems").alias("problem"))

@@ -1,14 +1,15 @@
 """Jobs end to end at sf0.001 in a scratch lake: counts, properties, immutability."""
 
+import datetime as dt
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from conftest import SF0001, ride, text_frame
 from triplake import lake as lk
 from triplake.operators.dedupe import keep_first
-from triplake.operators.route import route_counts
+from triplake.operators.route import conform_raw, route_counts
 from triplake.plans.clean import clean_frames, run_clean
 from triplake.plans.export import run_export
 from triplake.plans.gold import MANIFEST_NAME, run_gold
@@ -194,3 +195,42 @@ def test_concurrent_profiles_equal_sequential(spark, raw):
     one_by_one = {k: df.collect() for k, df in run_profile(raw, "1996-01-01", "2001-01-01").items()}
     assert together == one_by_one
     assert together["dirtiness"][0].total > 0
+
+
+def test_a_landing_is_one_pass_over_its_source(spark):
+    from pyspark.sql import types as T
+    passes = spark.sparkContext.accumulator(0)
+
+    def seen(company):
+        passes.add(1)
+        return company
+
+    raw = spark.createDataFrame(
+        [(f"r{i}", dt.datetime(1998, 1, 1 + i % 3, 9, i), dt.datetime(1998, 1, 1 + i % 3, 10), float(i), float(i) + 5, "c") for i in range(12)],
+        "unique_key string, trip_start_timestamp timestamp_ntz, trip_end_timestamp timestamp_ntz, tips double, trip_total double, company string")
+    counted = raw.withColumn("company", F.udf(seen, T.StringType()).asNondeterministic()("company"))
+    root = lk.scratch_dir(spark, "test-one-pass")
+    out = run_export(spark, counted, root, "1998-01-01", "1998-02-01", stage=False)
+    assert passes.value == 12
+    keys = {f"r{i}" for i in range(12)}
+    for folder in ("requests", "outcomes"):
+        assert {r.unique_key for r in spark.read.json(out[folder]).collect()} == keys
+        days = [n for n in lk.list_names(spark, out[folder]) if n.startswith("event_date=")]
+        assert sorted(days) == [f"event_date=1998-01-0{d}" for d in (1, 2, 3)]
+        assert all(n.endswith(".gz") for d in days for n in lk.list_names(spark, f"{out[folder]}/{d}") if n.startswith("part-"))
+    assert sorted(lk.list_names(spark, f"{root}/landing")) == sorted(out[f].rsplit("/", 1)[1] for f in out)  # nothing else stays
+
+
+def test_a_landing_without_trips_has_its_folders(spark):
+    raw = spark.createDataFrame([], "unique_key string, trip_start_timestamp timestamp_ntz, trip_end_timestamp timestamp_ntz, "
+                                    "tips double, trip_total double")
+    out = run_export(spark, raw, lk.scratch_dir(spark, "test-no-trips"), "1998-01-01", "1998-02-01", stage=False)
+    assert all(lk.path_exists(spark, out[f]) for f in out)
+
+
+def test_rejects_are_compressed(spark):
+    raw = conform_raw(text_frame(spark, [ride(f"r{i}", fare="-5") for i in range(40)]))
+    run = run_clean(spark, raw, lk.scratch_dir(spark, "test-rejects-gz"), "d", run_ts="20260101-000000")
+    names = [n for n in lk.list_names(spark, run["rejected"]) if n.startswith("part-")]
+    assert names and all(n.endswith(".json.gz") for n in names)
+    assert spark.read.json(run["rejected"]).count() == 40

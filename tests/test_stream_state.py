@@ -134,3 +134,10 @@ def test_observed_counts_agree_with_what_is_written(spark, month):
             os.unlink(name)
     again = {r.batch: r for r in run_stream_route(spark, joined, out, partitions=2, files_per_batch=3).collect()}
     assert again == first and routed(spark, out).count() == want["input_rows"]
+
+
+def test_old_versions_of_the_state_go(spark, month):
+    out = lk.scratch_dir(spark, "retained")
+    run = run_outer_join(spark, month, out, **{**OPTIONS, "files_per_batch": 2})
+    kept = [n for n in os.listdir(f"{out.removeprefix('file:')}/_checkpoint/commits") if n.isdigit()]
+    assert run.batches >= 10 and len(kept) <= 4

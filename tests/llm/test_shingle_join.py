@@ -102,3 +102,22 @@ def test_every_link_is_counted(spark, rows, monkeypatch):
                   for i, (d, t) in enumerate(rows))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((str(r.doc_id), r.n_shingles, r.n_links) for r in sj.jaccard_components(docs).collect()) == want
+
+
+def test_shortest_shared_lists_of_each_class(spark, rows, monkeypatch):
+    monkeypatch.setattr(sj, "RANGE_POSTINGS", 500)
+    sets = sj.document_sets(spark.createDataFrame(rows, "doc_id long, text string"), 80, 5).where("lead IS NOT NULL")
+    classes = {r.fp: (r.n, [int(h) for h in sj.np.frombuffer(r.lead, sj.np.uint64).view(sj.np.int64)]) for r in sets.collect()}
+    lists = {}
+    for fp, (_, lead) in classes.items():
+        for h in lead:
+            lists.setdefault(h, set()).add(fp)
+    want = set()
+    for fp, (n, lead) in classes.items():
+        shared = sorted((len(lists[h]), h) for h in lead if len(lists[h]) > 1)
+        p = int(sj.short_lists(n, 80)) - len(lead) + len(shared)
+        want |= {(fp, n, h) for _, h in shared[:max(0, p)]}
+    found = sj.short_shared_lists(sets, sj.np.array([], sj.np.uint64), 4, 80)
+    assert want and sorted((r.fp, r.n, r.h) for r in found.collect()) == sorted(want)
+    # postings move packed: a binary a range and bucket, not a row a posting
+    assert "rows#" in found._jdf.queryExecution().optimizedPlan().toString()

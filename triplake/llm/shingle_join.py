@@ -10,7 +10,8 @@ is not merged but probed by binary search.
 
 On Spark: equal sets become one class first.  Leading parts are shuffled by
 hash range, packed; each range sorts its postings (the merge) and returns the
-lists with two classes or more.  Shingles in over ``1/HOT_LISTS`` of all
+lists with two classes or more, packed by buckets of classes; a bucket picks
+each class's shortest lists.  Shingles in over ``1/HOT_LISTS`` of all
 postings (so at most ``HOT_LISTS`` of them, a bounded broadcast) order last
 and are left out by every set with enough other shingles, so no list that
 must be merged grows with the input's most frequent passages.  Sets that meet
@@ -39,7 +40,7 @@ PERCENT = 80
 HOT_LISTS = 1 << 17
 HOT_LEAST = 256
 #: Postings of a hash range, about.
-RANGE_POSTINGS = 1 << 20
+RANGE_POSTINGS = 1 << 18
 #: Sets of a block, and shingles of all its sets, about.
 BLOCK_SETS = 256
 BLOCK_SHINGLES = 1 << 18
@@ -50,6 +51,9 @@ SLOTS = 1 << 22
 #: Characters of text held at a time as words.
 CHUNK_CHARS = 1 << 21
 
+#: What a list holds of a class: its size, the lists it must merge beyond its cold ones, the length of this list.
+POSTING = np.dtype([("h", np.uint64), ("fp", np.int64), ("n", np.int32), ("need", np.int32), ("df", np.int64)])
+
 _ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -152,8 +156,12 @@ def hot_shingles(sets: DataFrame, postings: int) -> np.ndarray:
     return np.sort(np.array([r.h for r in rows], np.int64).view(np.uint64))
 
 
-def shared_lists(sets: DataFrame, hot: np.ndarray, ranges: int, percent: int) -> DataFrame:
-    """(fp, h, df, hot) for every posting of a list that holds two classes or more."""
+def short_shared_lists(sets: DataFrame, hot: np.ndarray, ranges: int, percent: int) -> DataFrame:
+    """(fp, n, h) for the lists with two classes or more among the shortest lists that each class must merge.
+
+    Shared postings move from the hash ranges to as many buckets of classes
+    packed, a row for each range and bucket.
+    """
     shift = np.uint64(64 - max(1, (ranges - 1).bit_length()))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,47 +169,56 @@ def shared_lists(sets: DataFrame, hot: np.ndarray, ranges: int, percent: int) ->
             h, owner, _ = _unpack(b)
             n = np.asarray(b.column("n"))
             cold = ~_is_hot(h, hot)
-            enough = np.bincount(owner[cold], minlength=len(n)) >= short_lists(n, percent)
-            keep = cold | ~enough[owner]
+            # lists to merge, without those (cold ones that no other class holds) that lead nowhere
+            need = short_lists(n, percent) - np.bincount(owner[cold], minlength=len(n))
+            keep = cold | (need > 0)[owner]
             h, owner = h[keep], owner[keep]
             order = np.argsort(h)
-            h, fp = h[order], np.asarray(b.column("fp"))[owner[order]]
+            h, owner = h[order], owner[order]
+            rows = np.zeros(len(h), POSTING)
+            rows["h"], rows["fp"], rows["n"], rows["need"] = h, np.asarray(b.column("fp"))[owner], n[owner], need[owner]
             at = np.flatnonzero(np.diff(h >> shift)) + 1
             cuts = np.concatenate([[0], at, [len(h)]]) if len(h) else np.zeros(1, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(h[i] >> shift) for i in cuts[:-1]], pa.int64()),
-                 pa.array([h[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary()),
-                 pa.array([fp[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())],
-                names=["range", "h", "fp"])
+                 pa.array([rows[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())],
+                names=["range", "rows"])
+
+    def unpacked(t: pa.Table) -> np.ndarray:
+        return np.frombuffer(b"".join(t.column("rows").to_pylist()), POSTING)
 
     def merge(t: pa.Table) -> pa.Table:
-        h = np.frombuffer(b"".join(t.column("h").to_pylist()), np.uint64)
-        fp = np.frombuffer(b"".join(t.column("fp").to_pylist()), np.int64)
-        order = np.lexsort((fp, h))
-        h, fp = h[order], fp[order]
-        new = np.ones(len(h), bool)
+        rows = unpacked(t)
+        rows = rows[np.lexsort((rows["fp"], rows["h"]))]
+        h, fp = rows["h"], rows["fp"]
+        new = np.ones(len(rows), bool)
         new[1:] = (h[1:] != h[:-1]) | (fp[1:] != fp[:-1])
-        h, fp = h[new], fp[new]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        df = np.diff(np.append(first, len(h)))
-        df = np.repeat(df, df)
-        keep = df >= 2
-        h, fp, df = h[keep], fp[keep], df[keep]
-        return pa.table({"fp": fp, "h": h.view(np.int64), "df": df.astype(np.int64), "hot": _is_hot(h, hot).astype(np.int32)})
-
-    return (sets.select("fp", "n", "lead").mapInArrow(pack, "range long, h binary, fp binary")
-            .groupBy("range").applyInArrow(merge, "fp long, h long, df long, hot int"))
-
-
-def _cold_counts(sets: DataFrame, hot: np.ndarray) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            h, owner, lengths = _unpack(b)
-            cold = np.bincount(owner[~_is_hot(h, hot)], minlength=len(lengths))
-            yield pa.RecordBatch.from_arrays([b.column("fp"), b.column("n"), pa.array(cold.astype(np.int64))],
-                                             names=["fp", "n", "cold"])
-
-    return sets.select("fp", "n", "lead").mapInArrow(run, "fp long, n long, cold long").dropDuplicates(["fp"])
+        rows = rows[new]
+        first = np.flatnonzero(np.concatenate([[True], rows["h"][1:] != rows["h"][:-1]]))
+        df = np.diff(np.append(first, len(rows)))
+        rows["df"] = np.repeat(df, df)
+        rows = rows[rows["df"] >= 2]
+        bucket = (rows["fp"].view(np.uint64) % np.uint64(ranges)).astype(np.int64)
+        by = np.argsort(bucket, kind="stable")
+        rows, bucket = rows[by], bucket[by]
+        cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(rows))
+        return pa.table({"bucket": pa.array(bucket[cuts[:-1]], pa.int64()),
+                         "rows": pa.array([rows[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())})
+
+    def pick(t: pa.Table) -> pa.Table:
+        rows = unpacked(t)
+        signed, is_hot = rows["h"].view(np.int64), _is_hot(rows["h"], hot)
+        by = np.lexsort((signed, rows["df"], is_hot, rows["fp"]))
+        rows, is_hot = rows[by], is_hot[by]
+        first = np.flatnonzero(np.concatenate([[True], rows["fp"][1:] != rows["fp"][:-1]]))
+        lengths = np.diff(np.append(first, len(rows)))
+        lists = rows["need"][first] + np.add.reduceat((~is_hot).astype(np.int64), first)
+        rows = rows[ragged_index(lengths) < np.repeat(lists, lengths)]
+        return pa.table({"fp": pa.array(rows["fp"]), "n": pa.array(rows["n"].astype(np.int64)), "h": pa.array(rows["h"].view(np.int64))})
+
+    return (sets.select("fp", "n", "lead").mapInArrow(pack, "range long, rows binary")
+            .groupBy("range").applyInArrow(merge, "bucket long, rows binary")
+            .groupBy("bucket").applyInArrow(pick, "fp long, n long, h long"))
 
 
 def slot(c) -> F.Column:
@@ -296,14 +313,7 @@ def similar_classes(docs: DataFrame, sets: DataFrame, classes: DataFrame, percen
     postings = lead.agg(F.sum(F.expr("length(lead) div 8"))).first()[0] or 0
     hot = hot_shingles(lead, postings)
     ranges = max(1, -(-postings // RANGE_POSTINGS))
-    lists = (shared_lists(lead, hot, ranges, percent).groupBy("fp")
-             .agg(F.sort_array(F.collect_list(F.struct("hot", "df", "h"))).alias("l"), F.sum(1 - F.col("hot")).alias("m")))
-    slack_ = lambda n: F.floor(n * (100 - percent) / 100)
-    n = F.col("n")
-    merge = F.least(2 * slack_(n) + 1, n) - slack_(n - slack_(n)) - F.col("cold") + F.col("m")
-    short = stored(lists.join(_cold_counts(lead, hot), "fp").withColumn("p", merge.cast("int")).where("p > 0")
-                   .select("fp", "n", F.explode(F.slice("l", 1, F.col("p"))).alias("e"))
-                   .select("fp", "n", F.col("e.h").alias("h")), "jaccard-lists")
+    short = stored(short_shared_lists(lead, hot, ranges, percent), "jaccard-lists")
     # neighbours by size in each list: sets that can be partners end up in one cluster
     by_size = Window.partitionBy("h").orderBy("n", "fp")
     chain = (short.select("fp", "n", F.lag("fp").over(by_size).alias("v"), F.lag("n").over(by_size).alias("vn"))

@@ -50,6 +50,8 @@ DIVIDE = 0.05
 SLOTS = 1 << 22
 #: Characters of text held at a time as words.
 CHUNK_CHARS = 1 << 21
+#: Words whose hashes a task remembers.
+HELD_WORDS = 1 << 16
 
 #: What a list holds of a class: its size, the lists it must merge beyond its cold ones, the length of this list.
 POSTING = np.dtype([("h", np.uint64), ("fp", np.int64), ("n", np.int32), ("need", np.int32), ("df", np.int64)])
@@ -107,7 +109,7 @@ def document_sets(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_W
     """One row a document: size n and fingerprint of its set, and the set's leading part (once a class and task)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen = WordIds(), set()
+        words, seen = WordIds(HELD_WORDS), set()
         for b in slices(batches):
             ids = b.column("doc_id").to_pylist()
             n, fp, lead = [], [], []
@@ -252,7 +254,7 @@ def by_slot(df: DataFrame, column: str, bits: np.ndarray, inside: bool) -> DataF
 def whole_sets(docs: DataFrame, bits: np.ndarray, size: int) -> DataFrame:
     """(fp, set) of the classes of the marked documents, from their texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds()
+        words = WordIds(HELD_WORDS)
         for b in slices(batches):
             b = b.filter(pa.array(_in_slots(b, bits)))
             raw = [s.tobytes() for s in shingle_sets(b.column("text").to_pylist(), words, size)]

@@ -83,3 +83,28 @@ def test_a_landing_with_broken_lines_deals_no_made_trips(spark, monkeypatch):
     monkeypatch.setattr(q, "write_landings", lambda trips, root, lines, day: dealt.append(day))
     q._Lake(spark, SF0001).broken_live()
     assert dealt == [None]
+
+
+def test_a_staged_copy_holds_only_flags_of_rows_out_of_scope(spark, monkeypatch):
+    raw = conform_raw(text_frame(spark, [ride("a"), ride("b", fare="-5"), ride("c", pay="Cash"), ride("d", pay=None), ride("a", fare="30")]))
+    staged = []
+    delete = lk.delete_folder
+    monkeypatch.setattr(clean.lake, "delete_folder", lambda s, p: (staged.extend(s.read.parquet(p).collect()), delete(s, p)))
+    runs = {m: clean.run_clean(spark, raw, lk.scratch_dir(spark, f"test-stage-{m}"), "d", run_ts="20260101-000000", materialize=m)
+            for m in ("rescan", "stage")}
+    out = [r for r in staged if not r["_in_scope"]]
+    assert len(staged) == 5 and len(out) == 2
+    assert all(v is None for r in out for k, v in r.asDict().items() if k not in ("_in_scope", "_ok"))
+    assert runs["rescan"]["counts"] == runs["stage"]["counts"]
+    for read, folder in ((read_silver_run, "silver"), (read_rejects, "rejected")):
+        a, b = (sorted(map(str, read(spark, runs[m][folder]).collect())) for m in runs)
+        assert a == b and a
+
+
+def test_rejects_of_a_staged_copy_are_not_dealt_again(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(clean, "write_rejects", lambda df, path: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()),
+                                                                  df.write.json(path)))
+    raw = conform_raw(text_frame(spark, [ride("a"), ride("b", fare="-5")])).withColumn("fare", F.col("fare") + 0)
+    clean.run_clean(spark, raw, lk.scratch_dir(spark, "test-not-dealt"), "d", run_ts="20260101-000000", materialize="stage")
+    assert len(plans) == 1 and "Rebalance" not in plans[0]

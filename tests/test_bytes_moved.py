@@ -101,6 +101,14 @@ def test_a_staged_copy_holds_only_flags_of_rows_out_of_scope(spark, monkeypatch)
         assert a == b and a
 
 
+def test_runs_over_the_joined_tables_join_them_once(spark, monkeypatch):
+    modes = []
+    monkeypatch.setattr(q, "run_clean", lambda *a, materialize="rescan", **k: modes.append(materialize))
+    lake = q._Lake(spark, SF0001)
+    lake.silver_run(), lake.window_run()
+    assert modes == ["stage", "stage"]
+
+
 def test_rejects_of_a_staged_copy_are_not_dealt_again(spark, monkeypatch):
     plans = []
     monkeypatch.setattr(clean, "write_rejects", lambda df, path: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()),

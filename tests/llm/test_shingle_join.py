@@ -121,3 +121,11 @@ def test_shortest_shared_lists_of_each_class(spark, rows, monkeypatch):
     assert want and sorted((r.fp, r.n, r.h) for r in found.collect()) == sorted(want)
     # postings move packed: a binary a range and bucket, not a row a posting
     assert "rows#" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_task_holds_the_words_of_few_texts(monkeypatch):
+    held, sets = [], sj._sets
+    monkeypatch.setattr(sj, "_sets", lambda docs, *a: (held.append(len(docs)), sets(docs, *a))[1])
+    texts = ["some words of a text " * 5000 for _ in range(12)]  # 105,000 characters each
+    assert len(list(sj.shingle_sets(texts, sj.WordIds(sj.HELD_WORDS)))) == 12
+    assert max(held) <= 5

@@ -49,9 +49,9 @@ DIVIDE = 0.05
 #: Slots of the filter that picks texts to read again.
 SLOTS = 1 << 22
 #: Characters of text held at a time as words.
-CHUNK_CHARS = 1 << 21
+CHUNK_CHARS = 1 << 19
 #: Words whose hashes a task remembers.
-HELD_WORDS = 1 << 16
+HELD_WORDS = 1 << 15
 
 #: What a list holds of a class: its size, the lists it must merge beyond its cold ones, the length of this list.
 POSTING = np.dtype([("h", np.uint64), ("fp", np.int64), ("n", np.int32), ("need", np.int32), ("df", np.int64)])
@@ -167,7 +167,7 @@ def short_shared_lists(sets: DataFrame, hot: np.ndarray, ranges: int, percent: i
     shift = np.uint64(64 - max(1, (ranges - 1).bit_length()))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 4096):
+        for b in slices(batches):
             h, owner, _ = _unpack(b)
             n = np.asarray(b.column("n"))
             cold = ~_is_hot(h, hot)

@@ -51,3 +51,26 @@ def test_digest_and_round_trip(spark, library):
     back = bpe.decode(bpe.encode(docs)).collect()
     assert all(bytes(r.decoded) == (r.text or "").encode() for r in back)
     assert bpe.encode_digest(docs.limit(0)).count() == 0
+
+
+def test_held_pieces_stay_bounded_and_keep_those_in_use(library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 300)
+    monkeypatch.setattr(bpe, "CHUNK_CHARS", 500)
+    enc = bpe._Encoded(P.path(bpe.RANK_FILE), P.PATTERN)
+    made = []
+    encode = enc.codec.encode_pieces
+    monkeypatch.setattr(enc.codec, "encode_pieces", lambda pieces: made.extend(pieces) or encode(pieces))
+    texts = [f"always here{i}ab" + "".join(f" q{i}x{k}z" for k in range(40)) for i in range(60)]
+    for text, pieces in zip(texts, enc.each(texts)):
+        assert [i for p in pieces for i in p[1]] == library.encode_ordinary(text)
+        assert len(enc.seen) <= 300
+    assert made.count(b"always") == 1 and made.count(b" here") == 1
+
+
+def test_codec_holds_its_pairs_once():
+    c = bpe.codec(P.path(bpe.RANK_FILE), P.PATTERN)
+    held = [v for v in vars(c).values() if isinstance(v, dict)]
+    assert all(len(d) <= len(c.ranks) for d in held)  # no second table of pairs as Python objects
+    some = [(a, b) for a, b in ((int(k) >> 32, int(k) & 0xFFFFFFFF) for k in c.table.keys[:4000] if k >= 0)]
+    assert some and all(c.token[a] + c.token[b] == c.token[c.table.get(a, b)] for a, b in some)
+    assert c.table.get(len(c.ranks) + 5, 3) is None

@@ -79,3 +79,19 @@ def test_held_out_accuracy(spark):
 def test_words_are_letters_and_their_marks():
     assert langid.words_of("½ ² ① Ⅷ 12_3 ́") == []
     assert langid.words_of("Über-x² नमस्ते, हिन्दी ét") == ["über", "x", "नमस्ते", "हिन्दी", "ét"]
+
+
+def test_held_words_stay_bounded_and_change_no_label(model, monkeypatch):
+    texts = ["the dog went " + " ".join(f"wald{'abcdefghij'[i % 10]}{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + k)}" for k in range(20))
+             for i in range(120)]
+    want = [labels.tolist() for _, labels in langid.Labeller(model).each(texts)]
+    monkeypatch.setattr(langid, "REMEMBERED", 100)
+    monkeypatch.setattr(langid, "CHUNK_CHARS", 200)
+    labeller, scored = langid.Labeller(model), []
+    scores = model.scores
+    monkeypatch.setattr(model, "scores", lambda words: scored.extend(words) or scores(words), raising=False)
+    got = []
+    for _, labels in labeller.each(texts):
+        got.append(labels.tolist())
+        assert len(labeller.row) == len(labeller.scores) <= 100
+    assert got == want and scored.count("the") == 1

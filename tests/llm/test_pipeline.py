@@ -75,3 +75,23 @@ def test_stages_on_an_empty_table(spark):
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF0001)
     assert {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(out.columns) and out.count() > 0
+
+
+def test_stages_bound_what_python_workers_hold(spark):
+    """Long texts: an Arrow batch is bounded in bytes; a session's own setting stays."""
+    keys = list(corpus_pipeline.BATCH)
+    for key in keys:
+        spark.conf.unset(key)
+    rows, size = keys
+    try:
+        docs = spark.range(60, numPartitions=1).selectExpr("id AS doc_id", "repeat('lorem ipsum ', 30000) AS text")
+        corpus_pipeline.bpe_tokens(spark, docs, SF0001)
+        most = docs.mapInArrow(lambda bs: (b.select(["doc_id"]).slice(0, 1).set_column(
+            0, "doc_id", __import__("pyarrow").array([b.nbytes])) for b in bs), "doc_id long").agg({"doc_id": "max"}).first()[0]
+        assert most <= 6 << 20  # 60 texts of 360,000 bytes came as one batch of 21 MB
+        spark.conf.set(rows, "77")
+        corpus_pipeline.identify_language(spark, docs.selectExpr("*", "'en' AS lang"), SF0001)
+        assert spark.conf.get(rows) == "77"
+    finally:
+        for key in keys:
+            spark.conf.unset(key)

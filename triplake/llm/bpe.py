@@ -29,11 +29,11 @@ RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: Pieces over this many bytes are merged one at a time with a heap instead of in a matrix.
 LONG_PIECE = 512
 #: Encoded pieces that a task remembers.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 15
 #: Cells of a padded matrix (a few such arrays fit a core's cache).
 MATRIX_CELLS = 1 << 15
 #: Characters of text whose pieces are held at a time.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 
 NONE = np.int32(np.iinfo(np.int32).max)
 
@@ -78,6 +78,16 @@ class PairTable:
             left = left[~hit & (found != -1)]
         return out
 
+    def get(self, a: int, b: int) -> int | None:
+        """Merged id of one pair of ids (none of them -1)."""
+        key = (a << 32) | b
+        at = (key * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> (64 - self.bits)
+        while (found := self.keys[at]) != -1:
+            if found == key:
+                return int(self.values[at])
+            at = (at + 1) & (len(self.keys) - 1)
+        return None
+
 
 class Codec:
     """Encoder and decoder of one rank file."""
@@ -88,13 +98,13 @@ class Codec:
         self.token = {r: t for t, r in self.ranks.items()}
         self.pattern, self.latin = regex.compile(pattern), latin_pattern(pattern)
         self.byte_id = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.pairs = {}
+        pairs = {}
         for t, r in self.ranks.items():
             for i in range(1, len(t)):
                 a, b = self.ranks.get(t[:i]), self.ranks.get(t[i:])
                 if a is not None and b is not None:
-                    self.pairs[a, b] = r
-        self.table = PairTable(self.pairs)
+                    pairs[a, b] = r
+        self.table = PairTable(pairs)
 
     def cut(self, text: str) -> list[str]:
         try:
@@ -162,7 +172,7 @@ class Codec:
         ids = self.byte_id[np.frombuffer(piece, np.uint8)].tolist()
         nxt, prv = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         heap = [(r, i, ids[i], ids[i + 1]) for i in range(len(ids) - 1)
-                if (r := self.pairs.get((ids[i], ids[i + 1]))) is not None]
+                if (r := self.table.get(ids[i], ids[i + 1])) is not None]
         heapq.heapify(heap)
         end = len(ids)
         while heap:
@@ -173,9 +183,9 @@ class Codec:
             ids[i], ids[j], nxt[i] = r, -1, nxt[j]
             if nxt[i] < end:
                 prv[nxt[i]] = i
-                if (q := self.pairs.get((r, ids[nxt[i]]))) is not None:
+                if (q := self.table.get(r, ids[nxt[i]])) is not None:
                     heapq.heappush(heap, (q, i, r, ids[nxt[i]]))
-            if prv[i] >= 0 and (q := self.pairs.get((ids[prv[i]], r))) is not None:
+            if prv[i] >= 0 and (q := self.table.get(ids[prv[i]], r)) is not None:
                 heapq.heappush(heap, (q, prv[i], ids[prv[i]], r))
         return [x for x in ids if x >= 0]
 
@@ -209,9 +219,8 @@ class _Encoded:
     def pieces(self, texts: list[str]) -> list[list[tuple]]:
         cut = [self.codec.cut(t) for t in texts]
         new = list({p for ps in cut for p in ps if p not in self.seen})
-        if len(self.seen) + len(new) > REMEMBERED:
-            self.seen = {}
-            new = list({p for ps in cut for p in ps})
+        if len(self.seen) + len(new) > REMEMBERED:  # those of these texts stay, the others go
+            self.seen = {p: self.seen[p] for ps in cut for p in ps if p in self.seen}
         for p, ids in zip(new, self.codec.encode_pieces([p.encode() for p in new])):
             self.seen[p] = (len(ids), ids, ",".join(map(str, ids)).encode(), self.codec.decode(ids))
         return [[self.seen[p] for p in ps] for ps in cut]

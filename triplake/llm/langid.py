@@ -34,8 +34,8 @@ SWITCH = 12.0
 #: A language is a candidate for a script that holds at least this share of its letters.
 SCRIPT_SHARE = 0.01
 #: Words remembered by a task, characters of text held at a time.
-REMEMBERED = 1 << 17
-CHUNK_CHARS = 1 << 21
+REMEMBERED = 1 << 15
+CHUNK_CHARS = 1 << 20
 UNKNOWN = "und"
 
 # First code points of the blocks of each script.
@@ -108,10 +108,10 @@ class Model:
     def scores(self, words: list[str]) -> np.ndarray:
         """(words, languages) log-likelihoods; languages that do not use the word's script are out of reach."""
         out = np.zeros((len(words), len(self.languages)), np.float32)
-        for k in range(0, len(words), 1 << 15):
-            grams, number, script = word_grams(words[k:k + (1 << 15)])
-            out[k:k + (1 << 15)] = np.add.reduceat(self.logp[grams], np.cumsum(number) - number)
-            out[k:k + (1 << 15)][~self.allowed[script]] = -1e4
+        for k in range(0, len(words), 1 << 13):
+            grams, number, script = word_grams(words[k:k + (1 << 13)])
+            out[k:k + (1 << 13)] = np.add.reduceat(self.logp[grams], np.cumsum(number) - number)
+            out[k:k + (1 << 13)][~self.allowed[script]] = -1e4
         return out
 
 
@@ -214,9 +214,10 @@ class Labeller:
 
     def label(self, docs: list[list[str]]) -> Iterator[np.ndarray]:
         new = list({w for d in docs for w in d if w not in self.row})
-        if len(self.row) + len(new) > REMEMBERED:
-            self.row, self.scores = {}, self.scores[:0]
-            new = list({w for d in docs for w in d})
+        if len(self.row) + len(new) > REMEMBERED:  # the words of these texts stay, the others go
+            held = list({w for d in docs for w in d if w in self.row})
+            self.scores = self.scores[[self.row[w] for w in held]]
+            self.row = dict(zip(held, range(len(held))))
         if new:
             self.row.update(zip(new, range(len(self.row), len(self.row) + len(new))))
             self.scores = np.concatenate([self.scores, self.model.scores(new)])

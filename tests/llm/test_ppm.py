@@ -1,7 +1,9 @@
 import math
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +88,54 @@ def test_probabilities_of_a_context_sum_to_one():
 
 def test_empty_table(spark):
     assert ppm.score(ppm.in_chunks(stored_docs(spark, []))).count() == 0
+
+
+WORDS = ["a", "a\0", "\0a", "\0", "a\0\0\0\0\0\0\0", "eightbyt", "eightbyte", "é", "e\u0301", "\x1cx", "\x85", "\xa0",
+         *("q" * n for n in (7, 8, 15, 16, 63, 64, 65, 66, 500)), *("q" * 63 + c for c in "rs"), *("q" * 64 + c for c in "rs")]
+
+
+def test_word_keys_are_equal_where_words_are():
+    texts = [" ".join(WORDS), None, "", " \t\n\x0b\x0c\r ", "\r\n" + "\x0b".join(reversed(WORDS)) + "\x0c", " ".join(WORDS).upper(), "a"]
+    keys, lengths = ppm._word_keys(pa.array(texts))
+    docs = [(t or "").encode().lower().split() + [None] for t in texts]
+    assert lengths.tolist() == [len(d) for d in docs]
+    of = dict(zip((w for d in docs for w in d), keys.tolist()))
+    assert [of[w] for d in docs for w in d] == keys.tolist()
+    assert len(set(of.values())) == len(of) and of[None] == ppm.END_WORD and min(of.values()) >= ppm.WORD_BIT
+    # the same in a slice and without any word
+    again, n = ppm._word_keys(pa.array(texts).slice(3, 2))
+    assert n.tolist() == lengths[3:5].tolist() and again.tolist() == keys[lengths[:3].sum():lengths[:5].sum()].tolist()
+    assert ppm._word_keys(pa.array([None, ""], "string"))[0].tolist() == [ppm.END_WORD] * 2
+
+
+def test_word_keys_differ_over_many_words():
+    n = 300_000
+    keys, _ = ppm._word_keys(pa.array([" ".join(f"w{i}" for i in range(n)), " ".join(f"{i:040d}" for i in range(n))]))
+    assert len(np.unique(keys)) == 2 * n + 1
+
+
+def test_counts_of_learned_and_other_keys():
+    k = np.array([5, 3, 5, ppm.WORD_BIT | 7, 3, 9, (1 << 63) - 1], np.int64)
+    key, n = ppm._counted(k, np.array([True, False, True, True, True, False, True]))
+    assert key.tolist() == [3, 5, 9, ppm.WORD_BIT | 7, (1 << 63) - 1] and n.tolist() == [1, 2, 0, 1, 1]
+
+
+def test_keys_of_words_cost_no_more_than_those_of_bytes():
+    """Words that come once or twice, as most do: each took a call in Python, several times the work of its bytes."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x:x}" for x in rng.integers(0, 1 << 20, 400)) for _ in range(400)]
+    column, raw = pa.array(texts), [t.encode() for t in texts]
+
+    def seconds(f, *a):
+        took = []
+        for _ in range(5):
+            begun = time.process_time()
+            f(*a)
+            took.append(time.process_time() - begun)
+        return min(took)
+
+    def counted(texts):
+        k, _ = ppm.grams(texts)
+        return ppm._counted(k, np.ones(len(k), bool))
+
+    assert seconds(ppm._word_keys, column) < 1.5 * seconds(counted, raw)

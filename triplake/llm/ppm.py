@@ -27,10 +27,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from triplake.lake import scratch_dir
-from triplake.llm.common import WordIds, ragged_index, slices, stored, table
+from triplake.llm.common import slices, stored, table
 
 #: Longest context in bytes; n-grams of ORDER context bytes and a symbol are 9 bits a symbol in a long.
 ORDER = 5
@@ -48,6 +49,8 @@ SYMBOLS = 257
 WORD_BIT = 1 << 62
 #: Key of the end token of the base score.
 END_WORD = WORD_BIT
+#: Words up to this many bytes are hashed side by side, eight bytes at a time.
+SIDE_BY_SIDE = 64
 
 
 def held_out(doc_id, modulus: int = 7, remainder: int = 2):
@@ -72,7 +75,10 @@ def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarra
     for i in range(2, order + 2):
         np.left_shift(key, BITS, out=key)
         np.bitwise_or(key, raw[order - i:-i] if i <= order else raw[order:], out=key)
-    return key[np.repeat(starts - order, lengths) + ragged_index(lengths)], lengths
+    keep = np.ones(len(key), bool)  # but for the marks between two texts
+    for i in range(1, order + 1):
+        keep[starts[1:] - order - i] = False
+    return key[keep], lengths
 
 
 def context(key, length: int, order: int = ORDER):
@@ -80,11 +86,41 @@ def context(key, length: int, order: int = ORDER):
     return key >> BITS * (order + 1 - length)
 
 
-def _word_keys(texts: list[bytes], words: WordIds) -> tuple[np.ndarray, np.ndarray]:
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """SplitMix64's last steps: a permutation of the 64-bit integers."""
+    h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return h ^ h >> np.uint64(31)
+
+
+def _hashes(data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte strings of these lengths, one behind the other in ``data``."""
+    starts = np.cumsum(lengths) - lengths
+    eight = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    h = _mixed(lengths.astype(np.uint64))
+    on = np.flatnonzero(lengths <= SIDE_BY_SIDE)
+    for i in range(0, SIDE_BY_SIDE, 8):
+        on = on[lengths[on] > i]
+        if not len(on):
+            break
+        beyond = np.maximum(8 * (i + 8 - lengths[on]), 0).astype(np.uint64)
+        h[on] = _mixed(h[on] ^ eight[starts[on] + i] << beyond)
+    for i in np.flatnonzero(lengths > SIDE_BY_SIDE):
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i]:starts[i] + lengths[i]])
+    return h
+
+
+def _word_keys(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(key of every word and of the end token, tokens of each text)."""
-    docs = [t.lower().split() for t in texts]
-    lengths = np.array([len(d) + 1 for d in docs], np.int64)
-    keys = np.fromiter((k for d in docs for k in [*[words[w] >> 2 | WORD_BIT for w in d], END_WORD]), np.int64, int(lengths.sum()))
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(text, "")))
+    words, row = split.flatten(), pc.list_parent_indices(split).to_numpy()
+    data = words.buffers()[2]
+    size = pc.binary_length(words).to_numpy().astype(np.int64)
+    row, size = row[size > 0], size[size > 0]  # white space at an end leaves an empty word
+    lengths = np.bincount(row, minlength=len(text)) + 1
+    keys = np.full(int(lengths.sum()), END_WORD, np.int64)
+    h = _hashes(np.frombuffer(data or b"", np.uint8), size)
+    keys[np.arange(len(row)) + row] = (h >> np.uint64(2)).astype(np.int64) | WORD_BIT
     return keys, lengths
 
 
@@ -176,7 +212,7 @@ def in_chunks(docs: DataFrame, rows: int = CHUNK_ROWS) -> DataFrame:
     return docs.select("doc_id", "text", "held_out", F.xxhash64(at).alias("chunk"))
 
 
-def _runs(batches: Iterator[pa.RecordBatch], size: int = 1 << 21) -> Iterator[tuple[int, pa.RecordBatch]]:
+def _runs(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[tuple[int, pa.RecordBatch]]:
     """(chunk, rows of it) in the order read, about ``size`` characters and at most ``RUN_ROWS`` rows at a time."""
     for b in slices(batches, RUN_ROWS):
         chunk = b.column("chunk").to_numpy()
@@ -196,6 +232,14 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return key[first], np.add.reduceat(n, first)
 
 
+def _counted(k: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys in order, how many of each are learned): a key and its mark are sorted as one word."""
+    both = np.sort(k.astype(np.uint64) << np.uint64(1) | learned)
+    key = (both >> np.uint64(1)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[first], np.add.reduceat((both & np.uint64(1)).astype(np.int64), first)
+
+
 def _sums(k: np.ndarray, lengths: np.ndarray, key: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Sum of the values of each text's keys: keys are sorted with their text's number and looked up once each."""
     row = np.repeat(np.arange(len(lengths)), lengths)
@@ -221,20 +265,16 @@ def _chunk_counts(chunks: DataFrame) -> DataFrame:
                                              names=["chunk", "key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, now, parts = WordIds(), None, []
+        now, parts = None, []
         for chunk, b in _runs(batches):
             if chunk != now:
                 if parts:
                     yield from out(now, parts)
                 now, parts = chunk, []
             train = ~b.column("held_out").to_numpy(zero_copy_only=False)
-            texts = _bytes(b)
-            for k, lengths in (grams(texts), _word_keys(texts, words)):
-                learned = np.repeat(train, lengths)
-                parts.append(np.unique(k[learned], return_counts=True))
-                unseen = np.unique(k[~learned])
-                parts.append((unseen, np.zeros(len(unseen), np.int64)))
-            if len(parts) >= 16:
+            for k, lengths in (grams(_bytes(b)), _word_keys(b.column("text"))):
+                parts.append(_counted(k, np.repeat(train, lengths)))
+            if len(parts) >= 8:
                 parts = [_merged(parts)]
         if parts:
             yield from out(now, parts)
@@ -285,7 +325,7 @@ def score(chunks: DataFrame) -> DataFrame:
      .write.partitionBy("chunk").parquet(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, now = WordIds(), None
+        now = None
         for chunk, b in _runs(batches):
             if chunk != now:
                 fs, path = _folder(f"{model}/chunk={chunk}")
@@ -295,14 +335,14 @@ def score(chunks: DataFrame) -> DataFrame:
                     by = np.argsort(key, kind="stable")
                     key, value = key[by], value[by]
                 now = chunk
-            texts = _bytes(b)
-            total = _sums(*grams(texts), key, value)
-            k, lengths = _word_keys(texts, ids)
+            total = _sums(*grams(_bytes(b)), key, value)
+            k, lengths = _word_keys(b.column("text"))
             first = np.cumsum(lengths) - lengths
-            c = value[np.searchsorted(key, k)]
+            u, at = np.unique(k, return_inverse=True)
+            c = value[np.searchsorted(key, u)][at]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("held_out"), pa.array(lengths),
-                 pa.array(np.add.reduceat((c > 0).astype(np.int64), first)), pa.array(np.full(len(texts), tokens)),
+                 pa.array(np.add.reduceat((c > 0).astype(np.int64), first)), pa.array(np.full(b.num_rows, tokens)),
                  pa.array(np.add.reduceat(np.log10((c + 1) / (tokens + distinct + 1)), first)), pa.array(total)],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 

@@ -1,4 +1,4 @@
-"""What reading, pairing and keeping live records costs, and that the cheaper ways give the same rows."""
+"""What reading and pairing live records costs, and that the cheaper ways give the same rows."""
 
 import datetime as dt
 
